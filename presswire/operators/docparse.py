@@ -169,8 +169,19 @@ def parse_docs_xml(
     df: DataFrame, language: Column | str = "ENG", column: str = "value"
 ) -> DataFrame:
     """XML form: entities decoded, every document type kept, malformed rows get a reason."""
+    blank = jtrim(F.coalesce(F.col(column), F.lit(""))) == ""
+    parsed = df.withColumns({"_xml": from_doc_xml(column), "_blank": blank})
+    return _xml_columns(parsed, language, df.columns)
+
+
+def typed_docs_xml(df: DataFrame, language: Column | str = "ENG") -> DataFrame:
+    """The same columns for rows the XML source has already typed."""
+    parsed = df.select(F.struct(*df.columns).alias("_xml"), F.lit(False).alias("_blank"))
+    return _xml_columns(parsed, language, [])
+
+
+def _xml_columns(parsed: DataFrame, language: Column | str, keep: list[str]) -> DataFrame:
     language = F.lit(language) if isinstance(language, str) else language
-    parsed = df.withColumn("_xml", from_doc_xml(column))
     xml = F.col("_xml")
     blank = F.lit("")
     pieces = F.transform(
@@ -188,12 +199,12 @@ def parse_docs_xml(
             "language": language,
             "paragraphs": F.filter("_pieces", lambda p: p != ""),
             "body": F.array_join("_pieces", " "),
-            "reason": F.when(jtrim(F.coalesce(F.col(column), blank)) == "", "blank")
+            "reason": F.when(F.col("_blank"), "blank")
             .when(malformed, "bad_xml")
             .when(doc_id == "", "no_id"),
         }
     )
-    return barrier(out, [c for c in df.columns if c not in PARSED] + list(PARSED))
+    return barrier(out, [c for c in keep if c not in PARSED] + list(PARSED))
 
 
 def from_doc_xml(column: str = "value") -> Column:

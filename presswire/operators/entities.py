@@ -94,7 +94,7 @@ def tag_by_gazetteer(
 
 def link_aliases(mentions: DataFrame, keys: list[str]) -> DataFrame:
     """Links each mention of a document to the longest mention of its type that
-    ends in it, word by word; ties go to the earliest.
+    ends in it, word by word; ties go to the earliest, then the greatest text.
 
     ``mentions`` holds ``keys``, ``ner``, ``mention`` and ``position``. Every
     distinct mention offers its word suffixes and the suffixes are grouped: no
@@ -106,7 +106,9 @@ def link_aliases(mentions: DataFrame, keys: list[str]) -> DataFrame:
         *keys,
         "ner",
         "mention",
-        F.struct(F.length("mention").alias("n"), (-F.col("position")).alias("early")).alias("rank"),
+        F.struct(
+            F.length("mention").alias("n"), (-F.col("position")).alias("early"), "mention"
+        ).alias("rank"),
         F.posexplode(
             F.transform(
                 F.sequence(F.lit(1), F.size(words)),
