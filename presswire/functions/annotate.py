@@ -1,11 +1,13 @@
-"""Per-sentence annotations as columns over a token array."""
+"""Per-sentence annotations as columns over a token array.
+
+``found`` arguments are lexicon lookups parallel to the tokens.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from presswire.functions.lexicon import InlineLexicon
 from presswire.functions.spans import OUTSIDE
 from presswire.functions.text import let
 
@@ -15,13 +17,10 @@ POS_SHAPES = (
     (r"^[.!?]$", "."),
     (r"^[,]$", ","),
     (r"^[^\p{L}\p{N}]$", "SYM"),
-    (r"^\p{Lu}.*s$", "NNPS"),
-    (r"^\p{Lu}", "NNP"),
-    (r"ing$", "VBG"),
-    (r"ed$", "VBD"),
-    (r"ly$", "RB"),
-    (r"s$", "NNS"),
 )
+POS_UPPER = r"^\p{Lu}"
+POS_UPPER_TAGS = (("s", "NNPS"), ("", "NNP"))
+POS_SUFFIXES = (("ing", "VBG"), ("ed", "VBD"), ("ly", "RB"), ("s", "NNS"))
 POS_DEFAULT = "NN"
 
 # Phrase class of a part-of-speech tag.
@@ -35,31 +34,36 @@ MISSING_SENTIMENT = -1
 NEUTRAL_SENTIMENT = 2
 
 
-def lemmas(tokens: Column, language: Column, lexicon: InlineLexicon) -> Column:
+def lemmas(tokens: Column, found: Column) -> Column:
     """Lexicon lemma, else the token in lower case."""
-    return let(
-        lexicon.table(language),
-        lambda table: F.transform(
-            tokens, lambda t: let(F.lower(t), lambda k: F.coalesce(lexicon.find(table, k), k))
-        ),
-    )
+    return F.zip_with(tokens, found, lambda t, f: F.coalesce(f, F.lower(t)))
+
+
+def _by_suffix(t: Column, suffixes: tuple[tuple[str, str], ...], default: str) -> Column:
+    out = F
+    for suffix, tag in suffixes:
+        out = out.when(t.endswith(suffix), F.lit(tag))
+    return out.otherwise(F.lit(default))
 
 
-def pos_tags(tokens: Column, language: Column, lexicon: InlineLexicon) -> Column:
-    """Most frequent tag from the lexicon, else a tag by word shape."""
+def pos_tags(tokens: Column, found: Column) -> Column:
+    """Most frequent tag from the lexicon, else a tag by word shape.
+
+    Words starting with a letter, by far the most, take two pattern tests.
+    """
 
     def by_shape(t: Column) -> Column:
-        out = F
+        other = F
         for pattern, tag in POS_SHAPES:
-            out = out.when(t.rlike(pattern), F.lit(tag))
-        return out.otherwise(F.lit(POS_DEFAULT))
-
-    return let(
-        lexicon.table(language),
-        lambda table: F.transform(
-            tokens, lambda t: F.coalesce(lexicon.find(table, F.lower(t)), by_shape(t))
-        ),
-    )
+            other = other.when(t.rlike(pattern), F.lit(tag))
+        word = F.when(t.rlike(POS_UPPER), _by_suffix(t, POS_UPPER_TAGS, POS_DEFAULT)).otherwise(
+            _by_suffix(t, POS_SUFFIXES, POS_DEFAULT)
+        )
+        return F.when(t.rlike(r"^\p{L}"), word).otherwise(
+            other.otherwise(_by_suffix(t, POS_SUFFIXES, POS_DEFAULT))
+        )
+
+    return F.zip_with(tokens, found, lambda t, f: F.coalesce(f, by_shape(t)))
 
 
 def chunk_tags(pos: Column) -> Column:
@@ -72,57 +76,55 @@ def chunk_tags(pos: Column) -> Column:
     return F.transform(pos, one)
 
 
-def entity_tags(tokens: Column, language: Column, gazetteer: InlineLexicon) -> Column:
+def entity_tags(tokens: Column, found: Column, longest: int) -> Column:
     """One tag per token: the longest gazetteer phrase covering it, the leftmost
-    among equally long ones, ``O`` where there is none."""
-    longest = gazetteer.longest
-
-    def matches(words: Column, table: Column) -> Column:
-        def gram(w: Column, i: Column, k: int) -> Column:
-            text = w if k == 1 else F.array_join(F.slice(words, i + 1, F.lit(k)), " ")
-            fits = i + k <= F.size(words)
-            return let(
-                F.when(fits, let(text, lambda key: gazetteer.find(table, key))),
-                lambda tag: F.when(
-                    tag.isNotNull(), F.struct(F.lit(k).alias("k"), tag.alias("tag"))
-                ),
-            )
-
-        def at(w: Column, i: Column) -> Column:
-            found = [gram(w, i, k) for k in range(longest, 0, -1)]
-            return F.coalesce(*found) if longest > 1 else found[0]
-
-        return F.transform(words, at)
+    among equally long ones, ``O`` where there is none.
+
+    ``found`` holds the phrases starting with each token (``phrase_lexicon``);
+    ``longest`` is the most words a phrase has. Sentences without any such token
+    end after one test.
+    """
+
+    def matches(candidates: Column) -> Column:
+        def at(c: Column, i: Column) -> Column:
+            def fits(p: Column) -> Column:
+                text = F.lower(F.array_join(F.slice(tokens, i + 1, p["k"]), " "))
+                return (p["k"] == 1) | (text == p["phrase"])
+
+            return F.when(c.isNotNull(), F.get(F.filter(c, fits), F.lit(0)))
+
+        return F.transform(candidates, at)
 
     def cover(hits: Column) -> Column:
-        def at(_: Column, i: Column) -> Column:
-            options = []
-            for back in range(longest):
-                hit = F.get(hits, i - back)
-                options.append(
-                    F.when(
-                        hit["k"] > back,
-                        F.struct(hit["k"].alias("k"), F.lit(back).alias("back"), hit["tag"].alias("tag")),
-                    )
+        def at(hit: Column, i: Column) -> Column:
+            around = [hit] + [F.get(hits, i - back) for back in range(1, longest)]
+            options = [
+                F.when(
+                    h["k"] > back,
+                    F.struct(h["k"].alias("k"), F.lit(back).alias("back"), h["tag"].alias("tag")),
                 )
-            best = F.greatest(*options) if longest > 1 else options[0]
-            return F.coalesce(best["tag"], F.lit(OUTSIDE))
+                for back, h in enumerate(around)
+            ]
+            if longest == 1:
+                return F.coalesce(hit["tag"], F.lit(OUTSIDE))
+            best = F.coalesce(F.greatest(*options)["tag"], F.lit(OUTSIDE))
+            return F.when(F.coalesce(*around).isNull(), F.lit(OUTSIDE)).otherwise(best)
 
         return F.transform(hits, at)
 
-    return let(
-        gazetteer.table(language),
-        lambda table: let(
-            F.transform(tokens, F.lower), lambda words: let(matches(words, table), cover)
-        ),
-    )
+    def tag(candidates: Column) -> Column:
+        some = F.exists(candidates, lambda c: c.isNotNull())
+        return F.when(some, let(matches(candidates), cover)).otherwise(
+            F.array_repeat(F.lit(OUTSIDE), F.size(candidates))
+        )
+
+    return let(found, tag)
 
 
-def sentiment(tokens: Column, language: Column, polarity: InlineLexicon) -> Column:
+def sentiment(tokens: Column, found: Column) -> Column:
     """Class 0..4 from summed polarity; 2 without a hit, -1 for an empty sentence."""
-    weights = polarity.lookup(tokens, language)
     total = F.aggregate(
-        weights, F.lit(0), lambda acc, w: acc + F.coalesce(w.cast("int"), F.lit(0))
+        found, F.lit(0), lambda acc, w: acc + F.coalesce(w.cast("int"), F.lit(0))
     )
     return F.when(F.size(tokens) == 0, F.lit(MISSING_SENTIMENT)).otherwise(
         F.least(F.greatest(total, F.lit(-2)), F.lit(2)) + NEUTRAL_SENTIMENT

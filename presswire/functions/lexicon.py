@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,31 +22,32 @@ MAX_INLINE_ENTRIES = 5_000
 
 
 class InlineLexicon:
-    """``(language, key) -> value``; keys are compared in lower case."""
+    """``(language, key) -> value``; keys are compared in lower case.
 
-    def __init__(self, entries: Iterable[tuple[str, str, str]]):
-        by_language: dict[str, dict[str, str]] = {}
+    Of several values for one key the least is kept. ``kind`` is the value's
+    Spark type, for values that are more than a string.
+    """
+
+    def __init__(self, entries: Iterable[tuple[str, str, Any]], kind: str = "string"):
+        by_language: dict[str, dict[str, Any]] = {}
         total = 0
         for language, key, value in entries:
             known = by_language.setdefault(language, {})
             word = key.lower()
-            value = str(value)
-            known[word] = min(known.get(word, value), value)
+            known[word] = min(known[word], value) if word in known else value
             total += 1
         if total > MAX_INLINE_ENTRIES:
             raise ValueError(
                 f"{total} entries: inline lexicons hold {MAX_INLINE_ENTRIES}; use lookup_join"
             )
-        widest = max((len(v) for v in by_language.values()), default=0)
-        self.buckets = max(1, widest // 2)
-        self.longest = max((len(k.split(" ")) for v in by_language.values() for k in v), default=1)
+        self.buckets = max([1, *(len(v) for v in by_language.values())])
         table = {}
         for language, known in by_language.items():
             table[language] = [{} for _ in range(self.buckets)]
             for word, value in known.items():
                 table[language][zlib.crc32(word.encode()) % self.buckets][word] = value
         self._constant = F.from_json(
-            F.lit(json.dumps(table)), "map<string,array<map<string,string>>>"
+            F.lit(json.dumps(table)), f"map<string,array<map<string,{kind}>>>"
         )
 
     @classmethod
@@ -54,23 +56,42 @@ class InlineLexicon:
         rows = frame.limit(MAX_INLINE_ENTRIES + 1).collect()
         return cls(tuple(r) for r in rows)
 
-    def table(self, language: Column) -> Column:
-        """The language's part of the constant; bind it once with ``let``."""
-        return self._constant[language]
-
-    def find(self, table: Column, key: Column) -> Column:
-        """Value for a lower-case key, null when absent."""
-        slot = F.pmod(F.crc32(key.cast("binary")), F.lit(self.buckets)).cast("int")
-        return F.get(table, slot)[key]
-
     def lookup(self, tokens: Column, language: Column) -> Column:
         """Values for a token array, null where the lexicon has none."""
+
+        def find(table: Column, key: Column) -> Column:
+            slot = F.pmod(F.crc32(key.cast("binary")), F.lit(self.buckets)).cast("int")
+            return F.get(table, slot)[key]
+
         return let(
-            self.table(language),
-            lambda table: F.transform(tokens, lambda t: let(F.lower(t), lambda k: self.find(table, k))),
+            self._constant[language],
+            lambda table: F.transform(tokens, lambda t: let(F.lower(t), lambda k: find(table, k))),
         )
 
 
+def phrase_lexicon(entries: Iterable[tuple[str, str, str]]) -> "InlineLexicon":
+    """Gazetteer ``(language, phrase, tag)`` keyed by first word, longest phrases first."""
+    return InlineLexicon(phrase_entries(entries), PHRASES)
+
+
+PHRASES = "array<struct<k: int, phrase: string, tag: string>>"
+
+
+def phrase_entries(entries: Iterable[tuple[str, str, str]]) -> list[tuple[str, str, list[dict]]]:
+    tags: dict[tuple[str, str], str] = {}
+    for language, phrase, tag in entries:
+        at = (language, phrase.lower())
+        tags[at] = min(tags.get(at, tag), tag)
+    grouped: dict[tuple[str, str], list[dict]] = {}
+    for (language, phrase), tag in tags.items():
+        words = phrase.split(" ")
+        grouped.setdefault((language, words[0]), []).append({"k": len(words), "phrase": phrase, "tag": tag})
+    return [
+        (language, first, sorted(found, key=lambda e: -e["k"]))
+        for (language, first), found in grouped.items()
+    ]
+
+
 def regex_tags(tokens: Column, rules: Iterable[tuple[str, str]], default: Column) -> Column:
     """Tag tokens by whole-token patterns; patterns of one tag fold into one
     alternation, the first tag listed wins, ``default`` elsewhere."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from presswire.functions.text import let
 
 OUTSIDE = "O"
+SPANS = "array<struct<tag: string, text: string, first: int, last: int>>"
 
 
 def mention_text(tokens: Column, drop_commas: bool = True) -> Column:
@@ -22,42 +23,34 @@ def merge_runs(tokens: Column, tags: Column, drop_commas: bool = True) -> Column
     """Runs of one tag as ``array<struct<tag, text, first, last>>`` (1-based positions).
 
     ``O`` or another tag ends a run; a run whose text becomes empty is dropped.
+    Sentences without a tag end after one test.
     """
-    outside = F.lit(OUTSIDE)
+
+    def edge(marks: Column, step: int) -> Column:
+        # Positions whose neighbour at ``step`` carries another tag.
+        def differs(i: Column) -> Column:
+            mark = F.get(marks, i - 1)
+            return (mark != OUTSIDE) & ~mark.eqNullSafe(F.get(marks, i - 1 + step))
+
+        return F.filter(F.sequence(F.lit(1), F.size(marks)), differs)
 
     def spans(toks: Column, marks: Column) -> Column:
-        before = F.concat(F.array(outside), marks)
-        after = F.concat(F.slice(marks, F.lit(2), F.greatest(F.size(marks) - 1, F.lit(0))), F.array(outside))
-        sides = F.arrays_zip(marks.alias("tag"), before.alias("before"), after.alias("after"))
-        placed = F.transform(
-            F.slice(sides, F.lit(1), F.size(marks)),
-            lambda z, i: F.struct(
-                z["tag"].alias("tag"),
-                (z["tag"] != z["before"]).alias("opens"),
-                (z["tag"] != z["after"]).alias("closes"),
-                (i + 1).alias("at"),
-            ),
-        )
-        inside = F.filter(placed, lambda z: z["tag"] != outside)
-
-        def ends(p: Column) -> Column:
-            firsts = F.filter(p, lambda z: z["opens"])
-            lasts = F.filter(p, lambda z: z["closes"])
-            return F.transform(
-                F.arrays_zip(firsts.alias("f"), lasts.alias("l")),
-                lambda z: F.struct(
-                    z["f"]["tag"].alias("tag"),
-                    mention_text(
-                        F.slice(toks, z["f"]["at"], z["l"]["at"] - z["f"]["at"] + 1), drop_commas
-                    ).alias("text"),
-                    z["f"]["at"].alias("first"),
-                    z["l"]["at"].alias("last"),
-                ),
+        def run(first: Column, last: Column) -> Column:
+            return F.struct(
+                F.get(marks, first - 1).alias("tag"),
+                mention_text(F.slice(toks, first, last - first + 1), drop_commas).alias("text"),
+                first.alias("first"),
+                last.alias("last"),
             )
 
-        return F.filter(let(inside, ends), lambda s: s["text"] != "")
+        return F.filter(F.zip_with(edge(marks, -1), edge(marks, 1), run), lambda s: s["text"] != "")
+
+    def build(toks: Column, marks: Column) -> Column:
+        return F.when(F.exists(marks, lambda m: m != OUTSIDE), spans(toks, marks)).otherwise(
+            F.array().cast(SPANS)
+        )
 
-    return let(tokens, lambda toks: let(tags, lambda marks: spans(toks, marks)))
+    return let(tokens, lambda toks: let(tags, lambda marks: build(toks, marks)))
 
 
 def tagged_tokens(tokens: Column, tags: Column) -> Column:

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presswire.functions import annotate as A
 from presswire.functions import spans as S
-from presswire.functions.lexicon import InlineLexicon, regex_tags
+from presswire.functions.lexicon import PHRASES, InlineLexicon, phrase_entries, regex_tags
 from presswire.functions.segment import sentences_of, tokens_of
 from presswire.functions.text import let
+from presswire.operators.rows import pin
 from presswire.operators.sentences import MAX_PARSE_TOKENS
 
 SENTENCE_FIELDS = (
@@ -36,15 +37,43 @@ OPTIONAL = frozenset({"relation"})
 PARSER_MODES = ("default", "fast")
 
 
-@dataclass
-class Resources:
-    """Lexicons of a run; an empty one leaves its annotation at the default."""
+Entries = Iterable[tuple[str, str, str]]
+CARD = f"struct<lemma: string, pos: string, weight: int, phrases: {PHRASES}>"
+
 
-    lemma: InlineLexicon = field(default_factory=lambda: InlineLexicon([]))
-    pos: InlineLexicon = field(default_factory=lambda: InlineLexicon([]))
-    gazetteer: InlineLexicon = field(default_factory=lambda: InlineLexicon([]))
-    polarity: InlineLexicon = field(default_factory=lambda: InlineLexicon([]))
-    rules: tuple[tuple[str, str], ...] = ()
+class Resources:
+    """Lexicons of a run, each ``(language, word or phrase, value)``; an empty one
+    leaves its annotation at the default.
+
+    All of them fold into one table of word cards, so annotating takes one lookup
+    per token.
+    """
+
+    def __init__(
+        self,
+        lemma: Entries = (),
+        pos: Entries = (),
+        gazetteer: Entries = (),
+        polarity: Entries = (),
+        rules: Iterable[tuple[str, str]] = (),
+    ):
+        gazetteer = list(gazetteer)
+        self.rules = tuple(rules)
+        self.longest = max((len(p.split(" ")) for _, p, _ in gazetteer), default=1)
+        cards: dict[tuple[str, str], dict] = {}
+
+        def put(name: str, language: str, word: str, value: object) -> None:
+            card = cards.setdefault((language, word.lower()), {})
+            card[name] = min(card[name], value) if name in card else value
+
+        for name, entries in (("lemma", lemma), ("pos", pos)):
+            for language, word, value in entries:
+                put(name, language, word, value)
+        for language, word, value in polarity:
+            put("weight", language, word, int(value))
+        for language, word, value in phrase_entries(gazetteer):
+            put("phrases", language, word, value)
+        self.cards = InlineLexicon([(lang, word, card) for (lang, word), card in cards.items()], CARD)
 
 
 def profile(language: str, extra: frozenset[str] = frozenset()) -> frozenset[str]:
@@ -69,41 +98,46 @@ def sentence_struct(
     if parser not in PARSER_MODES:
         raise ValueError(f"parser mode {parser!r} is not one of {PARSER_MODES}")
 
-    def tags(toks: Column) -> Column:
-        named = A.entity_tags(toks, language, res.gazetteer)
+    def pick(wanted: str, value: Column) -> Column:
+        return _for_languages(language, wanted, value, extra)
+
+    def tags(toks: Column, cards: Column) -> Column:
+        named = A.entity_tags(toks, F.transform(cards, lambda c: c["phrases"]), res.longest)
         return A.overlay(named, regex_tags(toks, res.rules, F.lit(S.OUTSIDE))) if res.rules else named
 
-    def chunks(toks: Column) -> Column:
-        pos = A.pos_tags(toks, language, res.pos)
+    def chunks(toks: Column, cards: Column) -> Column:
+        pos = A.pos_tags(toks, F.transform(cards, lambda c: c["pos"]))
         text = S.render_chunks(S.merge_runs(toks, A.chunk_tags(pos), drop_commas=False))
         return F.when(F.size(toks) <= MAX_PARSE_TOKENS, text) if parser == "default" else text
 
-    def build(toks: Column) -> Column:
-        def with_spans(marks: Column) -> Column:
-            def pick(wanted: str, value: Column) -> Column:
-                return _for_languages(language, wanted, value, extra)
-
-            merged = S.merge_runs(toks, marks)
-            ner = F.coalesce(
-                pick("ner_merged", S.group_by_tag(merged)).cast("map<string,array<string>>"),
-                pick("ner_grouped", S.group_by_tag(S.tagged_tokens(toks, marks))).cast("map<string,array<string>>"),
-            )
-            values = {
-                "sentence_id": number,
-                "sentence": sentence,
-                "parse_sentence": pick("parse", chunks(toks)),
-                "dependency_tree": F.lit(None),
-                "token": toks,
-                "lemma": pick("lemma", A.lemmas(toks, language, res.lemma)),
-                "ner": ner,
-                "relation": pick("relation", S.render_pairs(S.neighbour_pairs(toks, merged))),
-                "sentiment": pick("sentiment", A.sentiment(toks, language, res.polarity)),
-            }
-            return F.struct(*[values[f].alias(f) for f in SENTENCE_FIELDS]).cast(SENTENCE_TYPE)
-
-        return let(tags(toks), with_spans)
-
-    return let(tokens_of(sentence, language), build)
+    def build(toks: Column, cards: Column, marks: Column, merged: Column) -> Column:
+        ner = F.coalesce(
+            pick("ner_merged", S.group_by_tag(merged)).cast("map<string,array<string>>"),
+            pick("ner_grouped", S.group_by_tag(S.tagged_tokens(toks, marks))).cast("map<string,array<string>>"),
+        )
+        values = {
+            "sentence_id": number,
+            "sentence": sentence,
+            "parse_sentence": pick("parse", chunks(toks, cards)),
+            "dependency_tree": F.lit(None),
+            "token": toks,
+            "lemma": pick("lemma", A.lemmas(toks, F.transform(cards, lambda c: c["lemma"]))),
+            "ner": ner,
+            "relation": pick("relation", S.render_pairs(S.neighbour_pairs(toks, merged))),
+            "sentiment": pick("sentiment", A.sentiment(toks, F.transform(cards, lambda c: c["weight"]))),
+        }
+        return F.struct(*[values[f].alias(f) for f in SENTENCE_FIELDS]).cast(SENTENCE_TYPE)
+
+    return let(
+        tokens_of(sentence, language),
+        lambda toks: let(
+            res.cards.lookup(toks, language),
+            lambda cards: let(
+                tags(toks, cards),
+                lambda marks: let(S.merge_runs(toks, marks), lambda merged: build(toks, cards, marks, merged)),
+            ),
+        ),
+    )
 
 
 def annotate_documents(
@@ -119,7 +153,7 @@ def annotate_documents(
         sentences_of(body, language),
         lambda s, i: sentence_struct(s, i + 1, language, res, parser, extra),
     )
-    return df.withColumn("sentences", nested)
+    return pin(df.withColumn("sentences", nested), "sentences")
 
 
 def to_documents(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

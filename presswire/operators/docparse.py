@@ -13,6 +13,7 @@ from presswire.functions.text import (
     jtrim,
     let,
 )
+from presswire.operators.rows import pin, unnest
 
 # Fixed values.
 ROUTED_LANGUAGES = ("ENG", "ESP", "ARA")
@@ -46,9 +47,7 @@ def split_docs(df: DataFrame, column: str = "value") -> DataFrame:
         ).otherwise(p),
     )
     pieces = let(cut, lambda a: F.when(F.size(a) > 0, a).otherwise(F.array(F.col(column))))
-    return df.select(*others, F.posexplode(pieces).alias("doc_pos", column)).withColumn(
-        "doc_pos", F.col("doc_pos") + 1
-    )
+    return unnest(df, others, pieces, column, "doc_pos")
 
 
 def envelope(df: DataFrame, column: str = "value") -> DataFrame:
@@ -162,7 +161,7 @@ def parse_docs(
             "body": F.when(arabic, F.array_join("_pieces", "")).otherwise(F.array_join("_pieces", " ")),
         }
     )
-    return barrier(step, [c for c in df.columns if c not in PARSED] + list(PARSED))
+    return pin(step.select(*[c for c in df.columns if c not in PARSED], *PARSED), "reason")
 
 
 def parse_docs_xml(
@@ -204,7 +203,7 @@ def _xml_columns(parsed: DataFrame, language: Column | str, keep: list[str]) ->
             .when(doc_id == "", "no_id"),
         }
     )
-    return barrier(out, [c for c in keep if c not in PARSED] + list(PARSED))
+    return pin(out.select(*[c for c in keep if c not in PARSED], *PARSED), "reason")
 
 
 def from_doc_xml(column: str = "value") -> Column:
@@ -220,26 +219,12 @@ def paragraph_sentences(df: DataFrame, column: str = "value") -> DataFrame:
     xml = F.col("_xml")
     blank = F.lit("")
     others = [c for c in df.columns if c != column]
-    return (
-        df.withColumn("_xml", from_doc_xml(column))
-        .select(
-            *others,
-            jtrim(F.coalesce(xml["_id"], blank)).alias("doc_id"),
-            F.posexplode(xml["TEXT"]["P"]).alias("sentence_id", "sentence"),
-        )
-        .withColumns(
-            {
-                "sentence_id": F.col("sentence_id") + 1,
-                "sentence": F.replace(jtrim(F.coalesce(F.col("sentence"), blank)), F.lit("\n"), F.lit(" ")),
-            }
-        )
+    parsed = df.withColumn("_xml", from_doc_xml(column)).select(
+        *others, jtrim(F.coalesce(xml["_id"], blank)).alias("doc_id"), xml["TEXT"]["P"].alias("_p")
     )
-
-
-def barrier(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Same rows, but later filters are not pushed below, where they would repeat
-    the expressions that made these columns."""
-    return df.select(F.inline(F.array(F.struct(*columns))))
+    rows = unnest(parsed, [*others, "doc_id"], "_p", "sentence", "sentence_id")
+    text = F.replace(jtrim(F.coalesce(F.col("sentence"), blank)), F.lit("\n"), F.lit(" "))
+    return rows.withColumn("sentence", text)
 
 
 def accepted(df: DataFrame) -> DataFrame:

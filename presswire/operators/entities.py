@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from presswire.functions.spans import OUTSIDE
 from presswire.operators.lookup import keyed_join
+from presswire.operators.rows import unnest
+from presswire.operators.sentences import explode_tokens
 
 
 def merge_spans(tokens: DataFrame, keys: list[str]) -> DataFrame:
@@ -60,19 +62,12 @@ def tag_by_gazetteer(
         sentences.select(*keys, "language", words.alias("_w"))
         .select(*keys, "language", "_w", F.explode(F.sequence(F.lit(1), F.lit(longest))).alias("k"))
         .filter(F.col("k") <= F.size("_w"))
-        .select(
-            *keys,
-            "language",
-            "k",
-            F.posexplode(
-                F.transform(
-                    F.sequence(F.lit(1), F.size("_w") - F.col("k") + 1),
-                    lambda i: F.array_join(F.slice("_w", i, F.col("k")), " "),
-                )
-            ).alias("at", "phrase"),
-        )
-        .withColumn("at", F.col("at") + 1)
     )
+    texts = F.transform(
+        F.sequence(F.lit(1), F.size("_w") - F.col("k") + 1),
+        lambda i: F.array_join(F.slice("_w", i, F.col("k")), " "),
+    )
+    grams = unnest(grams, [*keys, "language", "k"], texts, "phrase", "at")
     known = gazetteer.groupBy("language", F.lower("phrase").alias("phrase")).agg(F.min("ner").alias("ner"))
     hits = keyed_join(
         grams, known, ["language", "phrase"], "inner", [*keys, "at", "k"], **limits
@@ -84,9 +79,7 @@ def tag_by_gazetteer(
         "ner",
     )
     best = covered.groupBy(*keys, "idx").agg(F.max_by("ner", "rank").alias("ner"))
-    tokens = sentences.select(*keys, F.posexplode("token").alias("idx", "token")).withColumn(
-        "idx", F.col("idx") + 1
-    )
+    tokens = explode_tokens(sentences, keys)
     return tokens.join(best, [*keys, "idx"], "left").withColumn(
         "ner", F.coalesce("ner", F.lit(OUTSIDE))
     )
@@ -102,24 +95,18 @@ def link_aliases(mentions: DataFrame, keys: list[str]) -> DataFrame:
     """
     words = F.split("mention", " ")
     distinct = mentions.groupBy(*keys, "ner", "mention").agg(F.min("position").alias("position"))
-    suffixes = distinct.select(
-        *keys,
-        "ner",
-        "mention",
-        F.struct(
-            F.length("mention").alias("n"), (-F.col("position")).alias("early"), "mention"
-        ).alias("rank"),
-        F.posexplode(
-            F.transform(
-                F.sequence(F.lit(1), F.size(words)),
-                lambda i: F.array_join(F.slice(words, i, F.size(words)), " "),
-            )
-        ).alias("cut", "suffix"),
+    rank = F.struct(F.length("mention").alias("n"), (-F.col("position")).alias("early"), "mention")
+    endings = F.transform(
+        F.sequence(F.lit(1), F.size(words)),
+        lambda i: F.array_join(F.slice(words, i, F.size(words)), " "),
+    )
+    suffixes = unnest(
+        distinct.withColumn("rank", rank), [*keys, "ner", "mention", "rank"], endings, "suffix", "cut"
     )
     return (
         suffixes.groupBy(*keys, "ner", "suffix")
         .agg(F.max_by("mention", "rank").alias("canonical"), F.min("cut").alias("cut"))
-        .filter(F.col("cut") == 0)
+        .filter(F.col("cut") == 1)
         .select(*keys, "ner", F.col("suffix").alias("mention"), "canonical")
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presswire.functions.segment import sentences_of, tokens_of
+from presswire.operators.rows import unnest
 
 MAX_PARSE_TOKENS = 140  # fixed value: longest sentence the parser column accepts
 
@@ -27,9 +28,7 @@ def explode_sentences(
 ) -> DataFrame:
     """One row per non-empty sentence, ``sentence_id`` from 1; no shuffle."""
     pieces = sentences_of(body, _language(df, language))
-    return df.select(*keys, F.posexplode(pieces).alias("sentence_id", "sentence")).withColumn(
-        "sentence_id", F.col("sentence_id") + 1
-    )
+    return unnest(df, keys, pieces, "sentence", "sentence_id")
 
 
 def first_sentences(
@@ -48,12 +47,9 @@ def with_tokens(df: DataFrame, language: Column | str | None = None) -> DataFram
 def explode_tokens(df: DataFrame, keys: list[str], arrays: tuple[str, ...] = ("token",)) -> DataFrame:
     """Token rows of parallel arrays, ``idx`` from 1."""
     if len(arrays) == 1:
-        rows = df.select(*keys, F.posexplode(arrays[0]).alias("idx", arrays[0]))
-    else:
-        rows = df.select(*keys, F.posexplode(F.arrays_zip(*arrays)).alias("idx", "_z")).select(
-            *keys, "idx", *[F.col("_z")[a].alias(a) for a in arrays]
-        )
-    return rows.withColumn("idx", F.col("idx") + 1)
+        return unnest(df, keys, arrays[0], arrays[0], "idx")
+    rows = unnest(df, keys, F.arrays_zip(*arrays), "_z", "idx")
+    return rows.select(*keys, "idx", *[F.col("_z")[a].alias(a) for a in arrays])
 
 
 def mark_long(df: DataFrame, limit: int = MAX_PARSE_TOKENS) -> DataFrame:

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from presswire.functions.text import jsplit
+from presswire.operators.rows import unnest
 
 
 def words(df: DataFrame, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    return df.select(*keep, F.explode(jsplit(column)).alias("word"))
+    return unnest(df, list(keep), jsplit(column), "word").drop("_pos")
 
 
 def word_count(df: DataFrame, column: str = "value") -> DataFrame:

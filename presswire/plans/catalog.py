@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from presswire.functions import annotate as A
 from presswire.functions import spans as S
-from presswire.functions.lexicon import InlineLexicon, regex_tags
+from presswire.functions.lexicon import InlineLexicon, phrase_lexicon, regex_tags
 from presswire.functions.segment import TOKEN, sentences_of
 from presswire.functions.text import extract_field, strip_markup
 from presswire.operators import assemble as D
@@ -18,6 +18,7 @@ from presswire.operators import entities as E
 from presswire.operators import plugin as U
 from presswire.operators import sentences as N
 from presswire.operators import wordcount as W
+from presswire.operators.rows import pin, unnest_fields
 from presswire.plans import corpus as C
 from presswire.plans import lexicons as L
 from presswire.plans.jobs import metrics
@@ -37,7 +38,8 @@ def _language() -> Column:
 
 
 def _records(spark: SparkSession, sf_dir: str, escape: bool = False) -> DataFrame:
-    return C.wrap(C.table(spark, sf_dir, "documents"), escape=escape)
+    docs = R.at_least(C.table(spark, sf_dir, "documents"), 2 * spark.sparkContext.defaultParallelism)
+    return C.wrap(docs, escape=escape)
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,14 +60,17 @@ def _tokenized(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tags = A.entity_tags(F.col("token"), F.col("language"), InlineLexicon(L.GAZETTEER))
-    return _tokenized(spark, sf_dir).withColumn("ner", tags)
+    found = phrase_lexicon(L.GAZETTEER).lookup(F.col("token"), F.col("language"))
+    longest = max(len(phrase.split(" ")) for _, phrase, _ in L.GAZETTEER)
+    return _tokenized(spark, sf_dir).withColumn("ner", A.entity_tags(F.col("token"), found, longest))
+
+
+def _found(entries: tuple) -> Column:
+    return InlineLexicon(entries).lookup(F.col("token"), F.col("language"))
 
 
 def _spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _tagged(spark, sf_dir).select(
-        *SENTENCE, F.inline(S.merge_runs(F.col("token"), F.col("ner")))
-    )
+    rows = unnest_fields(_tagged(spark, sf_dir), SENTENCE, S.merge_runs(F.col("token"), F.col("ner")), "tag")
     return rows.select(
         *SENTENCE,
         F.col("tag").alias("ner"),
@@ -334,7 +339,7 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def long_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return N.mark_long(_tokenized(spark, sf_dir)).filter("too_long").select(
+    return pin(N.mark_long(_tokenized(spark, sf_dir)), "too_long").filter("too_long").select(
         *SENTENCE, F.size("token").cast("long").alias("n_tokens")
     )
 
@@ -347,12 +352,12 @@ def _flat(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 
 def lemmas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    value = A.lemmas(F.col("token"), F.col("language"), InlineLexicon(L.LEMMAS))
+    value = A.lemmas(F.col("token"), _found(L.LEMMAS))
     return _flat(_tokenized(spark, sf_dir), "lemma", value)
 
 
 def pos_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    value = A.pos_tags(F.col("token"), F.col("language"), InlineLexicon(L.POS))
+    value = A.pos_tags(F.col("token"), _found(L.POS))
     return _flat(_tokenized(spark, sf_dir), "pos", value)
 
 
@@ -376,11 +381,11 @@ def regex_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules run on distinct tokens, which carry their counts."""
     distinct = N.explode_tokens(_tokenized(spark, sf_dir), SENTENCE).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     tag = F.get(regex_tags(F.array("token"), L.RULES, F.lit("O")), F.lit(0))
-    return P.barrier(distinct.withColumn("ner", tag), ["ner", "token", "n"]).filter(F.col("ner") != "O")
+    return pin(distinct.withColumn("ner", tag), "ner").filter(F.col("ner") != "O")
 
 
 def sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    value = A.sentiment(F.col("token"), F.col("language"), InlineLexicon(L.POLARITY))
+    value = A.sentiment(F.col("token"), _found(L.POLARITY))
     return _tokenized(spark, sf_dir).select(*SENTENCE, value.cast("long").alias("sentiment"))
 
 
@@ -406,7 +411,7 @@ def clean_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def entity_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = S.group_by_tag(S.tagged_tokens(F.col("token"), F.col("ner")))
     rows = _tagged(spark, sf_dir).select(*SENTENCE, S.render_groups(groups).alias("ner"))
-    return P.barrier(rows, rows.columns).filter(F.col("ner") != "")
+    return pin(rows, "ner").filter(F.col("ner") != "")
 
 
 def entity_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -426,10 +431,10 @@ def mention_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pos = A.pos_tags(F.col("token"), F.col("language"), InlineLexicon(L.POS))
+    pos = A.pos_tags(F.col("token"), _found(L.POS))
     spans = S.merge_runs(F.col("token"), A.chunk_tags(pos), drop_commas=False)
     rows = _tokenized(spark, sf_dir).select(*SENTENCE, S.render_chunks(spans).alias("parse_sentence"))
-    return P.barrier(rows, rows.columns).filter(F.col("parse_sentence") != "")
+    return pin(rows, "parse_sentence").filter(F.col("parse_sentence") != "")
 
 
 def aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -440,7 +445,7 @@ def aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
 def relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _tagged(spark, sf_dir)
     spans = S.merge_runs(F.col("token"), F.col("ner"))
-    return E.count_relations(rows.select(F.inline(S.neighbour_pairs(F.col("token"), spans))))
+    return E.count_relations(unnest_fields(rows, [], S.neighbour_pairs(F.col("token"), spans), "type1"))
 
 
 # --- documents --------------------------------------------------------------
@@ -507,7 +512,7 @@ def store_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sentence_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "parses")
-    pos = A.pos_tags(F.col("token"), F.col("language"), InlineLexicon(L.POS))
+    pos = A.pos_tags(F.col("token"), _found(L.POS))
     parse = S.render_chunks(S.merge_runs(F.col("token"), A.chunk_tags(pos), drop_commas=False))
     K.append(_tokenized(spark, sf_dir).select("sentence", parse.alias("parse")), path)
     return spark.read.parquet(path).groupBy("sentence", "parse").agg(F.count(F.lit(1)).alias("n"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from presswire.functions.lexicon import InlineLexicon
 from presswire.operators.assemble import Resources
 
 # Fixed values: (language, word, lemma).
@@ -59,10 +58,4 @@ RULES = (
 
 
 def resources(rules: bool = False) -> Resources:
-    return Resources(
-        lemma=InlineLexicon(LEMMAS),
-        pos=InlineLexicon(POS),
-        gazetteer=InlineLexicon(GAZETTEER),
-        polarity=InlineLexicon(POLARITY),
-        rules=RULES if rules else (),
-    )
+    return Resources(LEMMAS, POS, GAZETTEER, POLARITY, RULES if rules else ())

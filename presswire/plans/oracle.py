@@ -3,7 +3,9 @@ the derived ``<DOC>`` markup."""
 
 from __future__ import annotations
 
-from presswire.functions.annotate import CHUNK_OF_POS, POS_DEFAULT, POS_SHAPES
+from presswire.functions.annotate import (
+    CHUNK_OF_POS, POS_DEFAULT, POS_SHAPES, POS_SUFFIXES, POS_UPPER, POS_UPPER_TAGS,
+)
 from presswire.functions.arabic import (
     ALIF_FROM, ALIF_TO, DIACRITICS, DIGITS_FROM, DIGITS_TO, PRO_MARKER, SEGMENT_MARKER, TATWEEL,
     YA_FROM, YA_TO,
@@ -79,7 +81,11 @@ LEMMAED = """lemmaed AS (
   SELECT t.*, coalesce(l.lemma, lower(t.token)) AS lemma
   FROM toks t LEFT JOIN lemma_lex l ON l.language = t.language AND l.word = lower(t.token))"""
 
-_SHAPES = " ".join(f"WHEN regexp_matches(t.token, {q(p)}) THEN {q(tag)}" for p, tag in POS_SHAPES)
+_SHAPES = " ".join(
+    [f"WHEN regexp_matches(t.token, {q(p)}) THEN {q(tag)}" for p, tag in POS_SHAPES]
+    + [f"WHEN regexp_matches(t.token, {q(POS_UPPER)}) AND ends_with(t.token, {q(x)}) THEN {q(tag)}" for x, tag in POS_UPPER_TAGS]
+    + [f"WHEN ends_with(t.token, {q(x)}) THEN {q(tag)}" for x, tag in POS_SUFFIXES]
+)
 POSSED = f"""possed AS (
   SELECT t.*, coalesce(l.pos, CASE {_SHAPES} ELSE {q(POS_DEFAULT)} END) AS pos
   FROM toks t LEFT JOIN pos_lex l ON l.language = t.language AND l.word = lower(t.token))"""

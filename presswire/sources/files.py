@@ -30,9 +30,13 @@ def read_lines(
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     lines = reader.text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
-    if min_partitions and lines.rdd.getNumPartitions() < min_partitions:
-        lines = lines.repartition(min_partitions)
-    return lines
+    return at_least(lines, min_partitions) if min_partitions else lines
+
+
+def at_least(df: DataFrame, partitions: int) -> DataFrame:
+    """Spread a scan of few splits before costly column work; a scan that already
+    has enough splits is left as it is, without a shuffle."""
+    return df if df.rdd.getNumPartitions() >= partitions else df.repartition(partitions)
 
 
 def list_files(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
