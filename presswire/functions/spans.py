@@ -28,11 +28,11 @@ def merge_runs(tokens: Column, tags: Column, drop_commas: bool = True) -> Column
 
     def edge(marks: Column, step: int) -> Column:
         # Positions whose neighbour at ``step`` carries another tag.
-        def differs(i: Column) -> Column:
-            mark = F.get(marks, i - 1)
-            return (mark != OUTSIDE) & ~mark.eqNullSafe(F.get(marks, i - 1 + step))
+        def differs(mark: Column, i: Column) -> Column:
+            turn = (mark != OUTSIDE) & ~mark.eqNullSafe(F.get(marks, i + step))
+            return F.when(turn, i + 1)
 
-        return F.filter(F.sequence(F.lit(1), F.size(marks)), differs)
+        return F.array_compact(F.transform(marks, differs))
 
     def spans(toks: Column, marks: Column) -> Column:
         def run(first: Column, last: Column) -> Column:

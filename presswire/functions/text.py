@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values.
-CONTROL_EDGES = r"^[\x00-\x20]+|[\x00-\x20]+$"
+BLANKS = "".join(map(chr, range(0x21)))
 MARKUP = r"(?s)<!--.*?-->|<script.*?</script>|<style.*?</style>|<[^>]+>"
 ENTITIES = (
     ("&nbsp;", " "),
@@ -35,7 +35,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def jtrim(c: Column | str) -> Column:
     """Trim every character up to U+0020 (Spark's ``trim`` strips spaces only)."""
-    return F.regexp_replace(col(c), CONTROL_EDGES, "")
+    return F.btrim(col(c), F.lit(BLANKS))
 
 
 def jsplit(c: Column | str) -> Column:

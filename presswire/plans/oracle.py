@@ -11,10 +11,12 @@ from presswire.functions.arabic import (
     YA_FROM, YA_TO,
 )
 from presswire.functions.segment import SENTENCE_END, TOKEN
-from presswire.functions.text import CONTROL_EDGES, ENTITIES, MARKUP
+from presswire.functions.text import ENTITIES, MARKUP
 from presswire.plans.corpus import ARABIC, LATIN
 from presswire.plans.lexicons import GAZETTEER, LEMMAS, POLARITY, POS, RULES
 
+CONTROL_EDGES = r"^[\x00-\x20]+|[\x00-\x20]+$"
+
 
 def q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
