@@ -46,9 +46,8 @@ class InlineLexicon:
             table[language] = [{} for _ in range(self.buckets)]
             for word, value in known.items():
                 table[language][zlib.crc32(word.encode()) % self.buckets][word] = value
-        self._constant = F.from_json(
-            F.lit(json.dumps(table)), f"map<string,array<map<string,{kind}>>>"
-        )
+        self._table = json.dumps(table)
+        self._kind = f"map<string,array<map<string,{kind}>>>"
 
     @classmethod
     def from_frame(cls, frame: DataFrame) -> "InlineLexicon":
@@ -64,7 +63,7 @@ class InlineLexicon:
             return F.get(table, slot)[key]
 
         return let(
-            self._constant[language],
+            F.from_json(F.lit(self._table), self._kind)[language],
             lambda table: F.transform(tokens, lambda t: let(F.lower(t), lambda k: find(table, k))),
         )
 
