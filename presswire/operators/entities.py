@@ -7,26 +7,22 @@ from pyspark.sql import functions as F
 
 from presswire.functions.spans import OUTSIDE
 from presswire.operators.lookup import keyed_join
-from presswire.operators.rows import unnest
-from presswire.operators.sentences import explode_tokens
+from presswire.operators.rows import unnest, unnest_fields
 
 
 def merge_spans(tokens: DataFrame, keys: list[str]) -> DataFrame:
     """Runs of equal adjacent tags, from token rows ``(keys, idx, token, ner)``.
 
-    ``keys`` names one sentence; the window and the grouping share its
-    partitioning, so the rows move once. Same result as ``spans.merge_runs``.
+    ``keys`` names one sentence. Untagged tokens may be absent: they drop out
+    before the one shuffle, and a run is a stretch of consecutive ``idx`` of one
+    tag. Same result as ``spans.merge_runs``.
     """
-    order = Window.partitionBy(*keys).orderBy("idx")
-    previous = F.lag("ner").over(order)
-    opens = (F.col("ner") != OUTSIDE) & (previous.isNull() | (previous != F.col("ner")))
-    island = F.sum(F.col("_open")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    order = Window.partitionBy(*keys, "ner").orderBy("idx")
     word = F.replace(F.col("token"), F.lit(","), F.lit(""))
     return (
-        tokens.withColumn("_open", opens.cast("int"))
-        .withColumn("_island", island)
-        .filter(F.col("ner") != OUTSIDE)
-        .groupBy(*keys, "_island", "ner")
+        tokens.filter(F.col("ner") != OUTSIDE)
+        .withColumn("_island", F.col("idx") - F.row_number().over(order))
+        .groupBy(*keys, "ner", "_island")
         .agg(
             F.min("idx").alias("first"),
             F.max("idx").alias("last"),
@@ -50,38 +46,48 @@ def group_mentions(spans: DataFrame, keys: list[str]) -> DataFrame:
 def tag_by_gazetteer(
     sentences: DataFrame, gazetteer: DataFrame, keys: list[str], longest: int, **limits: int
 ) -> DataFrame:
-    """Tagged token rows against a gazetteer table ``(language, phrase, ner)`` of any size.
+    """Tagged tokens ``(keys, idx, token, ner)`` against a gazetteer table
+    ``(language, phrase, ner)`` of any size; tokens without a row are ``O``.
 
     ``sentences`` holds ``keys``, ``language`` and ``token``; ``longest`` is the
     most words a phrase has. Every word start offers its 1..longest-grams, so the
     rows looked up are linear in the text. The longest match covering a token
-    wins, then the leftmost. Only matched rows move to be resolved.
+    wins, then the leftmost. Only matches move to be resolved.
     """
-    words = F.transform("token", F.lower)
-    grams = (
-        sentences.select(*keys, "language", words.alias("_w"))
-        .select(*keys, "language", "_w", F.explode(F.sequence(F.lit(1), F.lit(longest))).alias("k"))
-        .filter(F.col("k") <= F.size("_w"))
+    grams = F.flatten(
+        F.transform(
+            F.sequence(F.lit(1), F.lit(longest)),
+            lambda k: F.transform(
+                F.slice(
+                    F.sequence(F.lit(1), F.greatest(F.size("token"), F.lit(1))),
+                    F.lit(1),
+                    F.greatest(F.size("token") - k + 1, F.lit(0)),
+                ),
+                lambda at: F.struct(
+                    at.alias("at"),
+                    k.alias("k"),
+                    F.array_join(F.slice("token", at, k), " ").alias("surface"),
+                ),
+            ),
+        )
     )
-    texts = F.transform(
-        F.sequence(F.lit(1), F.size("_w") - F.col("k") + 1),
-        lambda i: F.array_join(F.slice("_w", i, F.col("k")), " "),
+    offered = unnest_fields(sentences, [*keys, "language"], grams, "at").withColumn(
+        "phrase", F.lower("surface")
     )
-    grams = unnest(grams, [*keys, "language", "k"], texts, "phrase", "at")
     known = gazetteer.groupBy("language", F.lower("phrase").alias("phrase")).agg(F.min("ner").alias("ner"))
-    hits = keyed_join(
-        grams, known, ["language", "phrase"], "inner", [*keys, "at", "k"], **limits
-    )
+    hits = keyed_join(offered, known, ["language", "phrase"], "inner", [*keys, "at", "k"], **limits)
     covered = hits.select(
+        *keys, "at", "k", "ner", F.posexplode(F.split("surface", " ")).alias("back", "token")
+    ).select(
         *keys,
-        F.explode(F.sequence(F.col("at"), F.col("at") + F.col("k") - 1)).alias("idx"),
-        F.struct("k", (-F.col("at")).alias("left")).alias("rank"),
-        "ner",
+        (F.col("at") + F.col("back")).alias("idx"),
+        F.struct("k", "back", "ner").alias("rank"),
+        "token",
     )
-    best = covered.groupBy(*keys, "idx").agg(F.max_by("ner", "rank").alias("ner"))
-    tokens = explode_tokens(sentences, keys)
-    return tokens.join(best, [*keys, "idx"], "left").withColumn(
-        "ner", F.coalesce("ner", F.lit(OUTSIDE))
+    return (
+        covered.groupBy(*keys, "idx")
+        .agg(F.max("rank").alias("rank"), F.first("token").alias("token"))
+        .select(*keys, "idx", "token", F.col("rank.ner").alias("ner"))
     )
 
 

@@ -374,7 +374,7 @@ def entity_tags_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("role").alias("ner"),
     ).filter(F.col("phrase") != "")
     tagged = E.tag_by_gazetteer(_tokenized(spark, sf_dir), phrases, SENTENCE, 2)
-    return tagged.filter(F.col("ner") != "O").groupBy("doc_id", "ner").agg(F.count(F.lit(1)).alias("n"))
+    return tagged.groupBy("doc_id", "ner").agg(F.count(F.lit(1)).alias("n"))
 
 
 def regex_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -391,7 +391,9 @@ def sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def truecase(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = N.explode_tokens(_tokenized(spark, sf_dir), SENTENCE)
-    cased = E.truecase(rows, E.casing_model(rows), [*SENTENCE, "idx"])
+    model = scratch_path(spark, "casing")
+    K.append(E.casing_model(rows), model)
+    cased = E.truecase(rows, spark.read.parquet(model), [*SENTENCE, "idx"])
     return cased.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_tokens"), F.count_if(F.col("token") != F.col("truecase")).alias("n_changed")
     )
@@ -577,8 +579,13 @@ def _drain(writer, checkpoint: str) -> None:  # noqa: ANN001
 
 def stream_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "stream-docs")
-    docs = T.annotate_stream(_message_stream(spark, sf_dir), L.resources())
-    _drain(T.per_batch(docs, K.batch_appender(path)), path + "-checkpoint")
+    res = L.resources()
+    splits = 2 * spark.sparkContext.defaultParallelism
+
+    def annotate(batch: DataFrame) -> DataFrame:
+        return T.annotate_stream(R.at_least(batch, splits), res)
+
+    _drain(T.per_batch(_message_stream(spark, sf_dir), K.batch_appender(path, annotate)), path + "-checkpoint")
     return _sizes(spark.read.parquet(path), "mongo_id")
 
 

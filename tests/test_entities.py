@@ -99,7 +99,9 @@ def test_gazetteer_forms_match_brute_force(spark):
         for n, _, words in rows:
             want = brute_tags(words, phrases, 3)
             assert inline[n] == want
-            assert [by_row[(n, i + 1)] for i in range(len(words))] == want
+            assert [by_row.get((n, i + 1), "O") for i in range(len(words))] == want
+        tokens = {(r["sentence_id"], r["idx"]): r["token"] for r in joined.collect()}
+        assert all(token == rows[n][2][idx - 1] for (n, idx), token in tokens.items())
 
 
 def test_aliases_match_brute_force(spark):
