@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import math
 import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _POOL: dict[str, Any] = {}
@@ -92,11 +90,12 @@ def annotate_with(
     return df.mapInPandas(run, schema)
 
 
-def spread_by_bytes(df: DataFrame, text: str, target_bytes: int = 64 << 20) -> DataFrame:
-    """Even out partitions ahead of a costly annotator, sized by text volume.
+def spread(df: DataFrame, factor: int = 2) -> DataFrame:
+    """Even out partitions ahead of a costly annotator.
 
-    Row counts say little here: documents run from a few to over 100,000
-    characters. Rows are dealt in turn, so copies of one text spread too.
+    Documents run from a few to over 100,000 characters, so row counts say
+    little. A file scan splits by bytes; ``factor`` times its splits are dealt
+    row by row, so long documents, and copies of one text, do not share a task.
     """
-    total = df.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
-    return df.repartition(max(1, math.ceil(total / target_bytes)))
+    least = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(least, factor * df.rdd.getNumPartitions()))

@@ -12,8 +12,9 @@ MAX_PARSE_TOKENS = 140  # fixed value: longest sentence the parser column accept
 
 
 def with_record_id(df: DataFrame) -> DataFrame:
-    """Adds ``rec_id``, unique per row. Use it straight on a file scan, where row
-    order is fixed, when ``doc_id`` may repeat in one input."""
+    """Adds ``rec_id``, unique per record: the identity to group rows of one document
+    by, since copies may repeat a ``doc_id``. Use it straight on a file scan, whose
+    row order is fixed, so that a task run again gives the same numbers."""
     return df.withColumn("rec_id", F.monotonically_increasing_id())
 
 

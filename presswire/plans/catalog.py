@@ -31,6 +31,9 @@ from presswire.streaming import run as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 SENTENCE = ["doc_id", "sentence_id"]
+# Rows of one record are grouped by its own number: copies may share a doc_id.
+ONE_DOC = ["rec_id", "doc_id"]
+ONE_SENTENCE = ["rec_id", *SENTENCE]
 
 
 def _language() -> Column:
@@ -38,8 +41,8 @@ def _language() -> Column:
 
 
 def _records(spark: SparkSession, sf_dir: str, escape: bool = False) -> DataFrame:
-    docs = R.at_least(C.table(spark, sf_dir, "documents"), 2 * spark.sparkContext.defaultParallelism)
-    return C.wrap(docs, escape=escape)
+    docs = N.with_record_id(C.table(spark, sf_dir, "documents"))
+    return C.wrap(R.at_least(docs, 2 * spark.sparkContext.defaultParallelism), escape=escape)
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +54,7 @@ def _stories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = N.explode_sentences(_stories(spark, sf_dir), ["doc_id", "language"])
+    rows = N.explode_sentences(_stories(spark, sf_dir), [*ONE_DOC, "language"])
     return rows.withColumn("sentence_id", F.col("sentence_id").cast("long"))
 
 
@@ -70,9 +73,9 @@ def _found(entries: tuple) -> Column:
 
 
 def _spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = unnest_fields(_tagged(spark, sf_dir), SENTENCE, S.merge_runs(F.col("token"), F.col("ner")), "tag")
+    rows = unnest_fields(_tagged(spark, sf_dir), ONE_SENTENCE, S.merge_runs(F.col("token"), F.col("ner")), "tag")
     return rows.select(
-        *SENTENCE,
+        *ONE_SENTENCE,
         F.col("tag").alias("ner"),
         F.col("first").cast("long").alias("first"),
         F.col("last").cast("long").alias("last"),
@@ -311,7 +314,7 @@ def threshold_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sentences(spark, sf_dir)
+    return _sentences(spark, sf_dir).drop("rec_id")
 
 
 def first_sentence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -373,7 +376,7 @@ def entity_tags_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower(F.array_join(start, " ")).alias("phrase"),
         F.col("role").alias("ner"),
     ).filter(F.col("phrase") != "")
-    tagged = E.tag_by_gazetteer(_tokenized(spark, sf_dir), phrases, SENTENCE, 2)
+    tagged = E.tag_by_gazetteer(_tokenized(spark, sf_dir), phrases, ONE_SENTENCE, 2)
     return tagged.groupBy("doc_id", "ner").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -390,10 +393,10 @@ def sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def truecase(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = N.explode_tokens(_tokenized(spark, sf_dir), SENTENCE)
+    rows = N.explode_tokens(_tokenized(spark, sf_dir), ONE_SENTENCE)
     model = scratch_path(spark, "casing")
     K.append(E.casing_model(rows), model)
-    cased = E.truecase(rows, spark.read.parquet(model), [*SENTENCE, "idx"])
+    cased = E.truecase(rows, spark.read.parquet(model), [*ONE_SENTENCE, "idx"])
     return cased.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_tokens"), F.count_if(F.col("token") != F.col("truecase")).alias("n_changed")
     )
@@ -417,19 +420,19 @@ def entity_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entity_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _spans(spark, sf_dir)
+    return _spans(spark, sf_dir).drop("rec_id")
 
 
 def entity_spans_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = N.explode_tokens(_tagged(spark, sf_dir), SENTENCE, ("token", "ner"))
-    spans = E.merge_spans(rows, SENTENCE)
+    rows = N.explode_tokens(_tagged(spark, sf_dir), ONE_SENTENCE, ("token", "ner"))
+    spans = E.merge_spans(rows, ONE_SENTENCE)
     return spans.select(
         *SENTENCE, "ner", F.col("first").cast("long").alias("first"), F.col("last").cast("long").alias("last"), "mention"
     )
 
 
 def mention_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.group_mentions(_spans(spark, sf_dir), SENTENCE)
+    return E.group_mentions(_spans(spark, sf_dir), ONE_SENTENCE).drop("rec_id")
 
 
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -441,7 +444,7 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     mentions = _spans(spark, sf_dir).withColumnRenamed("sentence_id", "position")
-    return E.link_aliases(mentions, ["doc_id"])
+    return E.link_aliases(mentions, ONE_DOC).drop("rec_id")
 
 
 def relations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -467,13 +470,13 @@ def documents_assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents_regrouped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested documents rebuilt from sentence rows."""
-    return _sizes(D.assemble(_tokenized(spark, sf_dir), ["doc_id"], ["sentence", "token"]))
+    return _sizes(D.assemble(_tokenized(spark, sf_dir), ONE_DOC, ["sentence", "token"]))
 
 
 def documents_coref(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = D.to_documents(_annotated(spark, sf_dir)).filter(F.col("language") == "ENG")
-    linked = E.link_aliases(D.mention_rows(docs, ["doc_id"]), ["doc_id"])
-    filled = D.attach_corref(docs.select("doc_id", "corref"), linked, ["doc_id"])
+    docs = D.to_documents(_annotated(spark, sf_dir), keep=("rec_id",)).filter(F.col("language") == "ENG")
+    linked = E.link_aliases(D.mention_rows(docs, ONE_DOC), ONE_DOC)
+    filled = D.attach_corref(docs.select(*ONE_DOC, "corref"), linked, ONE_DOC)
     return filled.filter(F.col("corref").isNotNull()).select("doc_id", "corref")
 
 
@@ -548,7 +551,7 @@ def store_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = C.table(spark, sf_dir, "labels").filter(F.col("quality") == 1).select(
         F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("doc_id")
     )
-    return K.lookup_many(spark, path, wanted).select("doc_id", "version")
+    return K.lookup_many(spark, path, wanted, columns=["version"]).select("doc_id", "version")
 
 
 def skip_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -670,7 +673,7 @@ def bulk_annotate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.concat_ws("|", F.col("doc_id").cast("string"), "text").alias("text")
     )
     done = U.annotate_with(
-        U.spread_by_bytes(docs, "text"),
+        U.spread(docs),
         U.SharedInstance(_token_pattern),
         {"n_tokens": (count_tokens, "long"), "n_chars": (count_chars, "long")},
         "text",

@@ -52,8 +52,9 @@ def date_of(source: Column) -> Column:
 
 
 def wrap(docs: DataFrame, text: str = "text", escape: bool = False) -> DataFrame:
-    """``key``, ``lang`` and the record in ``value``."""
+    """``key``, ``lang`` and the record in ``value``; ``rec_id`` stays."""
     return docs.select(
+        *[c for c in docs.columns if c == "rec_id"],
         F.col("doc_id").alias("key"),
         "lang",
         doc_record(

@@ -86,10 +86,21 @@ def versions(spark: SparkSession, path: str) -> DataFrame:
     return snapshot.unionByName(log.filter(F.col("batch_id") > upto))
 
 
-def latest(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
-    """Newest version per key. Each task keeps one version per key before the
-    shuffle, so a key updated very often does not pile up."""
-    return _newest(versions(spark, path), key)
+def _only(rows: DataFrame, columns: list[str] | None, key: str) -> DataFrame:
+    if columns is None:
+        return rows
+    return rows.select(*dict.fromkeys([key, *columns, "batch_id", "seq"]))
+
+
+def latest(
+    spark: SparkSession, path: str, key: str = "doc_id", columns: list[str] | None = None
+) -> DataFrame:
+    """Newest version per key, all columns or the named ones.
+
+    Each task keeps one version per key before the shuffle, so a key updated
+    very often does not pile up. Columns not asked for are not read.
+    """
+    return _newest(_only(versions(spark, path), columns, key), key)
 
 
 def compact(spark: SparkSession, path: str, key: str = "doc_id") -> int:
@@ -110,10 +121,17 @@ def lookup(spark: SparkSession, path: str, value: str, key: str = "doc_id") -> D
     return _newest(versions(spark, path).filter(F.col(key) == value), key)
 
 
-def lookup_many(spark: SparkSession, path: str, keys: DataFrame, key: str = "doc_id", **limits: int) -> DataFrame:
+def lookup_many(
+    spark: SparkSession,
+    path: str,
+    keys: DataFrame,
+    key: str = "doc_id",
+    columns: list[str] | None = None,
+    **limits: int,
+) -> DataFrame:
     """Newest versions of many keys; other keys drop out before the grouping."""
     wanted = keys.select(key).distinct()
-    found = keyed_join(versions(spark, path), wanted, [key], "semi", [key, "batch_id", "seq"], **limits)
+    found = keyed_join(_only(versions(spark, path), columns, key), wanted, [key], "semi", [key, "batch_id", "seq"], **limits)
     return _newest(found, key)
 
 

@@ -210,3 +210,12 @@ def test_regrouping_restores_order(spark):
     df = spark.createDataFrame(rows, "doc_id string, sentence_id int, sentence string").repartition(7)
     got = D.assemble(df, ["doc_id"], ["sentence"]).first()["sentences"]
     assert [s["sentence"] for s in got] == [f"s{i}" for i in range(1, 40)]
+
+
+def test_copies_sharing_a_doc_id_stay_apart(spark):
+    from presswire.operators import sentences as N
+
+    records = N.with_record_id(lines_from(spark, [RECORD] * 5))
+    rows = N.with_tokens(N.explode_sentences(accepted(parse_docs(records)), ["rec_id", "doc_id", "language"]))
+    docs = D.assemble(rows, ["rec_id", "doc_id"], ["sentence", "token"]).collect()
+    assert len(docs) == 5 and {len(d["sentences"]) for d in docs} == {3}

@@ -16,7 +16,7 @@ def plan(df):
 
 
 def records(spark):
-    return corpus.wrap(corpus.table(spark, SF, "documents"))
+    return corpus.wrap(C.N.with_record_id(corpus.table(spark, SF, "documents")))
 
 
 def test_parse_and_annotate_never_shuffle(spark):
@@ -45,10 +45,10 @@ def test_word_count_combines_before_its_only_shuffle(spark):
 
 
 def test_window_form_moves_rows_once(spark):
-    tokens = C.N.explode_tokens(C.N.with_tokens(C.N.explode_sentences(P.accepted(P.parse_docs(records(spark), C._language())), ["doc_id", "language"])), C.SENTENCE)
+    tokens = C.N.explode_tokens(C.N.with_tokens(C.N.explode_sentences(P.accepted(P.parse_docs(records(spark), C._language())), ["rec_id", "doc_id", "language"])), C.ONE_SENTENCE)
     from pyspark.sql import functions as F
 
-    spans = C.E.merge_spans(tokens.withColumn("ner", F.lit("P")), C.SENTENCE)
+    spans = C.E.merge_spans(tokens.withColumn("ner", F.lit("P")), C.ONE_SENTENCE)
     assert plan(spans).count("Exchange hashpartitioning") == 1
 
 

@@ -64,9 +64,9 @@ def test_pool(spark):
     assert U.pool_size() == 0
 
 
-def test_spread_by_bytes(spark):
-    df = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("text"))
-    out = U.spread_by_bytes(df, "text", target_bytes=25_000)
-    assert out.rdd.getNumPartitions() == 4
-    sizes = out.groupBy(F.spark_partition_id()).count().collect()
-    assert max(r["count"] for r in sizes) <= 30
+def test_spread_deals_rows_evenly(spark):
+    df = spark.range(320).coalesce(1).select(F.lit("same").alias("text"))
+    out = U.spread(df)
+    assert out.rdd.getNumPartitions() == 8
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) <= 60

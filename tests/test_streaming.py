@@ -1,12 +1,14 @@
 import json
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from presswire.operators import wordcount as W
 from presswire.operators.assemble import Resources
 from presswire.plans import jobs
 from presswire.sinks import store as K
-from presswire.sources.streams import union_topics, watch_files
+from presswire.sources.streams import read_topics, union_topics, watch_files
 from presswire.streaming import run as T
 
 DOC = '<DOC id="%s" type="story"><TEXT><P>%s</P></TEXT></DOC>'
@@ -77,5 +79,11 @@ def test_topics_and_upserts(spark, tmp_path):
     assert K.versions(spark, path).count() == 4
 
 
+def test_topic_reader_needs_the_connector(spark):
+    # The Kafka connector is not installed here; the reader's own options resolve before it.
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        read_topics(spark, ["a", "b"], "host:1", min_partitions=20)
+
+
 def test_intervals_are_the_documented_ones():
     assert (T.ANNOTATE_INTERVAL, T.WORD_COUNT_INTERVAL) == ("300 seconds", "30 seconds")
