@@ -37,7 +37,11 @@ ONE_SENTENCE = ["rec_id", *SENTENCE]
 
 
 def _language() -> Column:
-    return C.language_of(F.col("lang"))
+    return C.job_language(F.col("lang"))
+
+
+def _own_language() -> Column:
+    return C.own_language(F.col("lang"))
 
 
 def _records(spark: SparkSession, sf_dir: str, escape: bool = False) -> DataFrame:
@@ -46,11 +50,11 @@ def _records(spark: SparkSession, sf_dir: str, escape: bool = False) -> DataFram
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.parse_docs(_records(spark, sf_dir), _language())
+    return P.parse_docs(_records(spark, sf_dir), _own_language())
 
 
 def _stories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.accepted(_parsed(spark, sf_dir))
+    return P.accepted(P.parse_docs(_records(spark, sf_dir), _language()))
 
 
 def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,7 +171,7 @@ def docs_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = F.replace(F.col("text"), F.lit("\n"), F.lit(" "))
     parts = [
         C.doc_record(
-            F.concat(F.lit(p), F.col("doc_id").cast("string")), C.type_of(F.col("doc_id")),
+            F.concat(F.lit(p), F.col("doc_id").cast("string")), C.type_of(F.col("source")),
             C.head_of(F.col("text")), C.date_of(F.col("source")), text,
         )
         for p, text in (("A", F.col("text")), ("B", flat))
@@ -183,8 +187,8 @@ def docs_tag_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files cut on tags, with text between the records; language travels in the dateline."""
     docs = C.table(spark, sf_dir, "documents")
     rec = C.doc_record(
-        F.concat(F.lit("D"), F.col("doc_id").cast("string")), C.type_of(F.col("doc_id")),
-        C.head_of(F.col("text")), F.coalesce(_language(), F.lit("none")), F.col("text"),
+        F.concat(F.lit("D"), F.col("doc_id").cast("string")), C.type_of(F.col("source")),
+        C.head_of(F.col("text")), _language(), F.col("text"),
     )
     path = _written(docs.select(F.concat(F.lit("noise\n"), rec, F.lit("\nmore noise")).alias("value")), "tagged")
     raw = R.read_tagged(spark, path, "<DOC ", "</DOC>")
@@ -195,8 +199,8 @@ def docs_tag_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def docs_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents").select(
         F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("doc_id"),
-        C.type_of(F.col("doc_id")).alias("type"),
-        F.coalesce(_language(), F.upper("lang")).alias("language"),
+        C.type_of(F.col("source")).alias("type"),
+        F.coalesce(_own_language(), F.upper("lang")).alias("language"),
         "text",
     )
     path = _written(D.to_json_rows(docs), "json")
@@ -221,7 +225,7 @@ def user_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def memory_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = W.words(R.lines_from(spark, ["story STORY multi", "other multi"]))
-    kinds = C.table(spark, sf_dir, "documents").select(C.type_of(F.col("doc_id")).alias("word"))
+    kinds = C.table(spark, sf_dir, "documents").select(C.type_of(F.col("source")).alias("word"))
     return (
         kinds.groupBy("word").count().join(F.broadcast(wanted), "word")
         .groupBy("word").agg(F.sum("count").alias("n"))
@@ -250,7 +254,7 @@ def doc_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.parse_docs(C.damage(_records(spark, sf_dir)), _language())
+    return P.parse_docs(C.damage(_records(spark, sf_dir)), _own_language())
 
 
 def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -525,29 +529,30 @@ def sentence_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _versions(spark: SparkSession, sf_dir: str, name: str, seq: int) -> DataFrame:
     return _stories(spark, sf_dir).select(
-        "key", "doc_id", "body", F.lit(name).alias("version"), F.lit(seq).cast("long").alias("seq")
+        "doc_id", "type", "language", "body", F.lit(name).alias("version"), F.lit(seq).cast("long").alias("seq")
     )
 
 
 def store_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three batches, one of them replayed, with a compaction in between."""
+    """Everything, then the capital-letter stories twice in one replayed batch, a
+    compaction, then the Spanish ones."""
     path = scratch_path(spark, "store")
     K.upsert_batch(_versions(spark, sf_dir, "first", 1), path, 0)
-    thirds = F.col("key") % 3 == 0
-    twice = _versions(spark, sf_dir, "second", 1).filter(thirds).unionByName(
-        _versions(spark, sf_dir, "second, late", 2).filter(thirds)
+    changed = F.col("type") == "STORY"
+    twice = _versions(spark, sf_dir, "second", 1).filter(changed).unionByName(
+        _versions(spark, sf_dir, "second, late", 2).filter(changed)
     )
     K.upsert_batch(twice, path, 1)
     K.upsert_batch(twice, path, 1)
     K.compact(spark, path)
-    K.upsert_batch(_versions(spark, sf_dir, "third", 1).filter(F.col("key") % 5 == 0), path, 2)
+    K.upsert_batch(_versions(spark, sf_dir, "third", 1).filter(F.col("language") == "ESP"), path, 2)
     return K.latest(spark, path).select("doc_id", "version", _md5("body").alias("body_md5"))
 
 
 def store_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "store")
     K.upsert_batch(_versions(spark, sf_dir, "first", 1), path, 0)
-    K.upsert_batch(_versions(spark, sf_dir, "second", 1).filter(F.col("key") % 3 == 0), path, 1)
+    K.upsert_batch(_versions(spark, sf_dir, "second", 1).filter(F.col("language") == "ESP"), path, 1)
     wanted = C.table(spark, sf_dir, "labels").filter(F.col("quality") == 1).select(
         F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("doc_id")
     )
@@ -570,8 +575,7 @@ def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = C.wrap(_stream(spark, sf_dir, "documents")).filter(F.col("lang") == "en")
-    return records.select(
+    return C.wrap(_stream(spark, sf_dir, "documents")).select(
         F.concat(F.lit("M"), F.col("key").cast("string"), F.lit("#"), F.col("value")).alias("value")
     )
 

@@ -16,13 +16,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def language_of(lang: Column) -> Column:
+def job_language(lang: Column) -> Column:
+    """Language a job runs a document under: Spanish texts as ESP, all others as ENG."""
+    return F.when(lang == "es", F.lit("ESP")).otherwise(F.lit("ENG"))
+
+
+def own_language(lang: Column) -> Column:
+    """The text's own language; French and German have no route."""
     return F.when(lang == "en", F.lit("ENG")).when(lang == "es", F.lit("ESP"))
 
 
-def type_of(doc_id: Column) -> Column:
-    kinds = F.array(F.lit("story"), F.lit("STORY"), F.lit("multi"), F.lit("other"))
-    return F.get(kinds, F.pmod(doc_id, F.lit(4)).cast("int"))
+def type_of(source: Column) -> Column:
+    """Three sources deliver something else than plain stories."""
+    return (
+        F.when(source == "src1", F.lit("STORY"))
+        .when(source == "src3", F.lit("multi"))
+        .when(source == "src7", F.lit("other"))
+        .otherwise(F.lit("story"))
+    )
 
 
 def doc_record(
@@ -59,7 +70,7 @@ def wrap(docs: DataFrame, text: str = "text", escape: bool = False) -> DataFrame
         "lang",
         doc_record(
             F.concat(F.lit("D"), F.col("doc_id").cast("string")),
-            type_of(F.col("doc_id")),
+            type_of(F.col("source")),
             head_of(F.col(text)),
             date_of(F.col("source")),
             F.col(text),

@@ -37,14 +37,15 @@ def finish(x: str) -> str:
 
 
 LINES = "string_split(text, chr(10))"
-LANG = "CASE lang WHEN 'en' THEN 'ENG' WHEN 'es' THEN 'ESP' END"
-KIND = "CASE doc_id % 4 WHEN 0 THEN 'story' WHEN 1 THEN 'STORY' WHEN 2 THEN 'multi' ELSE 'other' END"
+LANG = "CASE lang WHEN 'es' THEN 'ESP' ELSE 'ENG' END"
+OWN_LANG = "CASE lang WHEN 'en' THEN 'ENG' WHEN 'es' THEN 'ESP' END"
+KIND = "CASE source WHEN 'src1' THEN 'STORY' WHEN 'src3' THEN 'multi' WHEN 'src7' THEN 'other' ELSE 'story' END"
 HEAD = jt("replace(substr(text, 1, 40), chr(10), ' ')")
 DATE = "upper(source) || ' 2024-01-01'"
 # The blank between the last paragraph and </TEXT> is a last, empty piece.
 BODY = f"array_to_string(list_transform({LINES}, lambda p: {finish('p')}), ' ') || ' '"
 BODY_XML = f"array_to_string(list_transform({LINES}, lambda p: {finish('p')}), ' ')"
-STORY = f"doc_id % 4 IN (0, 1) AND ({LANG}) IS NOT NULL"
+STORY = "source NOT IN ('src3', 'src7')"
 
 SENTENCES_OF = (
     "list_filter(list_transform(string_split(regexp_replace({x}, "
@@ -173,7 +174,7 @@ _AR_PIECE = (
 AR_STORIES = f"""stories AS (
   SELECT 'D' || doc_id AS doc_id, 'ARA' AS language,
          array_to_string(list_transform({_AR_LINES}, lambda p: {_AR_PIECE}), '') || '  ' AS body
-  FROM documents WHERE doc_id % 4 IN (0, 1))"""
+  FROM documents WHERE {STORY})"""
 AR_SENTS = f"""sents AS (
   SELECT doc_id, language, unnest(s) AS sentence, generate_subscripts(s, 1)::BIGINT AS sentence_id FROM (
     SELECT doc_id, language, list_filter(list_transform(string_split(body, '.'), lambda s: {jt('s')}), lambda s: s <> '') AS s
@@ -222,8 +223,8 @@ BROKEN = f"""CASE
   WHEN doc_id % 25 = 11 THEN 'bad_dateline'
   WHEN doc_id % 25 = 7 THEN 'bad_headline'
   WHEN doc_id % 25 = 13 THEN 'no_id'
-  WHEN doc_id % 4 > 1 THEN 'not_story'
-  WHEN ({LANG}) IS NULL THEN 'bad_lang' END"""
+  WHEN NOT ({STORY}) THEN 'not_story'
+  WHEN ({OWN_LANG}) IS NULL THEN 'bad_lang' END"""
 
 WORDS_OF = (
     "(CASE WHEN {x} <> '' AND rtrim({x}, ' ') = '' THEN [] ELSE string_split(rtrim({x}, ' '), ' ') END)"
@@ -257,25 +258,25 @@ def build() -> dict[str, str]:
     sql["docs_tag_files"] = f"""
       SELECT 'D' || doc_id AS doc_id, md5({BODY}) AS body_md5 FROM documents WHERE {STORY}"""
     sql["docs_json"] = f"""
-      SELECT 'D' || doc_id AS doc_id, {KIND} AS type, coalesce({LANG}, upper(lang)) AS language,
+      SELECT 'D' || doc_id AS doc_id, {KIND} AS type, coalesce({OWN_LANG}, upper(lang)) AS language,
              len({sentences_of('text')})::BIGINT AS n_sentences,
-             CASE WHEN ({LANG}) IS NULL THEN 'bad_lang' END AS reason FROM documents"""
+             CASE WHEN ({OWN_LANG}) IS NULL THEN 'bad_lang' END AS reason FROM documents"""
     sql["user_records"] = """
       SELECT c_custkey::VARCHAR AS account, c_name AS name,
              CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_nationkey::BIGINT END AS number FROM customer"""
-    sql["memory_lines"] = """
+    sql["memory_lines"] = f"""
       SELECT word, count(*) AS n FROM (SELECT unnest(string_split('story STORY multi other multi', ' ')) AS word) k
-      JOIN documents d ON k.word = CASE d.doc_id % 4 WHEN 0 THEN 'story' WHEN 1 THEN 'STORY' WHEN 2 THEN 'multi' ELSE 'other' END
+      JOIN (SELECT {KIND} AS kind FROM documents) d ON k.word = d.kind
       GROUP BY word"""
 
     # Parsing.
     sql["doc_header"] = f"""
-      SELECT 'D' || doc_id AS doc_id, {KIND} AS type, {HEAD} AS head_line, {DATE} AS date_line, {LANG} AS language FROM documents"""
+      SELECT 'D' || doc_id AS doc_id, {KIND} AS type, {HEAD} AS head_line, {DATE} AS date_line, {OWN_LANG} AS language FROM documents"""
     sql["doc_body"] = f"""
       SELECT 'D' || doc_id AS doc_id, len(list_filter({LINES}, lambda p: {jt('p')} <> ''))::BIGINT AS n_paragraphs,
              {BODY} AS body FROM documents WHERE {STORY}"""
     sql["doc_routing"] = f"""
-      SELECT coalesce({LANG}, 'none') AS language, CASE WHEN doc_id % 4 > 1 THEN 'not_story' WHEN ({LANG}) IS NULL THEN 'bad_lang' ELSE 'ok' END AS outcome,
+      SELECT coalesce({OWN_LANG}, 'none') AS language, CASE WHEN NOT ({STORY}) THEN 'not_story' WHEN ({OWN_LANG}) IS NULL THEN 'bad_lang' ELSE 'ok' END AS outcome,
              count(*) AS n FROM documents GROUP BY ALL"""
     sql["dead_letters"] = f"""
       SELECT doc_id AS key, reason FROM (SELECT doc_id, {BROKEN} AS reason FROM documents)
@@ -385,8 +386,9 @@ def build() -> dict[str, str]:
       SELECT doc_id, string_agg(ner || ': ' || mention || ' -> ' || canonical, '; ' ORDER BY ner || ': ' || mention || ' -> ' || canonical) AS corref
       FROM linked WHERE mention <> canonical AND doc_id IN (SELECT doc_id FROM stories WHERE language = 'ENG') GROUP BY doc_id"""
     ar_profile = AR_SENTS.replace("sents AS", "ar_sents AS").replace("FROM stories", "FROM ar_stories")
-    ar_stories = AR_STORIES.replace("stories AS", "ar_stories AS").replace("doc_id % 4 IN (0, 1)", "doc_id % 4 IN (0, 1) AND lang = 'de'")
-    sql["profile_columns"] = f"""WITH {STORIES}, {SENTS}, {ar_stories}, {ar_profile},
+    ar_stories = AR_STORIES.replace("stories AS", "ar_stories AS").replace(STORY, f"{STORY} AND lang = 'de'")
+    own_stories = STORIES.replace(STORY, f"{STORY} AND lang <> 'de'")
+    sql["profile_columns"] = f"""WITH {own_stories}, {SENTS}, {ar_stories}, {ar_profile},
       every AS (SELECT language, len({tokens_of('sentence')}) AS n FROM sents
                 UNION ALL SELECT language, len({arabic_tokens('sentence')}) FROM ar_sents)
       SELECT language, count(*) AS n_sentences,
@@ -406,11 +408,11 @@ def build() -> dict[str, str]:
       SELECT sentence, parse, count(*) AS n FROM (
         SELECT s.sentence, coalesce(b.parse_sentence, '') AS parse FROM sents s LEFT JOIN bracketed b USING (doc_id, sentence_id))
       GROUP BY ALL"""
-    version = """CASE WHEN doc_id % 5 = 0 THEN 'third' WHEN doc_id % 3 = 0 THEN 'second, late' ELSE 'first' END"""
+    version = "CASE WHEN lang = 'es' THEN 'third' WHEN source = 'src1' THEN 'second, late' ELSE 'first' END"
     sql["store_upsert"] = f"""
       SELECT 'D' || doc_id AS doc_id, {version} AS version, md5({BODY}) AS body_md5 FROM documents WHERE {STORY}"""
     sql["store_lookup"] = f"""
-      SELECT 'D' || d.doc_id AS doc_id, CASE WHEN d.doc_id % 3 = 0 THEN 'second' ELSE 'first' END AS version
+      SELECT 'D' || d.doc_id AS doc_id, CASE WHEN d.lang = 'es' THEN 'second' ELSE 'first' END AS version
       FROM documents d WHERE {STORY} AND d.doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)"""
     sql["skip_existing"] = f"""
       SELECT 'D' || doc_id AS doc_id, {LANG} AS language FROM documents WHERE {STORY}
@@ -419,10 +421,10 @@ def build() -> dict[str, str]:
     # Streams.
     sql["stream_docs"] = f"""WITH {TO_TOKENS}
       SELECT doc_id, 'M' || substr(doc_id, 2) AS mongo_id, max(sentence_id) AS n_sentences, count(*) AS n_tokens
-      FROM toks WHERE language = 'ENG' GROUP BY doc_id"""
+      FROM toks GROUP BY doc_id"""
     sql["stream_json_sink"] = f"""WITH {TO_TOKENS}
       SELECT doc_id, 'M' || substr(doc_id, 2) AS mongo_id, sentence_id, string_agg(token, ',' ORDER BY idx) AS token
-      FROM toks WHERE language = 'ENG' GROUP BY doc_id, sentence_id"""
+      FROM toks GROUP BY doc_id, sentence_id"""
     sql["stream_word_count"] = f"""
       SELECT word, count(*) AS count FROM (SELECT unnest({words_of('text')}) AS word FROM documents) GROUP BY word"""
     sql["stream_window_count"] = """
