@@ -123,12 +123,18 @@ def count_relations(pairs: DataFrame) -> DataFrame:
 
 
 def casing_model(tokens: DataFrame, token: str = "token") -> DataFrame:
-    """Most frequent casing per lower-case word; ties go to the greatest string."""
+    """Most frequent casing per lower-case word; ties go to the greatest string.
+
+    ``casings`` tells how many a word has. On the corpus the model was made from,
+    words with one casing need no entry.
+    """
     counts = tokens.groupBy(F.lower(token).alias("word"), F.col(token).alias("cased")).agg(
         F.count(F.lit(1)).alias("n")
     )
     return counts.groupBy("word").agg(
-        F.max_by("cased", F.struct("n", "cased")).alias("cased"), F.max("n").alias("n")
+        F.max_by("cased", F.struct("n", "cased")).alias("cased"),
+        F.max("n").alias("n"),
+        F.count(F.lit(1)).alias("casings"),
     )
 
 

@@ -400,14 +400,15 @@ def truecase(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = N.explode_tokens(_tokenized(spark, sf_dir), ONE_SENTENCE)
     model = scratch_path(spark, "casing")
     K.append(E.casing_model(rows), model)
-    cased = E.truecase(rows, spark.read.parquet(model), [*ONE_SENTENCE, "idx"])
+    varied = spark.read.parquet(model).filter(F.col("casings") > 1)
+    cased = E.truecase(rows, varied, [*ONE_SENTENCE, "idx"])
     return cased.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_tokens"), F.count_if(F.col("token") != F.col("truecase")).alias("n_changed")
     )
 
 
 def casing_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.casing_model(N.explode_tokens(_tokenized(spark, sf_dir), SENTENCE))
+    return E.casing_model(N.explode_tokens(_tokenized(spark, sf_dir), SENTENCE)).drop("casings")
 
 
 def clean_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
