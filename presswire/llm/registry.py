@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presswire.llm import decontaminate, mixing
+from presswire.llm import decontaminate, langcrf, mixing, tokenfiles
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_mixing": mixing.op2_mixing,
         "op3_decontaminate": decontaminate.op3_decontaminate,
+        "op5_language": langcrf.op5_language,
+        "op7_tokenfiles": tokenfiles.op7_tokenfiles,
     }
 
 
