@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +35,23 @@ def partitions_for(spark: SparkSession, n_bytes: float, each: int) -> int:
     return max(spark.sparkContext.defaultParallelism, int(n_bytes // each) + 1)
 
 
+def text_slices(batches: Iterator[pa.RecordBatch], each: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """The rows in turns of about ``each`` bytes of text, so that long texts do not pile up."""
+    for batch in batches:
+        if not len(batch):
+            continue
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        turn = np.cumsum(sizes, dtype=np.int64) // each
+        edges = [0, *(np.flatnonzero(np.diff(turn)) + 1).tolist(), len(batch)]
+        for a, b in zip(edges, edges[1:], strict=False):
+            yield batch.slice(a, b - a)
+
+
+def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
+    """The texts of a batch; null is empty."""
+    return ["" if t is None else t for t in batch.column(column).to_pylist()]
+
+
 def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Edges of one partition to a star per component: at most one edge a vertex."""
     parent: dict[int, int] = {}

@@ -20,8 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from presswire.llm.common import fold, table
+from presswire.llm.common import fold, table, text_slices, texts_of
 
 SAMPLE = 400  # labelled documents a language at most
 LONGEST = 32 << 10  # bytes of a sampled document at most
@@ -312,31 +313,17 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     raw = docs.sparkSession.sparkContext.broadcast(model)  # slots times languages, whatever the corpus
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("text")
-            sizes = np.diff(texts.buffers()[1] and np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]) if len(texts) else np.empty(0, int)
-            turn = np.cumsum(sizes, dtype=np.int64) // GROUP
-            edges = [0, *(np.flatnonzero(np.diff(turn)) + 1).tolist(), len(batch)]
-            for a, b in zip(edges, edges[1:], strict=False):
-                if b == a:
-                    continue
-                part = batch.slice(a, b - a)
-                held = ["" if t is None else t for t in part.column("text").to_pylist()]
-                if model_.labels:
-                    names, score, other = label_texts(model_, held)
-                else:
-                    names, score, other = ["und"] * len(held), np.zeros(len(held)), np.zeros(len(held))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names), pa.array(score), pa.array(other)], [*part.schema.names, *new])
-
-    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        global model_
-        model_ = raw.value
-        return run(batches)
-
-    shape = docs.schema
-    for name, kind in zip(new, ("string", "double", "double"), strict=True):
-        shape = shape.add(name, kind)
-    return docs.mapInArrow(opened, shape)
+        known: Model = raw.value
+        for part in text_slices(batches, GROUP):
+            held = texts_of(part)
+            if known.labels:
+                names, score, other = label_texts(known, held)
+            else:
+                names, score, other = ["und"] * len(held), np.zeros(len(held)), np.zeros(len(held))
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(score), pa.array(other)], [*part.schema.names, *new])
+
+    kinds = (T.StringType(), T.DoubleType(), T.DoubleType())
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(n, k) for n, k in zip(new, kinds, strict=True))]))
 
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:

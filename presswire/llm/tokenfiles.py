@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from presswire.llm import rans
-from presswire.llm.common import table
+from presswire.llm.common import table, text_slices, texts_of
 from presswire.llm.pieces import encoder
 from presswire.session import scratch_path
 
@@ -28,6 +28,7 @@ BLOCK_IDS = 1 << 18  # ids of a block
 SEGMENT_IDS = 1 << 22  # ids after which a segment is closed; documents are whole in theirs
 BUCKET_BYTES = 16 << 20  # text of a bucket
 BUCKETS = 20_000
+TURN = 4 << 20  # bytes of text encoded at once
 
 
 def default_vocabulary() -> str:
@@ -36,17 +37,6 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _slices(batches: Iterator[pa.RecordBatch], column: str, each: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """The rows in turns of about ``each`` bytes of text, so long texts do not pile up."""
-    for batch in batches:
-        sizes = np.diff(np.frombuffer(batch.column(column).buffers()[1], dtype=np.int32)[batch.column(column).offset :][: len(batch) + 1]) if len(batch) else np.empty(0)
-        turn = (np.cumsum(sizes) // each).astype(np.int64)
-        edges = [0, *(np.flatnonzero(np.diff(turn)) + 1).tolist(), len(batch)]
-        for a, b in zip(edges, edges[1:], strict=False):
-            if b > a:
-                yield batch.slice(a, b - a)
-
-
 def encode_documents(docs: DataFrame, vocabulary: str, end: int = END) -> DataFrame:
     """``(bucket, doc_id, ids)``: little-endian ids of every whole text and the end id, sorted by bucket and doc_id.
 
@@ -63,8 +53,8 @@ def encode_documents(docs: DataFrame, vocabulary: str, end: int = END) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(vocabulary)
         tail = np.array([end], dtype=kind).tobytes()
-        for batch in _slices(batches, "text"):
-            ids = [b + tail for b in coder.encode(["" if t is None else t for t in batch.column("text").to_pylist()])]
+        for batch in text_slices(batches, TURN):
+            ids = [b + tail for b in coder.encode(texts_of(batch))]
             key = batch.column("doc_id")
             bucket = np.searchsorted(edges, key.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False), side="left")
             yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), key, pa.array(ids, pa.binary())], ["bucket", "doc_id", "ids"])
