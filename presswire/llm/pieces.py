@@ -1,9 +1,11 @@
-"""Byte-level BPE of whole texts by the tokenizers library, one call per new piece.
+"""Byte-level BPE of whole texts by the tokenizers library, many new pieces to a call.
 
-A text is cut where the tokenizer's own pre-split always cuts: before a single
-space that stands between two characters that are no white space. Tokens never
-cross such a place, so the ids of a text are those of its pieces in a row. Most
-pieces repeat; each worker keeps the ids of those it has met, up to a bound.
+A text is cut where the tokenizer's own pre-split always cuts: before a single space
+or newline between two characters that are no white space, and behind such a
+newline. Tokens never cross such a place, so the ids of a text are those of its
+pieces in a row. Most pieces repeat; each worker keeps the ids of those it has met,
+up to a bound. New ones go to the library joined by newlines, whose own id parts
+them again.
 """
 
 from __future__ import annotations
@@ -14,13 +16,14 @@ from functools import lru_cache
 
 import numpy as np
 
-KEPT = 400_000  # pieces a worker remembers; the memory of a cache, it changes no result
-_RUN = re.compile(r"\s\s|^\s|\s$")
+KEPT = 600_000  # pieces a worker remembers; the memory of a cache, it changes no result
+CALL = 256  # new pieces in one call
+_MARKS = (",", ".", ";", ":", "!", "?")
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 
 
 class PieceEncoder:
-    """Ids of texts as little-endian bytes, ``width`` bytes each."""
+    """Ids of texts as little-endian bytes of ``kind``."""
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -29,32 +32,78 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
-        self.first: dict[str, bytes] = {}  # pieces at the start of a text
+        self.first: dict[str, bytes] = {}  # pieces at the start of a line
         self.later: dict[str, bytes] = {}  # pieces after a space, kept without it
+        newline = self.ids("\n")
+        # Joining by newlines needs a newline of one id, as byte-level vocabularies have.
+        self.newline = int(newline[0]) if len(newline) == 1 else None
+        self.marks = {m: self.ids(m).astype(self.kind).tobytes() for m in _MARKS}
+        self.between = newline.astype(self.kind).tobytes()
 
-    def _learn(self, memo: dict[str, bytes], new: list[str], lead: str) -> None:
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.int64)
+
+    def _learn(self, memo: dict[str, bytes], pieces: list[str], lead: str) -> None:
+        new = set(pieces).difference(memo)
         if len(memo) + len(new) > KEPT:
             memo.clear()
-        for k in range(0, len(new), 4096):
-            part = new[k : k + 4096]
-            for piece, got in zip(part, self.tokenizer.encode_batch_fast([lead + p for p in part], add_special_tokens=False), strict=True):
-                memo[piece] = np.array(got.ids, dtype=self.kind).tobytes()
+            new = set(pieces)
+        # A mark behind a letter is a token of its own: only the word before it is asked for.
+        marked = [p for p in new if p[-1:] in _MARKS and p[-2:-1].isalpha()]
+        new.difference_update(marked)
+        new.update(p[:-1] for p in marked if p[:-1] not in memo)
+        plain = [] if self.newline is None else [p for p in new if "\n" not in p]
+        for k in range(0, len(plain), CALL):
+            part = plain[k : k + CALL]
+            got = self.ids("\n".join([lead + p for p in part]))
+            cuts = np.flatnonzero(got == self.newline)
+            if len(cuts) != len(part) - 1:
+                raise ValueError("the vocabulary joins newlines with their neighbours")
+            flat, wide = got.astype(self.kind).tobytes(), self.kind.itemsize
+            edges = [-1, *cuts.tolist(), len(got)]
+            memo.update((p, flat[(a + 1) * wide : b * wide]) for p, a, b in zip(part, edges, edges[1:], strict=False))
+        for p in new if self.newline is None else (p for p in new if "\n" in p):
+            memo[p] = self.ids(lead + p).astype(self.kind).tobytes()
+        for p in marked:
+            memo[p] = memo[p[:-1]] + self.marks[p[-1]]
+
+    def _known(self, memo: dict[str, bytes], pieces: list[str], lead: str) -> list[bytes]:
+        try:
+            return list(map(memo.__getitem__, pieces))
+        except KeyError:
+            self._learn(memo, pieces, lead)
+            return list(map(memo.__getitem__, pieces))
+
+    def words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word as it stands behind a space; words hold no white space."""
+        return self._known(self.later, words, " ")
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [_SAFE.split(t) if _RUN.search(t) else t.split(" ") for t in texts]
-        heads = {c[0] for c in cut}
-        out: list[bytes] = []
-        self._learn(self.first, list(heads.difference(self.first)), "") if not heads <= self.first.keys() else None
-        starts = [self.first[c[0]] for c in cut]
-        for start, c in zip(starts, cut, strict=True):
-            del c[0]
-            new = set(c).difference(self.later)
-            if new:
-                self._learn(self.later, list(new), " ")
-                c_new = set(c).difference(self.later)  # the memo was emptied meanwhile
-                if c_new:
-                    self._learn(self.later, list(c_new), " ")
-            out.append(start + b"".join(map(self.later.__getitem__, c)))
+        """Ids of whole texts."""
+        lines: list[list[str]] = []
+        ends: list[int] = []
+        for t in texts:
+            # As many words as spaces and newlines part: no run of white space, none at the ends.
+            if self.newline is not None and t.count(" ") + t.count("\n") + 1 == len(t.split()):
+                lines += [x.split(" ") for x in t.split("\n")]
+            else:
+                lines.append(_SAFE.split(t))
+            ends.append(len(lines))
+        heads = self._known(self.first, [x[0] for x in lines], "")
+        rest = [p for x in lines for p in x[1:]]
+        tails = self._known(self.later, rest, " ")
+        out, k, at = [], 0, 0
+        for end in ends:
+            parts: list[bytes] = []
+            for j in range(k, end):
+                n = len(lines[j]) - 1
+                if j > k:
+                    parts.append(self.between)
+                parts.append(heads[j])
+                parts += tails[at : at + n]
+                at += n
+            k = end
+            out.append(b"".join(parts))
         return out
 
 
