@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presswire.llm import decontaminate, langcrf, mixing, tokenfiles
+from presswire.llm import decontaminate, langcrf, lmscore, mixing, tokenfiles, vectordup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_decontaminate": decontaminate.op3_decontaminate,
         "op5_language": langcrf.op5_language,
         "op7_tokenfiles": tokenfiles.op7_tokenfiles,
+        "op9_lmscore": lmscore.op9_lmscore,
+        "op10_vectordup": vectordup.op10_vectordup,
     }
 
 
