@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presswire.llm import decontaminate, langcrf, lmscore, mixing, tokenfiles, vectordup
+from presswire.llm import decontaminate, langcrf, lmscore, mixing, shingletree, tokenfiles, vectordup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_mixing": mixing.op2_mixing,
         "op3_decontaminate": decontaminate.op3_decontaminate,
         "op5_language": langcrf.op5_language,
+        "op6_shingletree": shingletree.op6_shingletree,
         "op7_tokenfiles": tokenfiles.op7_tokenfiles,
         "op9_lmscore": lmscore.op9_lmscore,
         "op10_vectordup": vectordup.op10_vectordup,

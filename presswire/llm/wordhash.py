@@ -34,12 +34,15 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def lowered(texts: list[bytes]) -> np.ndarray:
+    """Bytes of the texts, A-Z lowered, a space before, between and behind."""
+    return _LOW[np.frombuffer(b" " + b" ".join(texts) + b" ", dtype=np.uint8)]
+
+
 def joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of the texts, A-Z lowered, a space before, between and behind; and where each begins."""
     parts = [t.encode("utf-8", "replace") for t in texts]
-    raw = np.frombuffer(b" " + b" ".join(parts) + b" ", dtype=np.uint8)
-    begins = np.cumsum([1, *(len(p) + 1 for p in parts)])
-    return _LOW[raw], begins
+    return lowered(parts), np.cumsum([1, *(len(p) + 1 for p in parts)])
 
 
 def words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
