@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presswire.llm import decontaminate, langcrf, lmscore, mixing, shingletree, tokenfiles, vectordup
+from presswire.llm import decontaminate, langcrf, lmscore, mixing, shingletree, suffixdup, tokenfiles, vectordup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_suffixdup": suffixdup.op1_suffixdup,
         "op2_mixing": mixing.op2_mixing,
         "op3_decontaminate": decontaminate.op3_decontaminate,
         "op5_language": langcrf.op5_language,
