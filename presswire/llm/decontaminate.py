@@ -117,31 +117,38 @@ def proximity_matches(docs: DataFrame, items: DataFrame, slop: int, length: int
     return near.join(docs.select("row", "doc_id"), "row").select("doc_id", "item_id", "start").distinct()
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``docs`` plus n_words, n_hit, n_items, items_sha256, contaminated.
+def hits(docs: DataFrame, items: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``docs`` plus row, n_words, n_hit and ws: the windows that occur in a document.
 
-    Null or wordless texts have no hits; a null item_id is written as an empty
-    string in the digest; equal documents and equal items count each for
-    themselves; empty tables give no hits; other columns pass through, replaced
-    when they bear one of the new names.
+    The rules are those of ``decontaminate``.
     """
-    new = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated", "row", "offered"]
-    docs = docs.drop(*new)
+    docs = docs.drop("row", "offered", "n_words", "n_hit", "ws")
     other = docs.columns
-    rows = docs.withColumn("row", F.monotonically_increasing_id())
-    found = phrase_matches(rows, items, length)
-    w = words(F.col("text"))
+    found = phrase_matches(docs.withColumn("row", F.monotonically_increasing_id()), items, length)
     # The words are cut once in a step of their own; the comparison only slices them.
-    cut = found.withColumn("w", w)
+    cut = found.withColumn("w", words(F.col("text")))
     same = F.filter(F.coalesce("offered", F.array()), lambda c: F.slice("w", c["start"] + 1, F.size(c["terms"])) == c["terms"])
-    hits = F.when(F.col("offered").isNotNull(), F.array_sort(F.transform(same, lambda c: F.struct(c["start"].alias("start"), (c["start"] + F.size(c["terms"])).alias("end"), c["window"].alias("window")))))
-    cut = cut.select(*other, "row", F.size("w").cast("long").alias("n_words"), hits.alias("hits"))
+    met = F.when(F.col("offered").isNotNull(), F.array_sort(F.transform(same, lambda c: F.struct(c["start"].alias("start"), (c["start"] + F.size(c["terms"])).alias("end"), c["window"].alias("window")))))
+    cut = cut.select(*other, "row", F.size("w").cast("long").alias("n_words"), met.alias("hits"))
     covered = F.aggregate(
         "hits",
         F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
         lambda a, h: F.struct((a["n"] + F.greatest(h["end"] - F.greatest(h["start"], a["end"]), F.lit(0))).alias("n"), F.greatest(a["end"], h["end"]).alias("end")),
     )["n"]
-    cut = saved(cut.select(*other, "row", "n_words", F.coalesce(covered, F.lit(0)).cast("long").alias("n_hit"), F.array_distinct(F.transform("hits", lambda h: h["window"])).alias("ws")), "hits")
+    return cut.select(*other, "row", "n_words", F.coalesce(covered, F.lit(0)).cast("long").alias("n_hit"), F.array_distinct(F.transform("hits", lambda h: h["window"])).alias("ws"))
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``docs`` plus n_words, n_hit, n_items, items_sha256, contaminated.
+
+    Null or wordless texts have no hits; a null item_id is written as an empty
+    string in the digest; equal documents and equal items count each for
+    themselves; empty tables give no hits; other columns pass through, replaced
+    when they bear one of the new names.
+    """
+    docs = docs.drop("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "row", "ws", "offered")
+    other = docs.columns
+    cut = saved(hits(docs, items, length), "hits")
     ids = F.coalesce(F.col("item_id").cast("string"), F.lit(""))
     of = windows(items, length).select("window", "item_id").distinct()
     met = cut.filter("n_hit > 0").select("row", F.explode("ws").alias("window")).join(sized(saved(of, "window_items")), "window")

@@ -135,14 +135,16 @@ def cube_sample(units: DataFrame, block: int = BLOCK) -> DataFrame:
         level = left.withColumn("blocks", F.ceil(F.col("blocks") * 2 / block)).withColumn("draw", F.xxhash64("draw"))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, ceiling: float = CEILING, block: int = BLOCK) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, ceiling: float = CEILING, block: int = BLOCK, row: str | None = None) -> DataFrame:
     """``(row, doc_id, source, size, source_size, target, copies)``, one row per row of ``docs``.
 
+    ``row`` names a column of ``docs`` with a distinct long per row; else one is made.
     ``copies`` is how often the mix takes the document. Null text has size 0; rows
     of size 0 are never taken; null is a source of its own; equal rows are units
     of their own, told apart by ``row``; an empty table gives no rows; extra columns are ignored.
     """
-    sized = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("doc_id", "source", "text").alias("draw"))
+    number = F.col(row) if row else F.monotonically_increasing_id()
+    sized = docs.select(number.alias("row"), "doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("doc_id", "source", "text").alias("draw"))
     sized = saved(sized, "sizes")
     targets = source_targets(sized, weights, share, ceiling)
     rows = sized.join(F.broadcast(targets) if _few(targets) else targets, sized["source"].eqNullSafe(targets["source"])).drop(targets["source"])

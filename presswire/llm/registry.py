@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presswire.llm import decontaminate, langcrf, lmscore, mixing, shingletree, suffixdup, tokenfiles, vectordup
+import corpus_pipeline
+from presswire.llm import decontaminate, htmltext, langcrf, lmscore, mixing, shingletree, suffixdup, tokencount, tokenfiles, vectordup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,13 +15,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_suffixdup": suffixdup.op1_suffixdup,
         "op2_mixing": mixing.op2_mixing,
         "op3_decontaminate": decontaminate.op3_decontaminate,
+        "op4_htmltext": htmltext.op4_htmltext,
         "op5_language": langcrf.op5_language,
         "op6_shingletree": shingletree.op6_shingletree,
         "op7_tokenfiles": tokenfiles.op7_tokenfiles,
+        "op8_tokencount": tokencount.op8_tokencount,
         "op9_lmscore": lmscore.op9_lmscore,
         "op10_vectordup": vectordup.op10_vectordup,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": decontaminate.ORACLE}
+    return {"op3_decontaminate": decontaminate.ORACLE} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
