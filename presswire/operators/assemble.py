@@ -13,7 +13,6 @@ from presswire.functions.lexicon import PHRASES, InlineLexicon, phrase_entries,
 from presswire.functions.segment import sentences_of, tokens_of
 from presswire.functions.text import let
 from presswire.operators.rows import pin
-from presswire.operators.sentences import MAX_PARSE_TOKENS
 
 SENTENCE_FIELDS = (
     "sentence_id", "sentence", "parse_sentence", "dependency_tree", "token", "lemma",
@@ -26,10 +25,10 @@ SENTENCE_TYPE = (
 )
 DOCUMENT_FIELDS = ("doc_id", "type", "head_line", "date_line", "language", "corref", "sentences")
 
-# Annotations produced per language; parser mode "default" leaves
-# the bracketing of over-long sentences null, "fast" fills every sentence.
+# Annotations produced per language. Both parser modes bracket every
+# sentence, however long; ``sentences.mark_long`` flags those over the limit.
 PROFILES: dict[str, frozenset[str]] = {
-    "ENG": frozenset({"token", "lemma", "parse", "ner_merged", "sentiment"}),
+    "ENG": frozenset({"token", "lemma", "parse", "ner_merged", "sentiment", "corref"}),
     "ESP": frozenset({"token", "lemma", "parse", "ner_grouped"}),
     "ARA": frozenset({"token", "parse"}),
 }
@@ -107,8 +106,7 @@ def sentence_struct(
 
     def chunks(toks: Column, cards: Column) -> Column:
         pos = A.pos_tags(toks, F.transform(cards, lambda c: c["pos"]))
-        text = S.render_chunks(S.merge_runs(toks, A.chunk_tags(pos), drop_commas=False))
-        return F.when(F.size(toks) <= MAX_PARSE_TOKENS, text) if parser == "default" else text
+        return S.render_chunks(S.merge_runs(toks, A.chunk_tags(pos), drop_commas=False))
 
     def build(toks: Column, cards: Column, marks: Column, merged: Column) -> Column:
         ner = F.coalesce(
@@ -190,6 +188,46 @@ def attach_corref(docs: DataFrame, aliases: DataFrame, keys: list[str]) -> DataF
     return docs.drop("corref").join(per_doc, keys, "left")
 
 
+def with_corref(docs: DataFrame) -> DataFrame:
+    """Fills ``corref`` from the document's own sentences: ``type: alias -> canonical``.
+
+    A mention's canonical form is the longest of its type that it ends, the earliest
+    on a tie. Array work within the row: no shuffle, and legal on streams. Languages
+    without aliases in their profile get null.
+    """
+    mentions = F.flatten(
+        F.transform(
+            "sentences",
+            lambda s: F.flatten(
+                F.transform(
+                    F.map_entries(s["ner"]),
+                    lambda e: F.transform(e["value"], lambda m: F.struct(e["key"].alias("ner"), m.alias("mention"), s["sentence_id"].alias("at"))),
+                )
+            ),
+        )
+    )
+    # Sorted by place, so the first of equal mentions is the earliest.
+    placed = F.array_sort(F.transform(F.coalesce(mentions, F.array()), lambda m: F.struct(m["at"].alias("at"), m["ner"].alias("ner"), m["mention"].alias("mention"))))
+
+    def better(a: Column, b: Column) -> Column:
+        size, other = F.length(a["mention"]), F.length(b["mention"])
+        last = (a["at"] == b["at"]) & (a["mention"] > b["mention"])
+        return (size > other) | ((size == other) & ((a["at"] < b["at"]) | last))
+
+    def canonical(m: Column, every: Column) -> Column:
+        same = F.filter(every, lambda c: (c["ner"] == m["ner"]) & c["mention"].endswith(F.concat(F.lit(" "), m["mention"])))
+        return F.aggregate(same, m, lambda a, c: F.when(better(c, a), c).otherwise(a))["mention"]
+
+    def entries(every: Column) -> Column:
+        linked = F.transform(every, lambda m: F.struct(m["ner"].alias("ner"), m["mention"].alias("mention"), canonical(m, every).alias("c")))
+        known = F.filter(linked, lambda r: r["mention"] != r["c"])
+        return F.array_distinct(F.transform(known, lambda r: F.concat(r["ner"], F.lit(": "), r["mention"], F.lit(" -> "), r["c"])))
+
+    text = let(placed, lambda every: F.array_join(F.array_sort(entries(every)), "; "))
+    value = F.nullif(text, F.lit("")) if hasattr(F, "nullif") else F.when(text != "", text)
+    return docs.withColumn("corref", _for_languages(F.col("language"), "corref", value, frozenset()))
+
+
 def flat_tokens(token: Column) -> Column:
     """Comma-joined rendering of a token or lemma array."""
     return F.array_join(token, ",")

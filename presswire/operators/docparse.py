@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presswire.functions.text import (
-    col,
     decode_entities,
     finish_sentence,
     jsplit_regex,
@@ -120,6 +119,7 @@ def parse_docs(
         (doc == "", "blank"),
         (~doc.startswith("<DOC"), "not_doc"),
         (F.col("_text_at") == 0, "no_text"),
+        (~doc.contains("</TEXT>"), "cut_short"),
         (_unclosed(zone, "DATELINE"), "bad_dateline"),
         (_unclosed(zone, "HEADLINE"), "bad_headline"),
     ]
@@ -239,23 +239,10 @@ def dead_letters(df: DataFrame, raw: str = "value") -> DataFrame:
     ).select("reason", F.col(raw).alias("raw"))
 
 
-def concat_bodies(
-    df: DataFrame, by: list[str], position: str, chunk: int = 1024, text: str = "body"
-) -> DataFrame:
-    """Bodies of one input run together in order, as numbered chunks.
+def concat_bodies(df: DataFrame, by: list[str], position: str, text: str = "body") -> DataFrame:
+    """Bodies in the order in which each input's text runs together: ``(*by, position, text)``.
 
-    ``position`` is an integer unique within an input. A chunk covers ``chunk``
-    positions, so no group grows with the input; reading the chunks in order
-    gives the whole text, and an input of one chunk is a single row.
+    One row a document at any size, so no group and no value grows with the input.
+    Partitions are ascending ranges, and a write lays the text out in order.
     """
-    part = F.floor(col(position) / F.lit(chunk)).cast("long")
-    return (
-        df.groupBy(*by, part.alias("chunk"))
-        .agg(F.sort_array(F.collect_list(F.struct(position, text))).alias("_docs"))
-        .select(
-            *by,
-            "chunk",
-            F.size("_docs").cast("long").alias("n_docs"),
-            F.array_join(F.transform("_docs", lambda d: d[text]), "").alias("text"),
-        )
-    )
+    return df.select(*by, position, text).repartitionByRange(*by, position).sortWithinPartitions(*by, position)

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 SALTS = 32
+HOT_SHARE = 0.01  # of the left rows, from which a key counts as hot
+HOT_KEYS = 100
 
 
 def fits_broadcast(
@@ -22,6 +24,13 @@ def fits_broadcast(
     return rows <= max_rows and size <= max_bytes
 
 
+def hot_keys(left: DataFrame, on: list[str], share: float = HOT_SHARE, most: int = HOT_KEYS) -> DataFrame:
+    """Keys that hold at least ``share`` of ``left``: at most ``1 / share``, so a small list."""
+    counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    total = left.count()
+    return counts.filter(F.col("_n") >= max(2, int(share * total))).select(*on).limit(most)
+
+
 def keyed_join(
     left: DataFrame,
     right: DataFrame,
@@ -31,20 +40,26 @@ def keyed_join(
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
     salts: int = SALTS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """``left``, ``semi`` or ``anti`` join to a right side unique on ``on``.
 
     A right side of checked small size is broadcast, and ``left`` does not move.
-    Otherwise both sides shuffle on the keys plus a salt taken from the left
-    row's identity ``spread`` (default: all its columns), and the right side is
-    repeated per salt: a key holding a third of the left rows still lands in
-    ``salts`` partitions, and every row meets every match.
+    Otherwise both shuffle on the keys, and adaptive execution splits a partition
+    that is too large. ``hot`` (see ``hot_keys``) names keys to be salted besides:
+    their left rows are dealt over ``salts`` by the identity ``spread`` (default:
+    all columns), and only their right rows are repeated.
     """
     if fits_broadcast(right, max_rows, max_bytes):
         return left.join(F.broadcast(right), on, how)
+    if hot is None:
+        return left.join(right, on, how)
+    marked = F.broadcast(hot.select(*on).distinct().withColumn("_hot", F.lit(True)))
     identity = spread or left.columns
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*identity), F.lit(salts)).cast("int"))
-    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salt = F.pmod(F.xxhash64(*identity), F.lit(salts)).cast("int")
+    salted = left.join(marked, on, "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0)).drop("_hot")
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    repeated = right.join(marked, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 

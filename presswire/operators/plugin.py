@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from presswire.sources.files import at_least
+
 _POOL: dict[str, Any] = {}
 
 
@@ -33,12 +35,24 @@ class TaskInstance(SharedInstance):
         return self.build()
 
 
-def pool_size() -> int:
-    return len(_POOL)
+def batched(function: Callable[[Any, pd.Series], Any]) -> Callable[[Any, pd.Series], Any]:
+    """Marks an annotator that scores a series of texts at once."""
+    function.takes_batches = True
+    return function
+
+
+def _whole(function: Callable, instance: Any, texts: pd.Series) -> list | None:
+    try:
+        values = list(function(instance, texts))
+    except Exception:  # noqa: BLE001 - the texts are tried one by one next
+        return None
+    return values if len(values) == len(texts) else None
 
 
-def pool_clear() -> None:
-    _POOL.clear()
+def _one(function: Callable, instance: Any, value: str) -> Any:
+    if getattr(function, "takes_batches", False):
+        return list(function(instance, pd.Series([value])))[0]
+    return function(instance, value)
 
 
 def annotate_with(
@@ -49,9 +63,11 @@ def annotate_with(
 ) -> DataFrame:
     """Adds one column per annotator plus ``errors array<string>``.
 
-    ``annotators`` maps a column to ``(function(instance, text), type)``. A
-    failing annotator leaves null and an entry in ``errors``; the others still
-    fill. Batches stream through the worker; nothing is grouped.
+    ``annotators`` maps a column to ``(function(instance, text), type)``; a function
+    marked by ``batched`` gets ``(instance, series of texts)`` instead and returns as
+    many values. A failing annotator leaves null and an entry in ``errors``; the
+    others still fill. A batched one that fails is asked again text by text.
+    Batches stream through the worker; nothing is grouped.
     """
     names = list(annotators)
     kinds = {
@@ -71,31 +87,36 @@ def annotate_with(
         except Exception as problem:  # noqa: BLE001 - reported per row
             instance, broken = None, problem
         for batch in batches:
-            made: dict[str, list] = {n: [] for n in names}
-            errors = []
-            for value in batch[text]:
-                failed = []
-                for n in names:
-                    try:
-                        if broken is not None:
-                            raise broken
-                        made[n].append(functions[n](instance, value))
-                    except Exception as problem:  # noqa: BLE001 - one annotator must not stop the rest
-                        made[n].append(None)
-                        failed.append(f"{n}: {type(problem).__name__}: {problem}")
-                errors.append(failed)
-            extra = {n: pd.Series(made[n], index=batch.index, dtype=object) for n in names}
+            errors: list[list[str]] = [[] for _ in range(len(batch))]
+            extra = {}
+            for n in names:
+                values = None
+                if broken is None and getattr(functions[n], "takes_batches", False):
+                    values = _whole(functions[n], instance, batch[text])
+                if values is None:
+                    values = []
+                    for k, value in enumerate(batch[text]):
+                        try:
+                            if broken is not None:
+                                raise broken
+                            values.append(_one(functions[n], instance, value))
+                        except Exception as problem:  # noqa: BLE001 - one annotator must not stop the rest
+                            values.append(None)
+                            errors[k].append(f"{n}: {type(problem).__name__}: {problem}")
+                extra[n] = pd.Series(values, index=batch.index, dtype=object)
             yield batch.assign(**extra, errors=pd.Series(errors, index=batch.index, dtype=object))
 
     return df.mapInPandas(run, schema)
 
 
-def spread(df: DataFrame, factor: int = 2) -> DataFrame:
-    """Even out partitions ahead of a costly annotator.
+def spread(df: DataFrame, factor: int = 2, always: bool = False) -> DataFrame:
+    """Even out partitions ahead of a costly annotator, where the scan has too few.
 
-    Documents run from a few to over 100,000 characters, so row counts say
-    little. A file scan splits by bytes; ``factor`` times its splits are dealt
-    row by row, so long documents, and copies of one text, do not share a task.
+    With ``always``, ``factor`` times the scan's splits are dealt row by row in any
+    case, so that long documents, and copies of one text, do not share a task; that
+    moves every text once.
     """
     least = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(max(least, factor * df.rdd.getNumPartitions()))
+    if always:
+        return df.repartition(max(least, factor * df.rdd.getNumPartitions()))
+    return at_least(df, factor * least)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,17 +45,18 @@ def _own_language() -> Column:
     return C.own_language(F.col("lang"))
 
 
-def _records(spark: SparkSession, sf_dir: str, escape: bool = False) -> DataFrame:
+def _records(spark: SparkSession, sf_dir: str, escape: bool = False, routed: bool = False) -> DataFrame:
     docs = N.with_record_id(C.table(spark, sf_dir, "documents"))
-    return C.wrap(R.at_least(docs, 2 * spark.sparkContext.defaultParallelism), escape=escape)
+    return C.wrap(R.at_least(docs, 2 * spark.sparkContext.defaultParallelism), escape=escape, routed=routed)
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.parse_docs(_records(spark, sf_dir), _own_language())
+    return P.parse_docs(_records(spark, sf_dir, routed=True), _own_language())
 
 
-def _stories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.accepted(P.parse_docs(_records(spark, sf_dir), _language()))
+def _stories(spark: SparkSession, sf_dir: str, routed: bool = False) -> DataFrame:
+    """All documents; ``routed`` leaves out the sources that deliver no stories."""
+    return P.accepted(P.parse_docs(_records(spark, sf_dir, routed=routed), _language()))
 
 
 def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,9 +89,9 @@ def _spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _annotated(spark: SparkSession, sf_dir: str, relations: bool = False, parser: str = "default") -> DataFrame:
+def _annotated(spark: SparkSession, sf_dir: str, relations: bool = False, parser: str = "default", routed: bool = False) -> DataFrame:
     extra = frozenset({"relation"}) if relations else frozenset()
-    return D.annotate_documents(_stories(spark, sf_dir), L.resources(), parser, extra)
+    return D.annotate_documents(_stories(spark, sf_dir, routed), L.resources(), parser, extra)
 
 
 def _written(df: DataFrame, name: str) -> str:
@@ -123,10 +125,10 @@ def scan_nonblank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.nonblank(back).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _lang_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _lang_folders(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     path = scratch_path(spark, "folders")
     C.table(spark, sf_dir, "documents").select("lang", F.col("text").alias("value")).write.partitionBy("lang").text(path)
-    return R.list_files(spark, path, glob="*.txt")
+    return path, R.list_files(spark, path, glob="*.txt")
 
 
 def _folder(path: Column) -> Column:
@@ -134,12 +136,27 @@ def _folder(path: Column) -> Column:
 
 
 def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listing = _lang_folders(spark, sf_dir).filter(F.col("length") > 0)
-    return listing.select(_folder(F.col("path")).alias("folder")).distinct()
+    """Files listed, then read one by one path: bytes and lines of each folder."""
+    path, listing = _lang_folders(spark, sf_dir)
+    listed = listing.filter(F.col("length") > 0).select("path", "length")
+    lines = R.read_lines(spark, path, glob="*.txt", recursive=True)
+    per_file = lines.groupBy("file_path").agg(F.count(F.lit(1)).alias("n_lines"))
+    # A listing and a scan may write the scheme differently.
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    both = listed.join(per_file, plain(F.col("path")) == plain(F.col("file_path")))
+    return both.groupBy(_folder(F.col("path")).alias("folder")).agg(F.sum("length").alias("n_bytes"), F.sum("n_lines").alias("n_lines"))
 
 
 def first_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.first_file(_lang_folders(spark, sf_dir)).select(_folder(F.col("path")).alias("folder"))
+    """One tagged file a language; the first by path is parsed, the others are not."""
+    path = scratch_path(spark, "first")
+    records = _records(spark, sf_dir).select("lang", "value")
+    for lang in ("a", "b"):
+        chosen = records.filter(F.col("lang") == "en") if lang == "a" else records.filter(F.col("lang") != "en")
+        chosen.select("value").coalesce(1).write.text(f"{path}/{lang}")
+    first = R.first_file(R.list_files(spark, path, glob="*.txt")).first()["path"]
+    docs = P.accepted(P.parse_docs(R.read_doc_xml(spark, first), "ENG"))
+    return docs.select("doc_id", _md5("body").alias("body_md5"))
 
 
 def _xml_result(docs: DataFrame) -> DataFrame:
@@ -171,7 +188,7 @@ def docs_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = F.replace(F.col("text"), F.lit("\n"), F.lit(" "))
     parts = [
         C.doc_record(
-            F.concat(F.lit(p), F.col("doc_id").cast("string")), C.type_of(F.col("source")),
+            F.concat(F.lit(p), F.col("doc_id").cast("string")), C.plain_type_of(F.col("source")),
             C.head_of(F.col("text")), C.date_of(F.col("source")), text,
         )
         for p, text in (("A", F.col("text")), ("B", flat))
@@ -187,7 +204,7 @@ def docs_tag_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files cut on tags, with text between the records; language travels in the dateline."""
     docs = C.table(spark, sf_dir, "documents")
     rec = C.doc_record(
-        F.concat(F.lit("D"), F.col("doc_id").cast("string")), C.type_of(F.col("source")),
+        F.concat(F.lit("D"), F.col("doc_id").cast("string")), C.plain_type_of(F.col("source")),
         C.head_of(F.col("text")), _language(), F.col("text"),
     )
     path = _written(docs.select(F.concat(F.lit("noise\n"), rec, F.lit("\nmore noise")).alias("value")), "tagged")
@@ -240,7 +257,7 @@ def doc_header(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_body(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stories(spark, sf_dir).select(
+    return _stories(spark, sf_dir, routed=True).select(
         "doc_id", F.size("paragraphs").cast("long").alias("n_paragraphs"), "body"
     )
 
@@ -254,7 +271,7 @@ def doc_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.parse_docs(C.damage(_records(spark, sf_dir)), _own_language())
+    return P.parse_docs(C.damage(_records(spark, sf_dir, routed=True)), _own_language())
 
 
 def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,7 +288,7 @@ def corpus_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = C.wrap(docs).withColumn("source", F.regexp_extract("value", "<DATELINE> (\\S+) ", 1))
     stories = P.accepted(P.parse_docs(records, _language())).withColumn("source", F.lower("source"))
     joined = P.concat_bodies(stories, ["source"], "key")
-    return joined.select("source", "chunk", "n_docs", _md5("text").alias("text_md5"))
+    return joined.select("source", F.col("key").alias("position"), _md5("body").alias("body_md5"))
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -462,7 +479,7 @@ def relations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents_assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = D.to_documents(_annotated(spark, sf_dir, relations=True))
+    docs = D.to_documents(_annotated(spark, sf_dir, relations=True, routed=True))
     s = F.col("s")
     return docs.select("doc_id", "type", "head_line", "date_line", "language", F.explode("sentences").alias("s")).select(
         "doc_id", "type", "head_line", "date_line", "language",
@@ -479,10 +496,8 @@ def documents_regrouped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents_coref(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = D.to_documents(_annotated(spark, sf_dir), keep=("rec_id",)).filter(F.col("language") == "ENG")
-    linked = E.link_aliases(D.mention_rows(docs, ONE_DOC), ONE_DOC)
-    filled = D.attach_corref(docs.select(*ONE_DOC, "corref"), linked, ONE_DOC)
-    return filled.filter(F.col("corref").isNotNull()).select("doc_id", "corref")
+    """Aliases within each document's own row; English has them in its profile."""
+    return D.with_corref(_annotated(spark, sf_dir)).select("doc_id", "corref")
 
 
 def profile_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -516,7 +531,7 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def store_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "documents")
-    K.append(D.to_documents(_annotated(spark, sf_dir, parser="fast")), path)
+    K.append(D.to_documents(_annotated(spark, sf_dir, parser="fast", routed=True)), path)
     return _sizes(spark.read.parquet(path))
 
 
@@ -550,11 +565,29 @@ def store_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.latest(spark, path).select("doc_id", "version", _md5("body").alias("body_md5"))
 
 
+def store_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs that both begin at batch 0, a compaction between them, and a replay.
+
+    The first run stores everything, the second the capital-letter stories; then the
+    first adds the Spanish ones, and the second's batch is replayed, which leaves
+    its place among the commits as it was.
+    """
+    path = scratch_path(spark, "store")
+    changed = F.col("type") == "STORY"
+    second = _versions(spark, sf_dir, "second", 1).filter(changed)
+    K.upsert_batch(_versions(spark, sf_dir, "first", 1), path, 0, run="one")
+    K.compact(spark, path)
+    K.upsert_batch(second, path, 0, run="two")
+    K.upsert_batch(_versions(spark, sf_dir, "third", 1).filter(F.col("language") == "ESP"), path, 1, run="one")
+    K.upsert_batch(second, path, 0, run="two")
+    return K.latest(spark, path).select("doc_id", "version", _md5("body").alias("body_md5"))
+
+
 def store_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "store")
     K.upsert_batch(_versions(spark, sf_dir, "first", 1), path, 0)
     K.upsert_batch(_versions(spark, sf_dir, "second", 1).filter(F.col("language") == "ESP"), path, 1)
-    wanted = C.table(spark, sf_dir, "labels").filter(F.col("quality") == 1).select(
+    wanted = C.table(spark, sf_dir, "labels").select(
         F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("doc_id")
     )
     return K.lookup_many(spark, path, wanted, columns=["version"]).select("doc_id", "version")
@@ -576,7 +609,7 @@ def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.wrap(_stream(spark, sf_dir, "documents")).select(
+    return C.wrap(_stream(spark, sf_dir, "documents"), routed=True).select(
         F.concat(F.lit("M"), F.col("key").cast("string"), F.lit("#"), F.col("value")).alias("value")
     )
 
@@ -597,6 +630,43 @@ def stream_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sizes(spark.read.parquet(path), "mongo_id")
 
 
+def _stored_messages(spark: SparkSession, messages: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Documents and dead letters of a drained message stream."""
+    path = scratch_path(spark, name)
+    splits = 2 * spark.sparkContext.defaultParallelism
+    writer = T.store_messages(
+        messages, L.resources(), f"{path}/good", f"{path}/failed", name, spread=lambda batch: R.at_least(batch, splits)
+    )
+    _drain(writer, path + "-checkpoint")
+    shape = "mongo_id string, reason string, raw string"
+    return spark.read.parquet(f"{path}/good"), spark.read.schema(shape).parquet(f"{path}/failed")
+
+
+def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged messages: each that fails is stored with its reason."""
+    records = C.damage(C.wrap(_stream(spark, sf_dir, "documents"), routed=True))
+    # A message whose record has no opening tag at all; noise before a record is only log text.
+    broken = F.replace("value", F.lit("junk <DOC "), F.lit("junk <DIC "))
+    messages = records.select(F.concat(F.lit("M"), F.col("key").cast("string"), F.lit("#"), broken).alias("value"))
+    _, failed = _stored_messages(spark, messages, "dead-letters")
+    return failed.select(F.col("mongo_id").alias("key"), "reason")
+
+
+def stream_glued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that hold two documents with log text around them."""
+    docs = _stream(spark, sf_dir, "documents")
+    halves = [
+        C.doc_record(
+            F.concat(F.lit(p), F.col("doc_id").cast("string")), C.plain_type_of(F.col("source")),
+            C.head_of(F.col("text")), C.date_of(F.col("source")), F.col("text"),
+        )
+        for p in ("A", "B")
+    ]
+    glued = F.concat(F.lit("M"), F.col("doc_id").cast("string"), F.lit("#"), halves[0], F.lit(" Exception in parser: "), halves[1], F.lit(" end"))
+    good, _ = _stored_messages(spark, docs.select(glued.alias("value")), "glued")
+    return _sizes(good, "mongo_id", "doc_pos").withColumn("doc_pos", F.col("doc_pos").cast("long"))
+
+
 def stream_json_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "topic-out")
     docs = T.annotate_stream(_message_stream(spark, sf_dir), L.resources())
@@ -619,16 +689,20 @@ def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event-time windows in update mode: state ends at the watermark, and the
-    store keeps the newest count of every window."""
+    """Event-time windows as partial counts of each micro-batch. The events come in two
+    batches, the later half first: none is too late."""
     path = scratch_path(spark, "stream-windows")
-    events = _stream(spark, sf_dir, "events").select("event_type", F.col("ts").cast("timestamp").alias("ts"))
-    counts = W.windowed_word_count(events, "event_type", "ts", "30 minutes", "1 day")
-    keyed = counts.select(F.struct("window_start", "word").alias("cell"), "count", F.lit(0).alias("seq"))
-    _drain(T.per_batch(keyed, K.upserter(path), "update"), path + "-checkpoint")
-    return K.latest(spark, path, "cell").select(
-        F.col("cell.window_start").cast("timestamp_ntz").alias("window_start"), F.col("cell.word").alias("word"), "count"
-    )
+    events = C.table(spark, sf_dir, "events").select("event_type", F.col("ts").cast("timestamp").alias("ts"))
+    middle = events.agg(F.expr("timestamp_micros(cast((unix_micros(min(ts)) + unix_micros(max(ts))) / 2 as bigint))")).first()[0]
+    source = scratch_path(spark, "events")
+    for late in (True, False):  # files are read in the order in which they were written
+        half = F.col("ts") >= F.lit(middle)
+        events.filter(half if late else ~half).coalesce(1).write.mode("append").parquet(source)
+    shape = "event_type string, ts timestamp"
+    stream = Z.watch_files(spark, source, shape, files_per_batch=1)
+    _drain(T.window_count_per_batch(stream, path, "event_type", "ts", "30 minutes"), path + "-checkpoint")
+    totals = T.window_totals(spark.read.parquet(path))
+    return totals.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 def batch_window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -686,13 +760,41 @@ def bulk_annotate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_tokens", "n_chars", F.size("errors").cast("long").alias("n_errors"))
 
 
+def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = C.table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    return turns.repartition(4 * spark.sparkContext.defaultParallelism)
+
+
+def _kept(shared: U.SharedInstance, turns: DataFrame) -> DataFrame:
+    """Token counts by a batched annotator, and the name of the instance that made them."""
+
+    @U.batched
+    def count_tokens(state, texts):  # noqa: ANN001, ANN202
+        return [len(state[1].findall(t)) for t in texts]
+
+    @U.batched
+    def maker(state, texts):  # noqa: ANN001, ANN202
+        return [state[0]] * len(texts)
+
+    return U.annotate_with(turns, shared, {"n_tokens": (count_tokens, "long"), "maker": (maker, "string")}, "text")
+
+
+def _named_pattern() -> tuple:
+    return uuid.uuid4().hex, _token_pattern()
+
+
 def worker_singleton(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def measure(length, text: str) -> int:  # noqa: ANN001
-        return length(text)
+    """One instance a worker: far fewer instances than tasks, all turns counted."""
+    done = _kept(U.SharedInstance(_named_pattern), _turns(spark, sf_dir)).withColumn("part", F.spark_partition_id())
+    per = done.agg(F.count_distinct("maker").alias("made"), F.count_distinct("part").alias("tasks"), F.count(F.lit(1)).alias("n_turns"), F.sum("n_tokens").alias("n_tokens"))
+    return per.select("n_turns", "n_tokens", ((F.col("tasks") <= spark.sparkContext.defaultParallelism) | (F.col("made") < F.col("tasks"))).alias("shared"))
 
-    turns = C.table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
-    done = U.annotate_with(turns, U.SharedInstance(lambda: len), {"n_chars": (measure, "long")}, "text")
-    return done.select("conv_id", "turn", "n_chars")
+
+def task_instance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One instance a task, none shared by two."""
+    done = _kept(U.TaskInstance(_named_pattern), _turns(spark, sf_dir)).withColumn("part", F.spark_partition_id())
+    per = done.groupBy("maker").agg(F.count_distinct("part").alias("parts"), F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("t"))
+    return per.agg(F.sum("n").alias("n_turns"), F.sum("t").alias("n_tokens"), (F.max("parts") == 1).alias("apart"))
 
 
 def build() -> dict[str, Query]:
@@ -706,8 +808,8 @@ def build() -> dict[str, Query]:
         lemmas, pos_tags, entity_tags, entity_tags_joined, regex_entities, sentiment, truecase, casing_model, clean_markup,
         entity_groups, entity_spans, entity_spans_windowed, mention_groups, chunks, aliases, relations,
         documents_assembled, documents_regrouped, documents_coref, profile_columns, run_metrics,
-        store_append, sentence_store, store_upsert, store_lookup, skip_existing,
-        stream_docs, stream_json_sink, stream_word_count, stream_window_count, batch_window_count, stream_topics,
-        bulk_annotate, worker_singleton,
+        store_append, sentence_store, store_upsert, store_two_runs, store_lookup, skip_existing,
+        stream_docs, stream_dead_letters, stream_glued, stream_json_sink, stream_word_count, stream_window_count, batch_window_count, stream_topics,
+        bulk_annotate, worker_singleton, task_instance,
     )
     return {**{f.__name__: f for f in plain}, **named}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from presswire.functions.text import escape_entities
 
-# Letters used to derive Arabic-script text from Latin text.
+# Letters used to derive Arabic-script text from Latin text.
 LATIN = "abcdefghijklmnopqrstuvwxyz0123456789"
 ARABIC = "اأبآتثجحخدىذرزسشصضطـظعَغفقكل٠١٢٣٤٥٦٧٨٩"[: len(LATIN)]
 
@@ -36,6 +36,11 @@ def type_of(source: Column) -> Column:
     )
 
 
+def plain_type_of(source: Column) -> Column:
+    """Stories only, for what is not about routing; one source writes the type in capitals."""
+    return F.when(source == "src1", F.lit("STORY")).otherwise(F.lit("story"))
+
+
 def doc_record(
     doc_id: Column, kind: Column, head: Column, date: Column, text: Column, escape: bool = False
 ) -> Column:
@@ -62,15 +67,19 @@ def date_of(source: Column) -> Column:
     return F.concat(F.upper(source), F.lit(" 2024-01-01"))
 
 
-def wrap(docs: DataFrame, text: str = "text", escape: bool = False) -> DataFrame:
-    """``key``, ``lang`` and the record in ``value``; ``rec_id`` stays."""
+def wrap(docs: DataFrame, text: str = "text", escape: bool = False, routed: bool = False) -> DataFrame:
+    """``key``, ``lang`` and the record in ``value``; ``rec_id`` stays.
+
+    With ``routed``, some sources deliver other types than stories. The headline is
+    made of the first characters; the body is the whole text.
+    """
     return docs.select(
         *[c for c in docs.columns if c == "rec_id"],
         F.col("doc_id").alias("key"),
         "lang",
         doc_record(
             F.concat(F.lit("D"), F.col("doc_id").cast("string")),
-            type_of(F.col("source")),
+            (type_of if routed else plain_type_of)(F.col("source")),
             head_of(F.col(text)),
             date_of(F.col("source")),
             F.col(text),

@@ -40,6 +40,7 @@ LINES = "string_split(text, chr(10))"
 LANG = "CASE lang WHEN 'es' THEN 'ESP' ELSE 'ENG' END"
 OWN_LANG = "CASE lang WHEN 'en' THEN 'ENG' WHEN 'es' THEN 'ESP' END"
 KIND = "CASE source WHEN 'src1' THEN 'STORY' WHEN 'src3' THEN 'multi' WHEN 'src7' THEN 'other' ELSE 'story' END"
+PLAIN_KIND = "CASE source WHEN 'src1' THEN 'STORY' ELSE 'story' END"
 HEAD = jt("replace(substr(text, 1, 40), chr(10), ' ')")
 DATE = "upper(source) || ' 2024-01-01'"
 # The blank between the last paragraph and </TEXT> is a last, empty piece.
@@ -62,10 +63,15 @@ def tokens_of(x: str) -> str:
     return TOKENS_OF.replace("{x}", x)
 
 
-STORIES = f"""stories AS (
-  SELECT 'D' || doc_id AS doc_id, {LANG} AS language, {KIND} AS type, {HEAD} AS head_line,
+def stories_of(kind: str, where: str = "TRUE") -> str:
+    return f"""stories AS (
+  SELECT 'D' || doc_id AS doc_id, {LANG} AS language, {kind} AS type, {HEAD} AS head_line,
          {DATE} AS date_line, {BODY} AS body
-  FROM documents WHERE {STORY})"""
+  FROM documents WHERE {where})"""
+
+
+# All documents; where routing is the feature, without the sources that deliver no stories.
+STORIES, ROUTED = stories_of(PLAIN_KIND), stories_of(KIND, STORY)
 SENTS = f"""sents AS (
   SELECT doc_id, language, unnest(s) AS sentence, generate_subscripts(s, 1)::BIGINT AS sentence_id
   FROM (SELECT doc_id, language, {sentences_of('body')} AS s FROM stories))"""
@@ -73,6 +79,7 @@ TOKS = f"""toks AS (
   SELECT doc_id, language, sentence_id, unnest(t) AS token, generate_subscripts(t, 1)::BIGINT AS idx
   FROM (SELECT doc_id, language, sentence_id, {tokens_of('sentence')} AS t FROM sents))"""
 TO_TOKENS = f"{STORIES}, {SENTS}, {TOKS}"
+TO_ROUTED_TOKENS = f"{ROUTED}, {SENTS}, {TOKS}"
 
 LEMMA_CTE = rows(LEMMAS, "lemma_lex", "language", "word", "lemma")
 POS_CTE = rows(POS, "pos_lex", "language", "word", "pos")
@@ -174,7 +181,7 @@ _AR_PIECE = (
 AR_STORIES = f"""stories AS (
   SELECT 'D' || doc_id AS doc_id, 'ARA' AS language,
          array_to_string(list_transform({_AR_LINES}, lambda p: {_AR_PIECE}), '') || '  ' AS body
-  FROM documents WHERE {STORY})"""
+  FROM documents)"""
 AR_SENTS = f"""sents AS (
   SELECT doc_id, language, unnest(s) AS sentence, generate_subscripts(s, 1)::BIGINT AS sentence_id FROM (
     SELECT doc_id, language, list_filter(list_transform(string_split(body, '.'), lambda s: {jt('s')}), lambda s: s <> '') AS s
@@ -226,6 +233,12 @@ BROKEN = f"""CASE
   WHEN NOT ({STORY}) THEN 'not_story'
   WHEN ({OWN_LANG}) IS NULL THEN 'bad_lang' END"""
 
+# In a stream an id is not asked for, and every message has the language of its job.
+STREAM_BROKEN = "\n".join(
+    line + (" END" if "not_story" in line else "")
+    for line in BROKEN.split("\n") if "no_id" not in line and "bad_lang" not in line
+)
+
 WORDS_OF = (
     "(CASE WHEN {x} <> '' AND rtrim({x}, ' ') = '' THEN [] ELSE string_split(rtrim({x}, ' '), ' ') END)"
 )
@@ -242,9 +255,11 @@ def build() -> dict[str, str]:
     sql["scan_nonblank"] = f"""
       SELECT value, count(*) AS n FROM (SELECT unnest({LINES}) AS value FROM documents)
       WHERE {jt('value')} <> '' GROUP BY value"""
-    sql["file_listing"] = "SELECT DISTINCT 'lang=' || lang AS folder FROM documents"
-    sql["first_file"] = "SELECT 'lang=' || min(lang) AS folder FROM documents"
-    xml = f"""SELECT 'D' || doc_id AS doc_id, {KIND} AS type, {HEAD} AS head_line, {DATE} AS date_line,
+    sql["file_listing"] = f"""
+      SELECT 'lang=' || lang AS folder, sum(strlen(text) + 1)::BIGINT AS n_bytes, sum(len({LINES}))::BIGINT AS n_lines
+      FROM documents GROUP BY lang"""
+    sql["first_file"] = f"SELECT 'D' || doc_id AS doc_id, md5({BODY}) AS body_md5 FROM documents WHERE lang = 'en'"
+    xml = f"""SELECT 'D' || doc_id AS doc_id, {PLAIN_KIND} AS type, {HEAD} AS head_line, {DATE} AS date_line,
       len(list_filter({LINES}, lambda p: {jt('p')} <> ''))::BIGINT AS n_paragraphs, md5({BODY_XML}) AS body_md5 FROM documents"""
     sql["docs_xml"] = xml
     sql["docs_xml_lines"] = xml
@@ -252,11 +267,11 @@ def build() -> dict[str, str]:
       SELECT 'D' || doc_id AS doc_id, generate_subscripts(l, 1)::BIGINT AS sentence_id, {jt('unnest(l)')} AS sentence
       FROM (SELECT doc_id, {LINES} AS l FROM documents)"""
     sql["docs_tagged"] = f"""
-      SELECT 'A' || doc_id AS doc_id, 1::BIGINT AS doc_pos, md5({BODY}) AS body_md5 FROM documents WHERE {STORY}
+      SELECT 'A' || doc_id AS doc_id, 1::BIGINT AS doc_pos, md5({BODY}) AS body_md5 FROM documents
       UNION ALL
-      SELECT 'B' || doc_id, 2::BIGINT, md5({finish('replace(text, chr(10), chr(32))')} || ' ') FROM documents WHERE {STORY}"""
+      SELECT 'B' || doc_id, 2::BIGINT, md5({finish('replace(text, chr(10), chr(32))')} || ' ') FROM documents"""
     sql["docs_tag_files"] = f"""
-      SELECT 'D' || doc_id AS doc_id, md5({BODY}) AS body_md5 FROM documents WHERE {STORY}"""
+      SELECT 'D' || doc_id AS doc_id, md5({BODY}) AS body_md5 FROM documents"""
     sql["docs_json"] = f"""
       SELECT 'D' || doc_id AS doc_id, {KIND} AS type, coalesce({OWN_LANG}, upper(lang)) AS language,
              len({sentences_of('text')})::BIGINT AS n_sentences,
@@ -284,14 +299,13 @@ def build() -> dict[str, str]:
     sql["extract_field"] = """
       SELECT page_id, regexp_extract(replace(html, chr(10), ' '), '(?s)<title>(.*?)</title>', 1) AS title FROM pages"""
     sql["corpus_concat"] = f"""
-      SELECT source, (doc_id // 1024)::BIGINT AS chunk, count(*) AS n_docs, md5(string_agg({BODY}, '' ORDER BY doc_id)) AS text_md5
-      FROM documents WHERE {STORY} GROUP BY ALL"""
+      SELECT source, doc_id AS position, md5({BODY}) AS body_md5 FROM documents"""
     sql["envelope"] = f"""
       SELECT CASE WHEN doc_id % 3 = 0 THEN '' ELSE 'M' || doc_id END AS mongo_id, 'D' || doc_id AS doc_id, md5({BODY}) AS body_md5
-      FROM documents WHERE {STORY}"""
+      FROM documents"""
     sql["doc_json"] = f"""
-      SELECT 'M' || doc_id AS mongo_id, 'D' || doc_id AS doc_id, {KIND} AS type, {LANG} AS language, {HEAD} AS head_line,
-             md5({BODY}) AS body_md5 FROM documents WHERE {STORY}"""
+      SELECT 'M' || doc_id AS mongo_id, 'D' || doc_id AS doc_id, {PLAIN_KIND} AS type, {LANG} AS language, {HEAD} AS head_line,
+             md5({BODY}) AS body_md5 FROM documents"""
 
     # Word counts.
     words = f"""SELECT word, count(*) AS count FROM (SELECT unnest({words_of('body')}) AS word FROM stories) GROUP BY word"""
@@ -360,7 +374,7 @@ def build() -> dict[str, str]:
       SELECT type1, connector, type2, count(*) AS n FROM pairs GROUP BY ALL"""
 
     # Documents.
-    whole = f"""{LEMMA_CTE}, {POS_CTE}, {GAZ_CTE}, {POL_CTE}, {TO_TOKENS}, {LEMMAED}, {POSSED}, {TAGGED}, {SPANS}, {GROUPED},
+    whole = f"""{LEMMA_CTE}, {POS_CTE}, {GAZ_CTE}, {POL_CTE}, {TO_ROUTED_TOKENS}, {LEMMAED}, {POSSED}, {TAGGED}, {SPANS}, {GROUPED},
       flat AS (SELECT doc_id, sentence_id, string_agg('(' || ner || ',' || m || ')', ',' ORDER BY ner) AS ner FROM (
         SELECT doc_id, sentence_id, ner, string_agg(token, '|' ORDER BY idx) AS m FROM tagged WHERE ner <> 'O' GROUP BY doc_id, sentence_id, ner)
       GROUP BY doc_id, sentence_id), {PAIRS},
@@ -373,7 +387,7 @@ def build() -> dict[str, str]:
           CASE s.language WHEN 'ENG' THEN coalesce(g.ner, '') ELSE coalesce(f.ner, '') END AS ner,
           coalesce(r.relation, '') AS relation,
           CASE s.language WHEN 'ENG' THEN e.sentiment END AS sentiment,
-          CASE WHEN l.n <= 140 THEN coalesce(b.parse_sentence, '') END AS parse_sentence
+          coalesce(b.parse_sentence, '') AS parse_sentence
         FROM sents s JOIN lem l USING (doc_id, sentence_id) JOIN felt e USING (doc_id, sentence_id)
         LEFT JOIN grouped g USING (doc_id, sentence_id) LEFT JOIN flat f USING (doc_id, sentence_id)
         LEFT JOIN rel r USING (doc_id, sentence_id) LEFT JOIN bracketed b USING (doc_id, sentence_id))"""
@@ -382,18 +396,19 @@ def build() -> dict[str, str]:
       FROM docs d JOIN stories s USING (doc_id)"""
     sql["documents_regrouped"] = f"""WITH {TO_TOKENS}
       SELECT doc_id, max(sentence_id) AS n_sentences, count(*) AS n_tokens FROM toks GROUP BY doc_id"""
-    sql["documents_coref"] = f"""WITH {TO_SPANS}, {aliases}
-      SELECT doc_id, string_agg(ner || ': ' || mention || ' -> ' || canonical, '; ' ORDER BY ner || ': ' || mention || ' -> ' || canonical) AS corref
-      FROM linked WHERE mention <> canonical AND doc_id IN (SELECT doc_id FROM stories WHERE language = 'ENG') GROUP BY doc_id"""
+    sql["documents_coref"] = f"""WITH {TO_SPANS}, {aliases},
+      found AS (SELECT doc_id, string_agg(ner || ': ' || mention || ' -> ' || canonical, '; ' ORDER BY ner || ': ' || mention || ' -> ' || canonical) AS corref
+      FROM linked WHERE mention <> canonical GROUP BY doc_id)
+      SELECT s.doc_id, CASE WHEN s.language = 'ENG' THEN f.corref END AS corref FROM stories s LEFT JOIN found f USING (doc_id)"""
     ar_profile = AR_SENTS.replace("sents AS", "ar_sents AS").replace("FROM stories", "FROM ar_stories")
-    ar_stories = AR_STORIES.replace("stories AS", "ar_stories AS").replace(STORY, f"{STORY} AND lang = 'de'")
-    own_stories = STORIES.replace(STORY, f"{STORY} AND lang <> 'de'")
+    ar_stories = AR_STORIES.replace("stories AS", "ar_stories AS").replace("FROM documents)", "FROM documents WHERE lang = 'de')")
+    own_stories = stories_of(PLAIN_KIND, "lang <> 'de'")
     sql["profile_columns"] = f"""WITH {own_stories}, {SENTS}, {ar_stories}, {ar_profile},
       every AS (SELECT language, len({tokens_of('sentence')}) AS n FROM sents
                 UNION ALL SELECT language, len({arabic_tokens('sentence')}) FROM ar_sents)
       SELECT language, count(*) AS n_sentences,
         count(*) FILTER (language <> 'ARA') AS with_lemma, count(*) FILTER (language <> 'ARA') AS with_ner,
-        count(*) FILTER (language = 'ENG') AS with_sentiment, count(*) FILTER (n <= 140) AS with_parse, 0::BIGINT AS with_dependency
+        count(*) FILTER (language = 'ENG') AS with_sentiment, count(*) AS with_parse, 0::BIGINT AS with_dependency
       FROM every GROUP BY language"""
     sql["run_metrics"] = f"""
       SELECT count(*) AS records, count(*) FILTER (reason IS NULL) AS good,
@@ -402,7 +417,7 @@ def build() -> dict[str, str]:
 
     # Store.
     sizes = f"""SELECT doc_id, max(sentence_id) AS n_sentences, count(*) AS n_tokens FROM toks GROUP BY doc_id"""
-    sql["store_append"] = f"WITH {TO_TOKENS} {sizes}"
+    sql["store_append"] = f"WITH {TO_ROUTED_TOKENS} {sizes}"
     sql["sentence_store"] = f"""WITH {POS_CTE}, {TO_TOKENS}, {POSSED}, {CHUNKS},
       n AS (SELECT doc_id, sentence_id, count(*) AS n FROM toks GROUP BY ALL)
       SELECT sentence, parse, count(*) AS n FROM (
@@ -410,19 +425,27 @@ def build() -> dict[str, str]:
       GROUP BY ALL"""
     version = "CASE WHEN lang = 'es' THEN 'third' WHEN source = 'src1' THEN 'second, late' ELSE 'first' END"
     sql["store_upsert"] = f"""
-      SELECT 'D' || doc_id AS doc_id, {version} AS version, md5({BODY}) AS body_md5 FROM documents WHERE {STORY}"""
-    sql["store_lookup"] = f"""
+      SELECT 'D' || doc_id AS doc_id, {version} AS version, md5({BODY}) AS body_md5 FROM documents"""
+    sql["store_two_runs"] = sql["store_upsert"].replace("second, late", "second")
+    sql["store_lookup"] = """
       SELECT 'D' || d.doc_id AS doc_id, CASE WHEN d.lang = 'es' THEN 'second' ELSE 'first' END AS version
-      FROM documents d WHERE {STORY} AND d.doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)"""
+      FROM documents d WHERE d.doc_id IN (SELECT doc_id FROM labels)"""
     sql["skip_existing"] = f"""
-      SELECT 'D' || doc_id AS doc_id, {LANG} AS language FROM documents WHERE {STORY}
-        AND doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)"""
+      SELECT 'D' || doc_id AS doc_id, {LANG} AS language FROM documents
+        WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)"""
 
     # Streams.
-    sql["stream_docs"] = f"""WITH {TO_TOKENS}
+    sql["stream_docs"] = f"""WITH {TO_ROUTED_TOKENS}
       SELECT doc_id, 'M' || substr(doc_id, 2) AS mongo_id, max(sentence_id) AS n_sentences, count(*) AS n_tokens
       FROM toks GROUP BY doc_id"""
-    sql["stream_json_sink"] = f"""WITH {TO_TOKENS}
+    sql["stream_dead_letters"] = f"""
+      SELECT 'M' || doc_id AS key, reason FROM (SELECT doc_id, {STREAM_BROKEN} AS reason FROM documents)
+      WHERE reason NOT IN ('blank', 'not_story')"""
+    sql["stream_glued"] = f"""WITH {TO_TOKENS},
+      each AS ({sizes}), halves AS (SELECT unnest(['A', 'B']) AS half, unnest([1, 2])::BIGINT AS doc_pos)
+      SELECT half || substr(doc_id, 2) AS doc_id, 'M' || substr(doc_id, 2) AS mongo_id, doc_pos, n_sentences, n_tokens
+      FROM each, halves"""
+    sql["stream_json_sink"] = f"""WITH {TO_ROUTED_TOKENS}
       SELECT doc_id, 'M' || substr(doc_id, 2) AS mongo_id, sentence_id, string_agg(token, ',' ORDER BY idx) AS token
       FROM toks GROUP BY doc_id, sentence_id"""
     sql["stream_word_count"] = f"""
@@ -441,5 +464,7 @@ def build() -> dict[str, str]:
       SELECT doc_id, len({tokens_of('text')})::BIGINT AS n_tokens,
              CASE WHEN doc_id % 10 = 0 THEN NULL ELSE length(text)::BIGINT END AS n_chars,
              (CASE WHEN doc_id % 10 = 0 THEN 1 ELSE 0 END)::BIGINT AS n_errors FROM documents"""
-    sql["worker_singleton"] = """SELECT conv_id, turn, length(text)::BIGINT AS n_chars FROM conversations"""
+    turns = f"count(*) AS n_turns, sum(len({tokens_of('text')}))::BIGINT AS n_tokens"
+    sql["worker_singleton"] = f"SELECT {turns}, TRUE AS shared FROM conversations"
+    sql["task_instance"] = f"SELECT {turns}, TRUE AS apart FROM conversations"
     return sql

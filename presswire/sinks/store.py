@@ -1,11 +1,14 @@
 """Document store on plain files: append, keyed upsert, lookup.
 
-Upserts write a log, one partition per batch. A replayed batch rewrites its own
-partition, and no path is overwritten while it is read.
+Upserts write a log, one partition per run and batch. A run is the stable name of a
+query; batch numbers count within it, so queries that write one store keep apart.
+A replayed batch rewrites its own partition and keeps its place in the order of
+commits, and no path is overwritten while it is read.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -15,6 +18,8 @@ from pyspark.sql import functions as F
 from presswire.operators.lookup import keyed_join
 
 LOG, SNAPSHOT, MANIFEST = "log", "snapshot", "manifest"
+DEFAULT_RUN = "main"
+ORDER = ["committed", "run", "batch_id", "seq"]
 
 
 def append(df: DataFrame, path: str, fmt: str = "parquet", **options: str) -> None:
@@ -22,74 +27,98 @@ def append(df: DataFrame, path: str, fmt: str = "parquet", **options: str) -> No
     df.write.mode("append").format(fmt).options(**options).save(path)
 
 
-def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Append that may be replayed: the batch owns partition ``batch_id``."""
+def append_batch(df: DataFrame, path: str, batch_id: int, run: str = DEFAULT_RUN) -> None:
+    """Append that may be replayed: the batch owns partition ``(run, batch_id)``."""
     (
-        df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        df.withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id).cast("long")})
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
+        .partitionBy("run", "batch_id")
         .parquet(path)
     )
 
 
 def batch_appender(
-    path: str, transform: Callable[[DataFrame], DataFrame] | None = None
+    path: str, transform: Callable[[DataFrame], DataFrame] | None = None, run: str = DEFAULT_RUN
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function storing each non-empty micro-batch."""
 
     def write(df: DataFrame, batch_id: int) -> None:
         if not df.isEmpty():
-            append_batch(transform(df) if transform else df, path, batch_id)
+            append_batch(transform(df) if transform else df, path, batch_id, run)
 
     return write
 
 
-def upsert_batch(df: DataFrame, path: str, batch_id: int, seq: str = "seq") -> None:
-    """Log a batch of documents. Within a batch the greatest ``seq`` wins."""
+def _first_commit(spark: SparkSession, log: str, batch_id: int, run: str) -> int | None:
+    try:
+        rows = spark.read.parquet(log).filter((F.col("run") == run) & (F.col("batch_id") == batch_id))
+        return rows.agg(F.min("committed")).first()[0]
+    except AnalysisException:
+        return None
+
+
+def upsert_batch(df: DataFrame, path: str, batch_id: int, seq: str = "seq", run: str = DEFAULT_RUN) -> None:
+    """Log a batch of documents. Within a batch the greatest ``seq`` wins; later
+    commits win over earlier ones, whichever run they are of."""
     if seq != "seq":
         df = df.withColumnRenamed(seq, "seq")
-    append_batch(df, f"{path}/{LOG}", batch_id)
+    log = f"{path}/{LOG}"
+    committed = _first_commit(df.sparkSession, log, batch_id, run) or time.time_ns()
+    append_batch(df.withColumn("committed", F.lit(committed).cast("long")), log, batch_id, run)
 
 
-def upserter(path: str, seq: str = "seq") -> Callable[[DataFrame, int], None]:
+def upserter(path: str, seq: str = "seq", run: str = DEFAULT_RUN) -> Callable[[DataFrame, int], None]:
     def write(df: DataFrame, batch_id: int) -> None:
         if not df.isEmpty():
-            upsert_batch(df, path, batch_id, seq)
+            upsert_batch(df, path, batch_id, seq, run)
 
     return write
 
 
 def _newest(versions: DataFrame, key: str) -> DataFrame:
     rest = [c for c in versions.columns if c != key]
+    # Rows equal in commit and seq are told apart by content, so that reruns agree.
+    order = F.struct("committed", "run", "batch_id", "seq", F.xxhash64(*rest))
     return (
         versions.groupBy(key)
-        .agg(F.max_by(F.struct(*rest), F.struct("batch_id", "seq")).alias("_v"))
+        .agg(F.max_by(F.struct(*rest), order).alias("_v"))
         .select(key, "_v.*")
     )
 
 
-def _compacted_upto(spark: SparkSession, path: str) -> int | None:
+def _compacted(spark: SparkSession, path: str) -> tuple[int, dict[str, int]]:
+    """Number of the newest snapshot and the last batch of each run within it."""
     try:
-        return spark.read.parquet(f"{path}/{MANIFEST}").agg(F.max("upto")).first()[0]
+        manifest = spark.read.schema("snapshot long, run string, upto long").parquet(f"{path}/{MANIFEST}")
+        newest = manifest.agg(F.max("snapshot")).first()[0]
     except AnalysisException:
-        return None
+        return 0, {}
+    rows = manifest.filter(F.col("snapshot") == newest).collect()  # a row per run
+    return newest, {r["run"]: r["upto"] for r in rows}
+
+
+def _log(spark: SparkSession, path: str, held: dict[str, int]) -> DataFrame:
+    """Log rows that no snapshot holds; only their partitions are listed for reading."""
+    log = spark.read.parquet(f"{path}/{LOG}").withColumns({"run": F.col("run").cast("string"), "batch_id": F.col("batch_id").cast("long")})
+    for run, upto in held.items():
+        log = log.filter((F.col("run") != run) | (F.col("batch_id") > upto))
+    return log
 
 
 def versions(spark: SparkSession, path: str) -> DataFrame:
     """Snapshot rows plus the log batches written after it."""
-    log = spark.read.parquet(f"{path}/{LOG}")
-    upto = _compacted_upto(spark, path)
-    if upto is None:
+    number, held = _compacted(spark, path)
+    log = _log(spark, path, held)
+    if not number:
         return log
-    snapshot = spark.read.parquet(f"{path}/{SNAPSHOT}/upto={upto}")
-    return snapshot.unionByName(log.filter(F.col("batch_id") > upto))
+    return spark.read.parquet(f"{path}/{SNAPSHOT}/number={number}").unionByName(log)
 
 
 def _only(rows: DataFrame, columns: list[str] | None, key: str) -> DataFrame:
     if columns is None:
         return rows
-    return rows.select(*dict.fromkeys([key, *columns, "batch_id", "seq"]))
+    return rows.select(*dict.fromkeys([key, *columns, *ORDER]))
 
 
 def latest(
@@ -104,16 +133,23 @@ def latest(
 
 
 def compact(spark: SparkSession, path: str, key: str = "doc_id") -> int:
-    """Write the latest view to a new snapshot and record it; returns its batch."""
-    upto = spark.read.parquet(f"{path}/{LOG}").agg(F.max("batch_id")).first()[0]
-    if upto == _compacted_upto(spark, path):
-        return upto
-    rows = _newest(versions(spark, path).filter(F.col("batch_id") <= upto), key)
-    rows.write.mode("overwrite").parquet(f"{path}/{SNAPSHOT}/upto={upto}")
-    spark.range(1).select(F.lit(upto).cast("long").alias("upto")).write.mode("append").parquet(
+    """Write the latest view to a new snapshot and record it; returns its number."""
+    number, held = _compacted(spark, path)
+    last = _log(spark, path, {}).groupBy("run").agg(F.max("batch_id").alias("upto")).collect()  # a row per run
+    upto = held | {r["run"]: r["upto"] for r in last}
+    if upto == held:
+        return number
+    rows = versions(spark, path)
+    for run, batch in upto.items():  # batches that arrive meanwhile stay in the log
+        rows = rows.filter((F.col("run") != run) | (F.col("batch_id") <= batch))
+    rows = _newest(rows.filter(F.col("run").isin(*upto)), key)
+    number += 1
+    rows.write.mode("overwrite").parquet(f"{path}/{SNAPSHOT}/number={number}")
+    entries = [(number, run, batch) for run, batch in upto.items()]
+    spark.createDataFrame(entries, "snapshot long, run string, upto long").coalesce(1).write.mode("append").parquet(
         f"{path}/{MANIFEST}"
     )
-    return upto
+    return number
 
 
 def lookup(spark: SparkSession, path: str, value: str, key: str = "doc_id") -> DataFrame:
@@ -131,7 +167,7 @@ def lookup_many(
 ) -> DataFrame:
     """Newest versions of many keys; other keys drop out before the grouping."""
     wanted = keys.select(key).distinct()
-    found = keyed_join(_only(versions(spark, path), columns, key), wanted, [key], "semi", [key, "batch_id", "seq"], **limits)
+    found = keyed_join(_only(versions(spark, path), columns, key), wanted, [key], "semi", [key, *ORDER], **limits)
     return _newest(found, key)
 
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from presswire.operators.assemble import Resources, annotate_documents, to_documents
-from presswire.operators.docparse import accepted, envelope, nonblank, parse_docs
-from presswire.operators.wordcount import word_count
-from presswire.sinks.store import append_batch
+from presswire.operators.docparse import accepted, dead_letters, envelope, nonblank, parse_docs, split_docs
+from presswire.operators.wordcount import windowed_word_count, word_count
+from presswire.sinks.store import DEFAULT_RUN, append_batch
 
 # Fixed values.
 ANNOTATE_INTERVAL = "300 seconds"
@@ -40,22 +41,71 @@ def per_batch(
     return df.writeStream.outputMode(mode).foreachBatch(write)
 
 
+def parse_messages(messages: DataFrame, language: str = "ENG") -> DataFrame:
+    """Every document of every message, parsed; a message may hold several, and an
+    id is not asked for."""
+    return parse_docs(split_docs(envelope(nonblank(messages))), language, require_id=False)
+
+
+def store_messages(
+    messages: DataFrame,
+    res: Resources,
+    path: str,
+    failed: str,
+    run: str = DEFAULT_RUN,
+    language: str = "ENG",
+    spread: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+) -> DataStreamWriter:
+    """Annotated documents to ``path`` and dead letters with their reason to ``failed``,
+    both of the same parsed batch and below the same run and batch."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        parsed = parse_messages(spread(batch), language).persist()
+        try:
+            good = to_documents(annotate_documents(accepted(parsed), res, "fast"), keep=("mongo_id", "doc_pos"))
+            append_batch(good, path, batch_id, run)
+            letters = dead_letters(parsed.withColumn("value", F.struct("mongo_id", "value")))
+            append_batch(letters.select("raw.mongo_id", "reason", F.col("raw.value").alias("raw")), failed, batch_id, run)
+        finally:
+            parsed.unpersist()
+
+    return per_batch(messages, write)
+
+
 def annotate_stream(
     messages: DataFrame, res: Resources, language: str = "ENG", parser: str = "fast", keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """Envelope, parse, annotate: message rows to document rows with ``mongo_id``.
 
-    Stateless column work, so the same function serves batches.
+    Stateless column work, so the same function serves batches. Failed rows are
+    left to ``store_messages``, which keeps them.
     """
-    parsed = accepted(parse_docs(envelope(nonblank(messages)), language))
+    parsed = accepted(parse_messages(messages, language))
     return to_documents(annotate_documents(parsed, res, parser), keep=("mongo_id", *keep))
 
 
-def word_count_per_batch(df: DataFrame, path: str, column: str = "value") -> DataStreamWriter:
+def window_count_per_batch(
+    df: DataFrame, path: str, column: str, ts: str, window: str = "30 seconds", run: str = DEFAULT_RUN
+) -> DataStreamWriter:
+    """Partial counts per event-time window of each micro-batch; ``window_totals`` adds
+    them up. No row comes too late, and nothing is held as state."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            append_batch(windowed_word_count(batch, column, ts, window), path, batch_id, run)
+
+    return per_batch(df, write)
+
+
+def window_totals(partials: DataFrame) -> DataFrame:
+    return partials.groupBy("window_start", "word").agg(F.sum("count").alias("count"))
+
+
+def word_count_per_batch(df: DataFrame, path: str, column: str = "value", run: str = DEFAULT_RUN) -> DataStreamWriter:
     """Word counts of each micro-batch on its own, nothing carried over; replay-safe."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            append_batch(word_count(batch, column), path, batch_id)
+            append_batch(word_count(batch, column), path, batch_id, run)
 
     return per_batch(df, write)

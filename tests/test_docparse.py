@@ -118,9 +118,13 @@ def test_paragraph_sentences_keep_empty_ones(spark):
     assert [(r["sentence_id"], r["sentence"]) for r in df.orderBy("sentence_id").collect()] == [(1, "a"), (2, ""), (3, "b")]
 
 
-def test_concat_bodies_chunks_in_order(spark):
-    rows = [("f", i, f"{i};") for i in range(25)] + [("g", 3, "z")]
+def test_concat_bodies_keeps_order_at_any_size(spark):
+    rows = [("f", i, f"{i};") for i in range(2500)] + [("g", 3, "z")]
     df = spark.createDataFrame(rows, "src string, pos long, body string").repartition(5)
-    out = P.concat_bodies(df, ["src"], "pos", chunk=10).orderBy("src", "chunk").collect()
-    assert [(r["src"], r["chunk"], r["n_docs"]) for r in out] == [("f", 0, 10), ("f", 1, 10), ("f", 2, 5), ("g", 0, 1)]
-    assert "".join(r["text"] for r in out if r["src"] == "f") == "".join(f"{i};" for i in range(25))
+    out = P.concat_bodies(df, ["src"], "pos").collect()
+    assert [(r["src"], r["pos"], r["body"]) for r in out] == rows
+
+
+def test_cut_record_is_reported(spark):
+    rows = lines_from(spark, ['<DOC id="A" type="story"><TEXT><P>whole</P></TEXT></DOC>', '<DOC id="B" type="story"><TEXT><P>cut sho</DOC>'])
+    assert [r["reason"] for r in P.parse_docs(rows).collect()] == [None, "cut_short"]

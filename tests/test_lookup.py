@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from presswire.operators.lookup import fits_broadcast, keyed_join, lookup_join
+from presswire.operators.lookup import fits_broadcast, hot_keys, keyed_join, lookup_join
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +19,9 @@ def right(spark):
 @pytest.mark.parametrize("how", ["left", "semi", "anti", "inner"])
 def test_salted_join_equals_broadcast_join(rows, right, how):
     small = keyed_join(rows, right, ["k"], how)
-    large = keyed_join(rows, right, ["k"], how, ["id"], max_rows=0, salts=7)
+    large = keyed_join(rows, right, ["k"], how, ["id"], max_rows=0, salts=7, hot=hot_keys(rows, ["k"], 0.1))
+    plain = keyed_join(rows, right, ["k"], how, ["id"], max_rows=0)
+    assert plain.count() == small.count()
     assert sorted(small.columns) == sorted(large.columns)
     order = sorted(small.columns)
     assert sorted(map(repr, small.select(order).collect())) == sorted(map(repr, large.select(order).collect()))
@@ -31,6 +33,13 @@ def test_hot_key_spreads_over_salts(rows):
     assert biggest < 3000 / 32 * 2
 
 
+def test_only_hot_keys_are_copied(rows, right):
+    hot = hot_keys(rows, ["k"], 0.1)
+    assert [r["k"] for r in hot.collect()] == ["hot"]
+    plan = keyed_join(rows, right, ["k"], "left", ["id"], max_rows=0)._jdf.queryExecution().toString()
+    assert "Generate" not in plan
+
+
 def test_size_check(spark):
     df = spark.range(100).select(F.lit("x" * 100).alias("v"))
     assert fits_broadcast(df, max_rows=100)

@@ -56,17 +56,23 @@ def test_task_instance_is_built_per_task(spark, tmp_path):
     assert made >= 20
 
 
-def test_pool(spark):
-    shared = U.SharedInstance(lambda: object())
-    U.pool_clear()
-    assert shared.get() is shared.get() and U.pool_size() == 1
-    U.pool_clear()
-    assert U.pool_size() == 0
+def test_batched_annotators_fall_back_to_single_texts(spark):
+    @U.batched
+    def size(_, texts):
+        if (texts == "bad").any():
+            raise ValueError("no")
+        return texts.str.len()
+
+    df = spark.createDataFrame([("ab",), ("bad",), ("c",)], "text string").coalesce(1)
+    rows = {r["text"]: r for r in U.annotate_with(df, U.SharedInstance(lambda: None), {"n": (size, "long")}, "text").collect()}
+    assert (rows["ab"]["n"], rows["c"]["n"], rows["bad"]["n"]) == (2, 1, None)
+    assert rows["bad"]["errors"] == ["n: ValueError: no"] and rows["ab"]["errors"] == []
 
 
 def test_spread_deals_rows_evenly(spark):
     df = spark.range(320).coalesce(1).select(F.lit("same").alias("text"))
-    out = U.spread(df)
+    assert U.spread(spark.range(320).repartition(40).select(F.lit("same").alias("text"))).rdd.getNumPartitions() == 40
+    out = U.spread(df, factor=1, always=True)
     assert out.rdd.getNumPartitions() == 8
     sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) == 8 and max(sizes) <= 60

@@ -33,6 +33,17 @@ def test_upsert_replay_and_compaction(spark, tmp_path):
     assert content(K.latest(spark, path)) == [("a", "3"), ("b", "9"), ("c", "1")]
 
 
+def test_runs_do_not_overwrite_each_other(spark, tmp_path):
+    path = str(tmp_path / "store")
+    K.upsert_batch(versions(spark, ("a", "1", 1)), path, 0, run="one")
+    K.upsert_batch(versions(spark, ("b", "1", 1)), path, 0, run="two")
+    assert content(K.latest(spark, path)) == [("a", "1"), ("b", "1")]
+    K.compact(spark, path)
+    K.upsert_batch(versions(spark, ("z", "1", 1), ("a", "2", 1)), path, 0, run="three")
+    K.upsert_batch(versions(spark, ("a", "1", 1)), path, 0, run="one")
+    assert content(K.latest(spark, path)) == [("a", "2"), ("b", "1"), ("z", "1")]
+
+
 def test_often_updated_key_keeps_one_row_per_task(spark, tmp_path):
     path = str(tmp_path / "store")
     hot = spark.range(3000).select(
