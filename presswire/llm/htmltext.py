@@ -46,6 +46,8 @@ IMPLIED = {
     "option": ({"option"}, {"select"}),
     "body": ({"head"}, set()),
 }
+#: Their end tags reach up to their table; those of others stay within a cell.
+GRID = frozenset("table caption thead tbody tfoot tr td th".split())
 #: End tags do not reach beyond these.
 SCOPE = frozenset("table td th caption html".split())
 
@@ -192,8 +194,10 @@ class _Page:
     def end(self, tag: str) -> None:
         if tag == "br":
             self.start("br", "")
+        elif tag in ("html", "body"):
+            return  # what follows still belongs to the page
         elif self.count.get(tag):
-            self.upto({tag}, SCOPE - {tag})
+            self.upto({tag}, ({"table"} if tag in GRID else SCOPE) - {tag})
         elif tag == "p":
             self.start("p", "")
             self.upto({"p"}, SCOPE)
@@ -211,9 +215,7 @@ class _Page:
             self.tables[-1][-1].append((sheet.done(), self.spans.pop()))
             return
         if tag == "table" and self.tables:
-            rows = self.tables.pop()
-            sheet.end_line()
-            sheet.plain(aligned([r for r in rows if r]))
+            sheet.plain(aligned([r for r in self.tables.pop() if r]))
         if tag in BLOCK:
             sheet.end_line(1 if tag in SPACED and not (tag in ("ul", "ol", "menu") and len(self.lists) > 1) else 0)
         if tag in ("ul", "ol", "menu") and self.lists:
