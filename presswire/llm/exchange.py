@@ -36,31 +36,27 @@ def unzipped(b: bytes, kind: str, n: int) -> np.ndarray:
 
 
 def pack_sorted(v: np.ndarray, width: int) -> bytes:
-    """Elias-Fano code of ascending distinct integers below ``2**width``."""
+    """Elias-Fano code of ascending distinct integers below ``2**width``; the low parts are whole bytes."""
     n = len(v)
     if not n:
         return b""
-    low = max(0, width - max(n - 1, 1).bit_length())
+    low = min(range(0, min(width, 56) + 1, 8), key=lambda k: k * n + (1 << max(0, width - k)) + n)
     high = (v >> np.uint64(low)).astype(np.int64) + np.arange(n)
     marks = np.zeros(int(high[-1]) + 1, dtype=bool)
     marks[high] = True
-    bits = np.unpackbits(v.astype(">u8").view(np.uint8).reshape(n, 8)[:, 8 - (low + 7) // 8 :], axis=1)
-    tail = np.packbits(bits[:, bits.shape[1] - low :]) if low else np.empty(0, np.uint8)
-    return bytes([low]) + np.array([len(tail)], "<u4").tobytes() + tail.tobytes() + np.packbits(marks).tobytes()
+    tail = v.astype("<u8").view(np.uint8).reshape(n, 8)[:, : low // 8].tobytes()
+    return bytes([low]) + tail + np.packbits(marks).tobytes()
 
 
 def unpack_sorted(b: bytes, n: int) -> np.ndarray:
     if not n:
         return np.empty(0, np.uint64)
-    low, size = b[0], int(np.frombuffer(b, "<u4", 1, 1)[0])
-    marks = np.unpackbits(np.frombuffer(b, np.uint8, offset=5 + size))
-    high = (np.flatnonzero(marks)[:n] - np.arange(n)).astype(np.uint64) << np.uint64(low)
-    if not low:
-        return high
-    bits = np.unpackbits(np.frombuffer(b, np.uint8, size, 5), count=n * low).reshape(n, low)
-    wide = np.zeros((n, 64), dtype=np.uint8)
-    wide[:, 64 - low :] = bits
-    return high | np.packbits(wide, axis=1).view(">u8").ravel().astype(np.uint64)
+    low = b[0] // 8
+    wide = np.zeros((n, 8), dtype=np.uint8)
+    wide[:, :low] = np.frombuffer(b, np.uint8, n * low, 1).reshape(n, low)
+    marks = np.unpackbits(np.frombuffer(b, np.uint8, offset=1 + n * low))
+    high = (np.flatnonzero(marks)[:n] - np.arange(n)).astype(np.uint64) << np.uint64(8 * low)
+    return high | wide.view("<u8").ravel()
 
 
 class Block:
@@ -103,11 +99,11 @@ def one_row(values: dict, types: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([values.get(n)], t) for n, t in types.items()], list(types))
 
 
-def blocks_of(docs: DataFrame) -> DataFrame:
+def blocks_of(docs: DataFrame, each: int = BLOCK) -> DataFrame:
     """``docs (doc_id, text)`` as rows of whole blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in cut(batches):
+        for block in cut(batches, each):
             yield one_row(block.row(), _BLOCK_TYPES)
 
     return docs.mapInArrow(run, BLOCK_ROW)

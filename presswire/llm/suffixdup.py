@@ -1,22 +1,23 @@
 """Substrings that an earlier document has: difference-cover blockwise suffix comparison.
 
 The suffixes of the corpus are compared to a depth of ``length`` bytes, one bucket of
-them at a time, and no suffix travels that a sample has settled before:
+them at a time, and only suffixes that a sample could not clear travel:
 
 1. The sample is a difference cover: places whose distance from their document's
    start is, modulo v, in a set that holds every difference. Two equal strings of
    ``length`` bytes, wherever they begin, have sample places at one common distance
-   below v. Sample suffixes are classed by their first ``length - v + 1`` bytes;
-   only a class met twice can be part of a repeat.
-2. Sample places of such classes are ranked again by all strings of ``length`` bytes
-   around them. A context that an earlier document has settles the v suffixes that
-   begin within it: long ties never reach a bucket.
-3. What is left, the suffixes near the ends of repeats and those of the earliest
-   copy, is dealt to buckets, each sorted for itself; a group's smallest document
-   decides.
+   below v, so samples alike in their first ``length - v + 1`` bytes. Samples are
+   ranked into classes by those bytes; a suffix without a sample of a repeated class
+   within its first v bytes ties with no other and is done.
+2. The others go to buckets by the least fingerprint of the sample-deep strings they
+   begin with, which equal suffixes share. Neighbours mostly have the same one and
+   travel together as one piece of text; equal pieces of a block travel once, for
+   their smallest document.
+3. A bucket is sorted for itself, and of each group of equal suffixes the smallest
+   document decides. Answers go back in the order of the pieces.
 
 Suffixes are ordered by a 64-bit fingerprint of the compared bytes, as only equality
-at that depth matters; shipping the bytes would be fifty times the text.
+at that depth matters.
 """
 
 from __future__ import annotations
@@ -36,7 +37,9 @@ from presswire.llm.wordhash import mix
 LENGTH = 50
 # Perfect difference covers, period and residues.
 COVERS = {7: (1, 2, 4), 13: (0, 1, 3, 9), 21: (3, 6, 7, 12, 14), 31: (1, 5, 11, 24, 25, 27), 57: (0, 1, 6, 15, 22, 26, 45, 55), 73: (0, 1, 12, 20, 26, 30, 33, 35, 57)}
-CHUNK = 1 << 19  # bytes whose prefix sums are held at once
+LANE = 4 << 20  # bytes of corpus text to a bucket of suffixes, in the mean
+BLOCK = 3 << 20  # bytes of text of a block
+CHUNK = 1 << 18  # bytes whose prefix sums are held at once
 _LAST = np.int64(np.iinfo(np.int64).max)  # stands for a null id, after all others
 
 _rng = np.random.default_rng(31337)
@@ -78,6 +81,23 @@ class Hasher:
         return out
 
 
+    def every(self, raw: np.ndarray, size: int) -> np.ndarray:
+        """Fingerprints of ``raw[p : p + size]`` for all places."""
+        n = max(len(raw) - size + 1, 0)
+        out = np.empty(n, dtype=np.uint64)
+        for base in range(0, n, CHUNK):
+            m = min(CHUNK, n - base)
+            part = _CODE[raw[base : base + m + size - 1]]
+            part *= self.up[: len(part)]
+            sums = np.zeros(len(part) + 1, dtype=np.uint64)
+            np.cumsum(part, out=sums[1:])
+            h = sums[size : size + m]
+            h = h - sums[:m]
+            h *= self.down[:m]
+            out[base : base + m] = mix(h)
+        return out
+
+
 class Cover:
     def __init__(self, length: int = LENGTH) -> None:
         fits = [v for v in COVERS if length - v + 1 >= min(16, length - 6)]
@@ -115,71 +135,28 @@ def _owners(ids: list) -> np.ndarray:
     return np.array([_LAST if i is None else i for i in ids], dtype=np.int64)
 
 
-def _distinct(keys: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ascending distinct keys, the smallest owner of each, and where each key's own lies among them."""
-    order = np.argsort(keys)
-    k, o = keys[order], owner[order]
-    new = np.ones(len(k), dtype=bool)
-    new[1:] = k[1:] != k[:-1]
-    first = np.flatnonzero(new)
-    where = np.empty(len(k), dtype=np.int64)
-    where[order] = np.cumsum(new) - 1
-    return k[first], np.minimum.reduceat(o, first) if len(first) else o[:0], where
-
-
-_WORK = {"kind": pa.string(), "block": pa.int64(), "mark": pa.int64(), "doc_ids": pa.list_(pa.int64()), "sizes": pa.binary(), "texts": pa.binary(), "state": pa.binary(), "bucket": pa.int32(), "n": pa.int64(), "keys": pa.binary(), "values": pa.binary(), "owners": pa.binary(), "doc_id": pa.int64(), "row": pa.int64(), "n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept_sha256": pa.string(), "spans": pa.list_(pa.int64())}
-_WORK_ROW = "kind string, block long, mark long, doc_ids array<long>, sizes binary, texts binary, state binary, bucket int, n long, keys binary, values binary, owners binary, doc_id long, row long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>"
+_DONE = {"row": pa.int64(), "doc_id": pa.int64(), "n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept_sha256": pa.string(), "spans": pa.list_(pa.int64())}
+_DONE_ROW = "row long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>"
+_PIECE = {"bucket": pa.int32(), "block": pa.int64(), "mark": pa.int64(), "n": pa.int64(), "n_pieces": pa.int64(), "n_bytes": pa.int64(), "text": pa.binary(), "lengths": pa.binary(), "index": pa.binary(), "owners": pa.binary(), "n_owners": pa.int64()}
+_PIECE_ROW = "bucket int, block long, mark long, n long, n_pieces long, n_bytes long, text binary, lengths binary, index binary, owners binary, n_owners long"
 
 
-def _settled(rows: list[tuple]) -> pa.RecordBatch:
-    """Finished documents: row, doc_id, text, flags of removed bytes or None."""
-    out: dict[str, list] = {c: [] for c in ("row", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")}
-    for row, doc_id, text, gone in rows:
+def _settled(block: X.Block, gone: np.ndarray) -> pa.Table:
+    """Finished documents of a block; ``gone`` flags its removed bytes."""
+    out: dict[str, list] = {c: [] for c in _DONE}
+    at = 0
+    for k, (doc_id, text) in enumerate(zip(block.ids, block.texts, strict=True)):
+        flags = gone[at : at + len(text)]
+        at += len(text)
         spans: list[int] = []
         kept = text
-        if gone is not None and gone.any():
-            edge = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
-            spans = edge.tolist()
-            kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
-        for c, v in zip(out, (row, doc_id, len(text), len(text) - len(kept), len(spans) // 2, hashlib.sha256(kept).hexdigest(), spans), strict=True):
+        if flags.any():
+            spans = np.flatnonzero(np.diff(np.concatenate([[False], flags, [False]]).astype(np.int8))).tolist()
+            kept = np.frombuffer(text, np.uint8)[~flags].tobytes()
+        values = ((block.number << 20) + k, doc_id, len(text), len(text) - len(kept), len(spans) // 2, hashlib.sha256(kept).hexdigest(), spans)
+        for c, v in zip(out, values, strict=True):
             out[c].append(v)
-    n = len(rows)
-    full = {"kind": ["done"] * n} | out
-    return pa.RecordBatch.from_arrays([pa.array(full.get(c, [None] * n), t) for c, t in _WORK.items()], list(_WORK))
-
-
-def _tabled(batches: list[pa.RecordBatch]) -> pa.Table:
-    schema = pa.schema(list(_WORK.items()))
-    return pa.Table.from_batches([b for b in batches if b.num_rows], schema)
-
-
-def _part_rows(number: int, mark: int, keys: np.ndarray, owner: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
-    known, index = np.unique(owner, return_inverse=True)
-    for b in X.parts(number, mark, keys, index.astype("<u4"), 64, buckets, known):
-        values = {c: b.column(c)[0].as_py() for c in b.schema.names} | {"kind": "part"}
-        yield X.one_row(values, _WORK)
-
-
-def _pending(block: X.Block, rows: np.ndarray, state: dict[str, np.ndarray]) -> pa.RecordBatch:
-    """Documents that wait, with what is known of them."""
-    packed = [rows.astype("<i8"), *(v.astype("<u4") for v in state.values())]
-    body = np.array([len(p) for p in packed], "<i8").tobytes() + b"".join(p.tobytes() for p in packed)
-    values = block.row() | {"kind": "wait", "state": pa.compress(body, codec="zstd", asbytes=True) + len(body).to_bytes(8, "little")}
-    return X.one_row(values, _WORK)
-
-
-def _waiting(table_: pa.Table) -> tuple[X.Block, list[np.ndarray]]:
-    block = X.block_of(table_)
-    state = table_.column("state")[0].as_py()
-    body = pa.decompress(state[:-8], int.from_bytes(state[-8:], "little"), codec="zstd", asbytes=True)
-    count = (len(body) and 3)
-    sizes = np.frombuffer(body, "<i8", count)
-    at, out = 8 * count, []
-    for k, n in enumerate(sizes.tolist()):
-        kind = "<i8" if k == 0 else "<u4"
-        out.append(np.frombuffer(body, kind, n, at).astype(np.int64))
-        at += n * np.dtype(kind).itemsize
-    return block, out
+    return pa.table([pa.array(out[c], t) for c, t in _DONE.items()], names=list(_DONE))
 
 
 def _doc_of(places: np.ndarray, begins: np.ndarray) -> np.ndarray:
@@ -191,7 +168,7 @@ def _sampled(docs: DataFrame, length: int, width: int, buckets: int) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cover = _cover(length)
-        for block in X.cut(batches):
+        for block in X.cut(batches, BLOCK):
             raw, begins = _flat(block)
             h = cover.hash.at(raw, cover.sample(begins, block.sizes), cover.depth)
             h >>= np.uint64(64 - width)
@@ -205,40 +182,6 @@ def _sampled(docs: DataFrame, length: int, width: int, buckets: int) -> DataFram
     return docs.mapInArrow(run, X.PART_ROW)
 
 
-def _contexts(docs: DataFrame, said: DataFrame, length: int, width: int, buckets: int) -> DataFrame:
-    """Documents without a repeated class are done; of the others, the contexts of repeated sample places."""
-
-    def run(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
-        cover = _cover(length)
-        block = X.block_of(rows)
-        raw, begins = _flat(block)
-        places = cover.sample(begins, block.sizes)
-        h = cover.hash.at(raw, places, cover.depth) >> np.uint64(64 - width)
-        repeated = X.answers_of(block, answers)[_rank(h)] > 1 if len(h) else np.empty(0, bool)
-        places = places[repeated]
-        base = block.number << 20
-        doc = _doc_of(places, begins)
-        busy = np.unique(doc)
-        idle = np.setdiff1d(np.arange(len(block.ids)), busy)
-        out = [_settled([(base + k, block.ids[k], block.texts[k], None) for k in idle.tolist()])] if len(idle) else []
-        if len(busy):
-            left = X.Block(block.number, [block.ids[k] for k in busy], [block.texts[k] for k in busy])
-            raw2, begins2 = _flat(left)
-            new_doc = np.searchsorted(busy, doc)
-            moved = places - begins[doc] + begins2[new_doc]
-            inner = moved - begins2[new_doc]
-            whole = (inner >= cover.v - 1) & (inner + cover.length <= left.sizes[new_doc])
-            at = moved[whole] - (cover.v - 1)
-            h2 = cover.hash.at(raw2, at, cover.length + cover.v - 1)
-            keys, owner, _ = _distinct(h2, _owners(left.ids)[new_doc[whole]])
-            out.append(_pending(left, base + busy, {"places": moved, "whole": np.flatnonzero(whole)}))
-            out += _part_rows(left.number, left.mark, keys, owner, buckets)
-        return _tabled(out)
-
-    both = X.blocks_of(docs).groupBy("block").cogroup(said.groupBy("block"))
-    return saved(both.applyInArrow(run, _WORK_ROW), "contexts")
-
-
 def _rank(h: np.ndarray) -> np.ndarray:
     """Place of each key among the ascending distinct keys."""
     order = np.argsort(h)
@@ -249,60 +192,144 @@ def _rank(h: np.ndarray) -> np.ndarray:
     return out
 
 
-def _ends(work: DataFrame, said: DataFrame, length: int, buckets: int) -> DataFrame:
-    """What contexts settle, and the suffixes that are left, dealt to buckets."""
+def _spans(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Flags of the places in any of the spans [a, b)."""
+    step = np.bincount(a, minlength=n + 1) - np.bincount(b, minlength=n + 1)
+    return np.cumsum(step)[: n - 1] > 0
+
 
-    def run(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
-        cover = _cover(length)
-        block, (row, places, whole) = _waiting(rows)
-        raw, begins = _flat(block)
+class Pieces:
+    """Suffixes of a block that may be repeated, as pieces of text: runs of neighbours of one bucket.
+
+    ``begin`` and ``size`` are the pieces' first suffix and number of suffixes;
+    ``kind`` numbers equal pieces alike, and ``first`` and ``owner`` are a kind's
+    first piece and smallest document. Kinds come bucket by bucket.
+    """
+
+    def __init__(self, block: X.Block, counts: np.ndarray, cover: Cover, width: int, buckets: int) -> None:
+        raw, begins = self.raw, self.begins = _flat(block)
         own = _owners(block.ids)
-        at = places[whole] - (cover.v - 1)
-        doc = _doc_of(places, begins)
-        keys, least, where = _distinct(cover.hash.at(raw, at, cover.length + cover.v - 1), own[doc[whole]])
-        early = X.answers_of(block, answers).astype(bool)
-        known = (early[where] | (least[where] < own[doc[whole]])) if len(at) else np.empty(0, bool)
+        places = cover.sample(begins, block.sizes)
+        h = cover.hash.at(raw, places, cover.depth) >> np.uint64(64 - width)
+        places = places[counts[_rank(h)] > 1] if len(h) else places
+        del h
         n = len(raw) + 1
-        # Suffixes near repeated sample places, less those within a settled context.
+        doc = _doc_of(places, begins)
         near = _spans(np.maximum(places - (cover.v - 1), begins[doc]), places + 1, n)
-        done = _spans(at[known], at[known] + cover.v, n)
-        fits = _spans(begins, np.maximum(begins + block.sizes - cover.length + 1, begins), n)
-        left = np.flatnonzero(near & fits & ~done)
-        keys, owner, _ = _distinct(cover.hash.at(raw, left, cover.length), own[_doc_of(left, begins)])
-        gone = np.flatnonzero(done)
-        out = [_pending(block, row, {"left": left, "gone": gone})]
-        out += _part_rows(block.number, block.mark, keys, owner, buckets)
-        return _tabled(out)
-
-    both = work.filter("kind = 'wait'").groupBy("block").cogroup(said.groupBy("block"))
-    return saved(both.applyInArrow(run, _WORK_ROW), "ends")
+        near &= _spans(begins, begins + np.maximum(block.sizes - cover.length + 1, 0), n)
+        at = np.flatnonzero(near)
+        if not len(at):
+            self.begin = self.size = self.kind = self.first = self.owner = self.bucket = np.empty(0, np.int64)
+            return
+        # Least fingerprint of the strings of the sample's depth within each suffix, by doubling.
+        low = cover.hash.every(raw, cover.depth)
+        reach = 1
+        while 2 * reach <= cover.v:
+            low[: len(low) - reach] = np.minimum(low[: len(low) - reach], low[reach:])
+            reach *= 2
+        least = np.minimum(low[at], low[at + cover.v - reach])
+        del low
+        doc = _doc_of(at, begins)
+        new = np.ones(len(at), dtype=bool)
+        new[1:] = (least[1:] != least[:-1]) | (at[1:] != at[:-1] + 1) | (doc[1:] != doc[:-1])
+        # No piece is longer than a suffix, so its first and last suffixes cover all of it.
+        start = np.flatnonzero(new)
+        new[(np.arange(len(at)) - np.repeat(start, np.diff(start, append=len(at)))) % cover.length == 0] = True
+        start = np.flatnonzero(new)
+        self.begin, self.size = at[start], np.diff(start, append=len(at))
+        # A piece's own fingerprint: its first suffixes' and its last's, and its length.
+        edge = cover.hash.at(raw, self.begin, cover.length)
+        last = self.begin + self.size - 1
+        order = np.argsort(last, kind="stable")
+        tail = np.empty_like(edge)
+        tail[order] = cover.hash.at(raw, last[order], cover.length)
+        mark = mix(edge * np.uint64(3) + tail) + self.size.astype(np.uint64)
+        owner = own[doc[start]]
+        lane = ((least[start] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        order = np.lexsort((np.arange(len(mark)), owner, mark, lane))
+        m, b = mark[order], lane[order]
+        fresh = np.ones(len(m), dtype=bool)
+        fresh[1:] = (m[1:] != m[:-1]) | (b[1:] != b[:-1])
+        self.kind = np.empty(len(m), dtype=np.int64)
+        self.kind[order] = np.cumsum(fresh) - 1
+        self.first = order[fresh]
+        self.bucket, self.owner, self.mine = b[fresh], owner[self.first], owner
+
+    def rows(self, block: X.Block, length: int) -> Iterator[dict]:
+        edges = np.flatnonzero(np.diff(self.bucket, prepend=-1, append=-2)) if len(self.bucket) else np.empty(0, int)
+        for a, b in zip(edges.tolist(), edges[1:].tolist(), strict=False):
+            piece = self.first[a:b]
+            size = self.size[piece]
+            text = _cat(self.raw, self.begin[piece], size + length - 1)
+            known, index = np.unique(self.owner[a:b], return_inverse=True)
+            yield {
+                "bucket": int(self.bucket[a]), "block": block.number, "mark": block.mark, "n": int(size.sum()), "n_pieces": b - a, "n_bytes": len(text),
+                "text": X.zipped(text), "lengths": X.zipped(size.astype("<u4")), "index": X.zipped(index.astype("<u4")), "owners": X.zipped(known.astype("<i8")), "n_owners": len(known),
+            }
+
+
+def _cat(raw: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The named stretches of ``raw``, one behind the other."""
+    start = np.cumsum(size) - size
+    return raw[np.arange(int(size.sum())) + np.repeat(begin - start, size)]
+
+
+def _pieces(docs: DataFrame, sample: DataFrame, length: int, width: int, buckets: int) -> DataFrame:
+    def run(key: tuple, rows: pa.Table, said: pa.Table) -> pa.Table:
+        cover = _cover(length)
+        block = X.block_of(rows)
+        found = Pieces(block, X.answers_of(block, said), cover, width, buckets)
+        batches = [X.one_row(r, _PIECE) for r in found.rows(block, length)]
+        return pa.Table.from_batches(batches, pa.schema(list(_PIECE.items())))
 
+    both = X.blocks_of(docs, BLOCK).groupBy("block").cogroup(sample.groupBy("block"))
+    return both.applyInArrow(run, _PIECE_ROW)
 
-def _spans(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """Flags of the places in any of the spans [a, b)."""
-    step = np.bincount(a, minlength=n + 1) - np.bincount(b, minlength=n + 1)
-    return np.cumsum(step)[: n - 1] > 0
 
+def _sorted_buckets(pieces: DataFrame, length: int) -> DataFrame:
+    """For every suffix of a bucket, in its own order, whether a smaller document has it."""
 
-def _finished(work: DataFrame, said: DataFrame, length: int) -> DataFrame:
+    def run(t: pa.Table) -> pa.Table:
+        cover = _cover(length)
+        keys, owners, counts = [], [], []
+        for k in range(len(t)):
+            r = {c: t.column(c)[k].as_py() for c in _PIECE}
+            text = X.unzipped(r["text"], "u1", r["n_bytes"])
+            size = X.unzipped(r["lengths"], "<u4", r["n_pieces"]).astype(np.int64)
+            whole = size + length - 1
+            start = np.cumsum(whole) - whole
+            at = np.arange(r["n"]) + np.repeat(start - (np.cumsum(size) - size), size)
+            keys.append(cover.hash.at(text, at, length))
+            of = X.unzipped(r["owners"], "<i8", r["n_owners"])[X.unzipped(r["index"], "<u4", r["n_pieces"])]
+            owners.append(np.repeat(of, size))
+            counts.append(r["n"])
+        back = np.split(X.preceded(np.concatenate(keys), np.concatenate(owners)), np.cumsum(counts)[:-1])
+        return pa.table({"block": t.column("block"), "bucket": t.column("bucket"), "mark": t.column("mark"), "n": t.column("n"), "answer": pa.array([X.zipped(a) for a in back], pa.binary())})
+
+    return pieces.groupBy("bucket").applyInArrow(run, X.ANSWER_ROW)
+
+
+def _finished(docs: DataFrame, sample: DataFrame, said: DataFrame, length: int, width: int, buckets: int) -> DataFrame:
     def run(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
         cover = _cover(length)
-        block, (row, left, gone) = _waiting(rows)
-        raw, begins = _flat(block)
-        own = _owners(block.ids)
-        owner = own[_doc_of(left, begins)]
-        _, least, where = _distinct(cover.hash.at(raw, left, cover.length), owner)
-        early = X.answers_of(block, answers).astype(bool)
-        hit = left[early[where] | (least[where] < owner)] if len(left) else left
-        start = np.concatenate([hit, gone])
-        flags = _spans(start, start + cover.length, len(raw) + cover.length + 1)
-        out = []
-        for k, (b, s) in enumerate(zip(begins.tolist(), block.sizes.tolist(), strict=True)):
-            out.append((int(row[k]), block.ids[k], block.texts[k], flags[b : b + s]))
-        return _tabled([_settled(out)])
-
-    both = work.filter("kind = 'wait'").groupBy("block").cogroup(said.groupBy("block"))
-    return both.applyInArrow(run, _WORK_ROW)
+        block = X.block_of(rows)
+        late = answers.column("late").to_numpy(zero_copy_only=False).astype(bool)
+        found = Pieces(block, X.answers_of(block, answers.filter(pa.array(~late))), cover, width, buckets)
+        early = X.answers_of(block, answers.filter(pa.array(late))).astype(bool)
+        gone = np.zeros(len(found.raw), dtype=bool)
+        if len(found.begin):
+            size = found.size[found.first]
+            offset = np.cumsum(size) - size
+            # Each piece reads its kind's answers; a later document's copy is repeated throughout.
+            rows_ = np.arange(int(found.size.sum())) + np.repeat(offset[found.kind] - (np.cumsum(found.size) - found.size), found.size)
+            place = np.arange(int(found.size.sum())) + np.repeat(found.begin - (np.cumsum(found.size) - found.size), found.size)
+            behind = np.repeat(found.mine > found.owner[found.kind], found.size)
+            hit = place[early[rows_] | behind]
+            gone = _spans(hit, hit + length, len(found.raw) + 1)
+        return _settled(block, gone)
+
+    both = sample.withColumn("late", F.lit(False)).unionByName(said.withColumn("late", F.lit(True)))
+    return X.blocks_of(docs, BLOCK).groupBy("block").cogroup(both.groupBy("block")).applyInArrow(run, _DONE_ROW)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -319,14 +346,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     n_bytes = X.bytes_of(docs)
     width = int(min(60, max(24, int(n_bytes).bit_length() + 6)))
     buckets = int(max(12, n_bytes // 5 // X.BUCKET + 1))
-    sample = X.met(_sampled(docs, length, width, buckets), X.counted, "u1")
-    parts = [c.strip().split(" ")[0] for c in X.PART_ROW.split(",")]
-    contexts = _contexts(docs, sample, length, width, buckets)
-    ranks = X.met(contexts.filter("kind = 'part'").select(*parts), X.preceded, "<u4", with_owners=True)
-    ends = _ends(contexts, ranks, length, buckets)
-    said = X.met(ends.filter("kind = 'part'").select(*parts), X.preceded, "<u4", with_owners=True)
-    columns = ["row", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"]
-    return contexts.filter("kind = 'done'").select(*columns).union(_finished(ends, said, length).select(*columns))
+    lanes = int(max(12, n_bytes // LANE + 1))
+    sample = saved(X.met(_sampled(docs, length, width, buckets), X.counted, "u1"), "sample")
+    said = _sorted_buckets(_pieces(docs, sample, length, width, lanes), length)
+    return _finished(docs, sample, said, length, width, lanes)
 
 
 def op1_suffixdup(spark: SparkSession, sf_dir: str) -> DataFrame:
