@@ -1,8 +1,9 @@
-"""Lexicon lookups as plain expressions, for lexicons of a checked small size.
+"""Lexicon lookups as plain expressions, for lexicons of a checked size.
 
 The entries become one constant: per language an array of small maps, chosen by
-the key's CRC, so a lookup costs a few comparisons, needs no join and no
-shuffle, and is legal on streams. Larger lexicons go through
+the key's CRC, so a lookup costs a few comparisons whatever the number of entries,
+needs no join and no shuffle, and is legal on streams. The constant travels with
+every task, so its size in bytes is checked. Tables larger than that go through
 ``operators.lookup.lookup_join`` instead.
 """
 
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 
 from presswire.functions.text import let
 
-MAX_INLINE_ENTRIES = 5_000
+MAX_INLINE_BYTES = 64 << 20
+MAX_INLINE_ENTRIES = 500_000  # rows taken from a frame
 
 
 class InlineLexicon:
@@ -36,23 +38,24 @@ class InlineLexicon:
             word = key.lower()
             known[word] = min(known[word], value) if word in known else value
             total += 1
-        if total > MAX_INLINE_ENTRIES:
-            raise ValueError(
-                f"{total} entries: inline lexicons hold {MAX_INLINE_ENTRIES}; use lookup_join"
-            )
         self.buckets = max([1, *(len(v) for v in by_language.values())])
         table = {}
         for language, known in by_language.items():
             table[language] = [{} for _ in range(self.buckets)]
             for word, value in known.items():
                 table[language][zlib.crc32(word.encode()) % self.buckets][word] = value
-        self._table = json.dumps(table)
+        self._table = json.dumps(table, ensure_ascii=False)
+        size = len(self._table.encode())
+        if size > MAX_INLINE_BYTES:
+            raise ValueError(f"{total} entries take {size} bytes: inline lexicons hold {MAX_INLINE_BYTES}; use lookup_join")
         self._kind = f"map<string,array<map<string,{kind}>>>"
 
     @classmethod
     def from_frame(cls, frame: DataFrame) -> "InlineLexicon":
         """From a three-column frame (language, key, value); refuses a large one."""
         rows = frame.limit(MAX_INLINE_ENTRIES + 1).collect()
+        if len(rows) > MAX_INLINE_ENTRIES:
+            raise ValueError(f"more than {MAX_INLINE_ENTRIES} rows; use lookup_join")
         return cls(tuple(r) for r in rows)
 
     def lookup(self, tokens: Column, language: Column) -> Column:

@@ -206,7 +206,7 @@ def with_corref(docs: DataFrame) -> DataFrame:
             ),
         )
     )
-    # Sorted by place, so the first of equal mentions is the earliest.
+    # Sorted by place, so the first of equal mentions is the earliest; the others go.
     placed = F.array_sort(F.transform(F.coalesce(mentions, F.array()), lambda m: F.struct(m["at"].alias("at"), m["ner"].alias("ner"), m["mention"].alias("mention"))))
 
     def better(a: Column, b: Column) -> Column:
@@ -223,8 +223,15 @@ def with_corref(docs: DataFrame) -> DataFrame:
         known = F.filter(linked, lambda r: r["mention"] != r["c"])
         return F.array_distinct(F.transform(known, lambda r: F.concat(r["ner"], F.lit(": "), r["mention"], F.lit(" -> "), r["c"])))
 
-    text = let(placed, lambda every: F.array_join(F.array_sort(entries(every)), "; "))
-    value = F.nullif(text, F.lit("")) if hasattr(F, "nullif") else F.when(text != "", text)
+    def distinct(every: Column) -> Column:
+        def add(known: Column, m: Column) -> Column:
+            met = F.exists(known, lambda k: (k["ner"] == m["ner"]) & (k["mention"] == m["mention"]))
+            return F.when(met, known).otherwise(F.concat(known, F.array(m)))
+
+        return F.aggregate(every, F.filter(every, lambda _: F.lit(False)), add)
+
+    text = let(let(placed, distinct), lambda every: F.array_join(F.array_sort(entries(every)), "; "))
+    value = F.nullif(text, F.lit(""))
     return docs.withColumn("corref", _for_languages(F.col("language"), "corref", value, frozenset()))
 
 

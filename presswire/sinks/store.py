@@ -79,7 +79,9 @@ def upserter(path: str, seq: str = "seq", run: str = DEFAULT_RUN) -> Callable[[D
 def _newest(versions: DataFrame, key: str) -> DataFrame:
     rest = [c for c in versions.columns if c != key]
     # Rows equal in commit and seq are told apart by content, so that reruns agree.
-    order = F.struct("committed", "run", "batch_id", "seq", F.xxhash64(*rest))
+    plain = {f.name: "map<" not in f.dataType.simpleString() for f in versions.schema}
+    content = F.xxhash64(*[F.col(c) if plain[c] else F.to_json(c) for c in rest])
+    order = F.struct("committed", "run", "batch_id", "seq", content)
     return (
         versions.groupBy(key)
         .agg(F.max_by(F.struct(*rest), order).alias("_v"))

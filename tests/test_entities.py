@@ -132,8 +132,10 @@ def test_lexicon_lookup_and_defaults(one, spark):
     frame = spark.createDataFrame([("ENG", "is", "be")], "l string, w string, v string")
     from_frame = InlineLexicon.from_frame(frame)
     assert one("x", from_frame.lookup(tokens, F.lit("ENG"))) == ["be", None]
+    large = InlineLexicon(("ENG", f"w{i}", f"v{i}") for i in range(20_000))
+    assert one("x", large.lookup(F.array(F.lit("W19999"), F.lit("none")), F.lit("ENG"))) == ["v19999", None]
     with pytest.raises(ValueError):
-        InlineLexicon(("ENG", f"w{i}", "v") for i in range(5_001))
+        InlineLexicon(("ENG", f"w{i}", "v" * (1 << 20)) for i in range(65))
 
 
 def test_sentiment_bins(one):
