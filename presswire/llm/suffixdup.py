@@ -245,7 +245,8 @@ class Pieces:
         tail[order] = cover.hash.at(raw, last[order], cover.length)
         mark = mix(edge * np.uint64(3) + tail) + self.size.astype(np.uint64)
         owner = own[doc[start]]
-        lane = ((least[start] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        # Least values crowd at the low end; mixed again they spread evenly over the buckets.
+        lane = ((mix(least[start].copy()) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
         order = np.lexsort((np.arange(len(mark)), owner, mark, lane))
         m, b = mark[order], lane[order]
         fresh = np.ones(len(m), dtype=bool)
