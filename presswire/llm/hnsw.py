@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 
 LINKS = 12  # neighbours a point keeps; twice as many at the bottom
-BEAM = 48  # while building
+BEAM = 32  # while building
 AT_ONCE = 8  # beam entries opened in one step
 TOGETHER = 512  # walkers in one go
 
@@ -46,48 +46,54 @@ class Graph:
 
     def _walk(self, nb: np.ndarray, q: np.ndarray, entry: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """Beams of places in the order, best first, from ``entry`` (one place or more a walker)."""
-        n = len(nb)
         y = self.placed
+        # A beam entry is twice its place, and one more once it was opened.
         ids = np.full((len(q), beam), -1, dtype=np.int64)
         sims = np.full((len(q), beam), -np.inf, dtype=np.float32)
         e = entry[:, :beam]
         good = _fresh(e)
-        ids[:, : e.shape[1]] = np.where(good, e, -1)
+        ids[:, : e.shape[1]] = np.where(good, 2 * e, -1)
         sims[:, : e.shape[1]] = np.where(good, np.einsum("qd,qed->qe", q, y[np.maximum(e, 0)]), -np.inf)
-        ids, sims = _top(ids, sims, beam)
-        seen = np.zeros((len(q), n), dtype=bool)
+        seen = np.zeros((len(q), len(nb)), dtype=bool)
+        turn = np.empty((len(q), len(nb)), dtype=np.int16)
         r, c = np.nonzero(ids >= 0)
-        seen[r, ids[r, c]] = True
-        opened = ids < 0
+        seen[r, ids[r, c] >> 1] = True
         live = np.arange(len(q))
+        most = min(AT_ONCE, beam)
         while len(live):
-            pick = np.argsort(opened[live], axis=1, kind="stable")[:, :AT_ONCE]  # beams are sorted: best unopened first
-            busy = ~np.take_along_axis(opened[live], pick, 1)
+            i, s = ids[live], sims[live]
+            waiting = np.where(i & 1, -np.inf, s)  # -1 counts as opened
+            pick = np.argpartition(-waiting, most - 1, axis=1)[:, :most] if most < beam else np.tile(np.arange(beam), (len(live), 1))
+            busy = np.take_along_axis(waiting, pick, 1) > -np.inf
             more = busy.any(axis=1)
-            live, pick, busy = live[more], pick[more], busy[more]
+            live, i, s, pick, busy = live[more], i[more], s[more], pick[more], busy[more]
             if not len(live):
                 break
-            at = np.where(busy, np.take_along_axis(ids[live], pick, 1), -1)
-            open_ = opened[live]
-            np.put_along_axis(open_, pick, True, 1)
-            new = np.where(at[:, :, None] >= 0, nb[np.maximum(at, 0)], -1).reshape(len(live), -1)
-            ok = _fresh(new)
-            ok &= ~seen[live[:, None], np.maximum(new, 0)]
-            r, c = np.nonzero(ok)
-            seen[live[r], new[r, c]] = True
-            s = np.full(new.shape, -np.inf, dtype=np.float32)
-            s[r, c] = np.einsum("kd,kd->k", q[live[r]], y[new[r, c]])
-            both = np.concatenate([sims[live], s], axis=1)
-            order = np.argsort(-both, axis=1)[:, :beam]
-            sims[live] = np.take_along_axis(both, order, 1)
-            ids[live] = np.take_along_axis(np.concatenate([ids[live], np.where(ok, new, -1)], axis=1), order, 1)
-            opened[live] = np.take_along_axis(np.concatenate([open_, ~ok], axis=1), order, 1)
-        return ids, sims
+            at = np.take_along_axis(i, pick, 1)
+            np.put_along_axis(i, pick, at | 1, 1)
+            new = np.where(busy[:, :, None], nb[np.maximum(at >> 1, 0)], -1).reshape(len(live), -1)
+            r, c = np.nonzero(new >= 0)
+            k = new[r, c]
+            fresh = ~seen[live[r], k]
+            r, c, k = r[fresh], c[fresh], k[fresh]
+            turn[live[r], k] = c  # of equal places in a row, the last written stays
+            fresh = turn[live[r], k] == c
+            r, c, k = r[fresh], c[fresh], k[fresh]
+            seen[live[r], k] = True
+            got = np.full(new.shape, -np.inf, dtype=np.float32)
+            got[r, c] = np.einsum("kd,kd->k", q[live[r]], y[k])
+            both = np.concatenate([s, got], axis=1)
+            place = np.concatenate([i, 2 * new], axis=1)
+            best = np.argpartition(-both, beam - 1, axis=1)[:, :beam]
+            sims[live] = kept = np.take_along_axis(both, best, 1)
+            ids[live] = np.where(kept > -np.inf, np.take_along_axis(place, best, 1), -1)
+        ids >>= 1
+        return _top(ids, sims, beam)
 
     def _spread(self, ids: np.ndarray, sims: np.ndarray, keep: int) -> np.ndarray:
         """Of candidates sorted by similarity, those nearer to the point than to any kept one; then the best of the rest."""
         y = self.placed[np.maximum(ids, 0)]
-        among = np.einsum("pad,pbd->pab", y, y)
+        among = y @ y.transpose(0, 2, 1)
         kept = np.zeros(ids.shape, dtype=bool)
         valid = ids >= 0
         for j in range(ids.shape[1]):
@@ -157,59 +163,75 @@ class Graph:
             at = self._walk(nb, q, at, min(beam, len(nb)))[0]
         return np.where(at < below, at, -1) if (at < below).any(axis=1).all() else np.zeros((len(q), 1), dtype=np.int64)
 
-    def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of the indexed vectors and similarities, best first; -1 where fewer were found."""
+    def search(self, queries: np.ndarray, beam: int, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the indexed vectors and similarities, best first; -1 where fewer were found.
+
+        ``own`` are the queries' own rows, if they are indexed: walks begin there.
+        """
         ids, sims = [], []
+        home = None
+        if own is not None:
+            home = np.empty(len(self.x), dtype=np.int64)
+            home[self.order] = np.arange(len(self.x))
         for k in range(0, len(queries), TOGETHER):
             q = np.ascontiguousarray(queries[k : k + TOGETHER], dtype=np.float32)
             at = np.zeros((len(q), 1), dtype=np.int64)
-            for nb in self.layers[:-1]:
-                at = self._walk(nb, q, at, min(4, len(nb)))[0]
+            if home is not None:
+                at = home[own[k : k + TOGETHER]][:, None]
+            else:
+                for nb in self.layers[:-1]:
+                    at = self._walk(nb, q, at, min(4, len(nb)))[0]
             i, s = self._walk(self.layers[-1], q, at, min(beam, len(self.x)))
             ids.append(np.where(i >= 0, self.order[np.maximum(i, 0)], -1))
             sims.append(s)
         return np.concatenate(ids), np.concatenate(sims)
 
-    def within(self, queries: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (query, row) found with similarity ``least`` or more; a beam full of them is widened."""
-        todo, out = np.arange(len(queries)), []
-        while len(todo):
-            beam = min(beam, len(self.x))
-            nxt = []
-            each = max(1, (1 << 22) // max(beam, 1))
-            for k in range(0, len(todo), each):
-                part = todo[k : k + each]
-                ids, sims = self.search(queries[part], beam)
-                full = (sims[:, -1] >= least) & (beam < len(self.x))
-                r, c = np.nonzero((sims >= least) & ~full[:, None])
-                out.append((part[r], ids[r, c]))
-                nxt.append(part[full])
-            todo = np.concatenate(nxt)
-            beam *= 2
-        if not out:
-            return np.empty(0, int), np.empty(0, int)
-        return np.concatenate([a for a, _ in out]), np.concatenate([b for _, b in out])
-
+    def within(self, queries: np.ndarray, least: float, beam: int, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (query, row) found with similarity ``least`` or more.
 
-def audited_beam(graph: Graph, least: float, goal: float = 0.97, asked: int = 64, start: int = 32) -> tuple[int, float]:
+        A query whose beam is full of them has its beam widened to the whole shard:
+        it is compared with every row, many queries at a time.
+        """
+        if not len(queries):
+            return np.empty(0, int), np.empty(0, int)
+        beam = min(beam, len(self.x))
+        ids, sims = self.search(queries, beam, own)
+        full = (sims[:, -1] >= least) & (beam < len(self.x))
+        r, c = np.nonzero((sims >= least) & ~full[:, None])
+        a, b = [r], [ids[r, c]]
+        todo = np.flatnonzero(full)
+        each = max(1, (1 << 22) // len(self.x))
+        for k in range(0, len(todo), each):
+            part = todo[k : k + each]
+            r, c = np.nonzero(np.asarray(queries[part], dtype=np.float32) @ self.x.T >= least)
+            a.append(part[r])
+            b.append(c)
+        return np.concatenate(a), np.concatenate(b)
+
+
+def audited_beam(graph: Graph, least: float, goal: float = 0.97, asked: int = 128, start: int = 64) -> tuple[int, float]:
     """The narrowest beam, doubling from ``start``, whose recall on spread-out rows reaches ``goal``; and that recall.
 
-    Recall is of rows with similarity ``least`` or more, and of the ten nearest, as
-    a full comparison of the asked rows with all finds them.
+    Recall is of the other rows with similarity ``least`` or more, as a full
+    comparison of the asked rows with all finds them; of the ten nearest where there
+    are no such rows.
     """
     n = len(graph.x)
     rows = np.unique(np.linspace(0, n - 1, min(n, asked)).astype(int))
     full = graph.x[rows] @ graph.x.T
-    near = np.argsort(-full, axis=1, kind="stable")[:, : min(10, n)]
-    want = {(q, int(r)) for q, row in enumerate(near) for r in row}
+    full[np.arange(len(rows)), rows] = -np.inf
     links = set(zip(*(v.tolist() for v in np.nonzero(full >= least)), strict=True))
+    near = np.argsort(-full, axis=1)[:, : min(10, n - 1)]
+    want = links or {(q, int(r)) for q, row in enumerate(near) for r in row}
     beam = start
     while True:
-        ids, _ = graph.search(graph.x[rows], beam)
-        got = {(q, int(r)) for q, row in enumerate(ids[:, : max(10, 1)]) for r in row if r >= 0}
-        a, b = graph.within(graph.x[rows], least, beam)
-        met = set(zip(a.tolist(), b.tolist(), strict=True))
-        recall = min(len(got & want) / max(1, len(want)), len(met & links) / max(1, len(links)))
+        if links:
+            a, b = graph.within(graph.x[rows], least, beam, rows)
+            got = set(zip(a.tolist(), b.tolist(), strict=True))
+        else:
+            ids, _ = graph.search(graph.x[rows], beam, rows)
+            got = {(q, int(r)) for q, row in enumerate(ids) for r in row if r >= 0}
+        recall = len(got & want) / max(1, len(want))
         if recall >= goal or beam >= n:
             return beam, recall
         beam *= 2

@@ -86,7 +86,8 @@ def linked_classes(shards: DataFrame, least: float = LEAST) -> DataFrame:
                 raw, q_raw = (np.frombuffer(row[c], "<f4").reshape(-1, dim) for c in ("raw", "q_raw"))
                 cids, q_cids = np.frombuffer(row["cids"], "<i8"), np.frombuffer(row["q_cids"], "<i8")
                 x, q = _units(raw), _units(q_raw)
-                i, j = opened(raw, row["links"], row["sizes"]).within(q, least - _SLACK, row["beam"])
+                own = np.arange(len(q)) if row["asker"] == row["shard"] else None
+                i, j = opened(raw, row["links"], row["sizes"]).within(q, least - _SLACK, row["beam"], own)
                 for at in range(0, len(i), 100_000):
                     p, r = i[at : at + 100_000], j[at : at + 100_000]
                     sure = (np.einsum("kd,kd->k", q[p], x[r]) >= least) & (q_cids[p] != cids[r])
