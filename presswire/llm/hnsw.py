@@ -190,15 +190,18 @@ class Graph:
         """Pairs (query, row) found with similarity ``least`` or more.
 
         A query whose beam is full of them has its beam widened to the whole shard:
-        it is compared with every row, many queries at a time.
+        it is compared with every row, many queries at a time. So is every query if
+        the beam is as wide as the shard, as a walk may not reach all of it.
         """
         if not len(queries):
             return np.empty(0, int), np.empty(0, int)
-        beam = min(beam, len(self.x))
-        ids, sims = self.search(queries, beam, own)
-        full = (sims[:, -1] >= least) & (beam < len(self.x))
-        r, c = np.nonzero((sims >= least) & ~full[:, None])
-        a, b = [r], [ids[r, c]]
+        a, b = [], []
+        full = np.ones(len(queries), dtype=bool)
+        if beam < len(self.x):
+            ids, sims = self.search(queries, beam, own)
+            full = sims[:, -1] >= least
+            r, c = np.nonzero((sims >= least) & ~full[:, None])
+            a, b = [r], [ids[r, c]]
         todo = np.flatnonzero(full)
         each = max(1, (1 << 22) // len(self.x))
         for k in range(0, len(todo), each):
@@ -209,28 +212,33 @@ class Graph:
         return np.concatenate(a), np.concatenate(b)
 
 
-def audited_beam(graph: Graph, least: float, goal: float = 0.97, asked: int = 128, start: int = 64) -> tuple[int, float]:
+def audited_beam(graph: Graph, least: float, goal: float = 0.97, asked: int = 128, start: int = 64, queries: np.ndarray | None = None) -> tuple[int, float]:
     """The narrowest beam, doubling from ``start``, whose recall on spread-out rows reaches ``goal``; and that recall.
 
-    Recall is of the other rows with similarity ``least`` or more, as a full
-    comparison of the asked rows with all finds them; of the ten nearest where there
-    are no such rows.
+    Recall is of the rows with similarity ``least`` or more, as a full comparison of
+    the asked rows with all finds them; of the ten nearest where there are no such
+    rows. Walks of the indexed rows themselves begin at their own place and do not
+    count it; those of ``queries``, which are not indexed, come down from the top.
     """
     n = len(graph.x)
-    rows = np.unique(np.linspace(0, n - 1, min(n, asked)).astype(int))
-    full = graph.x[rows] @ graph.x.T
-    full[np.arange(len(rows)), rows] = -np.inf
+    own = queries is None
+    asking = graph.x if own else queries
+    rows = np.unique(np.linspace(0, len(asking) - 1, min(len(asking), asked)).astype(int))
+    q, home = np.asarray(asking[rows], dtype=np.float32), rows if own else None
+    full = q @ graph.x.T
+    if own:
+        full[np.arange(len(rows)), rows] = -np.inf
     links = set(zip(*(v.tolist() for v in np.nonzero(full >= least)), strict=True))
-    near = np.argsort(-full, axis=1)[:, : min(10, n - 1)]
-    want = links or {(q, int(r)) for q, row in enumerate(near) for r in row}
+    near = np.argsort(-full, axis=1)[:, : min(10, n - 1 if own else n)]
+    want = links or {(k, int(r)) for k, row in enumerate(near) for r in row}
     beam = start
     while True:
         if links:
-            a, b = graph.within(graph.x[rows], least, beam, rows)
+            a, b = graph.within(q, least, beam, home)
             got = set(zip(a.tolist(), b.tolist(), strict=True))
         else:
-            ids, _ = graph.search(graph.x[rows], beam, rows)
-            got = {(q, int(r)) for q, row in enumerate(ids) for r in row if r >= 0}
+            ids, _ = graph.search(q, beam, home)
+            got = {(k, int(r)) for k, row in enumerate(ids) for r in row if r >= 0}
         recall = len(got & want) / max(1, len(want))
         if recall >= goal or beam >= n:
             return beam, recall

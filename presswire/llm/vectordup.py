@@ -2,8 +2,9 @@
 
 Equal vectors of a label become one class first, so that thousands of copies are
 one point. Classes are dealt over shards of bounded size; each shard is indexed
-once, and the classes of every shard of the label are looked up in it. What a graph
-finds is compared again in double precision.
+once, and the classes of every shard of the label are looked up in it, with a beam
+audited for each pair of shards. What a graph finds is compared again in double
+precision.
 """
 
 from __future__ import annotations
@@ -42,6 +43,14 @@ def _units(raw: np.ndarray) -> np.ndarray:
     return wide / np.linalg.norm(wide, axis=1, keepdims=True)
 
 
+def _packed(rows: pd.DataFrame, raw: np.ndarray, graph: hnsw.Graph, beam: int, recall: float) -> pd.DataFrame:
+    """The row of a shard."""
+    first = rows.iloc[0]
+    links = b"".join(nb.astype("<i4").tobytes() for nb in graph.layers)
+    sizes = np.array([nb.shape for nb in graph.layers], dtype="<i8").tobytes()
+    return pd.DataFrame([[first["label"], first["dim"], first["shard"], len(rows), rows["cid"].to_numpy().astype("<i8").tobytes(), raw.tobytes(), graph.order.astype("<i8").tobytes() + links, sizes, beam, recall]], columns=["label", "dim", "shard", "n", "cids", "raw", "links", "sizes", "beam", "recall"])
+
+
 def build_shards(cls: DataFrame, least: float = LEAST, shard: int = SHARD) -> DataFrame:
     """One row a shard: its vectors, and the graph's beam after the audit with the recall it reached."""
     counts = cls.groupBy("label", "dim").agg(F.ceil(F.count(F.lit(1)) / shard).cast("int").alias("shards"))
@@ -52,10 +61,7 @@ def build_shards(cls: DataFrame, least: float = LEAST, shard: int = SHARD) -> Da
         raw = np.stack(rows["embedding"].to_numpy()).astype(np.float32)
         graph = hnsw.Graph(_units(raw))
         beam, recall = hnsw.audited_beam(graph, least - _SLACK)
-        first = rows.iloc[0]
-        links = b"".join(nb.astype("<i4").tobytes() for nb in graph.layers)
-        sizes = np.array([nb.shape for nb in graph.layers], dtype="<i8").tobytes()
-        return pd.DataFrame([[first["label"], first["dim"], first["shard"], len(rows), rows["cid"].to_numpy().astype("<i8").tobytes(), raw.tobytes(), graph.order.astype("<i8").tobytes() + links, sizes, beam, recall]], columns=["label", "dim", "shard", "n", "cids", "raw", "links", "sizes", "beam", "recall"])
+        return _packed(rows, raw, graph, beam, recall)
 
     return saved(dealt.select("label", "dim", "shard", "cid", "embedding").groupBy("label", "dim", "shard").applyInPandas(build, _SHARD), "shards")
 
@@ -87,7 +93,11 @@ def linked_classes(shards: DataFrame, least: float = LEAST) -> DataFrame:
                 cids, q_cids = np.frombuffer(row["cids"], "<i8"), np.frombuffer(row["q_cids"], "<i8")
                 x, q = _units(raw), _units(q_raw)
                 own = np.arange(len(q)) if row["asker"] == row["shard"] else None
-                i, j = opened(raw, row["links"], row["sizes"]).within(q, least - _SLACK, row["beam"], own)
+                graph, beam = opened(raw, row["links"], row["sizes"]), row["beam"]
+                if own is None:
+                    # Walks from the top find other rows than those of the shard's own audit.
+                    beam, _ = hnsw.audited_beam(graph, least - _SLACK, start=beam, queries=q)
+                i, j = graph.within(q, least - _SLACK, beam, own)
                 for at in range(0, len(i), 100_000):
                     p, r = i[at : at + 100_000], j[at : at + 100_000]
                     sure = (np.einsum("kd,kd->k", q[p], x[r]) >= least) & (q_cids[p] != cids[r])

@@ -1,6 +1,7 @@
 """Vector near-duplicates, page text, and the pipeline's stages on small tables."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,6 +64,53 @@ def test_graph_recall_on_spread_vectors():
     assert (again.search(x[:50], 32)[0] == graph.search(x[:50], 32)[0]).all()
 
 
+def islands(rng, groups, each):
+    """Two sets of rows around the same centres, and a graph of the first whose groups are cut off from each other."""
+    centre = rng.normal(size=(groups, 16))
+    x, q = (vectordup._units((np.repeat(centre, each, 0) + rng.normal(size=(groups * each, 16)) * 0.01).astype(np.float32)) for _ in "xq")
+    graph = hnsw.Graph(x)
+    group = graph.order // each
+    graph.layers = [np.where(group[np.maximum(nb, 0)] == group[: len(nb), None], nb, -1) for nb in graph.layers]
+    return x, q, graph
+
+
+def test_descent_is_audited():
+    x, q, graph = islands(np.random.default_rng(6), 20, 40)
+    least = 0.98
+    own, recall = hnsw.audited_beam(graph, least)
+    assert own == 64 and recall >= 0.97
+    beam, recall = hnsw.audited_beam(graph, least, start=own, queries=q)
+    assert recall >= 0.97
+    a, b = graph.within(q, least, beam)
+    assert len(set(zip(a.tolist(), b.tolist()))) >= 0.97 * (q @ x.T >= least).sum()
+
+
+def test_shards_above_the_beam_find_each_other(spark, monkeypatch):
+    centre = np.random.default_rng(7).normal(size=(15, 16))
+    rng = np.random.default_rng(8)
+    rows = [(k, (centre[k % 15] + rng.normal(size=16) * 0.01).astype(np.float32).tolist(), 1) for k in range(1350)]
+
+    def cut(cls, least, shard):
+        """Three shards of 450 rows, whose groups of 30 are cut off from each other in the graph."""
+        held, out = cls.toPandas().assign(shard=lambda c: c["rep"] // 15 % 3), []
+        for _, part in held.groupby("shard"):
+            raw = np.stack(part["embedding"].to_numpy()).astype(np.float32)
+            graph = hnsw.Graph(vectordup._units(raw))
+            near = graph.placed @ graph.placed.T >= 0.9
+            graph.layers = [np.where(near[np.arange(len(nb))[:, None], np.maximum(nb, 0)], nb, -1) for nb in graph.layers]
+            beam, recall = hnsw.audited_beam(graph, least)
+            assert beam == 64 < len(raw) and recall >= 0.97
+            out.append(vectordup._packed(part, raw, graph, beam, recall))
+        return spark.createDataFrame(pd.concat(out), vectordup._SHARD)
+
+    monkeypatch.setattr(vectordup, "build_shards", cut)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    x = vectordup._units(np.array([r[1] for r in rows], dtype=np.float32))
+    want = (x @ x.T >= 0.98).sum(axis=1) - 1
+    got = {r["vec_id"]: r["n_links"] for r in vectordup.near_duplicates(df).collect()}
+    assert sum(got.values()) >= 0.97 * want.sum() and all(got[k] <= want[k] for k in got)
+
+
 @pytest.mark.parametrize(
     ("html", "text"),
     [
