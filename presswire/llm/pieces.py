@@ -4,8 +4,8 @@ A text is cut where the tokenizer's own pre-split always cuts: before a single s
 or newline between two characters that are no white space, and behind such a
 newline. Tokens never cross such a place, so the ids of a text are those of its
 pieces in a row. Most pieces repeat; each worker keeps the ids of those it has met,
-up to a bound. New ones go to the library joined by newlines, whose own id parts
-them again.
+up to a bound. New ones that begin and end with no white space go to the library joined by
+newlines, whose own id parts them again; others go alone.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
@@ -52,7 +53,8 @@ class PieceEncoder:
         marked = [p for p in new if p[-1:] in _MARKS and p[-2:-1].isalpha()]
         new.difference_update(marked)
         new.update(p[:-1] for p in marked if p[:-1] not in memo)
-        plain = [] if self.newline is None else [p for p in new if "\n" not in p]
+        # Only pieces that begin and end with no white space keep apart from a newline beside them.
+        plain = [] if self.newline is None else [p for p in new if "\n" not in p and p and not p[0].isspace() and not p[-1].isspace()]
         for k in range(0, len(plain), CALL):
             part = plain[k : k + CALL]
             got = self.ids("\n".join([lead + p for p in part]))
@@ -62,7 +64,7 @@ class PieceEncoder:
             flat, wide = got.astype(self.kind).tobytes(), self.kind.itemsize
             edges = [-1, *cuts.tolist(), len(got)]
             memo.update((p, flat[(a + 1) * wide : b * wide]) for p, a, b in zip(part, edges, edges[1:], strict=False))
-        for p in new if self.newline is None else (p for p in new if "\n" in p):
+        for p in new.difference(plain):
             memo[p] = self.ids(lead + p).astype(self.kind).tobytes()
         for p in marked:
             memo[p] = memo[p[:-1]] + self.marks[p[-1]]
@@ -83,9 +85,10 @@ class PieceEncoder:
         lines: list[list[str]] = []
         ends: list[int] = []
         for t in texts:
-            # As many words as spaces and newlines part: no run of white space, none at the ends.
-            if self.newline is not None and t.count(" ") + t.count("\n") + 1 == len(t.split()):
-                lines += [x.split(" ") for x in t.split("\n")]
+            # Single spaces and newlines between words and no other white space: both splits give the words.
+            cut = [x.split(" ") for x in t.split("\n")] if self.newline is not None else []
+            if list(chain.from_iterable(cut)) == t.split() and cut:
+                lines += cut
             else:
                 lines.append(_SAFE.split(t))
             ends.append(len(lines))

@@ -341,3 +341,18 @@ def test_rans_blocks():
     broken[len(block) // 2] ^= 1
     with pytest.raises(ValueError, match="checksum"):
         rans.decode(bytes(broken), table)
+
+
+def test_pieces_equal_the_library():
+    from presswire.llm.pieces import PieceEncoder
+
+    coder = PieceEncoder(tokenfiles.default_vocabulary())
+    texts = ["a\tb\tc\n\n\nd", "name\tage\tcity\n\n\nrow", "a\t\tb\n\n", "a\r\nb\r\n\r\nc", "a b c　d\n\n\ne", "x\x0by\x1cz\n\n\nw"]
+    texts += ["", " ", "\n", "  x", "\t x", "a ", "a\t", "a  b\n\n\nc\n\nd", "one, two.\nthree\n\n  - x\n\t- y", "plain words\nand a line"]
+    want = [coder.ids(t).tolist() for t in texts]
+    assert [np.frombuffer(b, coder.kind).tolist() for b in coder.encode(texts)] == want
+    rng = random.Random(3)
+    some = ["a", "word", "it's", "x,", ".", "1", "é", " ", " ", "\n", "\n", "\t", "\r\n", " ", " ", "\x0b", "\x1c", "\x85"]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randint(0, 25))) for _ in range(3000)]
+    want = [coder.ids(t).tolist() for t in texts]
+    assert [np.frombuffer(b, coder.kind).tolist() for b in coder.encode(texts)] == want
