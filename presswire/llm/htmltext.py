@@ -28,7 +28,17 @@ _HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidde
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template noscript textarea title iframe noembed noframes select datalist object audio video canvas svg math".split())
+UNSEEN = frozenset("head script style template noscript title iframe noembed noframes datalist object audio video canvas".split())
+#: Hidden within a drawing or a formula only.
+UNDRAWN = frozenset("desc metadata defs symbol clippath mask annotation annotation-xml mphantom".split())
+#: What an open head may hold; any other start tag ends it.
+HEADED = frozenset("head html base basefont bgsound link meta title style script noscript template noframes".split())
+#: Elements of a formula whose parts stand apart.
+APART = frozenset("mfrac mroot msub msup msubsup munder mover munderover mmultiscripts mtr mtable".split())
+#: Start tags of HTML that end a drawing or a formula.
+BREAKS = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strike strong sub sup table tt u ul var".split())
+#: Where HTML goes on within a drawing or a formula.
+INNER = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset hr menu".split())
 BLOCK = SPACED | frozenset("html body address article aside center dd details dialog div dt figcaption footer form header legend li main nav section summary tr caption option optgroup".split())
 CLOSES_P = BLOCK - frozenset("html body tr caption option optgroup legend".split())
@@ -44,7 +54,9 @@ IMPLIED = {
     "tbody": ({"thead", "tbody", "tfoot", "caption"}, {"table"}),
     "tfoot": ({"thead", "tbody", "tfoot", "caption"}, {"table"}),
     "option": ({"option"}, {"select"}),
-    "body": ({"head"}, set()),
+    "input": ({"select"}, {"table", "td", "th"}),
+    "textarea": ({"select"}, {"table", "td", "th"}),
+    "select": ({"select"}, {"table", "td", "th"}),
 }
 #: Their end tags reach up to their table; those of others stay within a cell.
 GRID = frozenset("table caption thead tbody tfoot tr td th".split())
@@ -127,8 +139,29 @@ class _Page:
         self.spans: list[int] = []
         self.lists: list[int | None] = []
         self.margins: list[int] = []
+        self.selects: list[tuple[bool, list]] = []  # whether all options show, and (chosen, disabled, lines) of each
+        self.options: list[tuple[bool, bool, str]] = []  # chosen, disabled, label of those open
+
+    def drawn(self) -> bool:
+        """Whether the next tag belongs to a drawing or a formula."""
+        if self.count.get("svg") or self.count.get("math"):
+            for tag, _ in reversed(self.open):
+                if tag in ("svg", "math"):
+                    return True
+                if tag in INNER:
+                    return False
+        return False
 
-    def start(self, tag: str, attrs: str) -> None:
+    def start(self, tag: str, attrs: str) -> bool:
+        """Open an element; False if it has no content."""
+        if self.open and (tag == "html" or (tag == "head" and self.open[-1][0] != "html")):
+            return False
+        if tag not in HEADED and self.open and self.open[-1][0] == "head":
+            self.close()
+        drawn = self.drawn()
+        if drawn and tag in BREAKS:
+            self.upto({"svg", "math"}, set())
+            drawn = self.drawn()
         if tag in CLOSES_P and self.count.get("p"):
             self.upto({"p"}, SCOPE)
         if tag in IMPLIED:
@@ -136,21 +169,40 @@ class _Page:
             while any(self.count.get(e) for e in ends) and self.upto(ends, stop):
                 pass
         a = {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(attrs)} if attrs.strip(" /\n\t") else {}
-        hides = tag in UNSEEN or "hidden" in a or bool(_HIDING.search(a.get("style", "")))
+        hides = tag in UNSEEN or "hidden" in a or bool(_HIDING.search(a.get("style", ""))) or (drawn and tag in UNDRAWN)
+        # A closed select shows its option even if the list hides it.
+        option = tag == "option" and bool(self.selects) and not self.hidden
+        if option and not self.selects[-1][0]:
+            hides = False
         if tag in VOID:
             if not hides and not self.hidden:
                 if tag == "br":
                     self.sheets[-1].end_line(forced=True)
                 elif tag == "hr":
                     self.sheets[-1].end_line(1)
-            return
+            return False
+        if attrs.endswith("/") and (drawn or tag in ("svg", "math")):
+            return False
+        if drawn and not self.hidden and (tag == "text" or self.open[-1][0] in APART):
+            self.sheets[-1].text(" ")
         self.open.append((tag, hides))
         self.count[tag] = self.count.get(tag, 0) + 1
         self.hidden += hides
         if self.hidden:
-            return
+            return True
         sheet = self.sheets[-1]
-        if tag in BLOCK:
+        if option:
+            self.options.append(("selected" in a, "disabled" in a, unescape(a.get("label", ""))))
+            self.sheets.append(Sheet())
+            return True
+        if tag == "select":
+            size = a.get("size", "1")
+            self.selects.append(("multiple" in a or bool(re.fullmatch(r"0*(?:[2-9]|[1-9]\d+)", size)), []))
+            self.sheets.append(Sheet())  # text outside its options is not shown
+            return True
+        if tag == "optgroup" and self.selects and self.selects[-1][0] and a.get("label"):
+            self.selects[-1][1].append((False, True, [unescape(a["label"])]))
+        if tag in BLOCK or tag == "textarea":
             sheet.end_line(1 if tag in SPACED and not (tag in ("ul", "ol", "menu") and self.lists) else 0)
         if tag in ("ul", "menu"):
             self.lists.append(None)
@@ -166,7 +218,7 @@ class _Page:
             sheet.bullet = mark
         elif tag in ("blockquote", "dd"):
             sheet.margin.append("    ")
-        elif tag == "pre":
+        elif tag in ("pre", "textarea"):
             self.pre += 1
         elif tag == "table":
             self.tables.append([])
@@ -178,6 +230,7 @@ class _Page:
             span = a.get("colspan", "1")
             self.spans.append(min(1000, max(1, int(span))) if re.fullmatch(r"\d{1,6}", span) else 1)
             self.sheets.append(Sheet())
+        return True
 
     def upto(self, tags: set | frozenset, stop: set | frozenset) -> bool:
         """Close the innermost of ``tags`` and what is open within, unless ``stop`` comes first."""
@@ -210,6 +263,24 @@ class _Page:
         if not seen:
             return
         sheet = self.sheets[-1]
+        if tag == "option" and self.selects:
+            chosen, disabled, label = self.options.pop()
+            lines = self.sheets.pop().done()
+            self.selects[-1][1].append((chosen, disabled, [label] if label.strip() else lines))
+            return
+        if tag == "select":
+            self.sheets.pop()
+            every, options = self.selects.pop()
+            sheet = self.sheets[-1]
+            if every:
+                sheet.plain([line for _, _, lines in options for line in lines])
+            else:
+                shown = [o[2] for o in options if o[0]][-1:] or [o[2] for o in options if not o[1]][:1]
+                for lines in shown:
+                    sheet.text(" " + " ".join(lines) + " ")
+            return
+        if tag == "text" and self.count.get("svg"):
+            sheet.text(" ")
         if tag in ("td", "th") and self.spans and len(self.sheets) > 1:
             self.sheets.pop()
             self.tables[-1][-1].append((sheet.done(), self.spans.pop()))
@@ -224,13 +295,18 @@ class _Page:
             sheet.margin.pop()
             if tag == "li":
                 sheet.bullet = ""
-        elif tag == "pre":
+        elif tag in ("pre", "textarea"):
             self.pre -= 1
 
     def data(self, s: str) -> None:
+        top = self.open[-1][0] if self.open else ""
+        if top == "head" and unescape(s).strip(" \t\n\r\f"):
+            self.close()
         if self.hidden or not s:
             return
         s = unescape(s) if "&" in s else s
+        if top in ("svg", "g", "math") and not s.strip(" \t\n\r\f"):
+            return
         if not self.pre:
             self.sheets[-1].text(s)
             return
@@ -264,8 +340,7 @@ def visible_text(html: str) -> str:
         if m.group(2):
             page.end(tag)
             continue
-        page.start(tag, m.group(4))
-        if tag in RAW:
+        if page.start(tag, m.group(4)) and tag in RAW:
             stop = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(html, at)
             upto = stop.start() if stop else len(html)
             page.data(html[at:upto])

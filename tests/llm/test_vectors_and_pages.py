@@ -166,3 +166,26 @@ def test_pipeline_stages(spark, tmp_path):
     last = C.STAGES[-1][1](spark, now, str(tmp_path)).collect()
     assert sorted(str(r["doc_id"]) for r in last) == sorted(str(r["doc_id"]) for r in now.collect())
     assert C.run(spark, str(tmp_path)).count() == len(last)
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<head><title>t</title><p>Hello", "Hello"),
+        ("<html><head><meta charset=utf-8><title>t</title><style>p{}</style> <div>a</div>b", "a\nb"),
+        ("<head><title>t</title>plain words<p>b", "plain words\n\nb"),
+        ("<head><noscript><img src=x></noscript><template><p>no</template><script>1<2</script><h1>x</h1>", "x"),
+        ("<head><title>t</title></head><body>x<head>y", "xy"),
+        ("<p>so <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><annotation>tex</annotation></math>.", "so x= 1 2."),
+        ("<svg><title>t</title><defs><text>no</text></defs><path d='m'/><text x=1>North</text><g/><text>South</text></svg> end", "North South end"),
+        ("<svg><defs/><text>a</text></svg><style/></style>b", "a b"),
+        ("<label>Say</label><textarea>\none\n two &amp; three</textarea>x", "Say\none\n two & three\nx"),
+        ("in <select><option>a<option selected>b<option>c</select> now", "in b now"),
+        ("<select><option disabled>pick<option>a<option>b</select>", "a"),
+        ("<select><option hidden selected>pick</option><option label='L'>a</select>", "pick"),
+        ("<select multiple><optgroup label=G><option>a<option>b</select>x", "G\na\nb\nx"),
+        ("<select hidden><option>a</select><datalist><option>b</datalist>c", "c"),
+    ],
+)
+def test_page_text_is_whole(html, text):
+    assert htmltext.visible_text(html) == text
