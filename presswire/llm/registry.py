@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from presswire.llm import decontaminate, htmltext, langcrf, lmscore, mixing, shingletree, suffixdup, tokencount, tokenfiles, vectordup
+from presswire.llm import (
+    decontaminate, hardnegatives, htmltext, langcrf, linededup, lmscore, mixing, pivotcodes, shingletree, suffixdup, tokencount, tokenfiles, vectordup,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,9 +24,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_tokencount": tokencount.op8_tokencount,
         "op9_lmscore": lmscore.op9_lmscore,
         "op10_vectordup": vectordup.op10_vectordup,
+        "op11_hardnegatives": hardnegatives.op11_hardnegatives,
+        "op12_pivotcodes": pivotcodes.op12_pivotcodes,
+        "op13_linededup": linededup.op13_linededup,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": decontaminate.ORACLE} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    given = {
+        "op3_decontaminate": decontaminate.ORACLE,
+        "op11_hardnegatives": hardnegatives.ORACLE,
+        "op12_pivotcodes": pivotcodes.ORACLE,
+        "op13_linededup": linededup.ORACLE,
+        "pipeline": corpus_pipeline.ORACLE_SQL,
+    }
+    return {name: sql for name, sql in given.items() if sql}
