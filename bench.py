@@ -15,7 +15,7 @@ from presswire.plans import catalog  # noqa: E402
 HEADLINE = (
     "word_count", "top_words", "doc_header", "dead_letters", "docs_xml", "tokens", "lemmas", "pos_tags",
     "entity_tags", "entity_spans", "entity_tags_joined", "chunks", "sentiment", "truecase", "regex_entities",
-    "aliases", "relations", "documents_assembled", "clean_markup", "corpus_concat", "store_append",
+    "aliases", "relations", "documents_assembled", "documents_selected", "documents_tables", "clean_markup", "corpus_concat", "store_append",
     "store_upsert", "skip_existing", "stream_docs", "stream_word_count", "stream_window_count", "bulk_annotate",
 )
 

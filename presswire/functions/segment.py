@@ -42,3 +42,16 @@ def tokenize_arabic(c: Column | str) -> Column:
 
 def tokens_of(c: Column | str, language: Column) -> Column:
     return F.when(language == "ARA", tokenize_arabic(c)).otherwise(tokenize(c))
+
+
+def grams(tokens: Column, longest: int) -> Column:
+    """Runs of 1 to ``longest`` neighbouring tokens as ``array<struct<at, k, text>>``; ``at`` counts from 1."""
+
+    def of_size(k: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(tokens), F.lit(1)))
+        whole = F.slice(starts, F.lit(1), F.greatest(F.size(tokens) - k + 1, F.lit(0)))
+        return F.transform(
+            whole, lambda at: F.struct(at.alias("at"), k.alias("k"), F.array_join(F.slice(tokens, at, k), " ").alias("text"))
+        )
+
+    return F.flatten(F.transform(F.sequence(F.lit(1), F.lit(longest)), of_size))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +12,8 @@ from presswire.functions import spans as S
 from presswire.functions.lexicon import PHRASES, InlineLexicon, phrase_entries, regex_tags
 from presswire.functions.segment import sentences_of, tokens_of
 from presswire.functions.text import let
+from presswire.operators.planner import CARD_FIELDS, PROFILES, Plan, Wanted, profile
+from presswire.operators.planner import plan as annotation_plan
 from presswire.operators.rows import pin
 
 SENTENCE_FIELDS = (
@@ -25,27 +27,25 @@ SENTENCE_TYPE = (
 )
 DOCUMENT_FIELDS = ("doc_id", "type", "head_line", "date_line", "language", "corref", "sentences")
 
-# Annotations produced per language. Both parser modes bracket every
-# sentence, however long; ``sentences.mark_long`` flags those over the limit.
-PROFILES: dict[str, frozenset[str]] = {
-    "ENG": frozenset({"token", "lemma", "parse", "ner_merged", "sentiment", "corref"}),
-    "ESP": frozenset({"token", "lemma", "parse", "ner_grouped"}),
-    "ARA": frozenset({"token", "parse"}),
-}
-OPTIONAL = frozenset({"relation"})
 PARSER_MODES = ("default", "fast")
 
 
 Entries = Iterable[tuple[str, str, str]]
-CARD = f"struct<lemma: string, pos: string, weight: int, phrases: {PHRASES}>"
+Lookup = Callable[[Column, Column], Column]
+FIELD_TYPES = {"lemma": "string", "pos": "string", "weight": "int", "phrases": PHRASES}
+
+
+def card_type(fields: Iterable[str]) -> str:
+    return "struct<" + ", ".join(f"{f}: {FIELD_TYPES[f]}" for f in fields) + ">"
 
 
 class Resources:
     """Lexicons of a run, each ``(language, word or phrase, value)``; an empty one
     leaves its annotation at the default.
 
-    All of them fold into one table of word cards, so annotating takes one lookup
-    per token.
+    They fold into one table of word cards, so annotating takes one lookup per
+    token. The table is a constant of the plan, of checked size; ``tables.TableResources``
+    takes lexicons of any size.
     """
 
     def __init__(
@@ -59,10 +59,11 @@ class Resources:
         gazetteer = list(gazetteer)
         self.rules = tuple(rules)
         self.longest = max((len(p.split(" ")) for _, p, _ in gazetteer), default=1)
-        cards: dict[tuple[str, str], dict] = {}
+        self._cards: dict[tuple[str, str], dict] = {}
+        self._folded: dict[tuple[str, ...], InlineLexicon] = {}
 
         def put(name: str, language: str, word: str, value: object) -> None:
-            card = cards.setdefault((language, word.lower()), {})
+            card = self._cards.setdefault((language, word.lower()), {})
             card[name] = min(card[name], value) if name in card else value
 
         for name, entries in (("lemma", lemma), ("pos", pos)):
@@ -72,16 +73,21 @@ class Resources:
             put("weight", language, word, int(value))
         for language, word, value in phrase_entries(gazetteer):
             put("phrases", language, word, value)
-        self.cards = InlineLexicon([(lang, word, card) for (lang, word), card in cards.items()], CARD)
+        self.cards(CARD_FIELDS)
 
+    def cards(self, fields: tuple[str, ...]) -> InlineLexicon:
+        """The cards with no other fields than ``fields``."""
+        if fields not in self._folded:
+            kept = [(lang, word, {f: card[f] for f in fields if f in card}) for (lang, word), card in self._cards.items()]
+            self._folded[fields] = InlineLexicon([e for e in kept if e[2]], card_type(fields))
+        return self._folded[fields]
 
-def profile(language: str, extra: frozenset[str] = frozenset()) -> frozenset[str]:
-    """Annotations of a language, with optional ones switched on."""
-    return PROFILES.get(language, frozenset()) | (extra & OPTIONAL)
+    def attach(self, df: DataFrame, fields: tuple[str, ...], body: str) -> tuple[DataFrame, Lookup]:
+        """``df`` as it is, and the lookup of a token array's cards."""
+        return df, self.cards(fields).lookup
 
 
-def _for_languages(language: Column, wanted: str, value: Column, extra: frozenset[str]) -> Column:
-    names = sorted(n for n in PROFILES if wanted in profile(n, extra))
+def _for_languages(language: Column, names: list[str], value: Column) -> Column:
     return F.when(language.isin(*names), value) if names else F.lit(None)
 
 
@@ -89,20 +95,28 @@ def sentence_struct(
     sentence: Column,
     number: Column,
     language: Column,
-    res: Resources,
-    parser: str = "default",
-    extra: frozenset[str] = frozenset(),
+    rules: tuple[tuple[str, str], ...],
+    longest: int,
+    lookup: Lookup,
+    parser: str,
+    plan: Plan,
+    every_token: bool,
 ) -> Column:
-    """One sentence with every annotation its language's profile asks for."""
+    """One sentence with the annotations of the plan; fields it does not give are null."""
     if parser not in PARSER_MODES:
         raise ValueError(f"parser mode {parser!r} is not one of {PARSER_MODES}")
+    steps = plan.steps
+
+    def step(name: str, value: Callable[[], Column], after: Callable[[Column], Column]) -> Column:
+        """A step others read, evaluated once; left out where nothing reads it."""
+        return let(value(), after) if name in steps else after(F.lit(None))
 
-    def pick(wanted: str, value: Column) -> Column:
-        return _for_languages(language, wanted, value, extra)
+    def pick(name: str, value: Callable[[], Column]) -> Column:
+        return _for_languages(language, plan.languages(name), value()) if name in steps else F.lit(None)
 
     def tags(toks: Column, cards: Column) -> Column:
-        named = A.entity_tags(toks, F.transform(cards, lambda c: c["phrases"]), res.longest)
-        return A.overlay(named, regex_tags(toks, res.rules, F.lit(S.OUTSIDE))) if res.rules else named
+        named = A.entity_tags(toks, F.transform(cards, lambda c: c["phrases"]), longest)
+        return A.overlay(named, regex_tags(toks, rules, F.lit(S.OUTSIDE))) if rules else named
 
     def chunks(toks: Column, cards: Column) -> Column:
         pos = A.pos_tags(toks, F.transform(cards, lambda c: c["pos"]))
@@ -110,32 +124,33 @@ def sentence_struct(
 
     def build(toks: Column, cards: Column, marks: Column, merged: Column) -> Column:
         ner = F.coalesce(
-            pick("ner_merged", S.group_by_tag(merged)).cast("map<string,array<string>>"),
-            pick("ner_grouped", S.group_by_tag(S.tagged_tokens(toks, marks))).cast("map<string,array<string>>"),
+            pick("ner_merged", lambda: S.group_by_tag(merged)).cast("map<string,array<string>>"),
+            pick("ner_grouped", lambda: S.group_by_tag(S.tagged_tokens(toks, marks))).cast("map<string,array<string>>"),
         )
         values = {
             "sentence_id": number,
             "sentence": sentence,
-            "parse_sentence": pick("parse", chunks(toks, cards)),
+            "parse_sentence": pick("parse", lambda: chunks(toks, cards)),
             "dependency_tree": F.lit(None),
-            "token": toks,
-            "lemma": pick("lemma", A.lemmas(toks, F.transform(cards, lambda c: c["lemma"]))),
+            "token": toks if every_token else pick("token", lambda: toks),
+            "lemma": pick("lemma", lambda: A.lemmas(toks, F.transform(cards, lambda c: c["lemma"]))),
             "ner": ner,
-            "relation": pick("relation", S.render_pairs(S.neighbour_pairs(toks, merged))),
-            "sentiment": pick("sentiment", A.sentiment(toks, F.transform(cards, lambda c: c["weight"]))),
+            "relation": pick("relation", lambda: S.render_pairs(S.neighbour_pairs(toks, merged))),
+            "sentiment": pick("sentiment", lambda: A.sentiment(toks, F.transform(cards, lambda c: c["weight"]))),
         }
         return F.struct(*[values[f].alias(f) for f in SENTENCE_FIELDS]).cast(SENTENCE_TYPE)
 
-    return let(
-        tokens_of(sentence, language),
-        lambda toks: let(
-            res.cards.lookup(toks, language),
-            lambda cards: let(
-                tags(toks, cards),
-                lambda marks: let(S.merge_runs(toks, marks), lambda merged: build(toks, cards, marks, merged)),
-            ),
-        ),
-    )
+    def with_cards(toks: Column, cards: Column) -> Column:
+        return step(
+            "tag",
+            lambda: tags(toks, cards),
+            lambda marks: step("mention", lambda: S.merge_runs(toks, marks), lambda merged: build(toks, cards, marks, merged)),
+        )
+
+    def with_tokens(toks: Column) -> Column:
+        return let(lookup(toks, language), lambda cards: with_cards(toks, cards)) if plan.card else with_cards(toks, F.lit(None))
+
+    return let(tokens_of(sentence, language), with_tokens) if steps or every_token else build(*[F.lit(None)] * 4)
 
 
 def annotate_documents(
@@ -144,14 +159,25 @@ def annotate_documents(
     parser: str = "default",
     extra: frozenset[str] = frozenset(),
     body: str = "body",
+    wanted: Wanted | None = None,
 ) -> DataFrame:
-    """Adds ``sentences``: the whole annotation in one narrow stage, on batches and streams."""
+    """Adds ``sentences``: with inline lexicons the whole annotation in one narrow
+    stage, on batches and streams.
+
+    ``wanted`` names the annotations to build (``planner.ANNOTATIONS``), for all languages or by
+    language; what they do not need is neither looked up nor computed, and its
+    field is null. ``corref`` is attached when it is named, and brings ``ner`` with it.
+    """
     language = F.col("language")
+    plan = annotation_plan(wanted, extra)
+    held, lookup = res.attach(df, plan.card, body) if plan.card else (df, None)
     nested = F.transform(
         sentences_of(body, language),
-        lambda s, i: sentence_struct(s, i + 1, language, res, parser, extra),
+        lambda s, i: sentence_struct(s, i + 1, language, res.rules, res.longest, lookup, parser, plan, wanted is None),
     )
-    return pin(df.withColumn("sentences", nested), "sentences")
+    done = pin(held.withColumn("sentences", nested), "sentences").select(*[c for c in df.columns if c != "sentences"], "sentences")
+    linked = plan.languages("corref")
+    return with_corref(done, linked) if linked else done
 
 
 def to_documents(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -188,7 +214,7 @@ def attach_corref(docs: DataFrame, aliases: DataFrame, keys: list[str]) -> DataF
     return docs.drop("corref").join(per_doc, keys, "left")
 
 
-def with_corref(docs: DataFrame) -> DataFrame:
+def with_corref(docs: DataFrame, languages: list[str] | None = None) -> DataFrame:
     """Fills ``corref`` from the document's own sentences: ``type: alias -> canonical``.
 
     A mention's canonical form is the longest of its type that it ends, the earliest
@@ -232,7 +258,8 @@ def with_corref(docs: DataFrame) -> DataFrame:
 
     text = let(let(placed, distinct), lambda every: F.array_join(F.array_sort(entries(every)), "; "))
     value = F.nullif(text, F.lit(""))
-    return docs.withColumn("corref", _for_languages(F.col("language"), "corref", value, frozenset()))
+    names = sorted(n for n in PROFILES if "corref" in profile(n)) if languages is None else languages
+    return docs.withColumn("corref", _for_languages(F.col("language"), names, value))
 
 
 def flat_tokens(token: Column) -> Column:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from presswire.functions.segment import grams
 from presswire.functions.spans import OUTSIDE
-from presswire.operators.lookup import keyed_join
+from presswire.operators.keyfilter import key_filter
+from presswire.operators.lookup import fits_broadcast, keyed_join
 from presswire.operators.rows import unnest, unnest_fields
 
 
@@ -51,31 +53,19 @@ def tag_by_gazetteer(
 
     ``sentences`` holds ``keys``, ``language`` and ``token``; ``longest`` is the
     most words a phrase has. Every word start offers its 1..longest-grams, so the
-    rows looked up are linear in the text. The longest match covering a token
-    wins, then the leftmost. Only matches move to be resolved.
+    rows looked up are linear in the text. Where the gazetteer is too large to be
+    broadcast, a bitmap of its phrases lets only grams move that may be among them.
+    The longest match covering a token wins, then the leftmost. Only matches move
+    to be resolved.
     """
-    grams = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), F.lit(longest)),
-            lambda k: F.transform(
-                F.slice(
-                    F.sequence(F.lit(1), F.greatest(F.size("token"), F.lit(1))),
-                    F.lit(1),
-                    F.greatest(F.size("token") - k + 1, F.lit(0)),
-                ),
-                lambda at: F.struct(
-                    at.alias("at"),
-                    k.alias("k"),
-                    F.array_join(F.slice("token", at, k), " ").alias("surface"),
-                ),
-            ),
-        )
-    )
-    offered = unnest_fields(sentences, [*keys, "language"], grams, "at").withColumn(
-        "phrase", F.lower("surface")
-    )
+    offered = unnest_fields(sentences, [*keys, "language"], grams(F.col("token"), longest), "at")
+    offered = offered.withColumnRenamed("text", "surface").withColumn("phrase", F.lower("surface"))
     known = gazetteer.groupBy("language", F.lower("phrase").alias("phrase")).agg(F.min("ner").alias("ner"))
-    hits = keyed_join(offered, known, ["language", "phrase"], "inner", [*keys, "at", "k"], **limits)
+    on = ["language", "phrase"]
+    if fits_broadcast(known, **limits):
+        hits = offered.join(F.broadcast(known), on)
+    else:
+        hits = key_filter(known, on).admit(offered).join(known, on)
     covered = hits.select(
         *keys, "at", "k", "ner", F.posexplode(F.split("surface", " ")).alias("back", "token")
     ).select(

@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from presswire.functions import annotate as A
 from presswire.functions import spans as S
 from presswire.functions.lexicon import InlineLexicon, phrase_lexicon, regex_tags
-from presswire.functions.segment import TOKEN, sentences_of
+from presswire.functions.segment import TOKEN, grams, sentences_of
 from presswire.functions.text import extract_field, strip_markup
 from presswire.operators import assemble as D
 from presswire.operators import docparse as P
 from presswire.operators import entities as E
 from presswire.operators import plugin as U
 from presswire.operators import sentences as N
+from presswire.operators import tables as B
 from presswire.operators import wordcount as W
 from presswire.operators.rows import pin, unnest_fields
 from presswire.plans import corpus as C
@@ -389,14 +390,17 @@ def entity_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(_tagged(spark, sf_dir), "ner", F.col("ner"))
 
 
+def _phrases(spark: SparkSession, sf_dir: str, longest: int) -> DataFrame:
+    """Every run of up to ``longest`` words of every message, in lower case, with the message's role."""
+    words = F.transform(F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)), F.lower)
+    texts = F.transform(grams(words, longest), lambda g: g["text"])
+    said = C.table(spark, sf_dir, "conversations").select("role", F.explode(F.array_distinct(texts)).alias("phrase")).distinct()
+    return said.select(F.explode(F.array(F.lit("ENG"), F.lit("ESP"))).alias("language"), "phrase", "role")
+
+
 def entity_tags_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A gazetteer derived from a table: first words of each message, typed by its role."""
-    start = F.slice(F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)), 1, 2)
-    phrases = C.table(spark, sf_dir, "conversations").select(
-        F.explode(F.array(F.lit("ENG"), F.lit("ESP"))).alias("language"),
-        F.lower(F.array_join(start, " ")).alias("phrase"),
-        F.col("role").alias("ner"),
-    ).filter(F.col("phrase") != "")
+    """A gazetteer derived from a table: all words and word pairs of all messages, typed by their role."""
+    phrases = _phrases(spark, sf_dir, 2).withColumnRenamed("role", "ner")
     tagged = E.tag_by_gazetteer(_tokenized(spark, sf_dir), phrases, ONE_SENTENCE, 2)
     return tagged.groupBy("doc_id", "ner").agg(F.count(F.lit(1)).alias("n"))
 
@@ -478,8 +482,7 @@ def relations(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- documents --------------------------------------------------------------
 
 
-def documents_assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = D.to_documents(_annotated(spark, sf_dir, relations=True, routed=True))
+def _sentence_rows(docs: DataFrame) -> DataFrame:
     s = F.col("s")
     return docs.select("doc_id", "type", "head_line", "date_line", "language", F.explode("sentences").alias("s")).select(
         "doc_id", "type", "head_line", "date_line", "language",
@@ -490,6 +493,36 @@ def documents_assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def documents_assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sentence_rows(D.to_documents(_annotated(spark, sf_dir, relations=True, routed=True)))
+
+
+def documents_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities of both languages and the sentiment of English, and nothing else."""
+    wanted = {"ENG": {"ner", "sentiment"}, "ESP": {"ner"}}
+    docs = D.annotate_documents(_stories(spark, sf_dir, routed=True), L.resources(), wanted=wanted)
+    return _sentence_rows(docs).drop("type", "head_line", "date_line", "sentence")
+
+
+def table_resources(spark: SparkSession, sf_dir: str) -> B.TableResources:
+    """Lexicons that grow with the data, derived from all words of all messages."""
+    phrases = _phrases(spark, sf_dir, 2)
+    words = phrases.filter(~F.col("phrase").contains(" ")).select("language", F.col("phrase").alias("word")).distinct()
+    size = F.length("word")
+    return B.TableResources(
+        lemma=words.select("language", "word", F.left("word", F.lit(4))),
+        pos=words.select("language", "word", F.when(size % 3 == 0, "VB").when(size % 3 == 1, "NN").otherwise("IN")),
+        gazetteer=phrases.select("language", "phrase", F.upper("role")),
+        polarity=words.select("language", "word", (size % 3 - 1).cast("string")),
+    )
+
+
+def documents_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents annotated from lexicon tables of any size."""
+    docs = _stories(spark, sf_dir, routed=True)
+    return _sentence_rows(D.annotate_documents(docs, table_resources(spark, sf_dir))).drop("type", "head_line", "date_line", "sentence", "relation")
+
+
 def documents_regrouped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested documents rebuilt from sentence rows."""
     return _sizes(D.assemble(_tokenized(spark, sf_dir), ONE_DOC, ["sentence", "token"]))
@@ -807,7 +840,7 @@ def build() -> dict[str, Query]:
         sentences, first_sentence, arabic_sentences, arabic_norm, tokens, long_sentences,
         lemmas, pos_tags, entity_tags, entity_tags_joined, regex_entities, sentiment, truecase, casing_model, clean_markup,
         entity_groups, entity_spans, entity_spans_windowed, mention_groups, chunks, aliases, relations,
-        documents_assembled, documents_regrouped, documents_coref, profile_columns, run_metrics,
+        documents_assembled, documents_selected, documents_tables, documents_regrouped, documents_coref, profile_columns, run_metrics,
         store_append, sentence_store, store_upsert, store_two_runs, store_lookup, skip_existing,
         stream_docs, stream_dead_letters, stream_glued, stream_json_sink, stream_word_count, stream_window_count, batch_window_count, stream_topics,
         bulk_annotate, worker_singleton, task_instance,

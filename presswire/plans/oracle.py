@@ -334,11 +334,13 @@ def build() -> dict[str, str]:
     sql["lemmas"] = f"WITH {LEMMA_CTE}, {TO_TOKENS}, {LEMMAED} {joined('lemmaed', 'lemma')}"
     sql["pos_tags"] = f"WITH {POS_CTE}, {TO_TOKENS}, {POSSED} {joined('possed', 'pos')}"
     sql["entity_tags"] = f"WITH {GAZ_CTE}, {TO_TOKENS}, {TAGGED} {joined('tagged', 'ner')}"
-    sql["entity_tags_joined"] = f"""WITH {TO_TOKENS},
-      gaz AS (SELECT language, phrase, min(role) AS ner FROM (
-        SELECT unnest(['ENG', 'ESP']) AS language, role,
-               array_to_string(list_slice(list_transform({tokens_of('text')}, lambda t: lower(t)), 1, 2), ' ') AS phrase
-        FROM conversations) WHERE phrase <> '' GROUP BY ALL),
+    # All words and word pairs of all messages.
+    said = f"""said AS (SELECT role, w, generate_subscripts(w, 1) AS i FROM (
+        SELECT role, list_transform({tokens_of('text')}, lambda t: lower(t)) AS w FROM conversations)),
+      texts AS (SELECT DISTINCT unnest(['ENG', 'ESP']) AS language, phrase, role FROM (
+        SELECT w[i] AS phrase, role FROM said UNION ALL SELECT w[i] || ' ' || w[i + 1], role FROM said WHERE i < len(w)))"""
+    sql["entity_tags_joined"] = f"""WITH {TO_TOKENS}, {said},
+      gaz AS (SELECT language, phrase, min(role) AS ner FROM texts GROUP BY ALL),
       {gazetteer_tags('gaz', 2)}
       SELECT doc_id, ner, count(*) AS n FROM tagged WHERE ner <> 'O' GROUP BY doc_id, ner"""
     sql["regex_entities"] = f"""WITH {TO_TOKENS}
@@ -374,7 +376,8 @@ def build() -> dict[str, str]:
       SELECT type1, connector, type2, count(*) AS n FROM pairs GROUP BY ALL"""
 
     # Documents.
-    whole = f"""{LEMMA_CTE}, {POS_CTE}, {GAZ_CTE}, {POL_CTE}, {TO_ROUTED_TOKENS}, {LEMMAED}, {POSSED}, {TAGGED}, {SPANS}, {GROUPED},
+    def whole(lexicons: str, tagged: str = TAGGED) -> str:
+        return f"""{lexicons}, {TO_ROUTED_TOKENS}, {LEMMAED}, {POSSED}, {tagged}, {SPANS}, {GROUPED},
       flat AS (SELECT doc_id, sentence_id, string_agg('(' || ner || ',' || m || ')', ',' ORDER BY ner) AS ner FROM (
         SELECT doc_id, sentence_id, ner, string_agg(token, '|' ORDER BY idx) AS m FROM tagged WHERE ner <> 'O' GROUP BY doc_id, sentence_id, ner)
       GROUP BY doc_id, sentence_id), {PAIRS},
@@ -391,9 +394,20 @@ def build() -> dict[str, str]:
         FROM sents s JOIN lem l USING (doc_id, sentence_id) JOIN felt e USING (doc_id, sentence_id)
         LEFT JOIN grouped g USING (doc_id, sentence_id) LEFT JOIN flat f USING (doc_id, sentence_id)
         LEFT JOIN rel r USING (doc_id, sentence_id) LEFT JOIN bracketed b USING (doc_id, sentence_id))"""
-    sql["documents_assembled"] = f"""WITH {whole}
+    fixed = f"{LEMMA_CTE}, {POS_CTE}, {GAZ_CTE}, {POL_CTE}"
+    sql["documents_assembled"] = f"""WITH {whole(fixed)}
       SELECT d.doc_id, s.type, s.head_line, s.date_line, d.language, d.sentence_id, d.sentence, d.token, d.lemma, d.ner, d.relation, d.sentiment, d.parse_sentence
       FROM docs d JOIN stories s USING (doc_id)"""
+    sql["documents_selected"] = f"""WITH {whole(fixed)}
+      SELECT doc_id, language, sentence_id, NULL AS token, NULL AS lemma, ner, NULL AS relation, sentiment, NULL AS parse_sentence FROM docs"""
+    derived = f"""{said},
+      words AS (SELECT DISTINCT language, phrase AS word FROM texts WHERE NOT contains(phrase, ' ')),
+      lemma_lex AS (SELECT language, word, left(word, 4) AS lemma FROM words),
+      pos_lex AS (SELECT language, word, CASE length(word) % 3 WHEN 0 THEN 'VB' WHEN 1 THEN 'NN' ELSE 'IN' END AS pos FROM words),
+      pol AS (SELECT language, word, (length(word) % 3 - 1)::VARCHAR AS weight FROM words),
+      gaz AS (SELECT language, phrase, upper(min(role)) AS ner FROM texts GROUP BY ALL)"""
+    sql["documents_tables"] = f"""WITH {whole(derived, gazetteer_tags('gaz', 2))}
+      SELECT doc_id, language, sentence_id, token, lemma, ner, sentiment, parse_sentence FROM docs"""
     sql["documents_regrouped"] = f"""WITH {TO_TOKENS}
       SELECT doc_id, max(sentence_id) AS n_sentences, count(*) AS n_tokens FROM toks GROUP BY doc_id"""
     sql["documents_coref"] = f"""WITH {TO_SPANS}, {aliases},
