@@ -30,7 +30,7 @@ BITS = 15  # slots of each feature kind, as a power of two
 EPOCHS = 3
 SPAN = 48  # words of a training sequence
 STRETCH = 12  # mean words of one language within it
-GROUP = 12 << 20  # bytes of text labelled together
+GROUP = 4 << 20  # bytes of text labelled together
 CHUNK = 1 << 20  # bytes whose features are held at once
 LEXICON = 3  # occurrences after which a word is in the lexicon
 
@@ -58,7 +58,7 @@ def _features(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     inside = before & letter[third]
     four = three | c[np.maximum(at - 3, 0)] << np.uint32(24)
     shift = np.uint32(32 - BITS)
-    slots = np.empty((3, len(at)), dtype=np.intp)
+    slots = np.empty((3, len(at)), dtype=np.int32)
     slots[0] = (two * _ODD[0]) >> shift
     slots[1] = np.where(before, (three * _ODD[1]) >> shift, _NONE)
     slots[2] = np.where(inside, (four * _ODD[2]) >> shift, _NONE)
@@ -68,7 +68,7 @@ def _features(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     mixed = (three * _ODD[3] ^ three >> np.uint32(7)) * (place * np.uint32(2) + np.uint32(1))
     word = np.add.reduceat(mixed, first).astype(np.uint32) if len(first) else np.empty(0, np.uint32)
     word = ((word ^ word >> np.uint32(15)) * _ODD[0]) >> shift
-    return slots, word.astype(np.intp), first, at[first]
+    return slots, word.astype(np.int32), first, at[first]
 
 
 @dataclass
@@ -279,13 +279,15 @@ def label_texts(model: Model, texts: list[str]) -> tuple[list[str], np.ndarray,
         places.append(at + a)
         a = b - 1
     e, at = np.concatenate(emit), np.concatenate(places)
+    del emit, places
     begins = np.searchsorted(at, edges)
     n = np.diff(begins)
     full = np.flatnonzero(n)
     if not len(full):
         return ["und"] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
     p = long_marginals(e, begins[:-1][full], model.moves, model.start)
-    sums = np.add.reduceat(p.astype(np.float64), begins[:-1][full], axis=0)
+    del e
+    sums = np.add.reduceat(p, begins[:-1][full], axis=0, dtype=np.float64)
     best = sums.argmax(axis=1)
     score, other = np.zeros(len(texts)), np.zeros(len(texts))
     score[full] = np.clip(sums[np.arange(len(full)), best] / n[full], 0, 1)

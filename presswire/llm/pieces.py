@@ -3,8 +3,10 @@
 A text is cut where the tokenizer's own pre-split always cuts: before a single space
 or newline between two characters that are no white space, and behind such a
 newline. Tokens never cross such a place, so the ids of a text are those of its
-pieces in a row. Most pieces repeat; each worker keeps the ids of those it has met,
-up to a bound. New ones that begin and end with no white space go to the library joined by
+pieces in a row. Most pieces repeat: those of a block of texts are told apart by
+64-bit hashes, each distinct one is looked up once, and the block's ids are one gather from
+their table. Texts with other white space are cut one by one. Each worker keeps the ids
+of the pieces it has met, up to a bound. New ones that begin and end with no white space go to the library joined by
 newlines, whose own id parts them again; others go alone.
 """
 
@@ -13,14 +15,41 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 
-KEPT = 600_000  # pieces a worker remembers; the memory of a cache, it changes no result
+from presswire.llm.wordhash import words
+
+KEPT = 600_000  # pieces a worker remembers by their text; the memory of a cache, it changes no result
+HASHED = 2_000_000  # pieces it remembers by their hash
 CALL = 256  # new pieces in one call
 _MARKS = (",", ".", ";", ":", "!", "?")
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
+# White space other than single spaces and newlines between words.
+_OTHER = re.compile(r"[^\S \n]|[ \n][ \n]|^[ \n]|[ \n]$")
+_KIND = np.array([0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)  # behind a space; first of a text; first of a later line
+_GAP = np.zeros(256, dtype=bool)
+_GAP[[0x20, 0x0A]] = True
+_ODD = np.zeros(256, dtype=bool)  # other white space, and the first bytes of wider characters that may be some
+_ODD[[0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0xE1, 0xE3]] = True
+_NEXT = {0xC2: (0x85, 0xA0), 0xE2: (0x80, 0x81)}
+
+
+def _plain(texts: list[str], raw: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Which texts have no white space but single spaces and newlines between words; ``raw`` parts them by newlines."""
+    gap = _GAP[raw]
+    odd = _ODD[raw]
+    odd[:-1] |= gap[:-1] & gap[1:]
+    for lead, follow in _NEXT.items():
+        at = np.flatnonzero(raw[:-1] == lead)
+        odd[at[np.isin(raw[at + 1], follow)]] = True
+    plain = np.array([bool(t) for t in texts], dtype=bool)
+    # The byte before a text counts for it, so that a gap at its begin does too.
+    for k in np.unique(np.searchsorted(begins, np.flatnonzero(odd) + 1, side="right") - 1).tolist():
+        for j in (k - 1, k):
+            if 0 <= j < len(texts) and plain[j] and _OTHER.search(texts[j]):
+                plain[j] = False
+    return plain
 
 
 class PieceEncoder:
@@ -40,6 +69,12 @@ class PieceEncoder:
         self.newline = int(newline[0]) if len(newline) == 1 else None
         self.marks = {m: self.ids(m).astype(self.kind).tobytes() for m in _MARKS}
         self.between = newline.astype(self.kind).tobytes()
+        self._forget()
+
+    def _forget(self) -> None:
+        """Hashed pieces: ascending keys, and where each one's ids stand in the table."""
+        self.keys, self.starts, self.sizes = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.table = np.empty(0, self.kind)
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.int64)
@@ -82,32 +117,85 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts."""
-        lines: list[list[str]] = []
-        ends: list[int] = []
-        for t in texts:
-            # Single spaces and newlines between words and no other white space: both splits give the words.
-            cut = [x.split(" ") for x in t.split("\n")] if self.newline is not None else []
-            if list(chain.from_iterable(cut)) == t.split() and cut:
-                lines += cut
-            else:
-                lines.append(_SAFE.split(t))
-            ends.append(len(lines))
+        if not texts or self.newline is None:
+            return self._one_by_one(texts)
+        parts = [t.encode("utf-8", "surrogatepass") for t in texts]
+        begins = np.cumsum([1, *(len(p) + 1 for p in parts)])
+        plain = _plain(texts, np.frombuffer(b"\n" + b"\n".join(parts) + b"\n", np.uint8), begins)
+        together = iter(self._together([t for t, p in zip(parts, plain.tolist(), strict=True) if p]))
+        alone = iter(self._one_by_one([t for t, p in zip(texts, plain.tolist(), strict=True) if not p]))
+        return [next(together) if p else next(alone) for p in plain.tolist()]
+
+    def _hashed(self, key: np.ndarray, at: np.ndarray, raw: np.ndarray, first: np.ndarray, end: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of distinct pieces stand in the table, and how many there are; new pieces are learned.
+
+        ``key`` ascends; ``at`` is a place of each piece.
+        """
+        if len(self.keys) + len(key) > HASHED:
+            self._forget()
+        place = np.searchsorted(self.keys, key)
+        new = np.ones(len(key), dtype=bool)
+        inside = np.flatnonzero(place < len(self.keys))
+        new[inside] = self.keys[place[inside]] != key[inside]
+        if new.any():
+            at = at[new]
+            view = memoryview(raw)
+            words_ = [str(view[a:b], "utf-8", "surrogatepass") for a, b in zip(first[at].tolist(), end[at].tolist(), strict=True)]
+            kinds = kind[at].tolist()
+            # Not kept as texts too: the table holds them from here on.
+            later, starts = (
+                iter(self._known(self._stems(asked, kind_), asked, lead))
+                for asked, kind_, lead in (([w for w, k in zip(words_, kinds, strict=True) if not k], 0, " "), ([w for w, k in zip(words_, kinds, strict=True) if k], 1, ""))
+            )
+            coded = [next(later) if k == 0 else next(starts) if k == 1 else self.between + next(starts) for k in kinds]
+            sizes = np.array([len(c) for c in coded], dtype=np.int64) // self.kind.itemsize
+            keys = np.concatenate([self.keys, key[new]])
+            order = np.argsort(keys, kind="stable")
+            self.keys = keys[order]
+            self.starts = np.concatenate([self.starts, len(self.table) + np.cumsum(sizes) - sizes])[order]
+            self.sizes = np.concatenate([self.sizes, sizes])[order]
+            self.table = np.concatenate([self.table, np.frombuffer(b"".join(coded), dtype=self.kind)])
+            place = np.searchsorted(self.keys, key)
+        return self.starts[place], self.sizes[place]
+
+    def _stems(self, asked: list[str], kind: int) -> dict[str, bytes]:
+        """Ids of the words before a mark, as far as the table holds them."""
+        stems = list({w[:-1] for w in asked if w[-1:] in _MARKS and w[-2:-1].isalpha()})
+        if not stems or not len(self.keys):
+            return {}
+        raw = np.frombuffer(b"\n" + b"\n".join([w.encode("utf-8", "surrogatepass") for w in stems]) + b"\n", np.uint8)
+        key = words(raw)[2] ^ _KIND[kind]
+        place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        held = np.flatnonzero(self.keys[place] == key)
+        at, size = self.starts[place[held]].tolist(), self.sizes[place[held]].tolist()
+        return {stems[k]: self.table[a : a + n].tobytes() for k, a, n in zip(held.tolist(), at, size, strict=True)}
+
+    def _together(self, parts: list[bytes]) -> list[bytes]:
+        """Ids of texts whose words are parted by single spaces and newlines."""
+        if not parts:
+            return []
+        raw = np.frombuffer(b"\n" + b"\n".join(parts) + b"\n", dtype=np.uint8)
+        first, end, key = words(raw)
+        begins = np.cumsum([1, *(len(p) + 1 for p in parts)])
+        head = np.searchsorted(first, begins[:-1])  # a text begins with a word
+        kind = (raw[first - 1] == 10).astype(np.int8) * 2
+        kind[head] = 1
+        key ^= _KIND[kind]
+        distinct, at, which = np.unique(key, return_index=True, return_inverse=True)
+        starts, sizes = self._hashed(distinct, at, raw, first, end, kind)
+        n = sizes[which]
+        stop = np.cumsum(n)
+        place = np.repeat(starts[which] - (stop - n), n)
+        place += np.arange(len(place))
+        flat = self.table[place]
+        edges = np.append(np.append(0, stop)[head], len(flat)).tolist()
+        return [flat[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)]
+
+    def _one_by_one(self, texts: list[str]) -> list[bytes]:
+        lines = [_SAFE.split(t) for t in texts]
         heads = self._known(self.first, [x[0] for x in lines], "")
-        rest = [p for x in lines for p in x[1:]]
-        tails = self._known(self.later, rest, " ")
-        out, k, at = [], 0, 0
-        for end in ends:
-            parts: list[bytes] = []
-            for j in range(k, end):
-                n = len(lines[j]) - 1
-                if j > k:
-                    parts.append(self.between)
-                parts.append(heads[j])
-                parts += tails[at : at + n]
-                at += n
-            k = end
-            out.append(b"".join(parts))
-        return out
+        tails = iter(self._known(self.later, [p for x in lines for p in x[1:]], " "))
+        return [b"".join([head, *(next(tails) for _ in x[1:])]) for head, x in zip(heads, lines, strict=True)]
 
 
 @lru_cache(maxsize=4)
