@@ -22,6 +22,12 @@ def _number(on: list[str], bits: int) -> Column:
     return F.pmod(F.xxhash64(*on), F.lit(bits)) + 1  # slices count from 1
 
 
+def bit_is_set(bits: Column, at: Column) -> Column:
+    """Whether a result of ``bitmap_construct_agg`` has the bit of ``bitmap_bit_position``."""
+    byte = F.ascii(F.decode(F.substring(bits, F.shiftright(at, 3).cast("int") + 1, F.lit(1)), "ISO-8859-1"))
+    return F.getbit(byte.cast("long"), (at % 8).cast("int")) == 1
+
+
 @dataclass(frozen=True)
 class KeyFilter:
     """Bits of the keys ``on`` of a table. The compared columns must have the same types."""
@@ -33,10 +39,8 @@ class KeyFilter:
     def admit(self, rows: DataFrame) -> DataFrame:
         """``rows`` without those whose key the table does not hold, by a narrow step."""
         number = _number(list(self.on), self.bits)
-        at = F.bitmap_bit_position(number)
-        byte = F.ascii(F.decode(F.substring("_bits", F.shiftright(at, 3).cast("int") + 1, F.lit(1)), "ISO-8859-1"))
         sliced = rows.withColumn("_slice", F.bitmap_bucket_number(number)).join(F.broadcast(self.slices), "_slice")
-        return sliced.filter(F.getbit(byte.cast("long"), (at % 8).cast("int")) == 1).select(*rows.columns)
+        return sliced.filter(bit_is_set(F.col("_bits"), F.bitmap_bit_position(number))).select(*rows.columns)
 
 
 def key_filter(table: DataFrame, on: list[str], bits: int | None = None) -> KeyFilter:

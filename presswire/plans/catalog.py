@@ -620,10 +620,32 @@ def store_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "store")
     K.upsert_batch(_versions(spark, sf_dir, "first", 1), path, 0)
     K.upsert_batch(_versions(spark, sf_dir, "second", 1).filter(F.col("language") == "ESP"), path, 1)
-    wanted = C.table(spark, sf_dir, "labels").select(
-        F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("doc_id")
-    )
-    return K.lookup_many(spark, path, wanted, columns=["version"]).select("doc_id", "version")
+    return K.lookup_many(spark, path, _wanted(spark, sf_dir), columns=["version"]).select("doc_id", "version")
+
+
+def _wanted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.table(spark, sf_dir, "labels").select(F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("doc_id"))
+
+
+def store_lookup_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lookups through the bitmaps of keys: two batches indexed, one not yet, one snapshot between."""
+    path = scratch_path(spark, "store")
+    K.upsert_batch(_versions(spark, sf_dir, "first", 1), path, 0)
+    K.compact(spark, path)
+    K.upsert_batch(_versions(spark, sf_dir, "second", 1).filter(F.col("language") == "ESP"), path, 1)
+    K.index_keys(spark, path)
+    K.upsert_batch(_versions(spark, sf_dir, "third", 1).filter(F.col("type") == "STORY"), path, 2)
+    return K.lookup_many(spark, path, _wanted(spark, sf_dir), columns=["version", "body"]).select("doc_id", "version", _md5("body").alias("body_md5"))
+
+
+def skip_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose key an indexed store does not hold."""
+    path = scratch_path(spark, "store")
+    for batch, language in enumerate(("ENG", "ESP")):
+        kept = _stories(spark, sf_dir).filter(F.col("language") == language).join(F.broadcast(_wanted(spark, sf_dir)), "doc_id", "semi")
+        K.upsert_batch(kept.select("doc_id", "language", F.lit(1).alias("seq")), path, batch)
+    K.index_keys(spark, path)
+    return K.skip_stored(_stories(spark, sf_dir).select("doc_id", "language"), path)
 
 
 def skip_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -841,7 +863,7 @@ def build() -> dict[str, Query]:
         lemmas, pos_tags, entity_tags, entity_tags_joined, regex_entities, sentiment, truecase, casing_model, clean_markup,
         entity_groups, entity_spans, entity_spans_windowed, mention_groups, chunks, aliases, relations,
         documents_assembled, documents_selected, documents_tables, documents_regrouped, documents_coref, profile_columns, run_metrics,
-        store_append, sentence_store, store_upsert, store_two_runs, store_lookup, skip_existing,
+        store_append, sentence_store, store_upsert, store_two_runs, store_lookup, store_lookup_indexed, skip_existing, skip_stored,
         stream_docs, stream_dead_letters, stream_glued, stream_json_sink, stream_word_count, stream_window_count, batch_window_count, stream_topics,
         bulk_annotate, worker_singleton, task_instance,
     )

@@ -447,6 +447,11 @@ def build() -> dict[str, str]:
     sql["skip_existing"] = f"""
       SELECT 'D' || doc_id AS doc_id, {LANG} AS language FROM documents
         WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)"""
+    sql["store_lookup_indexed"] = f"""
+      SELECT 'D' || doc_id AS doc_id, CASE WHEN source = 'src1' THEN 'third' WHEN lang = 'es' THEN 'second' ELSE 'first' END AS version,
+             md5({BODY}) AS body_md5
+      FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)"""
+    sql["skip_stored"] = sql["skip_existing"]
 
     # Streams.
     sql["stream_docs"] = f"""WITH {TO_ROUTED_TOKENS}

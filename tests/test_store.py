@@ -106,3 +106,83 @@ def test_jobs(spark, tmp_path):
     for batch in (0, 0):
         latest = jobs.upsert_corpus(spark, str(corpus), str(tmp_path / "store"), batch, Resources())
     assert {r["doc_id"]: r["sentences"][0]["sentence"] for r in latest.collect()} == {"A": "second.", "B": "b."}
+
+
+def files_read(spark, df):
+    """Files the scans of a frame opened, with its rows."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        again = df.select("*")
+        rows = again.collect()
+        leaves = again._jdf.queryExecution().executedPlan().collectLeaves()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    scans = [leaves.apply(i) for i in range(leaves.size()) if leaves.apply(i).nodeName().startswith("Scan parquet")]
+    return sum(s.metrics().apply("numFiles").value() for s in scans), rows
+
+
+def test_equal_rows_win_alike_whatever_is_asked_for(spark, tmp_path):
+    path = str(tmp_path / "store")
+    rows = [(f"k{k}", f"v{v}", f"t{(v * 7 + k) % 5}", 1) for k in range(40) for v in range(2)]
+    K.upsert_batch(spark.createDataFrame(rows, "doc_id string, version string, text string, seq long"), path, 0)
+    whole = {r["doc_id"]: (r["version"], r["text"]) for r in K.latest(spark, path).collect()}
+    for column, place in (("version", 0), ("text", 1)):
+        alone = {r["doc_id"]: r[column] for r in K.latest(spark, path, columns=[column]).collect()}
+        assert alone == {k: v[place] for k, v in whole.items()}
+
+
+def test_commits_are_numbered_by_the_store(spark, tmp_path):
+    path = str(tmp_path / "store")
+    for run, batch, text in (("b", 0, "1"), ("a", 0, "2"), ("b", 1, "3")):
+        K.upsert_batch(versions(spark, ("x", text, 1)), path, batch, run=run)
+        assert content(K.latest(spark, path)) == [("x", text)]
+    K.upsert_batch(versions(spark, ("x", "1", 1)), path, 0, run="b")  # a replay keeps its number
+    numbers = {(r["run"], r["batch_id"]): r["committed"] for r in K.versions(spark, path).collect()}
+    assert numbers == {("b", 0): 1, ("a", 0): 2, ("b", 1): 3}
+    K.compact(spark, path)
+    K.upsert_batch(versions(spark, ("x", "old", 9)), path, 0, run="a")  # held by the snapshot
+    assert content(K.latest(spark, path)) == [("x", "3")]
+    K.upsert_batch(versions(spark, ("x", "4", 1)), path, 1, run="a")
+    assert content(K.latest(spark, path)) == [("x", "4")]
+
+
+def test_lookups_read_only_files_that_may_hold_a_key(spark, tmp_path):
+    path = str(tmp_path / "store")
+    for batch in range(6):
+        K.upsert_batch(versions(spark, *[(f"b{batch}-{k}", str(batch), 1) for k in range(50)]), path, batch)
+    assert K.index_keys(spark, path) == 6 and K.index_keys(spark, path) == 0
+    read, rows = files_read(spark, K.lookup(spark, path, "b3-7"))
+    assert read == 1 and rows[0]["text"] == "3"
+    keys = spark.createDataFrame([("b1-1",), ("b4-49",), ("no",)], "doc_id string")
+    read, rows = files_read(spark, K.lookup_many(spark, path, keys))
+    assert read == 2 and sorted(r["doc_id"] for r in rows) == ["b1-1", "b4-49"]
+    read, rows = files_read(spark, K.skip_stored(spark.createDataFrame([("b5-0", 1), ("no", 2)], "doc_id string, n int"), path))
+    assert read == 1 and [r["doc_id"] for r in rows] == ["no"]
+    read, rows = files_read(spark, K.lookup(spark, path, "none"))
+    assert read == 0 and rows == []
+    # A batch written since, and one written again, are read in whole until they are indexed.
+    K.upsert_batch(versions(spark, ("b3-7", "new", 1)), path, 6)
+    K.upsert_batch(versions(spark, ("b0-0", "again", 1)), path, 0)
+    read, rows = files_read(spark, K.lookup(spark, path, "b3-7"))
+    assert read == 3 and rows[0]["text"] == "new"
+    assert K.index_keys(spark, path) == 2
+    assert files_read(spark, K.lookup(spark, path, "b3-7"))[0] == 2
+    assert content(K.lookup(spark, path, "b0-0")) == [("b0-0", "again")] and content(K.lookup(spark, path, "b0-1")) == []
+    K.compact(spark, path)
+    assert content(K.lookup(spark, path, "b3-7")) == [("b3-7", "new")]
+    assert K.index_keys(spark, path) > 0
+    assert content(K.lookup(spark, path, "b4-4")) == [("b4-4", "4")]
+
+
+def test_large_batches_are_laid_out_by_key_hash(spark, tmp_path):
+    path = str(tmp_path / "store")
+    rows = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 512).alias("text"), F.lit(1).alias("seq"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        K.upsert_batch(rows, path, 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = K.index_keys(spark, path)
+    assert files > 3
+    read, found = files_read(spark, K.lookup(spark, path, "k123"))
+    assert read == 1 and len(found) == 1
