@@ -16,6 +16,7 @@ from presswire.functions.text import extract_field, strip_markup
 from presswire.operators import assemble as D
 from presswire.operators import docparse as P
 from presswire.operators import entities as E
+from presswire.operators import joined as X
 from presswire.operators import plugin as U
 from presswire.operators import sentences as N
 from presswire.operators import tables as B
@@ -284,12 +285,23 @@ def extract_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.table(spark, sf_dir, "pages").select("page_id", extract_field("html", "title").alias("title"))
 
 
-def corpus_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = C.table(spark, sf_dir, "documents")
-    records = C.wrap(docs).withColumn("source", F.regexp_extract("value", "<DATELINE> (\\S+) ", 1))
+def _joined(spark: SparkSession, sf_dir: str) -> X.JoinedText:
+    """The stories of each source as one text."""
+    records = C.wrap(C.table(spark, sf_dir, "documents")).withColumn("source", F.regexp_extract("value", "<DATELINE> (\\S+) ", 1))
     stories = P.accepted(P.parse_docs(records, _language())).withColumn("source", F.lower("source"))
-    joined = P.concat_bodies(stories, ["source"], "key")
-    return joined.select("source", F.col("key").alias("position"), _md5("body").alias("body_md5"))
+    return X.write_joined(stories, ["source"], "key", scratch_path(spark, "joined"))
+
+
+def corpus_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each document stands in the joined text of its source."""
+    joined = _joined(spark, sf_dir)
+    bodies = joined.text.select("place", _md5("text").alias("body_md5"))
+    return joined.addresses.join(bodies, "place").select("source", "position", "offset", "length", "body_md5")
+
+
+def corpus_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joined text of each source, by the digests of its blocks."""
+    return X.digests(_joined(spark, sf_dir), 100_000)
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -857,7 +869,7 @@ def build() -> dict[str, Query]:
     plain = (
         scan_nonblank, file_listing, first_file, docs_xml, docs_xml_lines, xml_paragraphs,
         docs_tagged, docs_tag_files, docs_json, user_records, memory_lines,
-        doc_header, doc_body, doc_routing, dead_letters, corpus_concat, envelope, doc_json,
+        doc_header, doc_body, doc_routing, dead_letters, corpus_concat, corpus_digests, envelope, doc_json,
         word_count, word_count_doc, top_words, threshold_count,
         sentences, first_sentence, arabic_sentences, arabic_norm, tokens, long_sentences,
         lemmas, pos_tags, entity_tags, entity_tags_joined, regex_entities, sentiment, truecase, casing_model, clean_markup,

@@ -298,8 +298,16 @@ def build() -> dict[str, str]:
       WHERE reason NOT IN ('blank', 'not_story')"""
     sql["extract_field"] = """
       SELECT page_id, regexp_extract(replace(html, chr(10), ' '), '(?s)<title>(.*?)</title>', 1) AS title FROM pages"""
-    sql["corpus_concat"] = f"""
-      SELECT source, doc_id AS position, md5({BODY}) AS body_md5 FROM documents"""
+    bodies = f"bodies AS (SELECT source, doc_id, {BODY} AS body FROM documents)"
+    sql["corpus_concat"] = f"""WITH {bodies}
+      SELECT source, doc_id AS position, md5(body) AS body_md5, strlen(body)::BIGINT AS length,
+        coalesce(sum(strlen(body)) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset"
+      FROM bodies"""
+    sql["corpus_digests"] = f"""WITH {bodies},
+      whole AS (SELECT source, encode(string_agg(body, '' ORDER BY doc_id)) AS t FROM bodies GROUP BY source),
+      cut AS (SELECT source, t, unnest(range((octet_length(t) + 99999) // 100000)) AS block FROM whole)
+      SELECT source, block, octet_length(t[block * 100000 + 1 : block * 100000 + 100000])::BIGINT AS n_bytes,
+        sha256(t[block * 100000 + 1 : block * 100000 + 100000]) AS sha256 FROM cut"""
     sql["envelope"] = f"""
       SELECT CASE WHEN doc_id % 3 = 0 THEN '' ELSE 'M' || doc_id END AS mongo_id, 'D' || doc_id AS doc_id, md5({BODY}) AS body_md5
       FROM documents"""
