@@ -29,6 +29,7 @@ from presswire.session import scratch_path
 from presswire.sinks import publish as M
 from presswire.sinks import store as K
 from presswire.sources import files as R
+from presswire.sources import records as V
 from presswire.sources import streams as Z
 from presswire.streaming import run as T
 
@@ -202,19 +203,39 @@ def docs_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.col("doc_pos").cast("long").alias("doc_pos"), _md5("body").alias("body_md5"))
 
 
-def docs_tag_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files cut on tags, with text between the records; language travels in the dateline."""
+def _tag_files(spark: SparkSession, sf_dir: str) -> str:
+    """Files of records with text between them; language travels in the dateline."""
     docs = C.table(spark, sf_dir, "documents")
     rec = C.doc_record(
         F.concat(F.lit("D"), F.col("doc_id").cast("string")), C.plain_type_of(F.col("source")),
         C.head_of(F.col("text")), _language(), F.col("text"),
     )
-    path = _written(docs.select(F.concat(F.lit("noise\n"), rec, F.lit("\nmore noise")).alias("value")), "tagged")
-    raw = R.read_tagged(spark, path, "<DOC ", "</DOC>")
+    return _written(docs.select(F.concat(F.lit("noise\n"), rec, F.lit("\nmore noise")).alias("value")), "tagged")
+
+
+def _tag_documents(raw: DataFrame) -> DataFrame:
     language = F.regexp_extract("value", "<DATELINE> (.*?) </DATELINE>", 1)
     return P.accepted(P.parse_docs(raw, language)).select("doc_id", _md5("body").alias("body_md5"))
 
 
+def docs_tag_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files cut on tags."""
+    return _tag_documents(R.read_tagged(spark, _tag_files(spark, sf_dir), "<DOC ", "</DOC>"))
+
+
+def docs_tag_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files by byte ranges, many to a file."""
+    return _tag_documents(V.read_records(spark, _tag_files(spark, sf_dir), "<DOC ", "</DOC>", split_bytes=1 << 18))
+
+
+def stream_tag_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files as a stream of whole records."""
+    path = scratch_path(spark, "stream-records")
+    records = V.stream_records(spark, _tag_files(spark, sf_dir), "<DOC ", "</DOC>", split_bytes=1 << 20)
+    _drain(T.per_batch(_tag_documents(records), K.batch_appender(path)), path + "-checkpoint")
+    return spark.read.parquet(path).select("doc_id", "body_md5")
+
+
 def docs_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents").select(
         F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("doc_id"),
@@ -868,7 +889,7 @@ def build() -> dict[str, Query]:
     named = {"extract_field": extract_title}
     plain = (
         scan_nonblank, file_listing, first_file, docs_xml, docs_xml_lines, xml_paragraphs,
-        docs_tagged, docs_tag_files, docs_json, user_records, memory_lines,
+        docs_tagged, docs_tag_files, docs_tag_splits, docs_json, user_records, memory_lines,
         doc_header, doc_body, doc_routing, dead_letters, corpus_concat, corpus_digests, envelope, doc_json,
         word_count, word_count_doc, top_words, threshold_count,
         sentences, first_sentence, arabic_sentences, arabic_norm, tokens, long_sentences,
@@ -876,7 +897,7 @@ def build() -> dict[str, Query]:
         entity_groups, entity_spans, entity_spans_windowed, mention_groups, chunks, aliases, relations,
         documents_assembled, documents_selected, documents_tables, documents_regrouped, documents_coref, profile_columns, run_metrics,
         store_append, sentence_store, store_upsert, store_two_runs, store_lookup, store_lookup_indexed, skip_existing, skip_stored,
-        stream_docs, stream_dead_letters, stream_glued, stream_json_sink, stream_word_count, stream_window_count, batch_window_count, stream_topics,
+        stream_docs, stream_tag_files, stream_dead_letters, stream_glued, stream_json_sink, stream_word_count, stream_window_count, batch_window_count, stream_topics,
         bulk_annotate, worker_singleton, task_instance,
     )
     return {**{f.__name__: f for f in plain}, **named}

@@ -272,6 +272,7 @@ def build() -> dict[str, str]:
       SELECT 'B' || doc_id, 2::BIGINT, md5({finish('replace(text, chr(10), chr(32))')} || ' ') FROM documents"""
     sql["docs_tag_files"] = f"""
       SELECT 'D' || doc_id AS doc_id, md5({BODY}) AS body_md5 FROM documents"""
+    sql["docs_tag_splits"] = sql["stream_tag_files"] = sql["docs_tag_files"]
     sql["docs_json"] = f"""
       SELECT 'D' || doc_id AS doc_id, {KIND} AS type, coalesce({OWN_LANG}, upper(lang)) AS language,
              len({sentences_of('text')})::BIGINT AS n_sentences,
