@@ -740,6 +740,19 @@ def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return failed.select(F.col("mongo_id").alias("key"), "reason")
 
 
+def stream_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job users run: damaged messages published as JSON, or stored with their reason; none is lost."""
+    path = scratch_path(spark, "published")
+    records = C.damage(C.wrap(_stream(spark, sf_dir, "documents"), routed=True))
+    messages = records.select(F.concat(F.lit("M"), F.col("key").cast("string"), F.lit("#"), "value").alias("value"))
+    splits = 2 * spark.sparkContext.defaultParallelism
+    writer = T.publish_messages(messages, L.resources(), f"{path}/failed", "text", f"{path}/good", spread=lambda b: R.at_least(b, splits))
+    _drain(writer, path + "-checkpoint")
+    good = spark.read.text(f"{path}/good").select(F.get_json_object("value", "$.mongo_id").alias("key"), F.lit("published").alias("outcome"))
+    failed = spark.read.schema("mongo_id string, reason string").parquet(f"{path}/failed")
+    return good.unionAll(failed.select(F.col("mongo_id").alias("key"), F.col("reason").alias("outcome")))
+
+
 def stream_glued(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages that hold two documents with log text around them."""
     docs = _stream(spark, sf_dir, "documents")
@@ -897,7 +910,7 @@ def build() -> dict[str, Query]:
         entity_groups, entity_spans, entity_spans_windowed, mention_groups, chunks, aliases, relations,
         documents_assembled, documents_selected, documents_tables, documents_regrouped, documents_coref, profile_columns, run_metrics,
         store_append, sentence_store, store_upsert, store_two_runs, store_lookup, store_lookup_indexed, skip_existing, skip_stored,
-        stream_docs, stream_tag_files, stream_dead_letters, stream_glued, stream_json_sink, stream_word_count, stream_window_count, batch_window_count, stream_topics,
+        stream_docs, stream_tag_files, stream_dead_letters, stream_published, stream_glued, stream_json_sink, stream_word_count, stream_window_count, batch_window_count, stream_topics,
         bulk_annotate, worker_singleton, task_instance,
     )
     return {**{f.__name__: f for f in plain}, **named}

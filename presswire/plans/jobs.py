@@ -17,11 +17,13 @@ from presswire.operators.docparse import (
     parse_docs_xml,
     split_docs,
 )
+from presswire.operators.planner import Wanted
+from presswire.operators.tables import TableResources
 from presswire.operators.wordcount import count_as_text, word_count
-from presswire.sinks.publish import publish_stream
+from presswire.session import scratch_path
 from presswire.sinks.store import append, latest, upsert_batch
 from presswire.sources.files import read_doc_xml, read_lines
-from presswire.streaming.run import ANNOTATE_INTERVAL, annotate_stream, start
+from presswire.streaming.run import ANNOTATE_INTERVAL, publish_messages, start
 
 
 def metrics(parsed: DataFrame) -> tuple[DataFrame, Observation]:
@@ -44,21 +46,27 @@ def annotate_corpus(
     spark: SparkSession,
     source: str,
     target: str,
-    res: Resources,
+    res: Resources | TableResources,
     language: str = "ENG",
     parser: str = "fast",
     failures: str | None = None,
+    require_id: bool = False,
+    wanted: Wanted | None = None,
 ) -> dict[str, float]:
     """Lines of ``<DOC>`` records to annotated documents appended at ``target``.
 
-    One narrow stage from scan to write; failed records go to ``failures``.
+    One narrow stage from scan to write. With ``failures`` the records are parsed into a
+    scratch table first, once for both: documents, and failed records with their reason. A
+    document without id keeps an empty one, unless an id is required.
     """
     began = time.monotonic()
-    parsed = parse_docs(split_docs(nonblank(read_lines(spark, source))), language)
-    counted, seen = metrics(parsed)
-    append(to_documents(annotate_documents(accepted(counted), res, parser)), target)
+    parsed, seen = metrics(parse_docs(split_docs(nonblank(read_lines(spark, source))), language, require_id=require_id))
     if failures:
+        path = scratch_path(spark, "parsed")
+        parsed.write.parquet(path)
+        parsed = spark.read.parquet(path)
         append(dead_letters(parsed), failures)
+    append(to_documents(annotate_documents(accepted(parsed), res, parser, wanted=wanted)), target)
     return {**seen.get, "seconds": time.monotonic() - began}
 
 
@@ -92,13 +100,15 @@ def upsert_corpus(
 def annotate_messages(
     messages: DataFrame,
     checkpoint: str,
-    res: Resources,
+    res: Resources | TableResources,
     language: str = "ENG",
     fmt: str = "kafka",
     interval: str | None = ANNOTATE_INTERVAL,
     path: str | None = None,
+    failures: str | None = None,
     **options: str,
 ) -> StreamingQuery:
-    """Message stream to JSON documents on an output topic."""
-    docs = annotate_stream(messages, res, language)
-    return start(publish_stream(docs, fmt, path, **options), checkpoint, interval)
+    """Message stream to JSON documents on an output topic; messages that fail are stored
+    with their reason at ``failures``, or beside the checkpoint."""
+    writer = publish_messages(messages, res, failures or f"{checkpoint}-failed", fmt, path, language=language, **options)
+    return start(writer, checkpoint, interval)

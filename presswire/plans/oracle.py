@@ -469,6 +469,12 @@ def build() -> dict[str, str]:
     sql["stream_dead_letters"] = f"""
       SELECT 'M' || doc_id AS key, reason FROM (SELECT doc_id, {STREAM_BROKEN} AS reason FROM documents)
       WHERE reason NOT IN ('blank', 'not_story')"""
+    # Text before a record is only log text in a message.
+    sql["stream_published"] = f"""
+      SELECT 'M' || doc_id AS key, coalesce(reason, 'published') AS outcome FROM (
+        SELECT doc_id, {STREAM_BROKEN} AS r, CASE WHEN r = 'not_doc' THEN CASE WHEN NOT ({STORY}) THEN 'not_story' END ELSE r END AS reason
+        FROM documents)
+      WHERE coalesce(reason, '') NOT IN ('blank', 'not_story')"""
     sql["stream_glued"] = f"""WITH {TO_TOKENS},
       each AS ({sizes}), halves AS (SELECT unnest(['A', 'B']) AS half, unnest([1, 2])::BIGINT AS doc_pos)
       SELECT half || substr(doc_id, 2) AS doc_id, 'M' || substr(doc_id, 2) AS mongo_id, doc_pos, n_sentences, n_tokens

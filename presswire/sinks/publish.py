@@ -8,11 +8,11 @@ from pyspark.sql.streaming import DataStreamWriter
 from presswire.operators.assemble import to_json_rows
 
 
-def publish(df: DataFrame, fmt: str = "kafka", path: str | None = None, key: str | None = None, **options: str) -> None:
+def publish(df: DataFrame, fmt: str = "kafka", path: str | None = None, key: str | None = None, mode: str = "append", **options: str) -> None:
     """Batch publication; ``fmt`` is ``kafka`` (option ``topic``) or ``text`` with a path."""
     writer = to_json_rows(df, key).write.format(fmt).options(**options)
     if path:
-        writer.mode("append").save(path)
+        writer.mode(mode).save(path)
     else:
         writer.save()
 

@@ -49,11 +49,10 @@ def append_batch(df: DataFrame, path: str, batch_id: int, run: str = DEFAULT_RUN
 def batch_appender(
     path: str, transform: Callable[[DataFrame], DataFrame] | None = None, run: str = DEFAULT_RUN
 ) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function storing each non-empty micro-batch."""
+    """``foreachBatch`` function storing each micro-batch; an empty one leaves nothing."""
 
     def write(df: DataFrame, batch_id: int) -> None:
-        if not df.isEmpty():
-            append_batch(transform(df) if transform else df, path, batch_id, run)
+        append_batch(transform(df) if transform else df, path, batch_id, run)
 
     return write
 

@@ -10,7 +10,9 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from presswire.operators.assemble import Resources, annotate_documents, to_documents
 from presswire.operators.docparse import accepted, dead_letters, envelope, nonblank, parse_docs, split_docs
+from presswire.operators.tables import TableResources
 from presswire.operators.wordcount import windowed_word_count, word_count
+from presswire.sinks.publish import publish
 from presswire.sinks.store import DEFAULT_RUN, append_batch
 
 # Fixed values.
@@ -47,23 +49,21 @@ def parse_messages(messages: DataFrame, language: str = "ENG") -> DataFrame:
     return parse_docs(split_docs(envelope(nonblank(messages))), language, require_id=False)
 
 
-def store_messages(
+def _split_batches(
     messages: DataFrame,
-    res: Resources,
-    path: str,
+    res: Resources | TableResources,
+    keep_good: Callable[[DataFrame, int], None],
     failed: str,
-    run: str = DEFAULT_RUN,
-    language: str = "ENG",
-    spread: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+    run: str,
+    language: str,
+    spread: Callable[[DataFrame], DataFrame],
 ) -> DataStreamWriter:
-    """Annotated documents to ``path`` and dead letters with their reason to ``failed``,
-    both of the same parsed batch and below the same run and batch."""
+    """Each batch parsed once: annotated documents go to ``keep_good``, dead letters to ``failed``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         parsed = parse_messages(spread(batch), language).persist()
         try:
-            good = to_documents(annotate_documents(accepted(parsed), res, "fast"), keep=("mongo_id", "doc_pos"))
-            append_batch(good, path, batch_id, run)
+            keep_good(to_documents(annotate_documents(accepted(parsed), res, "fast"), keep=("mongo_id", "doc_pos")), batch_id)
             letters = dead_letters(parsed.withColumn("value", F.struct("mongo_id", "value")))
             append_batch(letters.select("raw.mongo_id", "reason", F.col("raw.value").alias("raw")), failed, batch_id, run)
         finally:
@@ -72,13 +72,55 @@ def store_messages(
     return per_batch(messages, write)
 
 
+def _as_it_is(batch: DataFrame) -> DataFrame:
+    return batch
+
+
+def store_messages(
+    messages: DataFrame,
+    res: Resources | TableResources,
+    path: str,
+    failed: str,
+    run: str = DEFAULT_RUN,
+    language: str = "ENG",
+    spread: Callable[[DataFrame], DataFrame] = _as_it_is,
+) -> DataStreamWriter:
+    """Annotated documents to ``path`` and dead letters with their reason to ``failed``,
+    both of the same parsed batch and below the same run and batch."""
+    return _split_batches(messages, res, lambda good, n: append_batch(good, path, n, run), failed, run, language, spread)
+
+
+def publish_messages(
+    messages: DataFrame,
+    res: Resources | TableResources,
+    failed: str,
+    fmt: str = "kafka",
+    path: str | None = None,
+    run: str = DEFAULT_RUN,
+    language: str = "ENG",
+    spread: Callable[[DataFrame], DataFrame] = _as_it_is,
+    **options: str,
+) -> DataStreamWriter:
+    """Annotated documents as JSON to a topic, or to files below ``path``, and dead letters
+    with their reason to ``failed``.
+
+    A replayed batch rewrites its own files; a topic gets its documents again.
+    """
+
+    def send(good: DataFrame, batch_id: int) -> None:
+        target = f"{path}/run={run}/batch_id={batch_id}" if path else None
+        publish(good.drop("doc_pos"), fmt, target, mode="overwrite", **options)
+
+    return _split_batches(messages, res, send, failed, run, language, spread)
+
+
 def annotate_stream(
     messages: DataFrame, res: Resources, language: str = "ENG", parser: str = "fast", keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """Envelope, parse, annotate: message rows to document rows with ``mongo_id``.
 
     Stateless column work, so the same function serves batches. Failed rows are
-    left to ``store_messages``, which keeps them.
+    left to ``store_messages`` and ``publish_messages``, which keep them.
     """
     parsed = accepted(parse_messages(messages, language))
     return to_documents(annotate_documents(parsed, res, parser), keep=("mongo_id", *keep))
@@ -91,8 +133,7 @@ def window_count_per_batch(
     them up. No row comes too late, and nothing is held as state."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            append_batch(windowed_word_count(batch, column, ts, window), path, batch_id, run)
+        append_batch(windowed_word_count(batch, column, ts, window), path, batch_id, run)
 
     return per_batch(df, write)
 
@@ -105,7 +146,6 @@ def word_count_per_batch(df: DataFrame, path: str, column: str = "value", run: s
     """Word counts of each micro-batch on its own, nothing carried over; replay-safe."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            append_batch(word_count(batch, column), path, batch_id, run)
+        append_batch(word_count(batch, column), path, batch_id, run)
 
     return per_batch(df, write)

@@ -186,3 +186,15 @@ def test_large_batches_are_laid_out_by_key_hash(spark, tmp_path):
     assert files > 3
     read, found = files_read(spark, K.lookup(spark, path, "k123"))
     assert read == 1 and len(found) == 1
+
+
+def test_append_route_keeps_documents_without_an_id(spark, tmp_path):
+    lines = tmp_path / "corpus.txt"
+    lines.write_text('<DOC type="story"><TEXT><P>one</P></TEXT></DOC>\njunk\n')
+    for failures in (None, str(tmp_path / "bad")):
+        got = jobs.annotate_corpus(spark, str(lines), str(tmp_path / f"docs{failures is None}"), Resources(), failures=failures, wanted={"token"})
+        assert (got["records"], got["good"], got["failed"]) == (2, 1, 1)
+    assert [r["doc_id"] for r in spark.read.parquet(str(tmp_path / "docsFalse")).collect()] == [""]
+    assert [r["reason"] for r in spark.read.parquet(str(tmp_path / "bad")).collect()] == ["not_doc"]
+    jobs.annotate_corpus(spark, str(lines), str(tmp_path / "strict"), Resources(), failures=str(tmp_path / "bad2"), require_id=True)
+    assert sorted(r["reason"] for r in spark.read.parquet(str(tmp_path / "bad2")).collect()) == ["no_id", "not_doc"]

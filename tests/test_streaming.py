@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from presswire.operators import wordcount as W
 from presswire.operators.assemble import Resources
 from presswire.plans import jobs
+from presswire.sinks import publish as M
 from presswire.sinks import store as K
 from presswire.sources.streams import read_topics, union_topics, watch_files
 from presswire.streaming import run as T
@@ -87,3 +88,27 @@ def test_topic_reader_needs_the_connector(spark):
 
 def test_intervals_are_the_documented_ones():
     assert (T.ANNOTATE_INTERVAL, T.WORD_COUNT_INTERVAL) == ("300 seconds", "30 seconds")
+
+
+def test_failed_messages_of_the_annotate_job_are_kept(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "1.txt").write_text("m1#" + DOC % ("A", "one. two") + "\nm2#junk\nm3#" + DOC.replace("</TEXT>", "") % ("C", "cut") + "\n")
+    lines = watch_files(spark, str(source), "value string", "text")
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    for failures in (None, str(tmp_path / "bad")):
+        assert T.wait(jobs.annotate_messages(lines, checkpoint, Resources(), fmt="text", interval=None, path=out, failures=failures), 120)
+        assert [json.loads(r["value"])["doc_id"] for r in spark.read.text(out).collect()] == ["A"]
+        bad = spark.read.parquet(failures or f"{checkpoint}-failed")
+        assert sorted((r["mongo_id"], r["reason"]) for r in bad.collect()) == [("m2", "not_doc"), ("m3", "cut_short")]
+        out, checkpoint = out + "2", checkpoint + "2"
+
+
+def test_preview_of_a_stream_goes_to_the_console(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "1.txt").write_text("".join(f"line {k}\n" for k in range(9)))
+    query = T.start(M.preview_stream(watch_files(spark, str(source), "value string", "text"), 4), str(tmp_path / "cp"))
+    assert T.wait(query, 120)
+    progress = query.lastProgress
+    assert progress["numInputRows"] == 9 and "Console" in progress["sink"]["description"]
