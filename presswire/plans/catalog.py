@@ -13,6 +13,7 @@ from presswire.functions import spans as S
 from presswire.functions.lexicon import InlineLexicon, phrase_lexicon, regex_tags
 from presswire.functions.segment import TOKEN, grams, sentences_of
 from presswire.functions.text import extract_field, strip_markup
+from presswire.operators import abbreviations as G
 from presswire.operators import assemble as D
 from presswire.operators import docparse as P
 from presswire.operators import entities as E
@@ -21,7 +22,7 @@ from presswire.operators import plugin as U
 from presswire.operators import sentences as N
 from presswire.operators import tables as B
 from presswire.operators import wordcount as W
-from presswire.operators.rows import pin, unnest_fields
+from presswire.operators.rows import pin, unnest, unnest_fields
 from presswire.plans import corpus as C
 from presswire.plans import lexicons as L
 from presswire.plans.jobs import metrics
@@ -372,6 +373,18 @@ def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sentences(spark, sf_dir).drop("rec_id")
 
 
+def abbreviations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.learn_abbreviations(_stories(spark, sf_dir)).select("word", "dotted", "plain")
+
+
+def sentences_learned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences that do not end at abbreviations learned from the same corpus."""
+    stories = _stories(spark, sf_dir)
+    known = G.Abbreviations(G.learn_abbreviations(stories))
+    rows = unnest(stories, ["doc_id"], known.segment("body"), "sentence", "sentence_id")
+    return rows.withColumn("sentence_id", F.col("sentence_id").cast("long"))
+
+
 def first_sentence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.first_sentences(_stories(spark, sf_dir), ["doc_id"]).filter(F.col("sentence").isNotNull())
 
@@ -905,7 +918,7 @@ def build() -> dict[str, Query]:
         docs_tagged, docs_tag_files, docs_tag_splits, docs_json, user_records, memory_lines,
         doc_header, doc_body, doc_routing, dead_letters, corpus_concat, corpus_digests, envelope, doc_json,
         word_count, word_count_doc, top_words, threshold_count,
-        sentences, first_sentence, arabic_sentences, arabic_norm, tokens, long_sentences,
+        sentences, abbreviations, sentences_learned, first_sentence, arabic_sentences, arabic_norm, tokens, long_sentences,
         lemmas, pos_tags, entity_tags, entity_tags_joined, regex_entities, sentiment, truecase, casing_model, clean_markup,
         entity_groups, entity_spans, entity_spans_windowed, mention_groups, chunks, aliases, relations,
         documents_assembled, documents_selected, documents_tables, documents_regrouped, documents_coref, profile_columns, run_metrics,

@@ -12,6 +12,7 @@ from presswire.functions.arabic import (
 )
 from presswire.functions.segment import SENTENCE_END, TOKEN
 from presswire.functions.text import ENTITIES, MARKUP
+from presswire.operators.abbreviations import CANDIDATE, CLOSERS, LAST_WORD, LIMIT, OPENERS, SHARE, TYPE
 from presswire.plans.corpus import ARABIC, LATIN
 from presswire.plans.lexicons import GAZETTEER, LEMMAS, POLARITY, POS, RULES
 
@@ -326,6 +327,26 @@ def build() -> dict[str, str]:
     # Sentences and tokens.
     sql["sentences"] = f"WITH {STORIES}, {SENTS} SELECT doc_id, language, sentence_id, sentence FROM sents"
     sql["first_sentence"] = f"WITH {STORIES}, {SENTS} SELECT doc_id, sentence FROM sents WHERE sentence_id = 1"
+    def edges(x: str) -> str:
+        return f"regexp_replace(regexp_replace({x}, {q(OPENERS)}, ''), {q(CLOSERS)}, '')"
+
+    learned = f"""bare AS (SELECT {edges('w')} AS w FROM (SELECT unnest(regexp_split_to_array(body, '\\s+')) AS w FROM stories)),
+      types AS (SELECT word, count(*) FILTER (ends) AS dotted, count(*) FILTER (NOT ends) AS plain FROM (
+        SELECT ends_with(w, '.') AS ends, lower(CASE WHEN ends THEN left(w, length(w) - 1) ELSE w END) AS word FROM bare)
+        WHERE regexp_matches(word, {q(TYPE)}) GROUP BY word),
+      base AS (SELECT sum(dotted) / sum(dotted + plain) AS p FROM types),
+      known AS (SELECT word, dotted, plain FROM (
+        SELECT *, -2 * (dotted * ln(p) + plain * ln(1 - p) - dotted * ln({SHARE}) - plain * ln(1 - {SHARE})) AS ratio,
+          length(replace(word, '.', '')) AS letters FROM types, base WHERE p > 0 AND p < 1)
+        WHERE dotted > 0 AND ratio * exp(-letters) * (length(word) - letters + 1) * pow(letters::DOUBLE, -plain::DOUBLE) >= {LIMIT})"""
+    sql["abbreviations"] = f"WITH {STORIES}, {learned} SELECT * FROM known"
+    sql["sentences_learned"] = f"""WITH {STORIES}, {learned},
+      pieces AS (SELECT doc_id, generate_subscripts(l, 1) AS i, unnest(l) AS piece FROM (
+        SELECT doc_id, string_split(regexp_replace(body, {q(CANDIDATE)}, '\\1' || chr(1) || '\\2', 'g'), chr(1)) AS l FROM stories)),
+      closed AS (SELECT doc_id, string_agg(CASE WHEN k.word IS NULL THEN piece || chr(1) ELSE piece END, '' ORDER BY i) AS t
+        FROM pieces LEFT JOIN known k ON k.word = lower(regexp_extract(piece, {q(LAST_WORD)}, 1)) GROUP BY doc_id),
+      lists AS (SELECT doc_id, list_filter(list_transform(string_split(t, chr(1)), lambda s: {jt('s')}), lambda s: s <> '') AS l FROM closed)
+      SELECT doc_id, unnest(l) AS sentence, generate_subscripts(l, 1)::BIGINT AS sentence_id FROM lists"""
     sql["arabic_sentences"] = f"WITH {AR_STORIES}, {AR_SENTS} SELECT doc_id, sentence_id, sentence FROM sents"
     sql["arabic_norm"] = f"""WITH {AR_STORIES}, {AR_SENTS}
       SELECT doc_id, sentence_id, array_to_string({arabic_tokens('sentence')}, ',') AS token FROM sents"""
