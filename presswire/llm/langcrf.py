@@ -30,8 +30,8 @@ BITS = 15  # slots of each feature kind, as a power of two
 EPOCHS = 3
 SPAN = 48  # words of a training sequence
 STRETCH = 12  # mean words of one language within it
-GROUP = 4 << 20  # bytes of text labelled together
-CHUNK = 1 << 20  # bytes whose features are held at once
+GROUP = 2 << 20  # bytes of text labelled together
+CHUNK = 1 << 19  # bytes whose features are held at once
 LEXICON = 3  # occurrences after which a word is in the lexicon
 
 _LETTER = np.zeros(256, dtype=bool)

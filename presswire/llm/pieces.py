@@ -21,7 +21,7 @@ import numpy as np
 from presswire.llm.wordhash import words
 
 KEPT = 600_000  # pieces a worker remembers by their text; the memory of a cache, it changes no result
-HASHED = 2_000_000  # pieces it remembers by their hash
+HASHED = 1_000_000  # pieces it remembers by their hash
 CALL = 256  # new pieces in one call
 _MARKS = (",", ".", ";", ":", "!", "?")
 _SAFE = re.compile(r"(?<=\S) (?=\S)")

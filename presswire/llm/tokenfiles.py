@@ -28,7 +28,7 @@ BLOCK_IDS = 1 << 18  # ids of a block
 SEGMENT_IDS = 1 << 22  # ids after which a segment is closed; documents are whole in theirs
 BUCKET_BYTES = 16 << 20  # text of a bucket
 BUCKETS = 20_000
-TURN = 4 << 20  # bytes of text encoded at once
+TURN = 2 << 20  # bytes of text encoded at once
 
 
 def default_vocabulary() -> str:
