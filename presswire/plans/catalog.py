@@ -21,6 +21,7 @@ from presswire.operators import joined as X
 from presswire.operators import plugin as U
 from presswire.operators import sentences as N
 from presswire.operators import tables as B
+from presswire.operators import tagger as H
 from presswire.operators import wordcount as W
 from presswire.operators.rows import pin, unnest, unnest_fields
 from presswire.plans import corpus as C
@@ -432,6 +433,20 @@ def pos_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(_tokenized(spark, sf_dir), "pos", value)
 
 
+def pos_tags_learned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tags of a model of each language, learned from all its sentences and a lexicon of ambiguous words."""
+    lexicon = InlineLexicon(H.ambiguity(L.POS + L.MORE_POS))
+    path = scratch_path(spark, "classes")
+    rows = _tokenized(spark, sf_dir).withColumn("classes", H.word_classes(F.col("token"), lexicon, F.col("language")))
+    rows.select(*SENTENCE, "language", "classes").write.parquet(path)
+    stored = spark.read.parquet(path)
+    models = {name: H.train(stored.filter(F.col("language") == name), "classes")[0] for name in ("ENG", "ESP")}
+    tags = F
+    for name, model in models.items():
+        tags = tags.when(F.col("language") == name, model.decode(F.col("classes")))
+    return stored.select(*SENTENCE, F.array_join(tags, ",").alias("pos"))
+
+
 def entity_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(_tagged(spark, sf_dir), "ner", F.col("ner"))
 
@@ -919,7 +934,7 @@ def build() -> dict[str, Query]:
         doc_header, doc_body, doc_routing, dead_letters, corpus_concat, corpus_digests, envelope, doc_json,
         word_count, word_count_doc, top_words, threshold_count,
         sentences, abbreviations, sentences_learned, first_sentence, arabic_sentences, arabic_norm, tokens, long_sentences,
-        lemmas, pos_tags, entity_tags, entity_tags_joined, regex_entities, sentiment, truecase, casing_model, clean_markup,
+        lemmas, pos_tags, pos_tags_learned, entity_tags, entity_tags_joined, regex_entities, sentiment, truecase, casing_model, clean_markup,
         entity_groups, entity_spans, entity_spans_windowed, mention_groups, chunks, aliases, relations,
         documents_assembled, documents_selected, documents_tables, documents_regrouped, documents_coref, profile_columns, run_metrics,
         store_append, sentence_store, store_upsert, store_two_runs, store_lookup, store_lookup_indexed, skip_existing, skip_stored,

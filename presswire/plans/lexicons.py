@@ -28,6 +28,12 @@ POS = (
     ("ESP", "es", "VBZ"),
 )
 
+# Further tags of words above, which make them ambiguous.
+MORE_POS = (
+    ("ENG", "that", "DT"), ("ENG", "this", "PRP"), ("ENG", "as", "RB"), ("ENG", "on", "RB"), ("ENG", "in", "RB"),
+    ("ENG", "by", "RB"), ("ENG", "or", "IN"), ("ESP", "la", "PRP"), ("ESP", "que", "PRP"), ("ESP", "una", "PRP"),
+)
+
 # Fixed values: (language, phrase, entity type).
 GAZETTEER = (
     ("ENG", "orre", "PERSON"), ("ENG", "orre orre", "PERSON"), ("ENG", "th", "PERSON"),
