@@ -15,6 +15,7 @@ from presswire.functions.text import let
 from presswire.operators.planner import CARD_FIELDS, PROFILES, Plan, Wanted, profile
 from presswire.operators.planner import plan as annotation_plan
 from presswire.operators.rows import pin
+from presswire.operators.sieves import canonical_forms, mentions_of
 
 SENTENCE_FIELDS = (
     "sentence_id", "sentence", "parse_sentence", "dependency_tree", "token", "lemma",
@@ -218,48 +219,19 @@ def with_corref(docs: DataFrame, languages: list[str] | None = None) -> DataFram
     """Fills ``corref`` from the document's own sentences: ``type: alias -> canonical``.
 
     A mention's canonical form is the longest of its type that it ends, the earliest
-    on a tie. Array work within the row: no shuffle, and legal on streams. Languages
-    without aliases in their profile get null.
+    on a tie. Array work within the row, linear in the words of the mentions but for a
+    sort: no shuffle, and legal on streams. Languages without aliases in their profile
+    get null.
     """
-    mentions = F.flatten(
-        F.transform(
-            "sentences",
-            lambda s: F.flatten(
-                F.transform(
-                    F.map_entries(s["ner"]),
-                    lambda e: F.transform(e["value"], lambda m: F.struct(e["key"].alias("ner"), m.alias("mention"), s["sentence_id"].alias("at"))),
-                )
-            ),
-        )
-    )
-    # Sorted by place, so the first of equal mentions is the earliest; the others go.
-    placed = F.array_sort(F.transform(F.coalesce(mentions, F.array()), lambda m: F.struct(m["at"].alias("at"), m["ner"].alias("ner"), m["mention"].alias("mention"))))
-
-    def better(a: Column, b: Column) -> Column:
-        size, other = F.length(a["mention"]), F.length(b["mention"])
-        last = (a["at"] == b["at"]) & (a["mention"] > b["mention"])
-        return (size > other) | ((size == other) & ((a["at"] < b["at"]) | last))
-
-    def canonical(m: Column, every: Column) -> Column:
-        same = F.filter(every, lambda c: (c["ner"] == m["ner"]) & c["mention"].endswith(F.concat(F.lit(" "), m["mention"])))
-        return F.aggregate(same, m, lambda a, c: F.when(better(c, a), c).otherwise(a))["mention"]
-
-    def entries(every: Column) -> Column:
-        linked = F.transform(every, lambda m: F.struct(m["ner"].alias("ner"), m["mention"].alias("mention"), canonical(m, every).alias("c")))
-        known = F.filter(linked, lambda r: r["mention"] != r["c"])
-        return F.array_distinct(F.transform(known, lambda r: F.concat(r["ner"], F.lit(": "), r["mention"], F.lit(" -> "), r["c"])))
-
-    def distinct(every: Column) -> Column:
-        def add(known: Column, m: Column) -> Column:
-            met = F.exists(known, lambda k: (k["ner"] == m["ner"]) & (k["mention"] == m["mention"]))
-            return F.when(met, known).otherwise(F.concat(known, F.array(m)))
 
-        return F.aggregate(every, F.filter(every, lambda _: F.lit(False)), add)
+    def entries(forms: Column) -> Column:
+        known = F.filter(forms, lambda g: g["key"] != g["canonical"])
+        return F.transform(known, lambda g: F.concat(g["ner"], F.lit(": "), g["key"], F.lit(" -> "), g["canonical"]))
 
-    text = let(let(placed, distinct), lambda every: F.array_join(F.array_sort(entries(every)), "; "))
-    value = F.nullif(text, F.lit(""))
+    forms = let(mentions_of(F.col("sentences")), lambda m: canonical_forms(m, ("exact", "head"), fold=False))
+    text = F.array_join(F.array_sort(entries(forms)), "; ")
     names = sorted(n for n in PROFILES if "corref" in profile(n)) if languages is None else languages
-    return docs.withColumn("corref", _for_languages(F.col("language"), names, value))
+    return docs.withColumn("corref", _for_languages(F.col("language"), names, F.nullif(text, F.lit(""))))
 
 
 def flat_tokens(token: Column) -> Column:

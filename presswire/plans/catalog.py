@@ -20,6 +20,7 @@ from presswire.operators import entities as E
 from presswire.operators import joined as X
 from presswire.operators import plugin as U
 from presswire.operators import sentences as N
+from presswire.operators import sieves as Y
 from presswire.operators import tables as B
 from presswire.operators import tagger as H
 from presswire.operators import wordcount as W
@@ -594,6 +595,13 @@ def documents_coref(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.with_corref(_annotated(spark, sf_dir)).select("doc_id", "corref")
 
 
+def documents_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mentions and pronouns of English documents with their canonical form, by passes."""
+    docs = D.annotate_documents(_stories(spark, sf_dir).filter(F.col("language") == "ENG"), L.resources(), wanted={"ner", "token"})
+    rows = Y.link_mentions(docs).select("doc_id", F.inline("links"))
+    return rows.select("doc_id", F.col("sentence_id").cast("long").alias("sentence_id"), "ner", "mention", "canonical", "sieve")
+
+
 def profile_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents")
     arabic = F.col("lang") == "de"
@@ -936,7 +944,7 @@ def build() -> dict[str, Query]:
         sentences, abbreviations, sentences_learned, first_sentence, arabic_sentences, arabic_norm, tokens, long_sentences,
         lemmas, pos_tags, pos_tags_learned, entity_tags, entity_tags_joined, regex_entities, sentiment, truecase, casing_model, clean_markup,
         entity_groups, entity_spans, entity_spans_windowed, mention_groups, chunks, aliases, relations,
-        documents_assembled, documents_selected, documents_tables, documents_regrouped, documents_coref, profile_columns, run_metrics,
+        documents_assembled, documents_selected, documents_tables, documents_regrouped, documents_coref, documents_links, profile_columns, run_metrics,
         store_append, sentence_store, store_upsert, store_two_runs, store_lookup, store_lookup_indexed, skip_existing, skip_stored,
         stream_docs, stream_tag_files, stream_dead_letters, stream_published, stream_glued, stream_json_sink, stream_word_count, stream_window_count, batch_window_count, stream_topics,
         bulk_annotate, worker_singleton, task_instance,

@@ -13,6 +13,7 @@ from presswire.functions.arabic import (
 from presswire.functions.segment import SENTENCE_END, TOKEN
 from presswire.functions.text import ENTITIES, MARKUP
 from presswire.operators.abbreviations import CANDIDATE, CLOSERS, LAST_WORD, LIMIT, OPENERS, SHARE, TYPE
+from presswire.operators.sieves import PRONOUNS
 from presswire.plans.corpus import ARABIC, LATIN
 from presswire.plans.lexicons import GAZETTEER, LEMMAS, POLARITY, POS, RULES
 
@@ -444,6 +445,24 @@ def build() -> dict[str, str]:
       found AS (SELECT doc_id, string_agg(ner || ': ' || mention || ' -> ' || canonical, '; ' ORDER BY ner || ': ' || mention || ' -> ' || canonical) AS corref
       FROM linked WHERE mention <> canonical GROUP BY doc_id)
       SELECT s.doc_id, CASE WHEN s.language = 'ENG' THEN f.corref END AS corref FROM stories s LEFT JOIN found f USING (doc_id)"""
+    agreeing = ", ".join(f"({q(w)}, {q(t)})" for w, types in PRONOUNS.items() for t in types)
+    sql["documents_links"] = f"""WITH {TO_SPANS},
+      said AS (SELECT doc_id, sentence_id, tag AS ner, mention, string_split(mention, ' ') AS w FROM spans WHERE language = 'ENG'),
+      offered AS (SELECT doc_id, ner, mention, sentence_id, 'exact' AS sieve, lower(mention) AS key FROM said
+        UNION ALL SELECT doc_id, ner, mention, sentence_id, 'head', lower(array_to_string(list_slice(w, i, len(w)), ' ')) FROM (
+          SELECT *, unnest(range(2, len(w) + 1)) AS i FROM said)
+        UNION ALL SELECT doc_id, ner, mention, sentence_id, 'acronym', lower(initials) FROM (
+          SELECT *, array_to_string(list_transform(w, lambda x: left(x, 1)), '') AS initials FROM said)
+          WHERE len(w) > 1 AND regexp_matches(initials, '^\\p{{Lu}}+$')),
+      longest AS (SELECT doc_id, ner, key, mention AS canonical, sieve FROM offered
+        QUALIFY row_number() OVER (PARTITION BY doc_id, ner, key ORDER BY length(mention) DESC, sentence_id, mention DESC, sieve DESC) = 1),
+      links AS (SELECT s.doc_id, s.sentence_id, s.ner, s.mention, b.canonical, CASE WHEN s.mention = b.canonical THEN 'self' ELSE b.sieve END AS sieve
+        FROM said s JOIN longest b ON b.doc_id = s.doc_id AND b.ner = s.ner AND b.key = lower(s.mention)),
+      agrees(word, ner) AS (VALUES {agreeing}),
+      meant AS (SELECT t.doc_id, t.sentence_id, t.idx, t.token, l.ner, l.canonical FROM toks t JOIN agrees a ON a.word = lower(t.token)
+        JOIN links l ON l.doc_id = t.doc_id AND l.ner = a.ner AND l.sentence_id < t.sentence_id
+        QUALIFY row_number() OVER (PARTITION BY t.doc_id, t.sentence_id, t.idx ORDER BY l.sentence_id DESC, l.ner DESC, l.canonical DESC) = 1)
+      SELECT * FROM links UNION ALL SELECT doc_id, sentence_id, ner, token AS mention, canonical, 'pronoun' FROM meant"""
     ar_profile = AR_SENTS.replace("sents AS", "ar_sents AS").replace("FROM stories", "FROM ar_stories")
     ar_stories = AR_STORIES.replace("stories AS", "ar_stories AS").replace("FROM documents)", "FROM documents WHERE lang = 'de')")
     own_stories = stories_of(PLAIN_KIND, "lang <> 'de'")
