@@ -77,13 +77,17 @@ class TableResources:
         """``df`` with the cards of its block, and the lookup of a token array's cards in them."""
         if df.isStreaming:
             raise ValueError("lexicon tables are joined batch by batch: use store_messages or foreachBatch")
+        least = 2 * df.sparkSession.sparkContext.defaultParallelism
         blocks = self.blocks
         if blocks is None:
             n_bytes = df.agg(F.sum(F.octet_length(body))).first()[0] or 0
-            blocks = int(n_bytes // BLOCK_BYTES) + 1
+            blocks = max(least, int(n_bytes // BLOCK_BYTES) + 1)
         longest = self.longest if "phrases" in fields else 1
         held = df.withColumn("_block", F.pmod(F.xxhash64(body), F.lit(blocks)))
         tables = self._tables(self._found(held, fields, body, longest), fields)
+        if blocks <= least:
+            # So little text would be put into few tasks, but annotating it takes time.
+            held = held.repartition(least, "language", "_block")
         joined = held.join(tables, ["language", "_block"], "left")
 
         def lookup(tokens: Column, language: Column) -> Column:  # noqa: ARG001  a block has one language
