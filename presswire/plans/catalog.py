@@ -35,6 +35,7 @@ from presswire.sources import files as R
 from presswire.sources import records as V
 from presswire.sources import streams as Z
 from presswire.streaming import run as T
+from presswire.streaming import windows as Q
 
 Query = Callable[[SparkSession, str], DataFrame]
 SENTENCE = ["doc_id", "sentence_id"]
@@ -842,6 +843,29 @@ def stream_window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+def stream_window_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that close, in three batches: the earlier half of four events in five, the later
+    half, then the fifth event of all times, most of which is late."""
+    path, source = scratch_path(spark, "late-windows"), scratch_path(spark, "events")
+    events = C.table(spark, sf_dir, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    middle = events.agg(F.expr("timestamp_micros(cast((unix_micros(min(ts)) + unix_micros(max(ts))) / 2 as bigint))")).first()[0]
+    fifth = F.pmod("event_id", F.lit(5)) == 0
+    checkpoint, stream = path + "-checkpoint", None
+    for part in (~fifth & (F.col("ts") < F.lit(middle)), ~fifth & (F.col("ts") >= F.lit(middle)), fifth):
+        # Each part is drained as one batch; the query goes on from its checkpoint.
+        events.filter(part).select("event_type", "ts").write.mode("append").parquet(source)
+        stream = Z.watch_files(spark, source, "event_type string, ts timestamp")
+        _drain(Q.count_windows(stream, path, "event_type", "ts", "30 minutes", "6 hours"), checkpoint)
+    late = Q.late_rows(spark, path, "event_type string, ts timestamp")
+    parts = {
+        "emitted": Q.emitted(spark, path).select("window_start", "word", "count"),
+        "open": Q.open_windows(spark, path),
+        "late": late.groupBy(F.window("ts", "30 minutes")["start"].alias("window_start"), F.col("event_type").alias("word")).agg(F.count(F.lit(1)).alias("count")),
+    }
+    rows = [df.select(F.lit(kind).alias("kind"), F.col("window_start").cast("timestamp_ntz").alias("window_start"), "word", "count") for kind, df in parts.items()]
+    return rows[0].unionAll(rows[1]).unionAll(rows[2])
+
+
 def batch_window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = C.table(spark, sf_dir, "events").select("event_type", F.col("ts").cast("timestamp").alias("ts"))
     counts = W.windowed_word_count(events, "event_type", "ts", "30 minutes")
@@ -946,7 +970,7 @@ def build() -> dict[str, Query]:
         entity_groups, entity_spans, entity_spans_windowed, mention_groups, chunks, aliases, relations,
         documents_assembled, documents_selected, documents_tables, documents_regrouped, documents_coref, documents_links, profile_columns, run_metrics,
         store_append, sentence_store, store_upsert, store_two_runs, store_lookup, store_lookup_indexed, skip_existing, skip_stored,
-        stream_docs, stream_tag_files, stream_dead_letters, stream_published, stream_glued, stream_json_sink, stream_word_count, stream_window_count, batch_window_count, stream_topics,
+        stream_docs, stream_tag_files, stream_dead_letters, stream_published, stream_glued, stream_json_sink, stream_word_count, stream_window_count, stream_window_late, batch_window_count, stream_topics,
         bulk_annotate, worker_singleton, task_instance,
     )
     return {**{f.__name__: f for f in plain}, **named}

@@ -527,6 +527,15 @@ def build() -> dict[str, str]:
     sql["stream_window_count"] = """
       SELECT to_timestamp(floor(epoch(ts) / 1800) * 1800)::TIMESTAMP AS window_start, event_type AS word, count(*) AS count
       FROM events GROUP BY ALL"""
+    sql["stream_window_late"] = """
+      WITH dealt AS (SELECT event_type AS word, ts, to_timestamp(floor(epoch(ts) / 1800) * 1800)::TIMESTAMP AS window_start,
+          CASE WHEN event_id % 5 = 0 THEN 2 WHEN epoch_us(ts) < ((SELECT min(epoch_us(ts)) + max(epoch_us(ts)) FROM events) / 2)::BIGINT THEN 0 ELSE 1 END AS b
+        FROM events),
+      marks AS (SELECT b, max(max(ts)) OVER (ORDER BY b) - INTERVAL 6 HOUR AS after FROM dealt GROUP BY b),
+      judged AS (SELECT d.*, CASE WHEN window_start + INTERVAL 30 MINUTE <= m.after THEN 'late'
+          WHEN window_start + INTERVAL 30 MINUTE <= (SELECT max(after) FROM marks) THEN 'emitted' ELSE 'open' END AS kind
+        FROM dealt d LEFT JOIN marks m ON m.b = d.b - 1)
+      SELECT kind, window_start, word, count(*) AS count FROM judged GROUP BY ALL"""
     sql["batch_window_count"] = sql["stream_window_count"]
     sql["stream_topics"] = f"""
       SELECT topic, count(*) AS n_messages, sum(n)::BIGINT AS n_words FROM (
