@@ -33,7 +33,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     given = {
+        "op1_suffixdup": suffixdup.ORACLE,
         "op3_decontaminate": decontaminate.ORACLE,
+        "op6_shingletree": shingletree.ORACLE,
+        "op10_vectordup": vectordup.ORACLE,
         "op11_hardnegatives": hardnegatives.ORACLE,
         "op12_pivotcodes": pivotcodes.ORACLE,
         "op13_linededup": linededup.ORACLE,

@@ -264,3 +264,26 @@ def near_duplicates(docs: DataFrame, family: int = FAMILY) -> DataFrame:
 def op6_shingletree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all ``documents``."""
     return near_duplicates(table(spark, sf_dir, "documents")).drop("row")
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+ORACLE = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM w)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared.n >= 75 * (x.n + y.n - shared.n)
+), reached AS (
+  SELECT doc_id AS d, doc_id AS r FROM documents
+  UNION SELECT d, b FROM reached JOIN links ON a = r
+)
+SELECT d AS doc_id, any_value(coalesce(n, 0)) AS n_shingles, min(r) AS component_id
+FROM reached LEFT JOIN sizes ON sizes.doc_id = d GROUP BY d
+"""

@@ -356,3 +356,27 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 def op1_suffixdup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated substrings of all ``documents``, removed."""
     return remove_repeats(table(spark, sf_dir, "documents")).drop("row", "spans")
+
+
+ORACLE = """
+WITH t AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS t FROM documents
+), starts AS (
+  SELECT doc_id, i, t[i + 1:i + 50] AS s FROM (SELECT doc_id, t, unnest(range(octet_length(t) - 49)) AS i FROM t)
+), repeats AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS least FROM starts) WHERE least < doc_id
+), opened AS (
+  SELECT *, CASE WHEN i > lag(i) OVER w + 50 OR lag(i) OVER w IS NULL THEN 1 ELSE 0 END AS o FROM repeats WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), spans AS (
+  SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM (SELECT *, sum(o) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM opened) GROUP BY doc_id, k
+), gaps AS (
+  SELECT doc_id, coalesce(lag(b) OVER w, 0) AS a, a AS b FROM spans WINDOW w AS (PARTITION BY doc_id ORDER BY a)
+  UNION ALL SELECT t.doc_id, coalesce(max(b), 0), octet_length(any_value(t)) FROM t LEFT JOIN spans USING (doc_id) GROUP BY t.doc_id
+), kept AS (
+  SELECT doc_id, string_agg(hex(t[a + 1:b]), '' ORDER BY a) AS h FROM gaps JOIN t USING (doc_id) GROUP BY doc_id
+), sums AS (
+  SELECT doc_id, sum(b - a) AS n, count(*) AS k FROM spans GROUP BY doc_id
+)
+SELECT t.doc_id, octet_length(t)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(k, 0)::BIGINT AS n_spans, sha256(unhex(h)) AS kept_sha256
+FROM t JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)
+"""

@@ -136,3 +136,23 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST, shard: int = SHARD
 def op10_vectordup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicates of all ``embeddings`` within their labels."""
     return near_duplicates(table(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
+
+
+ORACLE = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, e, sqrt(list_inner_product(e, e)) AS n FROM (
+    SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+  WHERE list_inner_product(e, e) > 0
+), links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id
+  WHERE list_inner_product(x.e, y.e) / x.n / y.n >= 0.98
+), reached AS (
+  SELECT vec_id AS d, vec_id AS r FROM embeddings
+  UNION SELECT d, b FROM reached JOIN links ON a = r
+), degrees AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT d AS vec_id, any_value(coalesce(n, 0)) AS n_links, min(r) AS component_id, min(r) = d AS kept
+FROM reached LEFT JOIN degrees ON a = d GROUP BY d
+"""
