@@ -25,6 +25,17 @@ def saved(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def pack(df: DataFrame, *names: str) -> DataFrame:
+    """The columns ``names`` as they are, all others in one struct, so that none meets a column of an operator."""
+    others = [F.col(f"`{c}`") for c in df.columns if c not in names]
+    return df.select(F.struct(*(others or [F.lit(None).alias("none")])).alias("_packed"), *names)
+
+
+def unpack(columns: list[str], *names: str) -> list[Column]:
+    """The columns of a frame that was packed, in their order."""
+    return [F.col(c) if c in names else F.col(f"_packed.`{c}`").alias(c) for c in columns]
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text modulo ``folds``; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from presswire.llm.common import saved, table
+from presswire.llm.common import pack, saved, table, unpack
 
 LENGTH = 10  # words of a window
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -117,25 +117,28 @@ def proximity_matches(docs: DataFrame, items: DataFrame, slop: int, length: int
     return near.join(docs.select("row", "doc_id"), "row").select("doc_id", "item_id", "start").distinct()
 
 
-def hits(docs: DataFrame, items: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``docs`` plus row, n_words, n_hit and ws: the windows that occur in a document.
-
-    The rules are those of ``decontaminate``.
-    """
-    docs = docs.drop("row", "offered", "n_words", "n_hit", "ws")
-    other = docs.columns
-    found = phrase_matches(docs.withColumn("row", F.monotonically_increasing_id()), items, length)
+def _hits(docs: DataFrame, items: DataFrame, length: int) -> DataFrame:
+    """The columns of ``docs`` packed, row, n_words, n_hit and ws: the windows that occur in a document."""
+    held = pack(docs, "text").withColumn("row", F.monotonically_increasing_id())
+    found = phrase_matches(held, items.select("item_id", "text"), length)
     # The words are cut once in a step of their own; the comparison only slices them.
     cut = found.withColumn("w", words(F.col("text")))
     same = F.filter(F.coalesce("offered", F.array()), lambda c: F.slice("w", c["start"] + 1, F.size(c["terms"])) == c["terms"])
     met = F.when(F.col("offered").isNotNull(), F.array_sort(F.transform(same, lambda c: F.struct(c["start"].alias("start"), (c["start"] + F.size(c["terms"])).alias("end"), c["window"].alias("window")))))
-    cut = cut.select(*other, "row", F.size("w").cast("long").alias("n_words"), met.alias("hits"))
+    cut = cut.select("_packed", "text", "row", F.size("w").cast("long").alias("n_words"), met.alias("hits"))
     covered = F.aggregate(
         "hits",
         F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
         lambda a, h: F.struct((a["n"] + F.greatest(h["end"] - F.greatest(h["start"], a["end"]), F.lit(0))).alias("n"), F.greatest(a["end"], h["end"]).alias("end")),
     )["n"]
-    return cut.select(*other, "row", "n_words", F.coalesce(covered, F.lit(0)).cast("long").alias("n_hit"), F.array_distinct(F.transform("hits", lambda h: h["window"])).alias("ws"))
+    return cut.select("_packed", "text", "row", "n_words", F.coalesce(covered, F.lit(0)).cast("long").alias("n_hit"), F.array_distinct(F.transform("hits", lambda h: h["window"])).alias("ws"))
+
+
+def hits(docs: DataFrame, items: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``docs`` plus n_words and n_hit, by the rules of ``decontaminate``; ``docs`` is a table scan,
+    whose rows are numbered alike each time."""
+    docs = docs.drop("n_words", "n_hit")
+    return _hits(docs, items, length).select(*unpack(docs.columns, "text"), "n_words", "n_hit")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -143,20 +146,19 @@ def decontaminate(docs: DataFrame, items: DataFrame, length: int = LENGTH) -> Da
 
     Null or wordless texts have no hits; a null item_id is written as an empty
     string in the digest; equal documents and equal items count each for
-    themselves; empty tables give no hits; other columns pass through, replaced
-    when they bear one of the new names.
+    themselves; empty tables give no hits; other columns pass through, whatever their
+    names, replaced only when they bear one of the new names. ``docs`` is a table scan.
     """
-    docs = docs.drop("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "row", "ws", "offered")
-    other = docs.columns
-    cut = saved(hits(docs, items, length), "hits")
+    docs = docs.drop("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    cut = saved(_hits(docs, items, length), "hits")
     ids = F.coalesce(F.col("item_id").cast("string"), F.lit(""))
-    of = windows(items, length).select("window", "item_id").distinct()
+    of = windows(items.select("item_id", "text"), length).select("window", "item_id").distinct()
     met = cut.filter("n_hit > 0").select("row", F.explode("ws").alias("window")).join(sized(saved(of, "window_items")), "window")
     met = met.select("row", ids.alias("id"), "item_id").distinct()
     per = met.groupBy("row").agg(F.count(F.lit(1)).alias("n_items"), F.sha2(F.array_join(F.array_sort(F.collect_list("id")), ","), 256).alias("digest"))
     none = F.sha2(F.lit(""), 256)
     out = cut.drop("ws").join(per, "row", "left")
-    return out.select(*other, "n_words", "n_hit", F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), F.coalesce("digest", none).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+    return out.select(*unpack(docs.columns, "text"), "n_words", "n_hit", F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), F.coalesce("digest", none).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def op3_decontaminate(spark, sf_dir: str) -> DataFrame:  # noqa: ANN001

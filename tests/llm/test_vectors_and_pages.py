@@ -189,3 +189,49 @@ def test_pipeline_stages(spark, tmp_path):
 )
 def test_page_text_is_whole(html, text):
     assert htmltext.visible_text(html) == text
+
+
+CLASHING = (
+    "row", "_row", "_copy", "copies", "hits", "offered", "w", "ws", "n_hit", "n_words", "window", "terms", "lang_pred", "score", "mixed",
+    "component_id", "n_shingles", "size", "source_size", "target", "block", "packed", "none", "draw", "share", "pos", "start", "count", "key",
+)
+
+
+def test_stages_and_decontamination_keep_columns_of_any_name(spark, tmp_path):
+    import corpus_pipeline as C
+    from presswire.llm.decontaminate import decontaminate
+
+    item = "the quick brown fox jumps over one lazy dog again today"
+    rows = [(k, " ".join(f"word{k}x{j}" for j in range(20)), "en", f"s{k % 2}") for k in range(8)]
+    rows += [(8, rows[3][1], None, None), (9, item, "en", "s0"), (None, None, None, None), (10, "", "en", "s1"), (3, rows[3][1], "en", "s1")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    for name in CLASHING:
+        df = df.withColumn(name, F.concat(F.lit(name + " of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    items = spark.createDataFrame([(1, item, "x"), (None, None, "y")], "item_id long, text string, row string")
+    items.write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs, items = spark.read.parquet(str(tmp_path / "documents.parquet")), spark.read.parquet(str(tmp_path / "benchmark.parquet"))
+    new = {"n_words", "n_hit", "n_items", "items_sha256", "contaminated"}
+    found = decontaminate(docs, items)
+    assert set(found.columns) == set(docs.columns) | new and [r["doc_id"] for r in found.filter("contaminated").collect()] == [9]
+    now = docs
+    for name, stage in C.STAGES[:-1]:
+        out = stage(spark, now, str(tmp_path))
+        assert out.columns == docs.columns
+        out.write.parquet(str(tmp_path / name))
+        now = spark.read.parquet(str(tmp_path / name))
+        for r in now.collect():
+            assert all(r[c] == f"{c} of {r['doc_id']}" for c in CLASHING)
+    assert now.count() and C.STAGES[-1][1](spark, now, str(tmp_path)).count() == now.count()
+    for r in found.collect():
+        assert all(r[c] == f"{c} of {'none' if r['doc_id'] is None else r['doc_id']}" for c in CLASHING if c not in new)
+
+
+def test_stages_of_an_empty_table(spark, tmp_path):
+    import corpus_pipeline as C
+
+    for name, shape in (("documents", "doc_id long, text string, lang string, source string"), ("benchmark", "item_id long, text string")):
+        spark.createDataFrame([], shape).write.parquet(str(tmp_path / f"{name}.parquet"))
+    for _, stage in C.STAGES:
+        assert stage(spark, spark.read.parquet(str(tmp_path / "documents.parquet")), str(tmp_path)).count() == 0
+    assert C.run(spark, str(tmp_path)).count() == 0
