@@ -15,9 +15,11 @@ from presswire.functions.segment import TOKEN, grams, sentences_of
 from presswire.functions.text import extract_field, strip_markup
 from presswire.operators import abbreviations as G
 from presswire.operators import assemble as D
+from presswire.operators import bootstrap
 from presswire.operators import docparse as P
 from presswire.operators import entities as E
 from presswire.operators import joined as X
+from presswire.operators import openjson as O
 from presswire.operators import plugin as U
 from presswire.operators import sentences as N
 from presswire.operators import sieves as Y
@@ -255,6 +257,24 @@ def docs_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def docs_json_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON documents whose shape differs from one to the next: read, changed, written and read again."""
+    docs = C.table(spark, sf_dir, "documents")
+    known = [F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("doc_id"), F.coalesce(_own_language(), F.upper("lang")).alias("language"), "text"]
+    meta = F.struct("source", F.array("lang", "source").alias("tags"), F.struct("n_chars").alias("size")).alias("meta")
+    shapes = F.when(F.col("doc_id") % 6 == 0, F.to_json(F.struct(*known, meta, F.col("doc_id").alias("rank"))))
+    shapes = shapes.when(F.col("doc_id") % 2 == 0, F.to_json(F.struct(*known, meta)))
+    shapes = shapes.when(F.col("doc_id") % 3 == 0, F.to_json(F.struct(*known, (F.col("doc_id") / 4).alias("rank"))))
+    lines = R.read_lines(spark, _written(docs.select(shapes.otherwise(F.to_json(F.struct(*known))).alias("value")), "json-open"))
+    opened = O.open_documents(lines).withColumn("n_lines", F.size(F.split("text", "\n")))
+    out = O.close_documents(opened, ("doc_id", "language", "n_lines", "reason"))
+    field = lambda p: F.get_json_object("value", p)
+    return out.select(
+        field("$.doc_id").alias("doc_id"), field("$.language").alias("language"), field("$.reason").alias("reason"), field("$.n_lines").cast("long").alias("n_lines"),
+        field("$.meta.tags[1]").alias("tag"), field("$.meta.size.n_chars").cast("long").alias("n_chars"), field("$.rank").cast("double").alias("rank"),
+    )
+
+
 def user_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.when(F.col("c_custkey") % 7 == 0, F.lit("n/a")).otherwise(F.col("c_nationkey").cast("string"))
     xml = C.table(spark, sf_dir, "customer").select(
@@ -542,6 +562,18 @@ def relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.count_relations(unnest_fields(rows, [], S.neighbour_pairs(F.col("token"), spans), "type1"))
 
 
+def relations_learned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of mentions believed after two rounds, from those that meet around more than one connector."""
+    rows = _tagged(spark, sf_dir)
+    spans = S.merge_runs(F.col("token"), F.col("ner"))
+    path = scratch_path(spark, "facts")
+    bootstrap.pair_facts(unnest_fields(rows, [], S.neighbour_pairs(F.col("token"), spans), "type1")).write.parquet(path)
+    facts = spark.read.parquet(path)
+    seeds = facts.groupBy(*bootstrap.PAIR).agg(F.sum("n").alias("n")).filter(F.col("n") > 2)
+    _, pairs = bootstrap.bootstrap(facts, seeds, rounds=2, support=2, trust=0.3, belief=0.4)
+    return pairs.select(*bootstrap.PAIR, F.round("score", 6).alias("score"), "round")
+
+
 # --- documents --------------------------------------------------------------
 
 
@@ -962,12 +994,12 @@ def build() -> dict[str, Query]:
     named = {"extract_field": extract_title}
     plain = (
         scan_nonblank, file_listing, first_file, docs_xml, docs_xml_lines, xml_paragraphs,
-        docs_tagged, docs_tag_files, docs_tag_splits, docs_json, user_records, memory_lines,
+        docs_tagged, docs_tag_files, docs_tag_splits, docs_json, docs_json_open, user_records, memory_lines,
         doc_header, doc_body, doc_routing, dead_letters, corpus_concat, corpus_digests, envelope, doc_json,
         word_count, word_count_doc, top_words, threshold_count,
         sentences, abbreviations, sentences_learned, first_sentence, arabic_sentences, arabic_norm, tokens, long_sentences,
         lemmas, pos_tags, pos_tags_learned, entity_tags, entity_tags_joined, regex_entities, sentiment, truecase, casing_model, clean_markup,
-        entity_groups, entity_spans, entity_spans_windowed, mention_groups, chunks, aliases, relations,
+        entity_groups, entity_spans, entity_spans_windowed, mention_groups, chunks, aliases, relations, relations_learned,
         documents_assembled, documents_selected, documents_tables, documents_regrouped, documents_coref, documents_links, profile_columns, run_metrics,
         store_append, sentence_store, store_upsert, store_two_runs, store_lookup, store_lookup_indexed, skip_existing, skip_stored,
         stream_docs, stream_tag_files, stream_dead_letters, stream_published, stream_glued, stream_json_sink, stream_word_count, stream_window_count, stream_window_late, batch_window_count, stream_topics,

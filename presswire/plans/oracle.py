@@ -279,6 +279,10 @@ def build() -> dict[str, str]:
       SELECT 'D' || doc_id AS doc_id, {KIND} AS type, coalesce({OWN_LANG}, upper(lang)) AS language,
              len({sentences_of('text')})::BIGINT AS n_sentences,
              CASE WHEN ({OWN_LANG}) IS NULL THEN 'bad_lang' END AS reason FROM documents"""
+    sql["docs_json_open"] = f"""
+      SELECT 'D' || doc_id AS doc_id, coalesce({OWN_LANG}, upper(lang)) AS language, CASE WHEN ({OWN_LANG}) IS NULL THEN 'bad_lang' END AS reason,
+        len({LINES})::BIGINT AS n_lines, CASE WHEN doc_id % 2 = 0 THEN source END AS tag, CASE WHEN doc_id % 2 = 0 THEN n_chars::BIGINT END AS n_chars,
+        CASE WHEN doc_id % 6 = 0 THEN doc_id::DOUBLE WHEN doc_id % 2 <> 0 AND doc_id % 3 = 0 THEN doc_id::DOUBLE / 4 END AS rank FROM documents"""
     sql["user_records"] = """
       SELECT c_custkey::VARCHAR AS account, c_name AS name,
              CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_nationkey::BIGINT END AS number FROM customer"""
@@ -406,6 +410,23 @@ def build() -> dict[str, str]:
     sql["relations"] = f"""WITH {TO_SPANS}, {PAIRS}
       SELECT type1, connector, type2, count(*) AS n FROM pairs GROUP BY ALL"""
 
+    def learned_round(n: int) -> str:
+        """Patterns trusted by the pairs of the round before, and the pairs believed by them."""
+        return f"""patterns{n} AS (SELECT * FROM (
+        SELECT type1, connector, type2, count(k.mention1) AS known, count(k.mention1) / count(*) AS confidence
+        FROM facts f LEFT JOIN known{n - 1} k ON k.mention1 = f.mention1 AND k.mention2 = f.mention2 GROUP BY ALL)
+        WHERE known >= 2 AND confidence >= 0.3),
+      believed{n} AS (SELECT * FROM (SELECT mention1, mention2, 1 - product(1 - confidence) AS score
+        FROM facts JOIN patterns{n} USING (type1, connector, type2) GROUP BY ALL) WHERE score >= 0.4),
+      known{n} AS (SELECT mention1, mention2, CASE WHEN k.round = 0 THEN k.score ELSE coalesce(b.score, k.score) END AS score, coalesce(k.round, {n}) AS round
+        FROM known{n - 1} k FULL JOIN believed{n} b USING (mention1, mention2))"""
+
+    sql["relations_learned"] = f"""WITH {TO_SPANS}, {PAIRS},
+      facts AS (SELECT type1, connector, type2, mention1, mention2, count(*) AS n FROM pairs GROUP BY ALL),
+      known0 AS (SELECT mention1, mention2, 1.0::DOUBLE AS score, 0 AS round FROM facts GROUP BY ALL HAVING sum(n) > 2),
+      {learned_round(1)}, {learned_round(2)}
+      SELECT mention1, mention2, round(score, 6) AS score, round FROM known2"""
+
     # Documents.
     def whole(lexicons: str, tagged: str = TAGGED) -> str:
         return f"""{lexicons}, {TO_ROUTED_TOKENS}, {LEMMAED}, {POSSED}, {tagged}, {SPANS}, {GROUPED},
