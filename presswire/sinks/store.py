@@ -88,7 +88,7 @@ def upsert_batch(
 ) -> None:
     """Log a batch of documents. Within a batch the greatest ``seq`` wins; later
     commits win over earlier ones, whichever run they are of. A batch that a snapshot
-    already holds is not written again."""
+    already holds is not written again. The batch is laid out by ``key`` if it has that column."""
     spark = df.sparkSession
     _, held = _compacted(spark, path)
     if batch_id <= held.get(run, -1):
@@ -99,7 +99,7 @@ def upsert_batch(
     own, last = _commits(spark, path).agg(F.max(F.when(this, F.col("committed"))), F.max("committed")).first()
     committed = own if own is not None else (last or 0) + 1
     rows = df.withColumns({"row_hash": _row_hash(df), "committed": F.lit(committed).cast("long")})
-    append_batch(_laid_out(rows, key), f"{path}/{LOG}", batch_id, run)
+    append_batch(_laid_out(rows, key) if key in df.columns else rows, f"{path}/{LOG}", batch_id, run)
     if own is None:
         append(spark.createDataFrame([(committed, run, batch_id)], _COMMIT).coalesce(1), f"{path}/{COMMITS}")
 
