@@ -21,7 +21,8 @@ import numpy as np
 from presswire.llm.wordhash import words
 
 KEPT = 600_000  # pieces a worker remembers by their text; the memory of a cache, it changes no result
-HASHED = 1_000_000  # pieces it remembers by their hash
+HASHED = 1_500_000  # pieces it remembers by their hash
+RECENT = 100_000  # of these, met since they were last merged
 CALL = 256  # new pieces in one call
 _MARKS = (",", ".", ";", ":", "!", "?")
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
@@ -52,6 +53,11 @@ def _plain(texts: list[str], raw: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return plain
 
 
+def _merged(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+    order = np.argsort(np.concatenate([a[0], b[0]]), kind="stable")
+    return tuple(np.concatenate([x, y])[order] for x, y in zip(a, b, strict=True))
+
+
 class PieceEncoder:
     """Ids of texts as little-endian bytes of ``kind``."""
 
@@ -72,10 +78,30 @@ class PieceEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        """Hashed pieces: ascending keys, and where each one's ids stand in the table."""
-        self.keys, self.starts, self.sizes = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        """Hashed pieces in two levels, most and the recent ones: ascending keys, and where each one's ids stand in the table."""
+        none = (np.empty(0, np.uint64), np.empty(0, np.int32), np.empty(0, np.int32))
+        self.levels = [none, none]
         self.table = np.empty(0, self.kind)
 
+    def _held(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which pieces the table holds, where their ids begin, and how many there are."""
+        found, starts, sizes = np.zeros(len(key), bool), np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
+        for keys, begins, n in self.levels:
+            if len(keys):
+                place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                hit = np.flatnonzero(keys[place] == key)
+                found[hit], starts[hit], sizes[hit] = True, begins[place[hit]], n[place[hit]]
+        return found, starts, sizes
+
+    def _keep(self, key: np.ndarray, coded: list[bytes]) -> None:
+        """Adds pieces, whose keys ascend."""
+        sizes = np.array([len(c) for c in coded], dtype=np.int64) // self.kind.itemsize
+        starts = len(self.table) + np.cumsum(sizes) - sizes
+        self.table = np.concatenate([self.table, np.frombuffer(b"".join(coded), dtype=self.kind)])
+        self.levels[1] = _merged(self.levels[1], (key, starts.astype(np.int32), sizes.astype(np.int32)))
+        if len(self.levels[1][0]) > RECENT:
+            self.levels = [_merged(*self.levels), tuple(x[:0] for x in self.levels[1])]
+
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.int64)
 
@@ -131,13 +157,11 @@ class PieceEncoder:
 
         ``key`` ascends; ``at`` is a place of each piece.
         """
-        if len(self.keys) + len(key) > HASHED:
+        if sum(len(x[0]) for x in self.levels) + len(key) > HASHED:
             self._forget()
-        place = np.searchsorted(self.keys, key)
-        new = np.ones(len(key), dtype=bool)
-        inside = np.flatnonzero(place < len(self.keys))
-        new[inside] = self.keys[place[inside]] != key[inside]
-        if new.any():
+        found, starts, sizes = self._held(key)
+        if not found.all():
+            new = ~found
             at = at[new]
             view = memoryview(raw)
             words_ = [str(view[a:b], "utf-8", "surrogatepass") for a, b in zip(first[at].tolist(), end[at].tolist(), strict=True)]
@@ -148,27 +172,19 @@ class PieceEncoder:
                 for asked, kind_, lead in (([w for w, k in zip(words_, kinds, strict=True) if not k], 0, " "), ([w for w, k in zip(words_, kinds, strict=True) if k], 1, ""))
             )
             coded = [next(later) if k == 0 else next(starts) if k == 1 else self.between + next(starts) for k in kinds]
-            sizes = np.array([len(c) for c in coded], dtype=np.int64) // self.kind.itemsize
-            keys = np.concatenate([self.keys, key[new]])
-            order = np.argsort(keys, kind="stable")
-            self.keys = keys[order]
-            self.starts = np.concatenate([self.starts, len(self.table) + np.cumsum(sizes) - sizes])[order]
-            self.sizes = np.concatenate([self.sizes, sizes])[order]
-            self.table = np.concatenate([self.table, np.frombuffer(b"".join(coded), dtype=self.kind)])
-            place = np.searchsorted(self.keys, key)
-        return self.starts[place], self.sizes[place]
+            self._keep(key[new], coded)
+            found, starts, sizes = self._held(key)
+        return starts, sizes
 
     def _stems(self, asked: list[str], kind: int) -> dict[str, bytes]:
         """Ids of the words before a mark, as far as the table holds them."""
         stems = list({w[:-1] for w in asked if w[-1:] in _MARKS and w[-2:-1].isalpha()})
-        if not stems or not len(self.keys):
+        if not stems:
             return {}
         raw = np.frombuffer(b"\n" + b"\n".join([w.encode("utf-8", "surrogatepass") for w in stems]) + b"\n", np.uint8)
-        key = words(raw)[2] ^ _KIND[kind]
-        place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        held = np.flatnonzero(self.keys[place] == key)
-        at, size = self.starts[place[held]].tolist(), self.sizes[place[held]].tolist()
-        return {stems[k]: self.table[a : a + n].tobytes() for k, a, n in zip(held.tolist(), at, size, strict=True)}
+        found, starts, sizes = self._held(words(raw)[2] ^ _KIND[kind])
+        at, size = starts.tolist(), sizes.tolist()
+        return {stems[k]: self.table[at[k] : at[k] + size[k]].tobytes() for k in np.flatnonzero(found).tolist()}
 
     def _together(self, parts: list[bytes]) -> list[bytes]:
         """Ids of texts whose words are parted by single spaces and newlines."""
