@@ -62,9 +62,10 @@ def tag_by_gazetteer(
     offered = offered.withColumnRenamed("text", "surface").withColumn("phrase", F.lower("surface"))
     known = gazetteer.groupBy("language", F.lower("phrase").alias("phrase")).agg(F.min("ner").alias("ner"))
     on = ["language", "phrase"]
-    if not fits_broadcast(known, **{name: n for name, n in limits.items() if name != "salts"}):
-        offered = key_filter(known, on).admit(offered)
-    hits = keyed_join(offered, known, on, "inner", [*keys, "at", "k"], **limits)
+    if fits_broadcast(known, **{name: n for name, n in limits.items() if name != "salts"}):
+        hits = offered.join(F.broadcast(known), on)
+    else:
+        hits = key_filter(known, on).admit(offered).join(known, on)
     covered = hits.select(
         *keys, "at", "k", "ner", F.posexplode(F.split("surface", " ")).alias("back", "token")
     ).select(

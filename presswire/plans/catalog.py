@@ -477,7 +477,8 @@ def _phrases(spark: SparkSession, sf_dir: str, longest: int) -> DataFrame:
     """Every run of up to ``longest`` words of every message, in lower case, with the message's role."""
     words = F.transform(F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)), F.lower)
     texts = F.transform(grams(words, longest), lambda g: g["text"])
-    said = C.table(spark, sf_dir, "conversations").select("role", F.explode(F.array_distinct(texts)).alias("phrase")).distinct()
+    messages = R.at_least(C.table(spark, sf_dir, "conversations"), 2 * spark.sparkContext.defaultParallelism)
+    said = messages.select("role", F.explode(F.array_distinct(texts)).alias("phrase")).distinct()
     return said.select(F.explode(F.array(F.lit("ENG"), F.lit("ESP"))).alias("language"), "phrase", "role")
 
 
