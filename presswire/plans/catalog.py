@@ -12,7 +12,7 @@ from presswire.functions import annotate as A
 from presswire.functions import spans as S
 from presswire.functions.lexicon import InlineLexicon, phrase_lexicon, regex_tags
 from presswire.functions.segment import TOKEN, grams, sentences_of
-from presswire.functions.text import extract_field, strip_markup
+from presswire.functions.text import extract_field, let, strip_markup
 from presswire.operators import abbreviations as G
 from presswire.operators import assemble as D
 from presswire.operators import bootstrap
@@ -476,7 +476,7 @@ def entity_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _phrases(spark: SparkSession, sf_dir: str, longest: int) -> DataFrame:
     """Every run of up to ``longest`` words of every message, in lower case, with the message's role."""
     words = F.transform(F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)), F.lower)
-    texts = F.transform(grams(words, longest), lambda g: g["text"])
+    texts = let(words, lambda w: F.transform(grams(w, longest), lambda g: g["text"]))
     messages = R.at_least(C.table(spark, sf_dir, "conversations"), 2 * spark.sparkContext.defaultParallelism)
     said = messages.select("role", F.explode(F.array_distinct(texts)).alias("phrase")).distinct()
     return said.select(F.explode(F.array(F.lit("ENG"), F.lit("ESP"))).alias("language"), "phrase", "role")
