@@ -762,8 +762,10 @@ def skip_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a stream, be it one file or a folder of files: the pattern matches either, and
+    what is below a folder is listed."""
     schema = C.table(spark, sf_dir, name).schema
-    return Z.watch_files(spark, sf_dir, schema, glob=f"{name}.parquet")
+    return Z.watch_files(spark, f"{sf_dir}/{{{name}}}.parquet", schema)
 
 
 def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

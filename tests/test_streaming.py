@@ -112,3 +112,14 @@ def test_preview_of_a_stream_goes_to_the_console(spark, tmp_path):
     assert T.wait(query, 120)
     progress = query.lastProgress
     assert progress["numInputRows"] == 9 and "Console" in progress["sink"]["description"]
+
+
+def test_a_table_of_several_files_is_streamed(spark, tmp_path):
+    from presswire.plans import catalog as C
+
+    rows = spark.createDataFrame([(1, "one. two", "en", "src2"), (2, "three", "es", "src1")], "doc_id long, text string, lang string, source string")
+    rows.repartition(2).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([("a b c",)], "text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    assert sorted(tuple(r) for r in C.stream_topics(spark, str(tmp_path)).collect()) == [("conversations", 1, 3), ("documents", 2, 3)]
+    assert sorted(r["doc_id"] for r in C.stream_docs(spark, str(tmp_path)).collect()) == ["D1", "D2"]
+    assert C.stream_json_sink(spark, str(tmp_path)).count() == 3
