@@ -4,7 +4,8 @@ Words are taken by ambiguity class: the set of tags the lexicon gives a word, or
 a word it does not know. A class is a small alphabet whatever the lexicon's size, so the model is a
 few tables of numbers. Training is expectation maximisation: each task passes forward and
 backward over its sentences and adds up expected counts, an aggregation over the
-tasks gives the next model. Decoding is a column: one ``aggregate`` forward, one back.
+tasks gives the next model. Decoding is a column. Both take the sentences of a block word by
+word, so a long sentence costs no more a word than a short one.
 """
 
 from __future__ import annotations
@@ -14,12 +15,11 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presswire.functions.lexicon import InlineLexicon
-from presswire.functions.text import let
-
 # Shapes of unknown words, the first that fits, and the tags they may have.
 SHAPES = (
     (r"^\p{N}", "#number", ("CD",)),
@@ -34,6 +34,8 @@ SHAPES = (
 )
 ROUNDS = 5
 TINY = 1e-12
+BLOCK_WORDS = 100_000  # of a block in memory; a longer sentence is a block of its own
+BLOCK_SENTENCES = 4_096
 
 
 def ambiguity(entries: Iterable[tuple[str, str, str]]) -> list[tuple[str, str, str]]:
@@ -73,7 +75,7 @@ class Model:
 
     @property
     def allowed(self) -> np.ndarray:
-        return np.array([[t in tags_of(c) for t in self.tags] for c in self.classes])
+        return np.array([[t in tags_of(c) for t in self.tags] for c in self.classes], dtype=bool).reshape(len(self.classes), len(self.tags))
 
     @classmethod
     def first(cls, counts: dict[str, int]) -> Model:
@@ -99,81 +101,115 @@ class Model:
         return replace(self, **dict(zip(("start", "moves", "emit"), (np.round(x, 8) for x in logs), strict=True)))
 
     def decode(self, classes: Column) -> Column:
-        """The most probable tags of a class array; of equal paths the one of earlier tags, from the end."""
-        k = len(self.tags)
-        if not k:
+        """The most probable tags of a class array; of equal paths the one of earlier tags, from the end.
+        A class not met in training may have the tags it names."""
+        if not self.tags:
             return F.transform(classes, lambda _: F.lit(None).cast("string"))
-        nothing = -1e300
-
-        def numbers(a: np.ndarray) -> Column:
-            return F.array(*[F.lit(float(max(x, nothing))) for x in a])
-
-        given = F.create_map(*[x for c, row in zip(self.classes, self.emit, strict=True) for x in (F.lit(c), numbers(row))])
-        # A class not met in training may have the tags it names.
-        strange = numbers(np.zeros(k))
-        into = F.array(*[numbers(self.moves[:, j]) for j in range(k)])
-        state = "struct<score: array<double>, back: array<array<int>>>"
-
-        def step(acc: Column, c: Column) -> Column:
-            def first(emit: Column) -> Column:
-                return F.struct(F.zip_with(numbers(self.start), emit, lambda a, b: a + b).alias("score"), F.array(F.array_repeat(F.lit(0), k)).alias("back"))
-
-            def further(emit: Column) -> Column:
-                best = F.transform(
-                    into,
-                    lambda moves: F.array_max(F.transform(F.zip_with(acc["score"], moves, lambda a, b: a + b), lambda v, i: F.struct(v.alias("v"), (-i).alias("i")))),
-                )
-                return let(
-                    best,
-                    lambda b: F.struct(
-                        F.zip_with(b, emit, lambda x, e: x["v"] + e).alias("score"), F.concat(acc["back"], F.array(F.transform(b, lambda x: -x["i"]))).alias("back")
-                    ),
-                )
-
-            return let(
-                F.coalesce(given[c], strange),
-                lambda emit: F.when(F.size(acc["back"]) == 0, first(emit)).otherwise(further(emit)).cast(state),
-            )
-
-        empty = F.struct(F.array().cast("array<double>").alias("score"), F.array().cast("array<array<int>>").alias("back")).cast(state)
-
-        def path(end: Column) -> Column:
-            last = -F.array_max(F.transform(end["score"], lambda v, i: F.struct(v.alias("v"), (-i).alias("i"))))["i"]
-            # From the end: each step's best way back. The first step's leads nowhere.
-            inner = F.reverse(F.slice(end["back"], 2, F.greatest(F.size(end["back"]) - 1, F.lit(0))))
-            places = F.aggregate(inner, F.array(last), lambda acc, back: F.concat(F.array(F.get(back, F.get(acc, F.lit(0)))), acc))
-            names = F.array(*[F.lit(t) for t in self.tags])
-            return F.transform(places, lambda p: F.get(names, p))
-
-        done = let(F.aggregate(classes, empty, step), path)
-        return F.when(F.size(classes) == 0, F.array().cast("array<string>")).when(classes.isNotNull(), done)
+        model = self
+
+        @F.arrow_udf("array<string>")
+        def best(found: pa.Array) -> pa.Array:
+            return _tagged(model, found)
+
+        return best(classes)
+
+
+def _numbers(found: pa.ListArray, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """The classes of all arrays as one run of numbers, strange ones as the last number, and the length of each array."""
+    place = pc.index_in(found.flatten(), value_set=pa.array(model.classes, pa.string()))
+    sizes = pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False)
+    return pc.fill_null(place, len(model.classes)).to_numpy(zero_copy_only=False).astype(np.intp), sizes.astype(np.int64)
+
+
+def _steps(ids: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, list[int], np.ndarray]]:
+    """Blocks of sentences, laid out word by word: all first words, then all second ones, and so on.
+
+    The longest sentences come first, so those that have a next word are a head of those that have this one. Gives the place in ``ids``
+    of each row, the border of every word's rows, and the number of words of each sentence that has any.
+    """
+    order = np.argsort(-sizes, kind="stable")
+    order = order[sizes[order] > 0]
+    begins = np.cumsum(sizes) - sizes
+    words = np.cumsum(sizes[order])
+    at = 0
+    while at < len(order):
+        before = words[at - 1] if at else 0
+        to = max(at + 1, min(at + BLOCK_SENTENCES, int(np.searchsorted(words, before + BLOCK_WORDS, side="right"))))
+        some = order[at:to]
+        size = sizes[some]
+        rank = np.repeat(np.arange(len(some)), size)
+        word = np.arange(len(rank)) - np.repeat(np.cumsum(size) - size, size)
+        borders = np.concatenate([[0], np.cumsum(np.bincount(word))])
+        place = np.empty(len(rank), dtype=np.int64)
+        place[borders[word] + rank] = begins[some][rank] + word
+        yield place, borders.tolist(), size
+        at = to
+
+
+def _tagged(model: Model, found: pa.Array) -> pa.Array:
+    """The best paths of class arrays, of equal ones the one of earlier tags, from the end."""
+    k = len(model.tags)
+    ids, sizes = _numbers(found, model)
+    nothing = -1e300
+    given = np.vstack([np.maximum(model.emit, nothing), np.zeros((1, k))])
+    first, into = np.maximum(model.start, nothing), np.maximum(model.moves, nothing).T.copy()
+    tags = np.empty(len(ids), dtype=np.int32)
+    for place, borders, size in _steps(ids, sizes):
+        emit = given[ids[place]]
+        back = np.zeros((len(place), k), dtype=np.int16)
+        score = first + emit[: borders[1]]
+        last = np.empty(len(size), dtype=np.int16)
+        for t in range(1, len(borders) - 1):
+            at, to = borders[t], borders[t + 1]
+            last[to - at : len(score)] = score[to - at :].argmax(axis=1)
+            reached = score[: to - at, None, :] + into
+            back[at:to] = reached.argmax(axis=2)
+            score = reached.max(axis=2) + emit[at:to]
+        last[: len(score)] = score.argmax(axis=1)
+        for t in range(len(borders) - 2, -1, -1):
+            at, to = borders[t], borders[t + 1]
+            tags[place[at:to]] = last[: to - at]
+            if t:
+                last[: to - at] = back[np.arange(at, to), last[: to - at]]
+    borders = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+    names = pa.array(model.tags, pa.string()).take(pa.array(tags))
+    return pa.ListArray.from_arrays(borders, names, mask=pc.is_null(found))
 
 
 def expected(model: Model, sentences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Expected counts of first tags, moves and emissions, and the log likelihood, of sentences as class numbers."""
+    ids = np.concatenate([np.zeros(0, dtype=np.intp), *sentences])
+    return _expected(model, ids, np.array([len(s) for s in sentences], dtype=np.int64))
+
+
+def _expected(model: Model, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """The same of sentences in one run; the sums of a block are made at once."""
     k = len(model.tags)
     start, moves, emit, total = np.zeros(k), np.zeros((k, k)), np.zeros((len(model.classes), k)), 0.0
     step, first, given = np.exp(model.moves), np.exp(model.start), np.exp(model.emit)
-    size = np.array([len(s) for s in sentences])
-    for n in np.unique(size[size > 0]).tolist():
-        ids = np.stack([sentences[i] for i in np.flatnonzero(size == n)])
-        e = given[ids]  # sentences, words, tags
-        forward, scale = np.empty_like(e), np.empty(ids.shape)
-        for t in range(n):
-            a = e[:, t] * (first if t == 0 else forward[:, t - 1] @ step)
-            scale[:, t] = a.sum(axis=1)
-            forward[:, t] = a / scale[:, t, None]
+    for place, borders, size in _steps(ids, sizes):
+        own = ids[place]
+        e = given[own]
+        forward, scale, both = np.empty_like(e), np.empty((len(own), 1)), np.empty_like(e)
+        for t in range(len(borders) - 1):
+            at, to = borders[t], borders[t + 1]
+            a = e[at:to] * (first if t == 0 else forward[borders[t - 1] : borders[t - 1] + to - at] @ step)
+            scale[at:to] = a.sum(axis=1, keepdims=True)
+            forward[at:to] = a / scale[at:to]
         total += float(np.log(scale).sum())
-        back = np.ones_like(e[:, 0])
-        for t in range(n - 1, -1, -1):
-            both = forward[:, t] * back
-            np.add.at(emit, ids[:, t], both / both.sum(axis=1, keepdims=True))
-            if t == 0:
-                start += (both / both.sum(axis=1, keepdims=True)).sum(axis=0)
-            else:
-                into = e[:, t] * back / scale[:, t, None]
-                moves += step * (forward[:, t - 1].T @ into)
-                back = into @ step.T
+        back = np.ones((len(size), k))
+        for t in range(len(borders) - 2, -1, -1):
+            at, to = borders[t], borders[t + 1]
+            both[at:to] = forward[at:to] * back[: to - at]
+            if t:
+                into = e[at:to] * back[: to - at] / scale[at:to]
+                moves += step * (forward[borders[t - 1] : borders[t - 1] + to - at].T @ into)
+                back[: to - at] = into @ step.T
+        both /= both.sum(axis=1, keepdims=True)
+        start += both[: borders[1]].sum(axis=0)
+        order = np.argsort(own, kind="stable")
+        met, begins = np.unique(own[order], return_index=True)
+        emit[met] += np.add.reduceat(both[order], begins, axis=0)
     return start, moves, emit, total
 
 
@@ -194,11 +230,9 @@ def train(sentences: DataFrame, classes: str, rounds: int = ROUNDS) -> tuple[Mod
         now = model
 
         def count(batches: Iterator[pa.RecordBatch], now: Model = now) -> Iterator[pa.RecordBatch]:
-            place = {c: n for n, c in enumerate(now.classes)}
-            sums = [np.zeros(k), np.zeros((k, k)), np.zeros((len(place), k)), 0.0]
+            sums = [np.zeros(k), np.zeros((k, k)), np.zeros((len(now.classes), k)), 0.0]
             for batch in batches:
-                held = [np.array([place[c] for c in s], dtype=np.intp) for s in batch.column("c").to_pylist() if s]
-                sums = [a + b for a, b in zip(sums, expected(now, held), strict=True)]
+                sums = [a + b for a, b in zip(sums, _expected(now, *_numbers(batch.column("c"), now)), strict=True)]
             flat = np.concatenate([np.ravel(x) for x in sums])
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat)], ["at", "n"])
 

@@ -465,7 +465,8 @@ def pos_tags_learned(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = {name: H.train(stored.filter(F.col("language") == name), "classes")[0] for name in ("ENG", "ESP")}
     tags = F
     for name, model in models.items():
-        tags = tags.when(F.col("language") == name, model.decode(F.col("classes")))
+        own = F.col("language") == name
+        tags = tags.when(own, model.decode(F.when(own, F.col("classes"))))
     return stored.select(*SENTENCE, F.array_join(tags, ",").alias("pos"))
 
 

@@ -1,6 +1,7 @@
 """The learned tagger against enumeration of all paths."""
 
 import itertools
+import time
 
 import numpy as np
 import pytest
@@ -111,3 +112,24 @@ def test_nothing_to_learn_from(spark):
     model, seen = G.train(empty, "c")
     assert model.tags == () and seen == []
     assert spark.createDataFrame([(["DT"],)], "c array<string>").select(model.decode(F.col("c"))).first()[0] == [None]
+
+
+def test_long_sentence_takes_time_by_its_words(spark, trained):
+    model, _ = trained
+    words = ["DT", "NN|VB"] * 40_000
+    rows = spark.createDataFrame([(words,), (["DT"],), ([],), (None,), (["strange"],)], "c array<string>")
+    begun = time.monotonic()
+    got = [r["t"] for r in rows.select(model.decode(F.col("c")).alias("t")).collect()]
+    assert time.monotonic() - begun < 60
+    assert len(got[0]) == len(words) and got[0][:4] == ["DT", "NN", "DT", "NN"]
+    assert got[1:4] == [["DT"], [], None] and len(got[4]) == 1
+
+
+def test_blocks_make_no_difference(trained, monkeypatch):
+    model, _ = trained
+    draw = np.random.default_rng(7)
+    rows = [draw.integers(0, len(model.classes), n).astype(np.intp) for n in (3, 0, 9, 1, 9, 4, 12)]
+    whole = G.expected(model, rows)
+    monkeypatch.setattr(G, "BLOCK_WORDS", 10)
+    for a, b in zip(whole, G.expected(model, rows), strict=True):
+        np.testing.assert_allclose(a, b, rtol=1e-9)
