@@ -4,7 +4,8 @@ Documents fall into blocks by a hash of their text. Each block names its distinc
 words (and phrases, if a gazetteer is read) once; those a bitmap says may be known are
 joined to the cards, which are partitioned by their key, and what is found
 goes back to the block as one array of slots. Annotating then looks a word up in its
-block, as it does in the constant of small lexicons. A frequent word costs one row a
+block, as it does in the constant of small lexicons; phrases are looked up by their whole text, so a
+word that starts many costs no more than another. A frequent word costs one row a
 block, whatever its count; a phrase comes along only where it occurs.
 
 This takes shuffles, so a stream annotates batch by batch.
@@ -90,12 +91,30 @@ class TableResources:
             held = held.repartition(least, "language", "_block")
         joined = held.join(tables, ["language", "_block"], "left")
 
+        def find(word: Column) -> Column:
+            slot = F.get(F.col("_cards"), self._slot(word))
+            return F.get(F.filter(slot["found"], lambda e: e["word"] == word), F.lit(0))["card"]
+
+        def phrases_at(words: Column, place: Column, card: Column) -> Column:
+            """The phrases that start at a place, each looked up by its text, the longest first."""
+            none = F.array().cast(FIELD_TYPES["phrases"])
+
+            def of_size(k: Column) -> Column:
+                text = F.array_join(F.slice(words, place + 1, k), " ")
+                return F.coalesce(F.when(place + k <= F.size(words), let(text, find)["phrases"]), none)
+
+            longer = F.flatten(F.transform(F.sequence(F.lit(longest), F.lit(2), F.lit(-1)), of_size))
+            return let(F.concat(longer, F.coalesce(card["phrases"], none)), lambda p: F.when(F.size(p) > 0, p))
+
         def lookup(tokens: Column, language: Column) -> Column:  # noqa: ARG001  a block has one language
-            def find(word: Column) -> Column:
-                slot = F.get(F.col("_cards"), self._slot(word))
-                return F.get(F.filter(slot["found"], lambda e: e["word"] == word), F.lit(0))["card"]
+            if longest == 1:
+                return F.transform(tokens, lambda t: let(F.lower(t), find))
+            kept = [f for f in CARD_FIELDS if f in fields]
+
+            def card_at(words: Column, word: Column, place: Column) -> Column:
+                return let(find(word), lambda c: F.struct(*[(phrases_at(words, place, c) if f == "phrases" else c[f]).alias(f) for f in kept]))
 
-            return F.transform(tokens, lambda t: let(F.lower(t), find))
+            return let(F.transform(tokens, F.lower), lambda words: F.transform(words, lambda w, i: card_at(words, w, i)))
 
         return joined, lookup
 
@@ -119,17 +138,13 @@ class TableResources:
         return asked.join(known.select("language", "key", *given), ["language", "key"])
 
     def _tables(self, found: DataFrame, fields: tuple[str, ...]) -> DataFrame:
-        """``(language, _block, _cards)``: an array of slots, each with the words it holds and their cards."""
-        words = F.split("key", " ")
-        one = F.size(words) == 1
-        parts = [F.max(F.when(one, F.col(f))).alias(f) for f in fields if f != "phrases"]
-        if "phrases" in fields:
-            phrase = F.struct((-F.size(words)).alias("less"), F.col("key").alias("phrase"), F.col("tag").alias("tag"))
-            parts.append(F.sort_array(F.collect_list(F.when(F.col("tag").isNotNull(), phrase))).alias("phrases"))
-        cards = found.withColumn("word", F.get(words, F.lit(0))).groupBy("language", "_block", "word").agg(*parts)
+        """``(language, _block, _cards)``: an array of slots, each with the words and phrases it holds and their cards."""
+        size = F.size(F.split("key", " "))
+        values = {f: F.when(size == 1, F.col(f)) for f in fields if f != "phrases"}
         if "phrases" in fields:
-            longest_first = F.transform("phrases", lambda p: F.struct((-p["less"]).alias("k"), p["phrase"].alias("phrase"), p["tag"].alias("tag")))
-            cards = cards.withColumn("phrases", F.when(F.size("phrases") > 0, longest_first))
+            phrase = F.struct(size.alias("k"), F.col("key").alias("phrase"), F.col("tag").alias("tag"))
+            values["phrases"] = F.when(F.col("tag").isNotNull(), F.array(phrase))
+        cards = found.select("language", "_block", F.col("key").alias("word"), *[v.alias(f) for f, v in values.items()])
         kind = card_type([f for f in CARD_FIELDS if f in fields])
         card = F.struct(*[F.col(f).cast(FIELD_TYPES[f]).alias(f) for f in CARD_FIELDS if f in fields]).cast(kind)
         entry = F.struct("word", card.alias("card"))

@@ -1,6 +1,7 @@
 """Choosing annotations, and lexicons of any size in place of the inline ones."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -172,3 +173,15 @@ def test_large_gazetteers_move_little_more_than_matches(spark):
     offered = rows.select("language", F.explode(F.transform(E.grams(F.col("token"), 2), lambda g: F.lower(g["text"]))).alias("phrase"))
     admitted = key_filter(gazetteer.select("language", "phrase"), ["language", "phrase"]).admit(offered).count()
     assert small.count() <= admitted <= small.count() + 0.01 * offered.count() + 50
+
+
+def test_phrases_of_one_first_word_take_no_longer(spark):
+    names = [("ENG", f"the w{n}", "A" if n % 2 else "B") for n in range(3000)] + [("ENG", "the w1 w2", "C"), ("ENG", "the", "D")]
+    gazetteer = spark.createDataFrame(names, "language string, phrase string, ner string")
+    body = " ".join(f"the w{n}" for n in range(3000)) + ". the w1 w2 the"
+    docs = spark.createDataFrame([(str(n), "ENG", body) for n in range(40)], "doc_id string, language string, body string")
+    begun = time.monotonic()
+    res = TableResources(gazetteer=gazetteer, blocks=1)
+    got = D.annotate_documents(docs, res, wanted={"ner"}).select("sentences").collect()
+    assert time.monotonic() - begun < 60
+    assert all(len(r[0]) == 2 and r[0][1]["ner"] == {"C": ["the w1 w2"], "D": ["the"]} for r in got)
