@@ -157,14 +157,15 @@ def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One tagged file a language; the first by path is parsed, the others are not."""
+    """One folder of tagged files a language; the folder of the first file by path is parsed, the others
+    are not. A folder holds a file for each task that wrote it, so none takes a whole language."""
     path = scratch_path(spark, "first")
     records = _records(spark, sf_dir).select("lang", "value")
     for lang in ("a", "b"):
         chosen = records.filter(F.col("lang") == "en") if lang == "a" else records.filter(F.col("lang") != "en")
-        chosen.select("value").coalesce(1).write.text(f"{path}/{lang}")
+        chosen.select("value").write.text(f"{path}/{lang}")
     first = R.first_file(R.list_files(spark, path, glob="*.txt")).first()["path"]
-    docs = P.accepted(P.parse_docs(R.read_doc_xml(spark, first), "ENG"))
+    docs = P.accepted(P.parse_docs(R.read_doc_xml(spark, first.rpartition("/")[0]), "ENG"))
     return docs.select("doc_id", _md5("body").alias("body_md5"))
 
 

@@ -74,3 +74,14 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
     with pytest.raises(RuntimeError):
         session.shared_dir(Fake())
     assert session.shared_dir(spark) == session.shared_dir(spark)
+
+
+def test_first_file_query_writes_and_reads_by_many_tasks(spark, tmp_path, monkeypatch):
+    from presswire.plans import catalog
+
+    rows = [(i, f"Text {i}.", "en" if i % 2 else "es", "src1") for i in range(64)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(catalog, "scratch_path", lambda _, name: str(tmp_path / name))
+    assert catalog.first_file(spark, str(tmp_path)).count() == 32
+    files = [f for f in (tmp_path / "first" / "a").glob("*.txt") if f.stat().st_size]
+    assert len(files) > 1 and max(f.stat().st_size for f in files) < sum(f.stat().st_size for f in files) / 2
