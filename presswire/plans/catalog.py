@@ -115,11 +115,12 @@ def _md5(c: str) -> Column:
 
 
 def _sizes(docs: DataFrame, *keep: str) -> DataFrame:
-    return docs.filter(F.size("sentences") > 0).select(
+    token = F.col("sentences.token")  # the only part of the sentences that is read
+    return docs.filter(F.size(token) > 0).select(
         "doc_id",
         *keep,
-        F.size("sentences").cast("long").alias("n_sentences"),
-        F.aggregate("sentences", F.lit(0), lambda n, s: n + F.size(s["token"])).cast("long").alias("n_tokens"),
+        F.size(token).cast("long").alias("n_sentences"),
+        F.aggregate(token, F.lit(0), lambda n, t: n + F.size(t)).cast("long").alias("n_tokens"),
     )
 
 

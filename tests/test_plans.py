@@ -78,3 +78,10 @@ def test_query_equals_sql(spark, duck, name):
 
     ok, note = compare(spark, duck, SF, name)
     assert ok, note
+
+
+def test_sizes_read_nothing_but_tokens(spark, tmp_path):
+    docs = D.to_documents(D.annotate_documents(P.accepted(P.parse_docs(records(spark), C._language())).limit(3), lexicons.resources()))
+    docs.write.parquet(str(tmp_path / "d"))
+    text = plan(C._sizes(spark.read.parquet(str(tmp_path / "d"))))
+    assert "ReadSchema: struct<doc_id:string,sentences:array<struct<token:array<string>>>>" in text
