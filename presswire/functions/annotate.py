@@ -49,26 +49,30 @@ def _by_suffix(t: Column, suffixes: tuple[tuple[str, str], ...], default: str) -
 def pos_tags(tokens: Column, found: Column) -> Column:
     """Most frequent tag from the lexicon, else a tag by word shape.
 
-    Words starting with a letter, by far the most, take two pattern tests.
+    Words starting with a plain letter, by far the most, are told by comparing; the others take
+    pattern tests.
     """
 
     def by_shape(t: Column) -> Column:
         other = F
         for pattern, tag in POS_SHAPES:
             other = other.when(t.rlike(pattern), F.lit(tag))
-        word = F.when(t.rlike(POS_UPPER), _by_suffix(t, POS_UPPER_TAGS, POS_DEFAULT)).otherwise(
-            _by_suffix(t, POS_SUFFIXES, POS_DEFAULT)
-        )
-        return F.when(t.rlike(r"^\p{L}"), word).otherwise(
-            other.otherwise(_by_suffix(t, POS_SUFFIXES, POS_DEFAULT))
+        upper, lower = _by_suffix(t, POS_UPPER_TAGS, POS_DEFAULT), _by_suffix(t, POS_SUFFIXES, POS_DEFAULT)
+        return (
+            F.when((t >= "a") & (t < "{"), lower)
+            .when((t >= "A") & (t < "["), upper)
+            .when(t.rlike(r"^\p{L}"), F.when(t.rlike(POS_UPPER), upper).otherwise(lower))
+            .otherwise(other.otherwise(lower))
         )
 
     return F.zip_with(tokens, found, lambda t, f: F.coalesce(f, by_shape(t)))
 
 
 def chunk_tags(pos: Column) -> Column:
+    default = next(name for name, tags in CHUNK_OF_POS.items() if POS_DEFAULT in tags)
+
     def one(p: Column) -> Column:
-        out = F
+        out = F.when(p == POS_DEFAULT, F.lit(default))  # by far the most
         for name, tags in CHUNK_OF_POS.items():
             out = out.when(p.isin(*tags), F.lit(name))
         return out.otherwise(F.lit(OUTSIDE))
@@ -110,7 +114,8 @@ def entity_tags(tokens: Column, found: Column, longest: int) -> Column:
             best = F.coalesce(F.greatest(*options)["tag"], F.lit(OUTSIDE))
             return F.when(F.coalesce(*around).isNull(), F.lit(OUTSIDE)).otherwise(best)
 
-        return F.transform(hits, at)
+        some = F.exists(hits, lambda h: h.isNotNull())
+        return F.when(some, F.transform(hits, at)).otherwise(F.array_repeat(F.lit(OUTSIDE), F.size(hits)))
 
     def tag(candidates: Column) -> Column:
         some = F.exists(candidates, lambda c: c.isNotNull())

@@ -21,6 +21,7 @@ from presswire.functions.text import let
 
 MAX_INLINE_BYTES = 64 << 20
 MAX_INLINE_ENTRIES = 500_000  # rows taken from a frame
+MAX_LISTED = 2_000  # keys up to which a word is first tested against the list of all
 
 
 class InlineLexicon:
@@ -49,6 +50,7 @@ class InlineLexicon:
         if size > MAX_INLINE_BYTES:
             raise ValueError(f"{total} entries take {size} bytes: inline lexicons hold {MAX_INLINE_BYTES}; use lookup_join")
         self._kind = f"map<string,array<map<string,{kind}>>>"
+        self._keys = sorted({word for known in by_language.values() for word in known})
 
     @classmethod
     def from_frame(cls, frame: DataFrame) -> "InlineLexicon":
@@ -63,7 +65,9 @@ class InlineLexicon:
 
         def find(table: Column, key: Column) -> Column:
             slot = F.pmod(F.crc32(key.cast("binary")), F.lit(self.buckets)).cast("int")
-            return F.get(table, slot)[key]
+            value = F.get(table, slot)[key]
+            # Most words are in no lexicon; a set of literals tells that in one test.
+            return F.when(key.isin(self._keys), value) if len(self._keys) <= MAX_LISTED else value
 
         return let(
             F.from_json(F.lit(self._table), self._kind)[language],

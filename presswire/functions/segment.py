@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from presswire.functions.arabic import escape_brackets, normalize_arabic
-from presswire.functions.text import col, jtrim
+from presswire.functions.text import col, jtrim_element
 
 # Fixed values.
 SENTENCE_END = r"([.!?][\"')\]]*)\s+"
@@ -15,7 +15,7 @@ TOKEN = r"[\p{L}\p{N}]+(?:['.,-][\p{L}\p{N}]+)*|[^\s\p{L}\p{N}]"
 
 
 def _trimmed(pieces: Column) -> Column:
-    return F.filter(F.transform(pieces, jtrim), lambda s: s != "")
+    return F.filter(F.transform(pieces, jtrim_element), lambda s: s != "")
 
 
 def segment(c: Column | str) -> Column:

@@ -55,14 +55,16 @@ def merge_runs(tokens: Column, tags: Column, drop_commas: bool = True) -> Column
 
 def tagged_tokens(tokens: Column, tags: Column) -> Column:
     """Every tagged token as its own entry, no run merge; same shape as ``merge_runs``."""
-    zipped = F.arrays_zip(tokens.alias("text"), tags.alias("tag"))
-    placed = F.transform(
-        zipped,
-        lambda z, i: F.struct(
-            z["tag"].alias("tag"), z["text"].alias("text"), (i + 1).alias("first"), (i + 1).alias("last")
-        ),
-    )
-    return F.filter(placed, lambda s: s["tag"] != OUTSIDE)
+
+    def build(toks: Column, marks: Column) -> Column:
+        def entry(mark: Column, i: Column) -> Column:
+            at = i + 1
+            return F.when(mark != OUTSIDE, F.struct(mark.alias("tag"), F.get(toks, i).alias("text"), at.alias("first"), at.alias("last")))
+
+        some = F.exists(marks, lambda m: m != OUTSIDE)
+        return F.when(some, F.array_compact(F.transform(marks, entry))).when(marks.isNotNull(), F.array().cast(SPANS))
+
+    return let(tokens, lambda toks: let(tags, lambda marks: build(toks, marks)))
 
 
 def group_by_tag(spans: Column) -> Column:
@@ -136,3 +138,19 @@ def render_chunks(spans: Column) -> Column:
         F.transform(spans, lambda s: F.concat(F.lit("("), s["tag"], F.lit(" "), s["text"], F.lit(")"))),
         " ",
     )
+
+
+def bracket_runs(tokens: Column, tags: Column) -> Column:
+    """``render_chunks`` of ``merge_runs`` with commas kept, for tokens that are not empty.
+
+    Every token brings its own part of the text, so that a run is neither cut out nor held."""
+
+    def parts(toks: Column, marks: Column) -> Column:
+        def part(mark: Column, i: Column) -> Column:
+            begun = F.when((i > 0) & (mark == F.get(marks, i - 1)), F.lit(" ")).otherwise(F.concat(F.lit(" ("), mark, F.lit(" ")))
+            closed = F.when(mark == F.get(marks, i + 1), F.lit("")).otherwise(F.lit(")"))
+            return F.when(mark != OUTSIDE, F.concat(begun, F.get(toks, i), closed)).otherwise(F.lit(""))
+
+        return F.substring(F.array_join(F.transform(marks, part), ""), 2, 2147483647)
+
+    return let(tokens, lambda toks: let(tags, lambda marks: parts(toks, marks)))

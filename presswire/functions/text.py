@@ -28,9 +28,10 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once per row.
 
     Without it the optimizer may inline ``value`` into a lambda, where it would
-    be evaluated again for every array element.
+    be evaluated again for every array element. The value is the start of an aggregate over no
+    elements: unlike the result of a ``transform`` it is not copied, however deep lets are nested.
     """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return F.aggregate(F.array().cast("array<int>"), value, lambda v, _: v, body)
 
 
 def jtrim(c: Column | str) -> Column:
@@ -38,6 +39,14 @@ def jtrim(c: Column | str) -> Column:
     return F.btrim(col(c), F.lit(BLANKS))
 
 
+def jtrim_element(t: Column) -> Column:
+    """The same for the element of an array, which may be named several times.
+
+    A trim of given characters first lists the places of the whole text, so one whose first and
+    last character stay is left as it is."""
+    return F.when((t >= "!") & (F.right(t, F.lit(1)) >= "!"), t).otherwise(jtrim(t))
+
+
 def jsplit(c: Column | str) -> Column:
     """Split on one space: trailing empty words go, inner and leading ones stay."""
     c = col(c)

@@ -121,7 +121,7 @@ def sentence_struct(
 
     def chunks(toks: Column, cards: Column) -> Column:
         pos = A.pos_tags(toks, F.transform(cards, lambda c: c["pos"]))
-        return S.render_chunks(S.merge_runs(toks, A.chunk_tags(pos), drop_commas=False))
+        return S.bracket_runs(toks, A.chunk_tags(pos))
 
     def build(toks: Column, cards: Column, marks: Column, merged: Column) -> Column:
         ner = F.coalesce(

@@ -550,8 +550,7 @@ def mention_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     pos = A.pos_tags(F.col("token"), _found(L.POS))
-    spans = S.merge_runs(F.col("token"), A.chunk_tags(pos), drop_commas=False)
-    rows = _tokenized(spark, sf_dir).select(*SENTENCE, S.render_chunks(spans).alias("parse_sentence"))
+    rows = _tokenized(spark, sf_dir).select(*SENTENCE, S.bracket_runs(F.col("token"), A.chunk_tags(pos)).alias("parse_sentence"))
     return pin(rows, "parse_sentence").filter(F.col("parse_sentence") != "")
 
 
@@ -677,7 +676,7 @@ def store_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sentence_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "parses")
     pos = A.pos_tags(F.col("token"), _found(L.POS))
-    parse = S.render_chunks(S.merge_runs(F.col("token"), A.chunk_tags(pos), drop_commas=False))
+    parse = S.bracket_runs(F.col("token"), A.chunk_tags(pos))
     K.append(_tokenized(spark, sf_dir).select("sentence", parse.alias("parse")), path)
     return spark.read.parquet(path).groupBy("sentence", "parse").agg(F.count(F.lit(1)).alias("n"))
 

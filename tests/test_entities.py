@@ -221,3 +221,19 @@ def test_copies_sharing_a_doc_id_stay_apart(spark):
     rows = N.with_tokens(N.explode_sentences(accepted(parse_docs(records)), ["rec_id", "doc_id", "language"]))
     docs = D.assemble(rows, ["rec_id", "doc_id"], ["sentence", "token"]).collect()
     assert len(docs) == 5 and {len(d["sentences"]) for d in docs} == {3}
+
+
+def test_bracketed_runs_equal_merged_ones(spark):
+    rnd = random.Random(5)
+    rows = [([rnd.choice(["a", ",", "É", "b'c"]) for _ in range(n)], [rnd.choice(["O", "NP", "NP", "VP"]) for _ in range(n)]) for n in [0, 1, 1, 2, 2, *range(3, 40)]]
+    df = spark.createDataFrame([*rows, (["a"], ["O"])], "token array<string>, tag array<string>")
+    merged = S.render_chunks(S.merge_runs(F.col("token"), F.col("tag"), drop_commas=False))
+    pairs = df.select(merged, S.bracket_runs(F.col("token"), F.col("tag"))).collect()
+    assert all(a == b for a, b in pairs) and any(a for a, _ in pairs)
+
+
+def test_tagged_tokens_make_entries_of_tagged_ones_only(spark):
+    df = spark.createDataFrame([(["a", "b", "c"], ["O", "X", "X"]), (["a"], ["O"]), ([], []), (None, None)], "token array<string>, tag array<string>")
+    rows = [r[0] for r in df.select(S.tagged_tokens(F.col("token"), F.col("tag"))).collect()]
+    assert rows == [[("X", "b", 2, 2), ("X", "c", 3, 3)], [], [], None]
+    assert "arrays_zip" not in df.select(S.tagged_tokens(F.col("token"), F.col("tag")))._jdf.queryExecution().executedPlan().toString()

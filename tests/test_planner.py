@@ -185,3 +185,22 @@ def test_phrases_of_one_first_word_take_no_longer(spark):
     got = D.annotate_documents(docs, res, wanted={"ner"}).select("sentences").collect()
     assert time.monotonic() - begun < 60
     assert all(len(r[0]) == 2 and r[0][1]["ner"] == {"C": ["the w1 w2"], "D": ["the"]} for r in got)
+
+
+def test_a_let_value_is_neither_copied_nor_evaluated_twice(spark):
+    from presswire.functions.text import let
+
+    df = spark.range(5).select(let(F.rand(1), lambda a: let(a + 1, lambda b: b - a)).alias("d"), let(F.lit(None).cast("int"), lambda v: F.coalesce(v, F.lit(7))).alias("n"))
+    assert "transform(" not in df._jdf.queryExecution().executedPlan().toString()
+    assert all(abs(r["d"] - 1) < 1e-9 and r["n"] == 7 for r in df.collect())
+
+
+@pytest.mark.parametrize("entries", [5, 3000])
+def test_lookups_agree_with_and_without_a_list_of_keys(spark, entries):
+    from presswire.functions.lexicon import InlineLexicon
+
+    known = InlineLexicon([("ENG", f"Word{i}", f"v{i}") for i in range(entries)] + [("ESP", "sí", "yes")])
+    token = F.array(F.lit("word1"), F.lit("WORD4"), F.lit("none"), F.lit("SÍ"), F.lit(None).cast("string"))
+    row = spark.range(1).select(known.lookup(token, F.lit("ENG")), known.lookup(token, F.lit("ESP")), known.lookup(token, F.lit("ARA"))).first()
+    assert tuple(row[0]) == ("v1", "v4", None, None, None) and tuple(row[1]) == (None, None, None, "yes", None)
+    assert row[2] is None or not any(row[2])
