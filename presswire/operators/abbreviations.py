@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from presswire.functions.lexicon import InlineLexicon
 from presswire.functions.segment import MARK
-from presswire.functions.text import col, jtrim, let
+from presswire.functions.text import col, jtrim_element, let
+from presswire.operators.rows import pin
+from presswire.session import scratch_path
 
 # The test's share of periods and its limit, and the edges a word loses.
 SHARE = 0.99
@@ -27,13 +29,17 @@ LAST_WORD = r"""(?:^|\s)["'(\[]*([^\s"'(\[]\S*)\.$"""
 
 
 def period_types(df: DataFrame, text: str = "body") -> DataFrame:
-    """``(word, dotted, plain)``: how often each lower-case type has a period at its end, and how often none."""
+    """``(word, dotted, plain)``: how often each lower-case type has a period at its end, and how often none.
+
+    Words are counted as they stand; the patterns run once for each that differs."""
     words = df.select(F.explode(F.split(F.coalesce(text, F.lit("")), r"\s+")).alias("w"))
-    bare = words.select(F.regexp_replace(F.regexp_replace("w", OPENERS, ""), CLOSERS, "").alias("w"))
+    counted = words.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    bare = pin(counted.select(F.regexp_replace(F.regexp_replace("w", OPENERS, ""), CLOSERS, "").alias("w"), "n"), "w")
     ends = F.col("w").endswith(".")
     word = F.lower(F.when(ends, F.left("w", F.length("w") - 1)).otherwise(F.col("w")))
-    typed = bare.select(word.alias("word"), ends.alias("ends")).filter(F.col("word").rlike(TYPE))
-    return typed.groupBy("word").agg(F.count_if("ends").alias("dotted"), F.count_if(~F.col("ends")).alias("plain"))
+    typed = pin(bare.select(word.alias("word"), ends.alias("ends"), "n"), "word").filter(F.col("word").rlike(TYPE))
+    total = lambda of: F.coalesce(F.sum(F.when(of, F.col("n"))), F.lit(0))
+    return typed.groupBy("word").agg(total(F.col("ends")).alias("dotted"), total(~F.col("ends")).alias("plain"))
 
 
 def scores(types: DataFrame, dotted: int, words: int, share: float = SHARE) -> DataFrame:
@@ -54,7 +60,9 @@ def scores(types: DataFrame, dotted: int, words: int, share: float = SHARE) -> D
 
 def learn_abbreviations(df: DataFrame, text: str = "body", limit: float = LIMIT) -> DataFrame:
     """``(word, dotted, plain, score)`` of the types a corpus writes with a period."""
-    types = period_types(df, text)
+    path = scratch_path(df.sparkSession, "types")
+    period_types(df, text).write.parquet(path)  # read twice, for its sums and its rows
+    types = df.sparkSession.read.parquet(path)
     dotted, words = types.agg(F.sum("dotted"), F.sum(F.col("dotted") + F.col("plain"))).first()
     return scores(types, dotted or 0, words or 0).filter((F.col("score") >= limit) & (F.col("dotted") > 0))
 
@@ -75,4 +83,4 @@ class Abbreviations:
             return F.when(goes_on, piece).otherwise(F.concat(piece, F.lit(MARK)))
 
         joined = F.array_join(F.transform(pieces, closed), "")
-        return let(joined, lambda t: F.filter(F.transform(F.split(t, MARK, -1), jtrim), lambda s: s != ""))
+        return let(joined, lambda t: F.filter(F.transform(F.split(t, MARK, -1), jtrim_element), lambda s: s != ""))

@@ -64,3 +64,12 @@ def test_without_a_list_sentences_are_the_plain_ones(spark, one):
 def test_a_corpus_without_or_with_only_periods(spark):
     for text in ("no stop at all", "a. b."):
         assert B.learn_abbreviations(spark.createDataFrame([(text,)], "body string")).count() == 0
+
+
+def test_patterns_run_on_words_already_counted(spark):
+    df = spark.createDataFrame([("Dr. Dr. no", 1), ("(Dr.) no. no", 2), (None, 3)], "body string, k int")
+    types = B.period_types(df)
+    text = types._jdf.queryExecution().executedPlan().toString()
+    first = text.index("Exchange hashpartitioning(w#")  # what stands behind it runs before it
+    assert "RLIKE" in text[:first] and not any(x in text[first:] for x in ("RLIKE", "regexp_replace"))
+    assert {tuple(r) for r in types.collect()} == {("dr", 3, 0), ("no", 1, 2)}
