@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from presswire.functions.spans import OUTSIDE
+from presswire.functions.spans import OUTSIDE, piece
 from presswire.functions.text import let
 
 # Default part-of-speech tags by word shape, first match wins.
@@ -92,7 +92,7 @@ def entity_tags(tokens: Column, found: Column, longest: int) -> Column:
     def matches(candidates: Column) -> Column:
         def at(c: Column, i: Column) -> Column:
             def fits(p: Column) -> Column:
-                text = F.lower(F.array_join(F.slice(tokens, i + 1, p["k"]), " "))
+                text = F.lower(F.array_join(piece(tokens, i, p["k"]), " "))
                 return (p["k"] == 1) | (text == p["phrase"])
 
             return F.when(c.isNotNull(), F.get(F.filter(c, fits), F.lit(0)))

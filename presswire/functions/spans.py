@@ -11,6 +11,12 @@ OUTSIDE = "O"
 SPANS = "array<struct<tag: string, text: string, first: int, last: int>>"
 
 
+def piece(tokens: Column, start: Column, count: Column) -> Column:
+    """``count`` tokens from ``start`` (from 0), null behind the last; ``slice`` would first copy them all."""
+    found = F.transform(F.sequence(start, start + count - 1), lambda j: F.get(tokens, j))
+    return F.when(count > 0, found).otherwise(F.array().cast("array<string>"))
+
+
 def mention_text(tokens: Column, drop_commas: bool = True) -> Column:
     """Tokens joined by a space; for entities commas go, and words left empty with them."""
     if drop_commas:
@@ -38,7 +44,7 @@ def merge_runs(tokens: Column, tags: Column, drop_commas: bool = True) -> Column
         def run(first: Column, last: Column) -> Column:
             return F.struct(
                 F.get(marks, first - 1).alias("tag"),
-                mention_text(F.slice(toks, first, last - first + 1), drop_commas).alias("text"),
+                mention_text(piece(toks, first - 1, last - first + 1), drop_commas).alias("text"),
                 first.alias("first"),
                 last.alias("last"),
             )
@@ -108,9 +114,7 @@ def neighbour_pairs(tokens: Column, spans: Column) -> Column:
             lambda z: F.struct(
                 z["a"]["tag"].alias("type1"),
                 z["a"]["text"].alias("mention1"),
-                F.array_join(
-                    F.slice(tokens, z["a"]["last"] + 1, z["b"]["first"] - z["a"]["last"] - 1), " "
-                ).alias("connector"),
+                F.array_join(piece(tokens, z["a"]["last"], z["b"]["first"] - z["a"]["last"] - 1), " ").alias("connector"),
                 z["b"]["tag"].alias("type2"),
                 z["b"]["text"].alias("mention2"),
             ),

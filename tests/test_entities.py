@@ -237,3 +237,15 @@ def test_tagged_tokens_make_entries_of_tagged_ones_only(spark):
     rows = [r[0] for r in df.select(S.tagged_tokens(F.col("token"), F.col("tag"))).collect()]
     assert rows == [[("X", "b", 2, 2), ("X", "c", 3, 3)], [], [], None]
     assert "arrays_zip" not in df.select(S.tagged_tokens(F.col("token"), F.col("tag")))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_sentence_of_many_mentions_is_linear(spark):
+    """Neither runs nor connectors cut pieces out of a copy of the whole sentence."""
+    df = spark.createDataFrame([(["a", ",", "b", "c", "d"], ["X", "X", "O", "Y", "X"])], "token array<string>, tag array<string>")
+    spans = S.merge_runs(F.col("token"), F.col("tag"))
+    pairs = df.select(S.render_pairs(S.neighbour_pairs(F.col("token"), spans)).alias("r"))
+    assert pairs.first()[0] == "X(a) b Y(c); Y(c)  X(d)"
+    assert "slice(token" not in pairs._jdf.queryExecution().executedPlan().toString()
+    tagged = df.select(A.entity_tags(F.col("token"), phrase_lexicon([("ENG", "d e", "P"), ("ENG", "c d", "Q")]).lookup(F.col("token"), F.lit("ENG")), 2))
+    assert tagged.first()[0] == ["O", "O", "O", "Q", "Q"]
+    assert "slice(" not in tagged._jdf.queryExecution().executedPlan().toString()
