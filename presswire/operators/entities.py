@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from presswire.functions.segment import grams
 from presswire.functions.spans import OUTSIDE
+from presswire.operators.blocks import blocked, looked_up, offered, stored
 from presswire.operators.keyfilter import key_filter
 from presswire.operators.lookup import fits_broadcast, keyed_join
 from presswire.operators.rows import unnest, unnest_fields
@@ -51,34 +51,37 @@ def tag_by_gazetteer(
     """Tagged tokens ``(keys, idx, token, ner)`` against a gazetteer table
     ``(language, phrase, ner)`` of any size; tokens without a row are ``O``.
 
-    ``sentences`` holds ``keys``, ``language`` and ``token``; ``longest`` is the
-    most words a phrase has. Every word start offers its 1..longest-grams, so the
-    rows looked up are linear in the text. Where the gazetteer is too large to be
-    broadcast, a bitmap of its phrases lets only grams move that may be among them.
-    The longest match covering a token wins, then the leftmost. Only matches move
-    to be resolved.
+    ``sentences`` holds ``keys``, which name one sentence, ``language`` and ``token``; ``longest``
+    is the most words a phrase has. Every block of sentences names its distinct
+    1..longest-grams once. Where the gazetteer is too large to be broadcast, a bitmap of
+    its phrases lets only grams move that may be among them; what is found goes back to the block.
+    The longest match covering a token wins, then the leftmost.
     """
-    offered = unnest_fields(sentences, [*keys, "language"], grams(F.col("token"), longest), "at")
-    offered = offered.withColumnRenamed("text", "surface").withColumn("phrase", F.lower("surface"))
-    known = gazetteer.groupBy("language", F.lower("phrase").alias("phrase")).agg(F.min("ner").alias("ner"))
-    on = ["language", "phrase"]
+    on = ["by", "phrase"]
+    folded = gazetteer.groupBy(F.col("language").alias("by"), F.lower("phrase").alias("phrase")).agg(F.min("ner").alias("value"))
+    known = stored(folded, "gazetteer")
+    rows = blocked(sentences, list(dict.fromkeys([*keys, "language"])))
+    grams = offered(rows, longest, "language")
     if fits_broadcast(known, **{name: n for name, n in limits.items() if name != "salts"}):
-        hits = offered.join(F.broadcast(known), on)
+        found = grams.join(F.broadcast(known), on)
     else:
-        hits = key_filter(known, on).admit(offered).join(known, on)
-    covered = hits.select(
-        *keys, "at", "k", "ner", F.posexplode(F.split("surface", " ")).alias("back", "token")
-    ).select(
-        *keys,
-        (F.col("at") + F.col("back")).alias("idx"),
-        F.struct("k", "back", "ner").alias("rank"),
-        "token",
-    )
-    return (
-        covered.groupBy(*keys, "idx")
-        .agg(F.max("rank").alias("rank"), F.first("token").alias("token"))
-        .select(*keys, "idx", "token", F.col("rank.ner").alias("ner"))
-    )
+        found = key_filter(known, on).admit(grams).join(known, on)
+
+    none = object()
+
+    def tags(words: list[str], low: list[str], entries: dict[str, str]) -> tuple[list, ...]:
+        get = entries.get
+        out = [get(w, none) for w in low]
+        for k in range(2, longest + 1):
+            hits = [get(" ".join(gram), none) for gram in zip(*(low[j:] for j in range(k)), strict=False)]
+            for i in range(len(hits) - 1, -1, -1):
+                if hits[i] is not none:
+                    out[i : i + k] = [hits[i]] * k
+        at = [i for i, tag in enumerate(out) if tag is not none]
+        return [i + 1 for i in at], [words[i] for i in at], [out[i] for i in at]
+
+    tagged = looked_up(rows, found, keys, tags, "idx array<int>, token array<string>, ner array<string>", "language")
+    return unnest_fields(tagged, keys, F.arrays_zip("idx", "token", "ner"), "idx")
 
 
 def link_aliases(mentions: DataFrame, keys: list[str]) -> DataFrame:
@@ -136,3 +139,18 @@ def truecase(tokens: DataFrame, model: DataFrame, spread: list[str], token: str
         .withColumn("truecase", F.coalesce("cased", F.col(token)))
         .drop("word", "cased")
     )
+
+
+def truecase_changes(rows: DataFrame, model: DataFrame, keys: list[str]) -> DataFrame:
+    """``(keys, n_tokens, n_changed)`` of every sentence: its tokens, and those not in their usual casing.
+
+    ``rows`` are made by ``blocks.blocked``. The casings of a block's words come to the
+    block: a frequent word is one row a block of the join, however large the model is.
+    """
+    cased = model.select(F.col("word").alias("phrase"), F.col("cased").alias("value"))
+    found = offered(rows).join(cased, "phrase")
+
+    def count(words: list[str], low: list[str], entries: dict[str, str]) -> tuple[int, int]:
+        return len(words), sum(entries.get(x, w) != w for w, x in zip(words, low, strict=True))
+
+    return looked_up(rows, found, keys, count, "n_tokens int, n_changed int")

@@ -1,3 +1,4 @@
+import collections
 import random
 
 import pytest
@@ -8,6 +9,7 @@ from presswire.functions import spans as S
 from presswire.functions.lexicon import InlineLexicon, phrase_lexicon, regex_tags
 from presswire.operators import assemble as D
 from presswire.operators import entities as E
+from presswire.operators.blocks import blocked, offered
 from presswire.operators.docparse import accepted, parse_docs
 from presswire.sources.files import lines_from
 
@@ -163,6 +165,26 @@ def test_truecase(spark):
         assert [r["truecase"] for r in out] == ["the", "the", "the", "IBM", "IBM", "IBM"]
 
 
+def test_truecase_by_blocks_and_tags_move_no_token_rows(spark):
+    rnd = random.Random(7)
+    words = ["The", "the", "THE", "Paris", "paris", "ÎLE", "île", "x"]
+    said = [(n % 5, "ENG", [rnd.choice(words) for _ in range(rnd.randint(0, 9))]) for n in range(60)] + [(None, "ESP", ["the", "The"])]
+    df = spark.createDataFrame(said, "d int, language string, token array<string>")
+    tokens = df.select("d", F.explode("token").alias("token"))
+    model = E.casing_model(tokens).filter("casings > 1")
+    want = collections.Counter(), collections.Counter()
+    for r in E.truecase(tokens, model, ["d"]).collect():
+        want[0][r["d"]] += 1
+        want[1][r["d"]] += r["token"] != r["truecase"]
+    for each in (8, 1 << 20):
+        got = E.truecase_changes(blocked(df, ["d"], each), model, ["d"]).groupBy("d").agg(F.sum("n_tokens"), F.sum("n_changed")).collect()
+        assert {r[0]: r[1] for r in got} == dict(want[0]) and {r[0]: r[2] for r in got} == {d: want[1][d] for d in want[0]}
+    # A block asks for a phrase once, however often it occurs.
+    often = spark.createDataFrame([("ENG", ["a", "B"] * 500)] * 4, "language string, token array<string>").coalesce(1)
+    asked = offered(blocked(often, ["language"]), 2, "language")
+    assert sorted(r["phrase"] for r in asked.collect()) == ["a", "a b", "b", "b a"]
+
+
 RECORD = (
     '<DOC id="D1" type="story"> <TEXT> <P> Tata Motors bought Paris. Good deal </P> <P> %s </P> </TEXT> </DOC>'
     % " ".join(["w"] * 150)
