@@ -26,6 +26,8 @@ from presswire.operators import sieves as Y
 from presswire.operators import tables as B
 from presswire.operators import tagger as H
 from presswire.operators import wordcount as W
+from presswire.operators.blocks import blocked
+from presswire.operators.lookup import fits_broadcast
 from presswire.operators.rows import pin, unnest, unnest_fields
 from presswire.plans import corpus as C
 from presswire.plans import lexicons as L
@@ -505,10 +507,14 @@ def sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def truecase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens not in their usual casing; a model too large to be broadcast is looked up by blocks of sentences."""
     rows = N.explode_tokens(_tokenized(spark, sf_dir), ONE_SENTENCE)
     model = scratch_path(spark, "casing")
     K.append(E.casing_model(rows), model)
     varied = spark.read.parquet(model).filter(F.col("casings") > 1)
+    if not fits_broadcast(varied.select("word", "cased")):
+        counted = E.truecase_changes(blocked(_tokenized(spark, sf_dir), ["doc_id"]), varied, ["doc_id"])
+        return counted.groupBy("doc_id").agg(F.sum("n_tokens").alias("n_tokens"), F.sum("n_changed").alias("n_changed"))
     cased = E.truecase(rows, varied, [*ONE_SENTENCE, "idx"])
     return cased.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_tokens"), F.count_if(F.col("token") != F.col("truecase")).alias("n_changed")
