@@ -4,21 +4,31 @@ One head looks back over the ids of the same and the previous stretch; a bilinea
 read-out of the id and of what it attended to gives one of ``CLASSES`` classes of
 the next id, and the corpus frequency of the id within its class does the rest, so
 that the probabilities of all ids sum to one.
+
+An id enters by its type: its own if it is frequent, else its class. What a type
+gives to queries, keys, values and the read-out is one row of a table, and texts are
+worked on in runs of neighbouring stretches. ``Trainer`` takes Adam steps over such
+runs; several of them may train on parts of a corpus and be averaged.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 
-CLASSES = 64
+CLASSES = 32
 WIDTH = 16  # of an id's vector
 KEY = 8  # of queries and keys
 STRETCH = 16  # ids scored together; each also sees the stretch before
 SLOTS = 2048  # frequent ids with a vector of their own
+SKETCH = 24  # columns that hold an id's neighbours of one side
+TURN = 128  # stretches scored at once
+EACH = 512  # stretches of a training step
 _SEEN = np.arange(2 * STRETCH)[None, :] <= np.arange(STRETCH)[:, None] + STRETCH
 _BACK = np.clip(np.arange(STRETCH)[:, None] + STRETCH - np.arange(2 * STRETCH)[None, :], 0, 2 * STRETCH - 1)
+_SHAPES = {"cls": (CLASSES, WIDTH), "own": (SLOTS, WIDTH), "q": (WIDTH, KEY), "k": (WIDTH, KEY), "v": (WIDTH, WIDTH), "back": (2 * STRETCH,), "x_out": (WIDTH, CLASSES), "a_out": (WIDTH, CLASSES), "bias": (CLASSES,)}
 
 
 @dataclass
@@ -29,6 +39,13 @@ class Attention:
     weights: dict[str, np.ndarray]
     within: np.ndarray  # log10 of an id's share of its class
 
+    def __post_init__(self) -> None:
+        frequent = self.slots < SLOTS - 1
+        self.types = np.where(frequent, self.slots, SLOTS - 1 + self.classes).astype(np.int32)
+        self.type_class = np.concatenate([np.zeros(SLOTS - 1, dtype=np.int64), np.arange(CLASSES)])
+        self.type_class[self.slots[frequent]] = self.classes[frequent]
+        self.type_slot = np.minimum(np.arange(SLOTS - 1 + CLASSES), SLOTS - 1)
+
     def stretches(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Inputs and targets cut into stretches, whether one begins a text, and where the targets lie."""
         n = -(-sizes // STRETCH)
@@ -44,37 +61,42 @@ class Attention:
         first[row[sizes > 0]] = True
         return entry.reshape(-1, STRETCH), target.reshape(-1, STRETCH), first, place
 
-    def forward(self, entry: np.ndarray, before: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Class scores of each position; ``before`` is each stretch's predecessor, unseen where it is ``first``."""
+    def tables(self) -> tuple[np.ndarray, ...]:
+        """What each type gives: vector, query, key, value and class scores; and the weights of distances."""
         w = self.weights
-        x = w["cls"][self.classes[entry]] + w["own"][self.slots[entry]]
-        xb = w["cls"][self.classes[before]] + w["own"][self.slots[before]]
-        both = np.concatenate([xb, x], axis=1)
-        flat = both.reshape(-1, WIDTH)
-        k = (flat @ w["k"]).reshape(-1, 2 * STRETCH, KEY)
-        v = (flat @ w["v"]).reshape(-1, 2 * STRETCH, WIDTH)
-        q = (x.reshape(-1, WIDTH) @ w["q"]).reshape(-1, STRETCH, KEY)
+        x = w["cls"][self.type_class] + w["own"][self.type_slot]
+        far = np.where(_SEEN, np.exp(np.clip(w["back"], -20, 20))[_BACK], 0).astype(np.float32)
+        return x, x @ w["q"], x @ w["k"], x @ w["v"], x @ w["x_out"] + w["bias"], far
+
+    def forward(self, types: np.ndarray, first: np.ndarray, tables: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+        """Class scores of each position of a run of stretches, behind the one that ``types`` begins with;
+        what stands before a stretch is unseen where it is ``first``."""
+        _, q, k, v, out, far = tables
+        k, v = k[types], v[types]
+        k, v = np.concatenate([k[:-1], k[1:]], axis=1), np.concatenate([v[:-1], v[1:]], axis=1)
+        q = q[types[1:]]
         a = q @ k.transpose(0, 2, 1)
-        a += np.where(_SEEN, w["back"][_BACK], -1e9).astype(np.float32)
-        a[first, :, :STRETCH] = -1e9
-        np.exp(np.minimum(a, 60, out=a), out=a)
+        np.exp(np.clip(a, -30, 30, out=a), out=a)
+        a *= far
+        a[first, :, :STRETCH] = 0
         a /= a.sum(axis=2, keepdims=True)
         got = a @ v
-        out = x.reshape(-1, WIDTH) @ w["x_out"] + got.reshape(-1, WIDTH) @ w["a_out"] + w["bias"]
-        return out, x, both, q, k, v, a, got
+        scores = out[types[1:].ravel()]
+        scores += got.reshape(-1, WIDTH) @ self.weights["a_out"]
+        return scores, q, k, v, a, got
 
-    def log10(self, ids: np.ndarray, sizes: np.ndarray, turn: int = 1024) -> np.ndarray:
+    def log10(self, ids: np.ndarray, sizes: np.ndarray, turn: int = TURN) -> np.ndarray:
         """Sum of log10 probabilities of each text's ids; each id is scored once."""
         entry, target, first, place = self.stretches(ids, sizes)
         score = np.empty(target.shape, dtype=np.float32)
-        before = np.concatenate([entry[:1], entry[:-1]])
+        types, wanted = self.types[np.concatenate([entry[:1], entry])], self.classes[target]
+        tables, one, at = self.tables(), np.ones(CLASSES, dtype=np.float32), np.arange(turn * STRETCH)
         for k in range(0, len(entry), turn):
-            at = slice(k, k + turn)
-            out = self.forward(entry[at], before[at], first[at])[0]
+            out = self.forward(types[k : k + turn + 1], first[k : k + turn], tables)[0]
             np.clip(out, -60, 60, out=out)
-            wanted = out[np.arange(len(out)), self.classes[target[at].ravel()]]
-            total = np.exp(out, out=out) @ np.ones(CLASSES, dtype=np.float32)
-            score[at] = ((wanted - np.log(total)) * np.float32(np.log10(np.e))).reshape(-1, STRETCH)
+            chosen = out[at[: len(out)], wanted[k : k + turn].ravel()]
+            total = np.exp(out, out=out) @ one
+            score[k : k + turn] = ((chosen - np.log(total)) * np.float32(np.log10(np.e))).reshape(-1, STRETCH)
         each = score.ravel()[place].astype(np.float64) + self.within[ids]
         begins = np.cumsum(sizes) - sizes
         sums = np.zeros(len(sizes))
@@ -83,82 +105,143 @@ class Attention:
             sums[full] = np.add.reduceat(each, begins[full])
         return sums
 
-
-def _classes(ids: np.ndarray, size: int, rng: np.random.Generator) -> np.ndarray:
-    """Classes of ids by what stands before and behind them: k-means of projected neighbours."""
-    seen = np.bincount(ids, minlength=size)
-    toss = rng.normal(size=(size, 24)) / np.sqrt(np.maximum(seen, 1))[:, None]
-    near = np.zeros((size, 48))
-    for j in range(24):
-        near[:, j] = np.bincount(ids[1:], toss[ids[:-1], j], minlength=size)
-        near[:, 24 + j] = np.bincount(ids[:-1], toss[ids[1:], j], minlength=size)
-    near /= np.maximum(seen, 1)[:, None]
-    near /= np.maximum(np.linalg.norm(near, axis=1, keepdims=True), 1e-12)
+    def gradient(self, types: np.ndarray, first: np.ndarray, wanted: np.ndarray, real: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean loss over the ``real`` positions of a run."""
+        w, tables = self.weights, self.tables()
+        p, q, k, v, a, got = self.forward(types, first, tables)
+        np.exp(np.clip(p, -60, 60, out=p), out=p)
+        p /= (p @ np.ones(CLASSES, dtype=np.float32))[:, None]
+        p[np.arange(len(p)), wanted.ravel()] -= 1
+        d = p
+        d *= (real.ravel() / max(real.sum(), 1))[:, None]
+        g = {"a_out": got.reshape(-1, WIDTH).T @ d}
+        dgot = (d @ w["a_out"].T).reshape(got.shape)
+        dv = a.transpose(0, 2, 1) @ dgot
+        da = dgot @ v.transpose(0, 2, 1)
+        ds = a * (da - (dgot * got).sum(axis=2, keepdims=True))
+        g["back"] = np.bincount(_BACK[_SEEN], ds.sum(axis=0)[_SEEN], minlength=2 * STRETCH)
+        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
+        # A stretch is seen by itself and by the next.
+        own = np.zeros((*types.shape, KEY + KEY + WIDTH), dtype=np.float32)
+        own[1:, :, :KEY] = dq
+        own[:-1, :, KEY : 2 * KEY], own[1:, :, KEY : 2 * KEY] = dk[:, :STRETCH], 0
+        own[1:, :, KEY : 2 * KEY] += dk[:, STRETCH:]
+        own[:-1, :, 2 * KEY :] += dv[:, :STRETCH]
+        own[1:, :, 2 * KEY :] += dv[:, STRETCH:]
+        # The gradients of positions are summed by type, those of the read-out too.
+        x = tables[0]
+        back = np.concatenate([w["q"], w["k"], w["v"]], axis=1)
+        xs = x[types.ravel()]
+        flat = own.reshape(-1, back.shape[1])
+        qkv = xs.T @ flat
+        g["q"], g["k"], g["v"] = qkv[:, :KEY], qkv[:, KEY : 2 * KEY], qkv[:, 2 * KEY :]
+        g["x_out"], g["bias"] = xs[STRETCH:].T @ d, d.sum(axis=0)
+        dx = flat @ back.T
+        dx[STRETCH:] += d @ w["x_out"].T
+        at = (types.ravel().astype(np.int64)[:, None] * WIDTH + np.arange(WIDTH)).ravel()
+        by_type = np.bincount(at, dx.ravel(), minlength=len(x) * WIDTH).reshape(-1, WIDTH)
+        g["cls"] = (self.type_class == np.arange(CLASSES)[:, None]).astype(np.float32) @ by_type.astype(np.float32)
+        g["own"] = np.concatenate([by_type[: SLOTS - 1], by_type[SLOTS - 1 :].sum(axis=0, keepdims=True)])
+        return g
+
+
+class Trainer:
+    """Adam over runs of stretches; changes the model's weights."""
+
+    def __init__(self, model: Attention) -> None:
+        self.model, self.t = model, 0
+        self.m1, self.m2 = ({n: np.zeros_like(x) for n, x in model.weights.items()} for _ in range(2))
+
+    def step(self, types: np.ndarray, first: np.ndarray, wanted: np.ndarray, real: np.ndarray, rate: float) -> None:
+        self.t += 1
+        w, g = self.model.weights, self.model.gradient(types, first, wanted, real)
+        rate *= min(1, self.t / 50)
+        for n in w:
+            self.m1[n] += 0.1 * (g[n] - self.m1[n]).astype(np.float32)
+            self.m2[n] += 0.01 * (g[n] ** 2 - self.m2[n]).astype(np.float32)
+            w[n] -= (rate * (self.m1[n] / (1 - 0.9**self.t)) / (np.sqrt(self.m2[n] / (1 - 0.99**self.t)) + 1e-8)).astype(np.float32)
+
+    def runs(self, ids: np.ndarray, sizes: np.ndarray, rng: np.random.Generator, each: int = EACH) -> Iterator[tuple[np.ndarray, ...]]:
+        """All stretches of the texts once, cut into runs, in random order."""
+        model = self.model
+        entry, target, first, place = model.stretches(ids, sizes)
+        real = np.zeros(target.size, dtype=np.float32)
+        real[place] = 1
+        real = real.reshape(target.shape)
+        types, wanted = model.types[np.concatenate([entry[:1], entry])], model.classes[target]
+        for k in rng.permutation(-(-len(entry) // each)).tolist():
+            at = slice(k * each, (k + 1) * each)
+            yield types[at.start : at.stop + 1], first[at], wanted[at], real[at]
+
+
+def sketch(ids: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """What stands before and behind each id, in ``2 * SKETCH`` columns: neighbours are dealt
+    to columns with a sign, frequent ones weigh less. The sketches of parts are added."""
+    size = len(seen)
+    rng = np.random.default_rng(5)
+    column, sign = rng.integers(0, SKETCH, size), rng.choice([-1.0, 1.0], size)
+    weight = sign / np.sqrt(np.maximum(seen, 1))
+    sides = [np.bincount(a.astype(np.int64) * SKETCH + column[b], weight[b], minlength=size * SKETCH).reshape(size, SKETCH) for a, b in ((ids[1:], ids[:-1]), (ids[:-1], ids[1:]))]
+    return np.concatenate(sides, axis=1)
+
+
+def _classes(near: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Classes of ids by their neighbours: k-means of the sketch, weighed by how often an id occurs."""
+    near = near / np.maximum(np.linalg.norm(near, axis=1, keepdims=True), 1e-12)
     known = np.argsort(-seen, kind="stable")[: max(CLASSES, int((seen > 0).sum()))]
-    middle = near[known[:CLASSES]]
-    weight = np.sqrt(seen[known].astype(float))
+    rows = near[known]
+    heavy = rows * np.sqrt(seen[known].astype(float))[:, None]
+    middle = rows[:CLASSES].copy()
     for _ in range(8):
-        own = (near[known] @ middle.T).argmax(axis=1)
-        for j in range(CLASSES):
-            mine = own == j
-            if mine.any():
-                c = (near[known][mine] * weight[mine, None]).sum(axis=0)
-                middle[j] = c / max(np.linalg.norm(c), 1e-12)
+        own = (rows @ middle.T).argmax(axis=1)
+        sums = np.stack([np.bincount(own, column, minlength=len(middle)) for column in heavy.T], axis=1)
+        met = np.bincount(own, minlength=len(middle)) > 0
+        middle[met] = sums[met] / np.maximum(np.linalg.norm(sums[met], axis=1, keepdims=True), 1e-12)
     out = (near @ middle.T).argmax(axis=1)
     rare = seen == 0
     out[rare] = np.flatnonzero(rare) % CLASSES
     return out.astype(np.int32)
 
 
+def start(near: np.ndarray, seen: np.ndarray, end: int, seed: int = 11) -> Attention:
+    """An untrained model whose classes, slots and shares follow the ids' counts and sketch."""
+    rng = np.random.default_rng(seed)
+    size = len(seen)
+    order = np.argsort(-seen, kind="stable")
+    slots = np.full(size, SLOTS - 1, dtype=np.int32)
+    slots[order[: SLOTS - 1]] = np.arange(min(size, SLOTS - 1))
+    w = {n: (rng.normal(size=s) * (0 if n in ("back", "bias") else 0.25)).astype(np.float32) for n, s in _SHAPES.items()}
+    classes = _classes(near, seen)
+    mass = np.bincount(classes, seen + 0.1, minlength=CLASSES) + 0.1
+    w["bias"] = np.log(mass / mass.sum()).astype(np.float32)
+    return Attention(end, classes, slots, w, shares(classes, seen))
+
+
 def fit(texts: list[np.ndarray], size: int, end: int, steps: int = 700, each: int = 128, seed: int = 11) -> Attention:
-    """Train on id sequences that close with ``end``; Adam on batches of stretches."""
+    """Train here on id sequences that close with ``end``."""
     rng = np.random.default_rng(seed)
     texts = texts or [np.array([end])]
     ids, sizes = np.concatenate(texts).astype(np.int32), np.array([len(t) for t in texts])
-    order = np.argsort(-np.bincount(ids, minlength=size), kind="stable")
-    slots = np.full(size, SLOTS - 1, dtype=np.int32)
-    slots[order[: SLOTS - 1]] = np.arange(min(size, SLOTS - 1))
-    shape = {"cls": (CLASSES, WIDTH), "own": (SLOTS, WIDTH), "q": (WIDTH, KEY), "k": (WIDTH, KEY), "v": (WIDTH, WIDTH), "back": (2 * STRETCH,), "x_out": (WIDTH, CLASSES), "a_out": (WIDTH, CLASSES), "bias": (CLASSES,)}
-    w = {n: (rng.normal(size=s) * (0 if n in ("back", "bias") else 0.25)).astype(np.float32) for n, s in shape.items()}
-    model = Attention(end, _classes(ids, size, rng), slots, w, np.zeros(size))
-    entry, target, first, place = model.stretches(ids, sizes)
-    real = np.zeros(target.size, dtype=np.float32)
-    real[place] = 1
-    real = real.reshape(target.shape)
-    m1, m2 = ({n: np.zeros_like(v) for n, v in w.items()} for _ in range(2))
-    for t in range(1, steps + 1):
-        at = rng.integers(0, len(entry), each)
-        before = entry[np.maximum(at - 1, 0)]
-        out, x, both, q, k, v, a, got = model.forward(entry[at], before, first[at])
-        p = np.exp(out - out.max(axis=1, keepdims=True))
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(p)), model.classes[target[at].ravel()]] -= 1
-        d = p * (real[at].ravel() / max(real[at].sum(), 1))[:, None]
-        g = {"x_out": x.reshape(-1, WIDTH).T @ d, "a_out": got.reshape(-1, WIDTH).T @ d, "bias": d.sum(axis=0)}
-        dgot = (d @ w["a_out"].T).reshape(got.shape)
-        dv = a.transpose(0, 2, 1) @ dgot
-        da = dgot @ v.transpose(0, 2, 1)
-        ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-        g["back"] = np.bincount(_BACK[_SEEN], ds.sum(axis=0)[_SEEN], minlength=2 * STRETCH)
-        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        flat = both.reshape(-1, WIDTH)
-        g["q"] = x.reshape(-1, WIDTH).T @ dq.reshape(-1, KEY)
-        g["k"] = flat.T @ dk.reshape(-1, KEY)
-        g["v"] = flat.T @ dv.reshape(-1, WIDTH)
-        dboth = (dk.reshape(-1, KEY) @ w["k"].T + dv.reshape(-1, WIDTH) @ w["v"].T).reshape(both.shape)
-        dboth[:, STRETCH:] += (d @ w["x_out"].T).reshape(x.shape) + (dq.reshape(-1, KEY) @ w["q"].T).reshape(x.shape)
-        inputs = np.concatenate([before, entry[at]], axis=1).ravel()
-        g["cls"], g["own"] = np.zeros_like(w["cls"]), np.zeros_like(w["own"])
-        np.add.at(g["cls"], model.classes[inputs], dboth.reshape(-1, WIDTH))
-        np.add.at(g["own"], slots[inputs], dboth.reshape(-1, WIDTH))
-        rate = 0.01 * min(1, t / 50) * (1 - 0.9 * t / steps)
-        for n in w:
-            m1[n] += 0.1 * (g[n] - m1[n])
-            m2[n] += 0.01 * (g[n] ** 2 - m2[n])
-            w[n] -= (rate * (m1[n] / (1 - 0.9**t)) / (np.sqrt(m2[n] / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
+    seen = np.bincount(ids, minlength=size)
+    model = start(sketch(ids, seen), seen, end, seed)
+    trainer = Trainer(model)
+    while trainer.t < steps:
+        for run in trainer.runs(ids, sizes, rng, each):
+            trainer.step(*run, 0.01 * (1 - 0.9 * min(1, trainer.t / steps)))
     return model
 
 
+def packed(weights: dict[str, np.ndarray]) -> np.ndarray:
+    """All weights in a row."""
+    return np.concatenate([weights[n].ravel() for n in _SHAPES])
+
+
+def unpacked(row: np.ndarray) -> dict[str, np.ndarray]:
+    """The weights of ``packed``."""
+    edges = np.cumsum([int(np.prod(s)) for s in _SHAPES.values()])
+    return {n: part.reshape(s).astype(np.float32) for (n, s), part in zip(_SHAPES.items(), np.split(row, edges[:-1]), strict=True)}
+
+
 def shares(classes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """log10 of each id's share of its class, smoothed so that every id has one."""
     mass = counts + 0.1

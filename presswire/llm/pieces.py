@@ -141,6 +141,13 @@ class PieceEncoder:
         """Ids of each word as it stands behind a space; words hold no white space."""
         return self._known(self.later, words, " ")
 
+    def distinct_words(self, key: np.ndarray, at: np.ndarray, raw: np.ndarray, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of ids and ids in a row of distinct words, as they stand behind a space; ``key`` are their
+        ascending hashes, ``at`` a place of each among all words of ``raw``."""
+        starts, sizes = self._hashed(key, at, raw, first, end, np.zeros(len(first), np.int8))
+        stop = np.cumsum(sizes)
+        return sizes, self.table[np.repeat(starts - (stop - sizes), sizes) + np.arange(stop[-1] if len(stop) else 0)]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts."""
         if not texts or self.newline is None:

@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -282,6 +283,36 @@ def test_scores_against_plain_counts(spark, corpus):
     assert lmscore.score(docs.limit(0)).count() == 0
 
 
+def test_every_training_text_trains_and_no_other(spark):
+    from presswire.llm import attention
+
+    # 1,500 texts, more than any sample was, of which some are long; the held-out ones are of words of their own.
+    held = [zlib.crc32(str(i).encode()) % 10 == 0 for i in range(1500)]
+    texts = [("zq kx " * 20 if h else f"the w{i % 7} of " * (2000 if i % 300 == 7 else 3)) for i, h in enumerate(held)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    met = []
+    fit, lmscore.LEAST = lmscore.train, 1000
+    try:
+        lmscore.train = lambda blocks, seen, end: met.append((blocks, seen, end)) or fit(blocks, seen, end, 2, 1000)
+        scored = {r["doc_id"]: r["score"] / r["n_tokens"] for r in lmscore.score(docs).collect()}
+    finally:
+        lmscore.train, lmscore.LEAST = fit, 1_500_000
+    blocks, seen, end = met[0]
+    rows = [{**r.asDict(), **{k: bytes(r[k]) for k in ("held", "sizes", "inverse", "lens", "flat", "counts")}} for r in blocks.collect()]
+    batch = pa.RecordBatch.from_pylist(rows)
+    parts = list(lmscore._training_ids(iter([batch]), end))
+    assert sum(len(sizes) for _, _, sizes in parts) == held.count(False)
+    assert np.array_equal(np.bincount(np.concatenate([ids for _, ids, _ in parts]), minlength=len(seen)), seen)
+    assert max(scored[i] for i in scored if held[i]) < min(scored[i] for i in scored if not held[i])
+    # What two tasks learned is averaged by their ids; sketches are summed.
+    rows = [(t, 0, n, bytearray(lmscore._doubles(np.full(3, float(n * t))))) for t, n in ((0, 1), (40, 3), (41, 1))]
+    total = lmscore.added(spark.createDataFrame(rows, "task int, part int, n long, data binary")).collect()
+    assert total[0]["n"] == 5 and lmscore._values(total[0]["data"]).tolist() == [161.0] * 3
+    model = attention.start(np.zeros((12, 2 * attention.SKETCH)), np.arange(12), 11)
+    again = attention.unpacked(attention.packed(model.weights))
+    assert all(np.array_equal(again[n], w) for n, w in model.weights.items())
+
+
 def test_attention_gradient_and_normalisation():
     from presswire.llm import attention
 
