@@ -76,7 +76,7 @@ class Attention:
         k, v = np.concatenate([k[:-1], k[1:]], axis=1), np.concatenate([v[:-1], v[1:]], axis=1)
         q = q[types[1:]]
         a = q @ k.transpose(0, 2, 1)
-        np.exp(np.clip(a, -30, 30, out=a), out=a)
+        np.exp(np.clip(a, -15, 15, out=a), out=a)
         a *= far
         a[first, :, :STRETCH] = 0
         a /= a.sum(axis=2, keepdims=True)
@@ -93,7 +93,7 @@ class Attention:
         tables, one, at = self.tables(), np.ones(CLASSES, dtype=np.float32), np.arange(turn * STRETCH)
         for k in range(0, len(entry), turn):
             out = self.forward(types[k : k + turn + 1], first[k : k + turn], tables)[0]
-            np.clip(out, -60, 60, out=out)
+            np.clip(out, -25, 25, out=out)
             chosen = out[at[: len(out)], wanted[k : k + turn].ravel()]
             total = np.exp(out, out=out) @ one
             score[k : k + turn] = ((chosen - np.log(total)) * np.float32(np.log10(np.e))).reshape(-1, STRETCH)
@@ -109,7 +109,7 @@ class Attention:
         """Of the mean loss over the ``real`` positions of a run."""
         w, tables = self.weights, self.tables()
         p, q, k, v, a, got = self.forward(types, first, tables)
-        np.exp(np.clip(p, -60, 60, out=p), out=p)
+        np.exp(np.clip(p, -25, 25, out=p), out=p)
         p /= (p @ np.ones(CLASSES, dtype=np.float32))[:, None]
         p[np.arange(len(p)), wanted.ravel()] -= 1
         d = p
