@@ -50,7 +50,7 @@ def pack(ids: list, texts: list[str], coder: PieceEncoder, held: np.ndarray) ->
     """A block: its texts as numbers of its distinct words, which are sorted by hash."""
     raw, begins = wordhash.joined(texts)
     first, end, h = wordhash.words(raw)
-    known, at, inverse = np.unique(h, return_index=True, return_inverse=True)
+    known, at, inverse = wordhash.distinct(h)
     sizes = np.diff(np.searchsorted(first, begins))
     train = ~np.repeat(held, sizes)
     counts = np.bincount(inverse[train], minlength=len(known)).astype(np.int64)
@@ -119,15 +119,19 @@ def block_ids(row: dict, end: int, kept: np.ndarray | None = None) -> tuple[np.n
     """
     sizes = np.frombuffer(row["sizes"], "<i8")
     lens = np.append(np.frombuffer(row["lens"], "<i8"), 1)
-    inverse = _unzip(row["inverse"], "u1", 4 * row["n"]).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
+    inverse = _unzip(row["inverse"], "u1", 4 * row["n"]).reshape(4, -1).T.copy().view("<u4").ravel()
     flat = np.append(_unzip(row["flat"], "<u4", int.from_bytes(row["counts"], "little")), end).astype(np.int32)
     if kept is not None:
         inverse, sizes = inverse[np.repeat(kept, sizes)], sizes[kept]
-    tokens = np.insert(inverse, np.cumsum(sizes), len(lens) - 1)
-    n_ids = lens[tokens]
+    word = np.ones(len(inverse) + len(sizes), bool)
+    word[np.cumsum(sizes + 1) - 1] = False
+    tokens = np.full(len(word), len(lens) - 1)
+    tokens[word] = inverse
+    n_ids = lens.take(tokens)
     upto = np.cumsum(n_ids)
-    start = np.cumsum(lens) - lens
-    ids = flat[np.arange(upto[-1] if len(upto) else 0) + np.repeat(start[tokens] - (upto - n_ids), n_ids)]
+    place = np.repeat((np.cumsum(lens) - lens).take(tokens) - (upto - n_ids), n_ids)
+    place += np.arange(len(place))
+    ids = flat.take(place)
     begin = np.cumsum(sizes + 1) - sizes - 1
     return ids, np.add.reduceat(n_ids, begin) if len(begin) else n_ids, tokens
 

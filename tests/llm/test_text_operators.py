@@ -332,6 +332,42 @@ def test_attention_gradient_and_normalisation():
     assert rng is not None
 
 
+def test_training_takes_a_few_stretches_at_once(monkeypatch):
+    import tracemalloc
+
+    from presswire.llm import attention
+
+    rng = np.random.default_rng(8)
+    sizes = rng.integers(1, 300, 400)
+    ids = (rng.zipf(1.3, sizes.sum()) % 500).astype(np.int32)
+    seen = np.bincount(ids, minlength=501)
+    trainer = attention.Trainer(attention.start(attention.sketch(ids, seen), seen, 500))
+    trainer.step(*next(trainer.runs(ids, sizes, rng)), 0.01)
+    (run,) = trainer.runs(ids, sizes, rng, 1 << 20)
+    tracemalloc.start()
+    found = trainer.model.gradient(*run)
+    assert tracemalloc.get_traced_memory()[1] < 1000 * run[0].size  # 2,900 bytes of a position if all stretches are worked on at once
+    tracemalloc.stop()
+    monkeypatch.setattr(attention, "TURN", 1 << 20)
+    whole = trainer.model.gradient(*run)
+    assert all(np.abs(found[n] - whole[n]).max() < 1e-5 * np.abs(whole[n]).max() for n in whole if n not in ("k", "cls", "own"))
+
+    # The slope of the loss itself, where the key of a stretch before does not matter.
+    def loss():
+        scores = trainer.model.forward(run[0], run[1], trainer.model.tables())[0].astype(float)
+        chosen = scores[np.arange(len(scores)), run[2].ravel()]
+        return ((np.log(np.exp(scores).sum(axis=1)) - chosen) * run[3].ravel()).sum() / run[3].sum()
+
+    for name in ("q", "v", "x_out", "a_out", "bias", "back"):
+        weight, at = trainer.model.weights[name], np.unravel_index(np.abs(whole[name]).argmax(), whole[name].shape)
+        kept = weight[at]
+        weight[at] = kept + 0.02
+        up = loss()
+        weight[at] = kept - 0.02
+        assert (up - loss()) / 0.04 == pytest.approx(whole[name][at], rel=0.03)
+        weight[at] = kept
+
+
 def test_token_files_round_trip(spark, corpus, tmp_path):
     from tokenizers import Tokenizer
 
