@@ -7,7 +7,8 @@ pieces in a row. Most pieces repeat: those of a block of texts are told apart by
 64-bit hashes, each distinct one is looked up once, and the block's ids are one gather from
 their table. Texts with other white space are cut one by one. Each worker keeps the ids
 of the pieces it has met, up to a bound. New ones that begin and end with no white space go to the library joined by
-newlines, whose own id parts them again; others go alone.
+newlines, whose own id parts them again; others go alone. Marks that end a piece behind a letter or digit are tokens apart:
+they are asked for once, and the word before them for itself.
 """
 
 from __future__ import annotations
@@ -18,10 +19,10 @@ from functools import lru_cache
 
 import numpy as np
 
-from presswire.llm.wordhash import words
+from presswire.llm.wordhash import distinct, words
 
 KEPT = 600_000  # pieces a worker remembers by their text; the memory of a cache, it changes no result
-HASHED = 1_500_000  # pieces it remembers by their hash
+HASHED = 3_000_000  # pieces it remembers by their hash
 RECENT = 100_000  # of these, met since they were last merged
 CALL = 256  # new pieces in one call
 _MARKS = (",", ".", ";", ":", "!", "?")
@@ -33,6 +34,12 @@ _GAP = np.zeros(256, dtype=bool)
 _GAP[[0x20, 0x0A]] = True
 _ODD = np.zeros(256, dtype=bool)  # other white space, and the first bytes of wider characters that may be some
 _ODD[[0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0xE1, 0xE3]] = True
+_LETTER = np.zeros(256, dtype=bool)  # and digits
+_LETTER[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_MARK = np.zeros(256, dtype=bool)  # none that a special token or a contraction holds
+_MARK[[*b"!#$%&*,.:;?@"]] = True
+_WIDE_LEAD = np.zeros(256, dtype=bool)
+_WIDE_LEAD[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 _NEXT = {0xC2: (0x85, 0xA0), 0xE2: (0x80, 0x81)}
 
 
@@ -53,6 +60,45 @@ def _plain(texts: list[str], raw: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return plain
 
 
+def _parted(raw: np.ndarray, first: np.ndarray, end: np.ndarray, sep: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``raw`` in a row, ``sep`` before each; and where each begins, ``sep`` included."""
+    n = end - first + len(sep)
+    stop = np.cumsum(n)
+    begins = stop - n
+    flat = raw[np.repeat(first - len(sep) - begins, n) + np.arange(stop[-1] if len(stop) else 0)]
+    for k, c in enumerate(sep):
+        flat[begins + k] = c
+    return flat, begins
+
+
+def _tails(raw: np.ndarray, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many marks, at most 8, each run has behind its last letter or digit, and their bytes as a number; 0 if something else stands before them."""
+    tail, code = np.zeros(len(first), np.int64), np.zeros(len(first), np.uint64)
+    left = np.arange(len(first))
+    for _ in range(8):
+        last = end[left] - tail[left] - 1
+        more = _MARK[raw[last]] & (last > first[left])
+        left, last = left[more], last[more]
+        code[left] = code[left] << np.uint64(8) | raw[last].astype(np.uint64)
+        tail[left] += 1
+    last = end - tail - 1
+    # Of wider characters, those from U+00C0 to U+00FF are told apart.
+    letter = _LETTER[raw[last]] | (last > first) & (raw[last - 1] == 0xC3) & (raw[last] != 0x97) & (raw[last] != 0xB7)
+    return np.where(letter, tail, 0), np.where(letter, code, np.uint64(0))
+
+
+def _spaces(raw: np.ndarray) -> np.ndarray:
+    """Where white space stands that is neither a space nor one of ``\\t\\n\\v\\f\\r``."""
+    low = np.flatnonzero((raw >= 0x1C) & (raw <= 0x1F))
+    lead = np.flatnonzero(_WIDE_LEAD[raw])
+    lead = lead[lead < len(raw) - 1]
+    a, b = raw[lead], raw[lead + 1]
+    c = raw[np.minimum(lead + 2, len(raw) - 1)]
+    wide = (a == 0xC2) & ((b == 0x85) | (b == 0xA0)) | (a == 0xE1) & (b == 0x9A) & (c == 0x80) | (a == 0xE3) & (b == 0x80) & (c == 0x80)
+    wide |= (a == 0xE2) & ((b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF)) | (b == 0x81) & (c == 0x9F))
+    return np.concatenate([low, lead[wide]])
+
+
 def _merged(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
     order = np.argsort(np.concatenate([a[0], b[0]]), kind="stable")
     return tuple(np.concatenate([x, y])[order] for x, y in zip(a, b, strict=True))
@@ -74,6 +120,7 @@ class PieceEncoder:
         # Joining by newlines needs a newline of one id, as byte-level vocabularies have.
         self.newline = int(newline[0]) if len(newline) == 1 else None
         self.marks = {m: self.ids(m).astype(self.kind).tobytes() for m in _MARKS}
+        self.runs: dict[bytes, np.ndarray] = {}  # ids of marks that end words
         self.between = newline.astype(self.kind).tobytes()
         self._forget()
 
@@ -93,11 +140,10 @@ class PieceEncoder:
                 found[hit], starts[hit], sizes[hit] = True, begins[place[hit]], n[place[hit]]
         return found, starts, sizes
 
-    def _keep(self, key: np.ndarray, coded: list[bytes]) -> None:
+    def _keep(self, key: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
         """Adds pieces, whose keys ascend."""
-        sizes = np.array([len(c) for c in coded], dtype=np.int64) // self.kind.itemsize
         starts = len(self.table) + np.cumsum(sizes) - sizes
-        self.table = np.concatenate([self.table, np.frombuffer(b"".join(coded), dtype=self.kind)])
+        self.table = np.concatenate([self.table, ids])
         self.levels[1] = _merged(self.levels[1], (key, starts.astype(np.int32), sizes.astype(np.int32)))
         if len(self.levels[1][0]) > RECENT:
             self.levels = [_merged(*self.levels), tuple(x[:0] for x in self.levels[1])]
@@ -167,31 +213,85 @@ class PieceEncoder:
         if sum(len(x[0]) for x in self.levels) + len(key) > HASHED:
             self._forget()
         found, starts, sizes = self._held(key)
-        if not found.all():
-            new = ~found
-            at = at[new]
-            view = memoryview(raw)
-            words_ = [str(view[a:b], "utf-8", "surrogatepass") for a, b in zip(first[at].tolist(), end[at].tolist(), strict=True)]
-            kinds = kind[at].tolist()
-            # Not kept as texts too: the table holds them from here on.
-            later, starts = (
-                iter(self._known(self._stems(asked, kind_), asked, lead))
-                for asked, kind_, lead in (([w for w, k in zip(words_, kinds, strict=True) if not k], 0, " "), ([w for w, k in zip(words_, kinds, strict=True) if k], 1, ""))
-            )
-            coded = [next(later) if k == 0 else next(starts) if k == 1 else self.between + next(starts) for k in kinds]
-            self._keep(key[new], coded)
-            found, starts, sizes = self._held(key)
+        new = np.flatnonzero(~found)
+        if len(new):
+            place = at[new]
+            self._take(key[new], raw, first[place], end[place], kind[place])
+            _, starts[new], sizes[new] = self._held(key[new])
         return starts, sizes
 
-    def _stems(self, asked: list[str], kind: int) -> dict[str, bytes]:
-        """Ids of the words before a mark, as far as the table holds them."""
-        stems = list({w[:-1] for w in asked if w[-1:] in _MARKS and w[-2:-1].isalpha()})
-        if not stems:
-            return {}
-        raw = np.frombuffer(b"\n" + b"\n".join([w.encode("utf-8", "surrogatepass") for w in stems]) + b"\n", np.uint8)
-        found, starts, sizes = self._held(words(raw)[2] ^ _KIND[kind])
-        at, size = starts.tolist(), sizes.tolist()
-        return {stems[k]: self.table[at[k] : at[k] + size[k]].tobytes() for k in np.flatnonzero(found).tolist()}
+    def _take(self, key: np.ndarray, raw: np.ndarray, first: np.ndarray, end: np.ndarray, kind: np.ndarray) -> None:
+        """Learns new pieces, whose keys ascend. Marks behind a letter or digit are cut off by the tokenizer too: only the word before them is asked for."""
+        tail, code = _tails(raw, first, end)
+        some = np.flatnonzero(tail)
+        stem, unmet = np.empty(0, np.uint64), np.empty(0, bool)
+        if len(some):
+            stem = words(np.append(_parted(raw, first[some], (end - tail)[some], b"\n")[0], np.uint8(10)))[2] ^ _KIND[kind[some]]
+            unmet = ~self._held(stem)[0]
+        # Asked for: the pieces without marks, and the words before marks that are not held.
+        lone = np.flatnonzero(tail == 0)
+        asked, at, _ = distinct(np.concatenate([key[lone], stem[unmet]]))
+        place = np.concatenate([lone, some[unmet]])[at]
+        self._ask(asked, raw, first[place], (end - tail)[place], kind[place])
+        if len(some):
+            _, starts, sizes = self._held(stem)
+            met, which = np.unique(code[some], return_inverse=True)
+            marks = [self._marks(int(c).to_bytes(8, "little").rstrip(b"\0")) for c in met.tolist()]
+            more = np.array([len(m) for m in marks])
+            begin = len(self.table) + np.cumsum(more) - more  # the marks stand behind the table
+            source = np.concatenate([self.table, *marks])
+            n = np.stack([sizes, more[which]], axis=1).ravel()
+            stop = np.cumsum(n)
+            ids = source[np.repeat(np.stack([starts, begin[which]], axis=1).ravel() - (stop - n), n) + np.arange(stop[-1])]
+            self._keep(key[some], ids, sizes + more[which])
+
+    def _marks(self, marks: bytes) -> np.ndarray:
+        if marks not in self.runs:
+            self.runs[marks] = self.ids(marks.decode()).astype(self.kind)
+        return self.runs[marks]
+
+    def _ask(self, key: np.ndarray, raw: np.ndarray, first: np.ndarray, end: np.ndarray, kind: np.ndarray) -> None:
+        """Learns pieces from the library, many to a call; those with white space of other kinds go by their text."""
+        sizes, parts, place = np.zeros(len(key), np.int64), [], []
+        for lead in (" ", ""):
+            mine = np.flatnonzero((kind == 0) == (lead == " "))
+            if not len(mine):
+                continue
+            sep = b"\n" + lead.encode()
+            flat, begins = _parted(raw, first[mine], end[mine], sep)
+            other = np.full(len(mine), self.newline is None)
+            other[np.searchsorted(begins, _spaces(flat), side="right") - 1] = True
+            if other.any():
+                odd = mine[other]
+                texts = [str(memoryview(raw)[a:b], "utf-8", "surrogatepass") for a, b in zip(first[odd].tolist(), end[odd].tolist(), strict=True)]
+                got = [self.between * (k == 2) + c for k, c in zip(kind[odd].tolist(), self._known({}, texts, lead), strict=True)]
+                sizes[odd] = [len(c) // self.kind.itemsize for c in got]
+                parts.append(np.frombuffer(b"".join(got), dtype=self.kind))
+                place.append(odd)
+                mine = mine[~other]
+                flat, begins = _parted(raw, first[mine], end[mine], sep)
+            edges = np.append(begins, len(flat)).tolist()
+            line = kind[mine] == 2  # the newline before the first word of a later line is its own
+            for k in range(0, len(mine), CALL):
+                part = mine[k : k + CALL]
+                got = self.ids(str(memoryview(flat)[edges[k] : edges[k + len(part)]], "utf-8", "surrogatepass"))
+                cuts = np.flatnonzero(got == self.newline)
+                if len(cuts) != len(part):
+                    raise ValueError("the vocabulary joins newlines with their neighbours")
+                own = line[k : k + CALL]
+                keep = np.ones(len(got), bool)
+                keep[cuts[~own]] = False
+                sizes[part] = np.diff(cuts, append=len(got)) - ~own
+                parts.append(got[keep].astype(self.kind))
+                place.append(part)
+        if len(key):
+            # The parts came in another order than the keys.
+            came = np.concatenate(place)
+            n = sizes[came]
+            starts = np.empty(len(key), np.int64)
+            starts[came] = np.cumsum(n) - n
+            stop = np.cumsum(sizes)
+            self._keep(key, np.concatenate(parts)[np.repeat(starts - (stop - sizes), sizes) + np.arange(stop[-1])], sizes)
 
     def _together(self, parts: list[bytes]) -> list[bytes]:
         """Ids of texts whose words are parted by single spaces and newlines."""
@@ -204,8 +304,8 @@ class PieceEncoder:
         kind = (raw[first - 1] == 10).astype(np.int8) * 2
         kind[head] = 1
         key ^= _KIND[kind]
-        distinct, at, which = np.unique(key, return_index=True, return_inverse=True)
-        starts, sizes = self._hashed(distinct, at, raw, first, end, kind)
+        known, at, which = distinct(key)
+        starts, sizes = self._hashed(known, at, raw, first, end, kind)
         n = sizes[which]
         stop = np.cumsum(n)
         place = np.repeat(starts[which] - (stop - n), n)

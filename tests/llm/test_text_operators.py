@@ -423,3 +423,19 @@ def test_pieces_equal_the_library():
     texts = ["".join(rng.choice(some) for _ in range(rng.randint(0, 25))) for _ in range(3000)]
     want = [coder.ids(t).tolist() for t in texts]
     assert [np.frombuffer(b, coder.kind).tolist() for b in coder.encode(texts)] == want
+
+
+def test_words_are_asked_for_without_marks(monkeypatch):
+    from presswire.llm.pieces import PieceEncoder
+
+    coder = PieceEncoder(tokenfiles.default_vocabulary())
+    texts = ["olive### olive$$$ olive, olive", "née!! 22%% née,.\nolive?! it's' <|endoftext|> a<|endoftext|>! ×!! ”,"]
+    texts += ["a\u00a0b!! \u2003. x\u3000### \x1cy##", "z" * 70 + "!" * 12 + " w" + "." * 8 + " w" + "." * 9]
+    want = [coder.ids(t).tolist() for t in texts]
+    asked, ids = [], coder.ids
+    monkeypatch.setattr(coder, "ids", lambda text: asked.append(text) or ids(text))
+    for _ in range(2):
+        assert [np.frombuffer(b, coder.kind).tolist() for b in coder.encode(texts)] == want
+    met = collections.Counter(p.strip() for text in asked for p in text.split("\n"))
+    assert met["olive"] == 3  # behind a space, as the first of a text, and of a later line
+    assert not [p for p in met if re.search(r"(olive|née|22)[#$,!%?]", p)] and met["###"] == 1
