@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from presswire.functions.spans import OUTSIDE
-from presswire.operators.blocks import blocked, looked_up, offered, stored
-from presswire.operators.keyfilter import key_filter
+from presswire.functions.segment import grams  # noqa: F401  callers name it as of this module
+from presswire.operators.blocks import Phrases, Words, blocked, listed, looked_up, offered, stored, summed, taken
+from presswire.operators.keyfilter import phrase_filter
 from presswire.operators.lookup import fits_broadcast, keyed_join
-from presswire.operators.rows import unnest, unnest_fields
+from presswire.operators.rows import unnest
 
 
 def merge_spans(tokens: DataFrame, keys: list[str]) -> DataFrame:
@@ -53,35 +57,27 @@ def tag_by_gazetteer(
 
     ``sentences`` holds ``keys``, which name one sentence, ``language`` and ``token``; ``longest``
     is the most words a phrase has. Every block of sentences names its distinct
-    1..longest-grams once. Where the gazetteer is too large to be broadcast, a bitmap of
-    its phrases lets only grams move that may be among them; what is found goes back to the block.
+    1..longest-grams once; a bitmap of the gazetteer's
+    phrases lets only grams move that may be among them, and what is found goes back to the block.
     The longest match covering a token wins, then the leftmost.
     """
     on = ["by", "phrase"]
     folded = gazetteer.groupBy(F.col("language").alias("by"), F.lower("phrase").alias("phrase")).agg(F.min("ner").alias("value"))
     known = stored(folded, "gazetteer")
     rows = blocked(sentences, list(dict.fromkeys([*keys, "language"])))
-    grams = offered(rows, longest, "language")
-    if fits_broadcast(known, **{name: n for name, n in limits.items() if name != "salts"}):
-        found = grams.join(F.broadcast(known), on)
-    else:
-        found = key_filter(known, on).admit(grams).join(known, on)
+    named = offered(rows, longest, "language", phrase_filter(known, *on))
+    small = fits_broadcast(known, **{name: n for name, n in limits.items() if name != "salts"})
+    found = named.join(F.broadcast(known) if small else known, on)
 
-    none = object()
+    def tags(words: Words, low: Words, entries: pa.Table) -> list[pa.Array]:
+        row = Phrases(entries.column("phrase"), longest).cover(low)
+        at = np.flatnonzero(row >= 0)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(words.sizes) - words.sizes, words.sizes) + 1
+        parts = [pa.array(place[at], pa.int32()), words.words.take(pa.array(at)), taken(entries.column("value"), row[at])]
+        return [listed(pa.StructArray.from_arrays(parts, ["idx", "token", "ner"]), summed(row >= 0, words.sizes))]
 
-    def tags(words: list[str], low: list[str], entries: dict[str, str]) -> tuple[list, ...]:
-        get = entries.get
-        out = [get(w, none) for w in low]
-        for k in range(2, longest + 1):
-            hits = [get(" ".join(gram), none) for gram in zip(*(low[j:] for j in range(k)), strict=False)]
-            for i in range(len(hits) - 1, -1, -1):
-                if hits[i] is not none:
-                    out[i : i + k] = [hits[i]] * k
-        at = [i for i, tag in enumerate(out) if tag is not none]
-        return [i + 1 for i in at], [words[i] for i in at], [out[i] for i in at]
-
-    tagged = looked_up(rows, found, keys, tags, "idx array<int>, token array<string>, ner array<string>", "language")
-    return unnest_fields(tagged, keys, F.arrays_zip("idx", "token", "ner"), "idx")
+    tagged = looked_up(rows, found, keys, tags, "_tagged array<struct<idx: int, token: string, ner: string>>", "language")
+    return tagged.select(*keys, F.inline("_tagged"))
 
 
 def link_aliases(mentions: DataFrame, keys: list[str]) -> DataFrame:
@@ -150,7 +146,9 @@ def truecase_changes(rows: DataFrame, model: DataFrame, keys: list[str]) -> Data
     cased = model.select(F.col("word").alias("phrase"), F.col("cased").alias("value"))
     found = offered(rows).join(cased, "phrase")
 
-    def count(words: list[str], low: list[str], entries: dict[str, str]) -> tuple[int, int]:
-        return len(words), sum(entries.get(x, w) != w for w, x in zip(words, low, strict=True))
+    def count(words: Words, low: Words, entries: pa.Table) -> list[pa.Array]:
+        _, row = Phrases(entries.column("phrase"), 1).words(low)
+        other = pc.fill_null(pc.not_equal(taken(entries.column("value"), row), words.words), True).to_numpy(zero_copy_only=False)
+        return [pa.array(words.sizes, pa.int32()), pa.array(summed((row >= 0) & other, words.sizes), pa.int32())]
 
     return looked_up(rows, found, keys, count, "n_tokens int, n_changed int")

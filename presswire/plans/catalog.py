@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from presswire.functions import annotate as A
 from presswire.functions import spans as S
 from presswire.functions.lexicon import InlineLexicon, phrase_lexicon, regex_tags
-from presswire.functions.segment import TOKEN, grams, sentences_of
+from presswire.functions.segment import TOKEN, sentences_of
 from presswire.functions.text import extract_field, let, strip_markup
 from presswire.operators import abbreviations as G
 from presswire.operators import assemble as D
@@ -26,7 +26,7 @@ from presswire.operators import sieves as Y
 from presswire.operators import tables as B
 from presswire.operators import tagger as H
 from presswire.operators import wordcount as W
-from presswire.operators.blocks import blocked
+from presswire.operators.blocks import blocked, offered, stored
 from presswire.operators.lookup import fits_broadcast
 from presswire.operators.rows import pin, unnest, unnest_fields
 from presswire.plans import corpus as C
@@ -478,18 +478,22 @@ def entity_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(_tagged(spark, sf_dir), "ner", F.col("ner"))
 
 
-def _phrases(spark: SparkSession, sf_dir: str, longest: int) -> DataFrame:
+def _said(spark: SparkSession, sf_dir: str, longest: int) -> DataFrame:
     """Every run of up to ``longest`` words of every message, in lower case, with the message's role."""
-    words = F.transform(F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)), F.lower)
-    texts = let(words, lambda w: F.transform(grams(w, longest), lambda g: g["text"]))
+    words = F.array_join(F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)), " ")
     messages = R.at_least(C.table(spark, sf_dir, "conversations"), 2 * spark.sparkContext.defaultParallelism)
-    said = messages.select("role", F.explode(F.array_distinct(texts)).alias("phrase")).distinct()
+    some = (F.monotonically_increasing_id() / 4096).cast("long")  # messages whose phrases are told apart before they move
+    rows = messages.select("role", words.alias("_text"), some.alias("_block"))
+    return offered(rows, longest, "role").select(F.col("by").alias("role"), "phrase").distinct()
+
+
+def _in_languages(said: DataFrame) -> DataFrame:
     return said.select(F.explode(F.array(F.lit("ENG"), F.lit("ESP"))).alias("language"), "phrase", "role")
 
 
 def entity_tags_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A gazetteer derived from a table: all words and word pairs of all messages, typed by their role."""
-    phrases = _phrases(spark, sf_dir, 2).withColumnRenamed("role", "ner")
+    phrases = _in_languages(_said(spark, sf_dir, 2)).withColumnRenamed("role", "ner")
     tagged = E.tag_by_gazetteer(_tokenized(spark, sf_dir), phrases, ONE_SENTENCE, 2)
     return tagged.groupBy("doc_id", "ner").agg(F.count(F.lit(1)).alias("n"))
 
@@ -610,7 +614,7 @@ def documents_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table_resources(spark: SparkSession, sf_dir: str) -> B.TableResources:
     """Lexicons that grow with the data, derived from all words of all messages."""
-    phrases = _phrases(spark, sf_dir, 2)
+    phrases = _in_languages(stored(_said(spark, sf_dir, 2), "said"))
     words = phrases.filter(~F.col("phrase").contains(" ")).select("language", F.col("phrase").alias("word")).distinct()
     size = F.length("word")
     return B.TableResources(
@@ -623,7 +627,7 @@ def table_resources(spark: SparkSession, sf_dir: str) -> B.TableResources:
 
 def documents_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents annotated from lexicon tables of any size."""
-    docs = _stories(spark, sf_dir, routed=True)
+    docs = _stories(spark, sf_dir, routed=True).select("doc_id", "type", "head_line", "date_line", "language", "body")
     return _sentence_rows(D.annotate_documents(docs, table_resources(spark, sf_dir))).drop("type", "head_line", "date_line", "sentence", "relation")
 
 

@@ -271,3 +271,36 @@ def test_a_sentence_of_many_mentions_is_linear(spark):
     tagged = df.select(A.entity_tags(F.col("token"), phrase_lexicon([("ENG", "d e", "P"), ("ENG", "c d", "Q")]).lookup(F.col("token"), F.lit("ENG")), 2))
     assert tagged.first()[0] == ["O", "O", "O", "Q", "Q"]
     assert "slice(" not in tagged._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_admitted_grams_leave_a_block(spark):
+    """A gram that the gazetteer cannot hold is told by its words' hashes, before it is a row."""
+    from presswire.operators.keyfilter import phrase_filter
+
+    said = [("ENG", [f"W{(n * 7 + k) % 900}" for k in range(60)]) for n in range(200)] + [("ESP", ["w1", "w2"]), (None, ["w1", "w2"]), ("ENG", ["é", "日本"])]
+    rows = blocked(spark.createDataFrame(said, "language string, token array<string>").coalesce(2), ["language"], 2000)
+    phrases = [("ENG", "w5"), ("ENG", "w7 w8"), ("ENG", "w8 w9 w10"), ("ENG", "é 日本"), ("ESP", "w2"), ("ESP", "none"), (None, "w1")]
+    known = spark.createDataFrame(phrases, "by string, phrase string")
+    every = offered(rows, 3, "language").count()
+    admitted = offered(rows, 3, "language", phrase_filter(known, "by", "phrase"))
+    assert {(r["by"], r["phrase"]) for r in admitted.collect()} >= {p for p in phrases if p != ("ESP", "none")}
+    assert admitted.join(known, ["by", "phrase"]).count() == offered(rows, 3, "language").join(known, ["by", "phrase"]).count()
+    assert admitted.count() < 0.02 * every + 20
+    assert offered(rows, 3, "language", phrase_filter(known.limit(0), "by", "phrase")).count() == 0
+
+
+def test_gazetteer_tags_equal_a_search_word_by_word(spark):
+    rnd = random.Random(3)
+    said = [(n, "ENG" if n % 3 else "ESP", [rnd.choice("abcDé") for _ in range(rnd.randint(0, 12))]) for n in range(150)]
+    entries = {(lang, " ".join(rnd.choice("abcdé") for _ in range(rnd.randint(1, 4)))): t for t in ("P", "Q", None) for lang in ("ENG", "ESP") for _ in range(8)}
+    gazetteer = spark.createDataFrame([(*k, t) for k, t in entries.items()], "language string, phrase string, ner string")
+    want = []
+    for sid, lang, words in said:
+        for i, word in enumerate(words):
+            over = [(k, -at, entries[lang, p]) for at in range(i + 1) for k in range(i - at + 1, 5) if at + k <= len(words) and (lang, p := " ".join(words[at : at + k]).lower()) in entries]
+            if over:
+                want.append((sid, i + 1, word, max(over, key=lambda o: o[:2])[2]))
+    df = spark.createDataFrame(said, "sid int, language string, token array<string>")
+    for limits in ({}, {"max_rows": 0}):
+        got = E.tag_by_gazetteer(df, gazetteer, ["sid"], 4, **limits).collect()
+        assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
