@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +33,6 @@ PARSER_MODES = ("default", "fast")
 
 
 Entries = Iterable[tuple[str, str, str]]
-Lookup = Callable[[Column, Column], Column]
 FIELD_TYPES = {"lemma": "string", "pos": "string", "weight": "int", "phrases": PHRASES}
 
 
@@ -40,6 +40,33 @@ def card_type(fields: Iterable[str]) -> str:
     return "struct<" + ", ".join(f"{f}: {FIELD_TYPES[f]}" for f in fields) + ">"
 
 
+@dataclass(frozen=True)
+class Found:
+    """How a sentence reads its words and their cards: ``tokens(sentence, language, number)``, ``cards(tokens, language,
+    number)``, and of these cards the lemma of each token, a field of each card, and the entity tag of each token."""
+
+    tokens: Callable[[Column, Column, Column], Column]
+    cards: Callable[[Column, Column, Column], Column]
+    lemmas: Callable[[Column, Column], Column]
+    field: Callable[[Column, str], Column]
+    marks: Callable[[Column, Column], Column]
+
+
+def _in_place(longest: int, lookup: Callable[[Column, Column], Column] | None = None) -> Found:
+    """Tokens cut from the sentence, and cards looked up token by token."""
+
+    def field(cards: Column, name: str) -> Column:
+        return F.transform(cards, lambda c: c[name])
+
+    return Found(
+        tokens=lambda sentence, language, number: tokens_of(sentence, language),
+        cards=lambda tokens, language, number: lookup(tokens, language),
+        lemmas=lambda tokens, cards: A.lemmas(tokens, field(cards, "lemma")),
+        field=field,
+        marks=lambda tokens, cards: A.entity_tags(tokens, field(cards, "phrases"), longest),
+    )
+
+
 class Resources:
     """Lexicons of a run, each ``(language, word or phrase, value)``; an empty one
     leaves its annotation at the default.
@@ -83,9 +110,9 @@ class Resources:
             self._folded[fields] = InlineLexicon([e for e in kept if e[2]], card_type(fields))
         return self._folded[fields]
 
-    def attach(self, df: DataFrame, fields: tuple[str, ...], body: str) -> tuple[DataFrame, Lookup]:
+    def attach(self, df: DataFrame, fields: tuple[str, ...], body: str) -> tuple[DataFrame, Found]:
         """``df`` as it is, and the lookup of a token array's cards."""
-        return df, self.cards(fields).lookup
+        return df, _in_place(self.longest, self.cards(fields).lookup)
 
 
 def _for_languages(language: Column, names: list[str], value: Column) -> Column:
@@ -97,8 +124,7 @@ def sentence_struct(
     number: Column,
     language: Column,
     rules: tuple[tuple[str, str], ...],
-    longest: int,
-    lookup: Lookup,
+    found: Found,
     parser: str,
     plan: Plan,
     every_token: bool,
@@ -116,11 +142,11 @@ def sentence_struct(
         return _for_languages(language, plan.languages(name), value()) if name in steps else F.lit(None)
 
     def tags(toks: Column, cards: Column) -> Column:
-        named = A.entity_tags(toks, F.transform(cards, lambda c: c["phrases"]), longest)
+        named = found.marks(toks, cards)
         return A.overlay(named, regex_tags(toks, rules, F.lit(S.OUTSIDE))) if rules else named
 
     def chunks(toks: Column, cards: Column) -> Column:
-        pos = A.pos_tags(toks, F.transform(cards, lambda c: c["pos"]))
+        pos = A.pos_tags(toks, found.field(cards, "pos"))
         return S.bracket_runs(toks, A.chunk_tags(pos))
 
     def build(toks: Column, cards: Column, marks: Column, merged: Column) -> Column:
@@ -134,10 +160,10 @@ def sentence_struct(
             "parse_sentence": pick("parse", lambda: chunks(toks, cards)),
             "dependency_tree": F.lit(None),
             "token": toks if every_token else pick("token", lambda: toks),
-            "lemma": pick("lemma", lambda: A.lemmas(toks, F.transform(cards, lambda c: c["lemma"]))),
+            "lemma": pick("lemma", lambda: found.lemmas(toks, cards)),
             "ner": ner,
             "relation": pick("relation", lambda: S.render_pairs(S.neighbour_pairs(toks, merged))),
-            "sentiment": pick("sentiment", lambda: A.sentiment(toks, F.transform(cards, lambda c: c["weight"]))),
+            "sentiment": pick("sentiment", lambda: A.sentiment(toks, found.field(cards, "weight"))),
         }
         return F.struct(*[values[f].alias(f) for f in SENTENCE_FIELDS]).cast(SENTENCE_TYPE)
 
@@ -149,9 +175,9 @@ def sentence_struct(
         )
 
     def with_tokens(toks: Column) -> Column:
-        return let(lookup(toks, language), lambda cards: with_cards(toks, cards)) if plan.card else with_cards(toks, F.lit(None))
+        return let(found.cards(toks, language, number), lambda cards: with_cards(toks, cards)) if plan.card else with_cards(toks, F.lit(None))
 
-    return let(tokens_of(sentence, language), with_tokens) if steps or every_token else build(*[F.lit(None)] * 4)
+    return let(found.tokens(sentence, language, number), with_tokens) if steps or every_token else build(*[F.lit(None)] * 4)
 
 
 def annotate_documents(
@@ -171,10 +197,10 @@ def annotate_documents(
     """
     language = F.col("language")
     plan = annotation_plan(wanted, extra)
-    held, lookup = res.attach(df, plan.card, body) if plan.card else (df, None)
+    held, found = res.attach(df, plan.card, body) if plan.card else (df, _in_place(1))
     nested = F.transform(
         sentences_of(body, language),
-        lambda s, i: sentence_struct(s, i + 1, language, res.rules, res.longest, lookup, parser, plan, wanted is None),
+        lambda s, i: sentence_struct(s, i + 1, language, res.rules, found, parser, plan, wanted is None),
     )
     done = pin(held.withColumn("sentences", nested), "sentences").select(*[c for c in df.columns if c != "sentences"], "sentences")
     linked = plan.languages("corref")

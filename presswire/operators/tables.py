@@ -1,12 +1,12 @@
 """Lexicons of any size for the annotation: cards brought to blocks of documents.
 
-Documents fall into blocks by a hash of their text. Each block names its distinct
-words (and phrases, if a gazetteer is read) once; those a bitmap says may be known are
+Documents are stored with the words of their sentences, in blocks of consecutive rows (``blocks``). Each
+block names its distinct words (and phrases, if a gazetteer is read) once; those a bitmap says may be known are
 joined to the cards, which are partitioned by their key, and what is found
-goes back to the block as one array of slots. Annotating then looks a word up in its
-block, as it does in the constant of small lexicons; phrases are looked up by their whole text, so a
-word that starts many costs no more than another. A frequent word costs one row a
-block, whatever its count; a phrase comes along only where it occurs.
+goes back to the block. There all words of the block are looked up at once, by array operations; phrases are
+found by the numbers of their words, so a word that starts many costs no more than another. A frequent word costs one row a
+block, whatever its count; a phrase comes along only where it occurs. Columns of the documents that the
+caller does not need are best dropped before: all are stored and shuffled once.
 
 This takes shuffles, so a stream annotates batch by batch.
 """
@@ -16,18 +16,19 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presswire.functions.segment import grams, sentences_of, tokens_of
-from presswire.functions.text import let
-from presswire.operators.assemble import FIELD_TYPES, Lookup, card_type
-from presswire.operators.keyfilter import key_filter
-from presswire.operators.planner import CARD_FIELDS
+from presswire.functions.segment import sentences_of, tokens_of
+from presswire.functions.spans import OUTSIDE
+from presswire.operators.assemble import Found
+from presswire.operators.blocks import BLOCK_BYTES, Phrases, Words, listed, looked_up, numbered, offered, taken
+from presswire.operators.keyfilter import phrase_filter
 from presswire.session import scratch_path
 
-BLOCK_BYTES = 1 << 20  # text of a block, in the mean
-SLOTS = 1024  # of a block's array; a lookup compares the words of one slot
+VALUES_OF = {"phrases": "tag"}  # the column that gives a field of a card, if it has another name
 VALUES = {"lemma": "string", "pos": "string", "weight": "int", "tag": "string"}
 
 
@@ -49,8 +50,8 @@ class TableResources:
     """Lexicons as tables ``(language, word or phrase, value)``, for ``annotate_documents`` in place of ``Resources``.
 
     The cards are folded once, when this is made, and stored below the session's
-    shared folder; every batch reads them from there. ``blocks`` fixes the number of blocks;
-    else it follows the bytes of the text.
+    shared folder; every batch reads them from there. A block has about ``block_bytes`` of text;
+    ``blocks`` is the most there may be, else any number.
     """
 
     def __init__(
@@ -61,10 +62,11 @@ class TableResources:
         polarity: DataFrame | None = None,
         rules: Iterable[tuple[str, str]] = (),
         blocks: int | None = None,
-        slots: int = SLOTS,
+        slots: int | None = None,  # noqa: ARG002  of the former arrays of slots; kept for its callers
+        block_bytes: int = BLOCK_BYTES,
     ):
         self.rules = tuple(rules)
-        self.blocks, self.slots = blocks, slots
+        self.blocks, self.block_bytes = blocks, block_bytes
         folded = card_table(lemma, pos, gazetteer, polarity)
         spark = folded.sparkSession
         path = scratch_path(spark, "cards")
@@ -72,87 +74,46 @@ class TableResources:
         self.table = spark.read.schema(folded.schema).parquet(path)
         words = F.when(F.col("tag").isNotNull(), F.size(F.split("key", " ")))
         self.longest = self.table.agg(F.max(words)).first()[0] or 1
-        self.filter = key_filter(self.table, ["language", "key"])
+        self.filter = phrase_filter(self.table, "language", "key")
 
-    def attach(self, df: DataFrame, fields: tuple[str, ...], body: str) -> tuple[DataFrame, Lookup]:
-        """``df`` with the cards of its block, and the lookup of a token array's cards in them."""
+    def attach(self, df: DataFrame, fields: tuple[str, ...], body: str) -> tuple[DataFrame, Found]:
+        """``df``, stored, with what its block knows of its words; and how a sentence reads it."""
         if df.isStreaming:
             raise ValueError("lexicon tables are joined batch by batch: use store_messages or foreachBatch")
-        least = 2 * df.sparkSession.sparkContext.defaultParallelism
-        blocks = self.blocks
-        if blocks is None:
-            n_bytes = df.agg(F.sum(F.octet_length(body))).first()[0] or 0
-            blocks = max(least, int(n_bytes // BLOCK_BYTES) + 1)
         longest = self.longest if "phrases" in fields else 1
-        held = df.withColumn("_block", F.pmod(F.xxhash64(body), F.lit(blocks)))
-        tables = self._tables(self._found(held, fields, body, longest), fields)
-        if blocks <= least:
-            # So little text would be put into few tasks, but annotating it takes time.
-            held = held.repartition(least, "language", "_block")
-        joined = held.join(tables, ["language", "_block"], "left")
-
-        def find(word: Column) -> Column:
-            slot = F.get(F.col("_cards"), self._slot(word))
-            return F.get(F.filter(slot["found"], lambda e: e["word"] == word), F.lit(0))["card"]
-
-        def phrases_at(words: Column, place: Column, card: Column) -> Column:
-            """The phrases that start at a place, each looked up by its text, the longest first."""
-            none = F.array().cast(FIELD_TYPES["phrases"])
-
-            def of_size(k: Column) -> Column:
-                text = F.array_join(F.slice(words, place + 1, k), " ")
-                return F.coalesce(F.when(place + k <= F.size(words), let(text, find)["phrases"]), none)
-
-            longer = F.flatten(F.transform(F.sequence(F.lit(longest), F.lit(2), F.lit(-1)), of_size))
-            return let(F.concat(longer, F.coalesce(card["phrases"], none)), lambda p: F.when(F.size(p) > 0, p))
-
-        def lookup(tokens: Column, language: Column) -> Column:  # noqa: ARG001  a block has one language
-            if longest == 1:
-                return F.transform(tokens, lambda t: let(F.lower(t), find))
-            kept = [f for f in CARD_FIELDS if f in fields]
-
-            def card_at(words: Column, word: Column, place: Column) -> Column:
-                return let(find(word), lambda c: F.struct(*[(phrases_at(words, place, c) if f == "phrases" else c[f]).alias(f) for f in kept]))
-
-            return let(F.transform(tokens, F.lower), lambda words: F.transform(words, lambda w, i: card_at(words, w, i)))
-
-        return joined, lookup
-
-    def _slot(self, word: Column) -> Column:
-        return F.pmod(F.crc32(word.cast("binary")), F.lit(self.slots)).cast("int")
-
-    def _found(self, held: DataFrame, fields: tuple[str, ...], body: str, longest: int) -> DataFrame:
-        """``(language, _block, key, ...)``: the block's words and phrases that have an entry."""
         language = F.col("language")
-
-        def offered(sentence: Column) -> Column:
-            tokens = F.transform(tokens_of(sentence, language), F.lower)
-            return tokens if longest == 1 else let(tokens, lambda t: F.transform(grams(t, longest), lambda g: g["text"]))
-
-        keys = F.array_distinct(F.flatten(F.transform(sentences_of(body, language), offered)))
-        rows = held.select("language", "_block", F.explode(keys).alias("key"))
-        asked = self.filter.admit(rows).distinct()
-        values = {"phrases": "tag"}
-        given = [values.get(f, f) for f in fields]
+        text = F.array_join(F.transform(sentences_of(body, language), lambda s: F.array_join(tokens_of(s, language), " ")), "\n")
+        rows = numbered(df.withColumn("_text", text), self.block_bytes)
+        if self.blocks is not None:
+            rows = rows.withColumn("_block", F.pmod("_block", F.lit(self.blocks)))
+        given = [VALUES_OF.get(f, f) for f in fields]
         known = self.table.filter(F.coalesce(*[F.col(v).cast("string") for v in given]).isNotNull())
-        return asked.join(known.select("language", "key", *given), ["language", "key"])
-
-    def _tables(self, found: DataFrame, fields: tuple[str, ...]) -> DataFrame:
-        """``(language, _block, _cards)``: an array of slots, each with the words and phrases it holds and their cards."""
-        size = F.size(F.split("key", " "))
-        values = {f: F.when(size == 1, F.col(f)) for f in fields if f != "phrases"}
-        if "phrases" in fields:
-            phrase = F.struct(size.alias("k"), F.col("key").alias("phrase"), F.col("tag").alias("tag"))
-            values["phrases"] = F.when(F.col("tag").isNotNull(), F.array(phrase))
-        cards = found.select("language", "_block", F.col("key").alias("word"), *[v.alias(f) for f, v in values.items()])
-        kind = card_type([f for f in CARD_FIELDS if f in fields])
-        card = F.struct(*[F.col(f).cast(FIELD_TYPES[f]).alias(f) for f in CARD_FIELDS if f in fields]).cast(kind)
-        entry = F.struct("word", card.alias("card"))
-        placed = cards.select("language", "_block", self._slot(F.col("word")).alias("slot"), entry.alias("entry"))
-        # Every slot of a block has a row, so that the array is dense and a slot is its place.
-        empty = placed.select("language", "_block").distinct().select(
-            "language", "_block", F.explode(F.sequence(F.lit(0), F.lit(self.slots - 1))).alias("slot"), F.lit(None).cast(placed.schema["entry"].dataType).alias("entry")
+        asked = offered(rows, longest, "language", self.filter).select("_block", F.col("by").alias("language"), F.col("phrase").alias("key"))
+        found = asked.join(known.select("language", "key", *given), ["language", "key"])
+        found = found.select("_block", F.col("language").alias("by"), F.col("key").alias("phrase"), *given)
+
+        def cards(words: Words, low: Words, entries: pa.Table) -> list[pa.Array]:
+            _, row = Phrases(entries.column("phrase"), 1).words(low)
+            per_line = {"token": listed(words.words, words.sizes)}
+            if "lemma" in given:
+                per_line["lemma"] = listed(pc.coalesce(taken(entries.column("lemma"), row), low.words), words.sizes)
+            if "pos" in given:
+                per_line["pos"] = listed(taken(entries.column("pos"), row), words.sizes)
+            if "weight" in given:
+                weight = pc.fill_null(taken(entries.column("weight"), row), 0).to_numpy(zero_copy_only=False)
+                per_line["weight"] = listed(pa.array(weight, pa.int32()), words.sizes)
+            if "tag" in given:
+                tagged = entries.filter(pc.is_valid(entries.column("tag")))
+                marks = taken(tagged.column("tag"), Phrases(tagged.column("phrase"), longest).cover(low))
+                per_line["tag"] = listed(pc.fill_null(marks, OUTSIDE), words.sizes)
+            return [listed(pa.StructArray.from_arrays([per_line[f] for f in ("token", *given)], ["token", *given]), words.lines)]
+
+        shape = ", ".join(f"{f}: array<{VALUES.get(f, 'string')}>" for f in ("token", *given))
+        held = looked_up(rows, found, df.columns, cards, f"_cards array<struct<{shape}>>", "language")
+        return held, Found(
+            tokens=lambda sentence, language, number: F.get(F.col("_cards"), number - 1)["token"],
+            cards=lambda tokens, language, number: F.get(F.col("_cards"), number - 1),
+            lemmas=lambda tokens, cards: cards["lemma"],
+            field=lambda cards, name: cards[name],
+            marks=lambda tokens, cards: cards["tag"],
         )
-        slots = placed.unionByName(empty).groupBy("language", "_block", "slot").agg(F.collect_list("entry").alias("found"))
-        table = F.transform(F.sort_array(F.collect_list(F.struct("slot", "found"))), lambda s: F.struct(s["found"].alias("found")))
-        return slots.groupBy("language", "_block").agg(table.alias("_cards"))

@@ -204,3 +204,21 @@ def test_lookups_agree_with_and_without_a_list_of_keys(spark, entries):
     row = spark.range(1).select(known.lookup(token, F.lit("ENG")), known.lookup(token, F.lit("ESP")), known.lookup(token, F.lit("ARA"))).first()
     assert tuple(row[0]) == ("v1", "v4", None, None, None) and tuple(row[1]) == (None, None, None, "yes", None)
     assert row[2] is None or not any(row[2])
+
+
+def test_cards_of_tables_are_looked_up_a_block_at_a_time(spark):
+    """No lookup in the plan goes word by word, and lines without words keep their place."""
+    import pyarrow as pa
+
+    from presswire.operators.blocks import Phrases, Words
+
+    docs = records(spark)
+    done = D.annotate_documents(docs, tables(spark), extra=frozenset({"relation"}))
+    text = done._jdf.queryExecution().analyzed().toString()
+    assert "crc32" not in text and "FlatMapCoGroupsInArrow" in text
+    words = Words.of(pa.array(["a b\n\nc", "", None, "\n", "a"]))
+    assert words.words.to_pylist() == ["a", "b", "c", "a"]
+    assert words.sizes.tolist() == [2, 0, 1, 0, 0, 0, 0, 1] and words.lines.tolist() == [3, 1, 1, 2, 1]
+    found = Words.of(pa.array(["x a b c", "b\nc d", "b c d b"]))
+    assert Phrases(pa.array(["a b", "b c", "b c d", "x", "c"]), 3).cover(found).tolist() == [3, 0, 0, 1, -1, 4, -1, 2, 2, 2, -1]
+    assert Phrases(pa.array([], pa.string()), 2).cover(found).tolist() == [-1] * 11
