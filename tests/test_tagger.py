@@ -133,3 +133,54 @@ def test_blocks_make_no_difference(trained, monkeypatch):
     monkeypatch.setattr(G, "BLOCK_WORDS", 10)
     for a, b in zip(whole, G.expected(model, rows), strict=True):
         np.testing.assert_allclose(a, b, rtol=1e-9)
+
+
+def test_stretches_count_as_their_sentences(spark, trained, monkeypatch):
+    """Cut at words of a single tag, and equal stretches counted once, sums and best paths are those of whole sentences."""
+    model, _ = trained
+    draw = np.random.default_rng(11)
+    rows = [draw.integers(0, len(model.classes), n).astype(np.intp) for n in (0, 1, 1, 2, 5, 9, 30, 0, 12, 3) * 8]
+    rows += rows[:20]
+    ids, sizes = np.concatenate(rows), np.array([len(r) for r in rows])
+    counts = G._Stretches.of(model, ids, sizes).keys(ids).value_counts()
+    times = counts.field("counts").to_numpy()
+    assert times.max() > 1 and len(times) < len(ids) / 2
+    for a, b in zip(G.expected(model, rows), G._expected(model, *G._read(counts.field("values")), times), strict=True):
+        np.testing.assert_allclose(a, b, rtol=1e-9, atol=1e-12)
+    names = [[model.classes[i] for i in r] for r in rows] + [["strange", "DT", "strange"], None, []]
+    found = G.pa.array(names, G.pa.list_(G.pa.string()))
+    apart = G._tagged(model, found).to_pylist()
+    monkeypatch.setattr(G.Model, "allowed", property(lambda self: np.ones((len(self.classes), len(self.tags)), dtype=bool)))
+    assert apart == G._tagged(model, found).to_pylist()
+
+
+def test_rounds_read_the_stretches_and_not_the_sentences(spark, tmp_path):
+    """The sentences are read for their classes and their stretches, whatever the number of rounds."""
+    lexicon = InlineLexicon(G.ambiguity(LEXICON))
+    df = spark.createDataFrame([(k, t.split()) for k, t in enumerate(TEXTS)], "id int, token array<string>")
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    classes = df.select(G.word_classes(F.col("token"), lexicon, F.lit("ENG")).alias("c"))
+    G.train(classes.mapInArrow(seen, "c array<string>"), "c", 4)
+    assert read.value == 2 * len(TEXTS)
+
+
+def test_shapes_of_plain_words_are_those_of_the_patterns(spark):
+    import re
+
+    words = ["sing", "SING", "red", "fly", "cats", "s", "a", "Zebra", "{", "[", "ñing", "Ñu", "éd", "1s", "x1", "?", "-", "z", "A", "ab-ing", "İs"]
+    got = spark.createDataFrame([(words,)], "t array<string>").select(G.word_classes(F.col("t"), InlineLexicon([]), F.lit("ENG"))).first()[0]
+    kinds = {r"\p{N}": "0-9", r"\p{Lu}": "A-ZÑİ", r"\p{L}": "a-zA-ZñÑéİ"}
+    for word, name in zip(words, got, strict=True):
+        fits = []
+        for pattern, shape, _ in G.SHAPES:
+            for k, v in kinds.items():
+                pattern = pattern.replace(k, v if f"[^" in pattern else f"[{v}]")
+            if re.search(pattern, word):
+                fits.append(shape)
+        assert name == fits[0], word
