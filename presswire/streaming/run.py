@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from presswire.operators.assemble import Resources, annotate_documents, to_documents
-from presswire.operators.docparse import accepted, dead_letters, envelope, nonblank, parse_docs, split_docs
+from presswire.operators.docparse import PARSED, accepted, dead_letters, envelope, nonblank, parse_docs, split_docs
 from presswire.operators.tables import TableResources
 from presswire.operators.wordcount import windowed_word_count, word_count
 from presswire.sinks.publish import publish
@@ -61,7 +61,10 @@ def _split_batches(
     """Each batch parsed once: annotated documents go to ``keep_good``, dead letters to ``failed``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_messages(spread(batch), language).persist()
+        whole = parse_messages(spread(batch), language)
+        # What is kept of a batch holds its text once: the body of a good document, the record of another.
+        raw = F.when(F.col("reason").isNotNull(), F.col("value")).alias("value")
+        parsed = whole.select("mongo_id", "doc_pos", raw, *[c for c in PARSED if c != "paragraphs"]).persist()
         try:
             keep_good(to_documents(annotate_documents(accepted(parsed), res, "fast"), keep=("mongo_id", "doc_pos")), batch_id)
             letters = dead_letters(parsed.withColumn("value", F.struct("mongo_id", "value")))

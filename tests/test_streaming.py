@@ -123,3 +123,31 @@ def test_a_table_of_several_files_is_streamed(spark, tmp_path):
     assert sorted(tuple(r) for r in C.stream_topics(spark, str(tmp_path)).collect()) == [("conversations", 1, 3), ("documents", 2, 3)]
     assert sorted(r["doc_id"] for r in C.stream_docs(spark, str(tmp_path)).collect()) == ["D1", "D2"]
     assert C.stream_json_sink(spark, str(tmp_path)).count() == 3
+
+
+def test_a_batch_is_kept_with_its_text_once(spark, tmp_path, monkeypatch):
+    """The record of a good document and its paragraphs are not held beside its body."""
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "1.txt").write_text("m1#" + DOC % ("A", "one. two") + "\nm2#junk\n")
+    frame = type(spark.range(1))
+    held, persist = [], frame.persist
+
+    def kept(df, *args):
+        held.append(df)
+        return persist(df, *args)
+
+    monkeypatch.setattr(frame, "persist", kept)
+    lines = watch_files(spark, str(source), "value string", "text")
+    out, bad = str(tmp_path / "out"), str(tmp_path / "bad")
+    seen = []
+
+    def spread(batch):
+        seen.append(batch)
+        return batch
+
+    drain(T.store_messages(lines, Resources(), out, bad, spread=spread), tmp_path / "cp")
+    assert len(seen) == len(held) == 1
+    assert "paragraphs" not in held[0].columns and {"body", "value", "reason"} <= set(held[0].columns)
+    assert [(r["doc_id"], r["mongo_id"]) for r in spark.read.parquet(out).collect()] == [("A", "m1")]
+    assert [(r["mongo_id"], r["raw"]) for r in spark.read.parquet(bad).collect()] == [("m2", "junk")]
